@@ -63,8 +63,8 @@ def random_key(key: Column, seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null"))))
 
 
-def mix(documents: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, times (how often the mix takes the document)."""
+def _placed(documents: DataFrame, seed: str, weights: tuple[int, ...], epochs: int) -> DataFrame:
+    """Each document with its key, its source's size and target, whole epochs, and whether the cut takes it."""
     rows = written(
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text").cast("string")).alias("size"))
         .withColumn("_key", random_key(F.col("doc_id"), seed)), "mix-sizes",
@@ -80,11 +80,30 @@ def mix(documents: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIG
     here = Window.partitionBy("source", "_range").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = ranged.withColumn("_in", F.sum("size").over(here)).join(known, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
-    after = F.col("_shift") + F.col("_in")
-    rest = F.col("target") - whole * F.col("source_size")
-    times = whole + F.when(after - F.col("size") / 2 <= rest, 1).otherwise(0)
-    capped = F.least(times, F.lit(epochs)).cast("int")
-    return placed.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * capped).cast("long").alias("taken"), capped.alias("times"))
+    middle = F.col("_shift") + F.col("_in") - F.col("size") / 2
+    cut = (F.col("_whole") < epochs) & (middle <= F.col("target") - F.col("_whole") * F.col("source_size"))
+    return placed.withColumn("_whole", F.least(whole, F.lit(epochs))).withColumn("_cut", cut)
+
+
+def mix(documents: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, times (how often the mix takes the document)."""
+    times = (F.col("_whole") + F.col("_cut").cast("int")).cast("int")
+    return _placed(documents, seed, weights, epochs).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"), times.alias("times"))
+
+
+def mixed_documents(documents: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
+    """The documents as often as the mix takes them, with all their columns.
+
+    A cut is a key: of a source, documents up to its key are taken once more. So the texts needn't be
+    shuffled; what is joined is a row for each source. Rows that repeat a doc_id have one key and are
+    taken alike.
+    """
+    cuts = written(_placed(documents, seed, weights, epochs).groupBy("source").agg(F.max("_whole").alias("_whole"), F.max(F.when(F.col("_cut"), F.col("_key"))).alias("_last")).withColumnRenamed("source", "_s"), "mix-cuts")
+    side = F.broadcast(cuts) if cuts.count() <= 100_000 else cuts
+    key = random_key(F.col("doc_id").cast("long"), seed)
+    taken = F.col("_whole") + F.coalesce((key <= F.col("_last")).cast("int"), F.lit(0))
+    joined = documents.join(side, F.col("source").cast("string").eqNullSafe(F.col("_s")))
+    return joined.withColumn("_again", F.explode(F.sequence(F.lit(1), F.greatest(taken, F.lit(1))))).filter(taken > 0).select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 ORACLE = r"""

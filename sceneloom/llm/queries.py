@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content, mixing, sharding, spotsigs, warc
+from . import chat, content, decontam, langid, mixing, ngram_join, quality, sharding, spotsigs, warc
 from .common import table
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -30,6 +30,10 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id"""
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = warc.archive_round_trip(table(spark, sf_dir, "pages"))
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -54,6 +58,14 @@ def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op8_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -62,13 +74,21 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_decontaminate": op2_decontaminate,
     "op3_warc_normalise": op3_warc_normalise,
     "op4_html_extract": op4_html_extract,
     "op5_spotsigs": op5_spotsigs,
+    "op6_quality_pu": op6_quality_pu,
+    "op7_ngram_join": op7_ngram_join,
     "op8_shard_tree": op8_shard_tree,
     "op9_mix_sources": op9_mix_sources,
+    "op10_language_id": op10_language_id,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": ORACLE_OP1,
