@@ -22,8 +22,8 @@ from .common import written
 # Weights of the sources, in turn.
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
-#: Rows of a source in a range of keys, about.
-ROWS_PER_RANGE = 50_000
+#: Rows in a range of keys, about, and the most ranges (their sums are what prefix sums run along).
+ROWS_PER_RANGE, MOST_RANGES = 2_000, 100_000
 
 
 def size_of(text: Column) -> Column:
@@ -69,7 +69,7 @@ def _placed(documents: DataFrame, seed: str, weights: tuple[int, ...], epochs: i
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text").cast("string")).alias("size"))
         .withColumn("_key", random_key(F.col("doc_id"), seed)), "mix-sizes",
     )
-    ranges = max(1, rows.count() // ROWS_PER_RANGE)
+    ranges = min(MOST_RANGES, max(1, rows.count() // ROWS_PER_RANGE))
     # ranges of equal width: keys are uniform, so ranges of a source hold about as many rows
     ranged = rows.withColumn("_range", F.floor(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * F.lit(ranges) / F.lit(1 << 32)).cast("int"))
     sums = ranged.groupBy("source", "_range").agg(F.sum("size").alias("_sum"))
