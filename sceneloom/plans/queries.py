@@ -1,4 +1,6 @@
 """Queries of the engine's operators, and the SQL that checks them."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import sequences  # noqa: F401  registers queries
+from .base import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
