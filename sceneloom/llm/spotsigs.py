@@ -28,6 +28,8 @@ ANCHORS = (
 SPAN = 6
 #: Content words in a chain.
 CHAIN = 2
+#: Stands for a null doc_id in keys.
+NULL_ID = -(1 << 63)
 
 
 def _bound(value: Column, body) -> Column:
@@ -63,36 +65,32 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     return F.when(large == 0, F.lit(1.0)).when((small == 0) | (small < large * F.lit(least)), F.lit(0.0)).otherwise(exact)
 
 
-def edited_texts(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(doc_id, th, edited) of each document; (doc_id, th, n_chars, sigs) of each; and who follows whom."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    keyed = rows.withColumn("th", F.xxhash64("text"))
-    sets = written(keyed.select("doc_id", "th", F.char_length("text").cast("long").alias("n_chars"), signatures(F.col("text")).alias("sigs")), "spots")
-    slim = sets.groupBy("doc_id", "th").agg(F.max("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("copies"))
-    order = written(with_next(slim, ["doc_id", "th"], ["doc_id", "th"], "spot-order"), "spot-next")
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
-    # the head of the next document goes to the document whose end it replaces
-    heads = order.select(F.col("_next_doc_id").alias("doc_id"), F.col("_next_th").alias("th"), F.col("doc_id").alias("to_id"), F.col("th").alias("to_th"), F.floor(F.col("n_chars") / 2).cast("int").alias("half"))
-    head = keyed.join(heads, same(keyed, heads)).select("to_id", "to_th", F.col("text").substr(F.lit(1), F.col("half")).alias("head"))
-    one_head = head.groupBy("to_id", "to_th").agg(F.max("head").alias("head"))
-    joined = keyed.join(one_head, keyed["doc_id"].eqNullSafe(one_head["to_id"]) & (keyed["th"] == one_head["to_th"]))
-    n = F.char_length("text")
-    return joined.select("doc_id", "th", F.concat(F.col("text").substr(F.lit(1), n - F.floor(n / 2).cast("int")), F.col("head")).alias("edited")), sets, order
-
-
 def fingerprint_documents(documents: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many of the next document.
+
+    Who follows whom is found on ids, lengths and hashes alone. Then whole texts are shuffled once, to a row that
+    names the document before; what a document hands back to that one is the head it needs and its own set.
     """
-    texts, sets, order = edited_texts(documents)
-    edited = texts.select("doc_id", "th", F.sha2("edited", 256).alias("edited_sha256"), signatures(F.col("edited")).alias("edited_sigs"))
-    own = sets.dropDuplicates(["doc_id", "th"])
-    nexts = own.select(F.col("doc_id").alias("_i"), F.col("th").alias("_t"), F.col("sigs").alias("next_sigs"))
-    linked = order.join(nexts, F.col("_next_doc_id").eqNullSafe(F.col("_i")) & (F.col("_next_th") == F.col("_t"))).select(F.col("doc_id").alias("_a"), F.col("th").alias("_b"), "next_sigs")
-    mine = own.join(linked, own["doc_id"].eqNullSafe(F.col("_a")) & (own["th"] == F.col("_b"))).select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), "n_chars", "sigs", "next_sigs")
-    out = edited.join(mine, edited["doc_id"].eqNullSafe(F.col("_d")) & (edited["th"] == F.col("_h")))
-    return out.select(
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # the same columns on both sides of the last join, so that one shuffle of the texts serves both
+    keyed = rows.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("k"), F.xxhash64("text").alias("th"), "text")
+    slim = keyed.select("k", "th", F.char_length("text").cast("long").alias("n")).groupBy("k", "th").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+    order = written(with_next(slim, ["k", "th"], ["k", "th"], "spot-order"), "spot-next")
+    before = order.select(F.col("_next_k").alias("k"), F.col("_next_th").alias("th"), F.col("k").alias("to_k"), F.col("th").alias("to_th"), F.floor(F.col("n") / 2).cast("int").alias("half"))
+    base = keyed.join(before, ["k", "th"])
+    handed = base.select(F.col("to_k").alias("k"), F.col("to_th").alias("th"), F.col("text").substr(F.lit(1), F.col("half")).alias("head"), signatures(F.col("text")).alias("next_sigs"))
+    if not order.filter("copies > 1").isEmpty():  # repeated rows hand the same back
+        handed = handed.dropDuplicates(["k", "th"])
+    n = F.char_length("text")
+    both = keyed.join(handed, ["k", "th"])
+    edited = both.select(
+        F.when(F.col("k") != NULL_ID, F.col("k")).alias("doc_id"), n.cast("long").alias("n_chars"), signatures(F.col("text")).alias("sigs"), "next_sigs",
+        F.concat(F.col("text").substr(F.lit(1), n - F.floor(n / 2).cast("int")), F.col("head")).alias("edited"),
+    )
+    sets = edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sigs", "next_sigs", signatures(F.col("edited")).alias("edited_sigs"))
+    return sets.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("sigs")).alias("fingerprint"), fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
         likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"), F.size("sigs").alias("n_signatures"),
     )
