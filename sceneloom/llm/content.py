@@ -2,7 +2,7 @@
 
 A page is a sequence of words and tags. Words score positive and tags negative, by where they stand (in a
 link, a menu, a notice, ...); the weights are log odds learnt from pages that label their own content with
-<article> or <main>. A linear scan finds the contiguous run of tokens with the highest score; its blocks,
+<article> or <main>. A stretch of boilerplate counts as one tag. A linear scan finds the contiguous run of tokens with the highest score; its blocks,
 without those of boilerplate elements inside it, are the text.
 
 Null or empty html, and pages without words, give the empty text. Unclosed and stray tags, broken
@@ -46,6 +46,8 @@ _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until))|aria-hidden\s
 _SPLIT = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
+#: What a stretch of boilerplate costs at most: an advert must not cut an article in two.
+BRIDGE = 2.0
 #: Where a word or tag stands; the features that have weights.
 PLACES = ("plain", "link", "boiler", "heading")
 #: Weights without labelled pages: words for and tags against the article, boilerplate against it.
@@ -189,8 +191,14 @@ def extract(page: str | None, weights: dict[str, float] = DEFAULT_WEIGHTS) -> st
     toks = list(tokens(page))
     best = here = 0.0
     best_from = best_to = start = 0
+    was = ""
     for i, (kind, value, place, _) in enumerate(toks):  # the linear scan
-        score = weights["word " + place] * len(value.split()) if kind == "text" else weights["tag " + place]
+        if place == "boiler":
+            # boilerplate never gets into the text, so a stretch of it is one tag, however long it is
+            score = max(-BRIDGE, weights["tag boiler"]) if was != "boiler" else 0.0
+        else:
+            score = weights["word " + place] * len(value.split()) if kind == "text" else weights["tag " + place]
+        was = place
         if here <= 0:
             here, start = 0.0, i
         here += score
