@@ -62,7 +62,7 @@ def parse_srt(df: DataFrame, key: list[str], text: str) -> DataFrame:
 
     Lines of an entry are joined by a space; entries without text go; ids are dense.
     """
-    part = lambda i: F.regexp_extract_all(F.regexp_replace(text, "^﻿", ""), F.lit(_SRT), F.lit(i))
+    part = lambda i: F.regexp_extract_all(F.regexp_replace(text, "^\uFEFF", ""), F.lit(_SRT), F.lit(i))
     joined = lambda body: F.array_join(F.filter(F.transform(F.split(body, r"\r?\n"), lambda x: F.trim(x)), lambda x: x != ""), " ")
     rows = df.select(*key, F.posexplode(F.arrays_zip(part(1).alias("a"), part(2).alias("b"), part(3).alias("c"))).alias("_i", "_e"))
     full = rows.select(*key, "_i", srt_ms(F.col("_e.a")).alias("start_ms"), srt_ms(F.col("_e.b")).alias("end_ms"), joined(F.col("_e.c")).alias("text")).filter("text <> ''")
@@ -72,7 +72,7 @@ def parse_srt(df: DataFrame, key: list[str], text: str) -> DataFrame:
 
 def read_srt(spark: SparkSession, path: str) -> DataFrame:
     """All SRT files below a path."""
-    texts = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.[sS][rR][tT]").option("recursiveFileLookup", "true").text(path).withColumn("path", F.col("_metadata.file_path"))
+    texts = spark.read.option("pathGlobFilter", "*.[sS][rR][tT]").option("recursiveFileLookup", "true").text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
     return parse_srt(texts, ["path"], "value")
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def write_by_video(df: DataFrame, path: str, video: str = "video", mode: str = "overwrite") -> None:
@@ -63,7 +63,7 @@ def or_empty(spark: SparkSession, path: str, schema: StructType, required: bool
 
 def run_commands(df: DataFrame, command: Callable[[Row], list[str]], timeout: float = 600) -> DataFrame:
     """An external command for each row; its exit code as `code`. Rows are run where their partition is."""
-    schema = StructType(df.schema.fields).add("code", "int")
+    schema = StructType([*df.schema.fields, StructField("code", IntegerType())])
     fields = [f.name for f in df.schema.fields]
 
     def run(batches: Iterator) -> Iterator:
