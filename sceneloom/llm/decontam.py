@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +33,7 @@ from .common import small_batches, words_of, written
 
 SEGMENT = 64
 #: Segments in a block of the index.
-BLOCK = 8
+BLOCK = 4
 SHARD_ITEMS = 1024
 K1, B = 1.2, 0.75
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -99,11 +100,24 @@ def build_shard(items: list[tuple[int | None, str]], df: dict[str, int], n_segme
     return Shard(terms, item_of, lists, [max(w) for _, w in lists], blocks, kept, [(len(g[1]), len(g[2]), len(g[3])) for g in kept])
 
 
-def block_max_wand(query: list[int], shard: Shard, theta: float) -> list[tuple[int, float]]:
-    """All segments whose impacts for the query's terms add up to theta or more, and their scores."""
+def block_max_wand(query: list[int], shard: Shard, theta: float, blocks: list[int] | None = None) -> list[tuple[int, float]]:
+    """All segments whose impacts for the query's terms add up to theta or more, and their scores.
+
+    blocks: those, ascending, whose block maxima for the query reach theta, where that is known already; lists
+    are then moved from one of them to the next.
+    """
     out: list[tuple[int, float]] = []
-    cursors = [[shard.postings[t][0][0], 0, t] for t in query]  # segment, place in its list, term
     limit = theta - 1e-6
+    if blocks is None:
+        blocks = np.flatnonzero(shard.block_most[query].sum(0) >= limit - 1e-4).tolist() if query else []
+    if not blocks:
+        return out
+    cursors = []  # segment, place in its list, term
+    for t in query:
+        segs = shard.postings[t][0]
+        at = bisect_left(segs, blocks[0] * BLOCK)
+        if at < len(segs):
+            cursors.append([segs[at], at, t])
     while cursors:
         cursors.sort()
         bound, pivot = 0.0, -1
@@ -117,57 +131,58 @@ def block_max_wand(query: list[int], shard: Shard, theta: float) -> list[tuple[i
         seg = cursors[pivot][0]
         while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == seg:
             pivot += 1
-        block = seg // BLOCK
-        if sum(float(shard.block_most[c[2], block]) for c in cursors[: pivot + 1]) >= limit:
-            if cursors[0][0] == seg:
-                score = sum(shard.postings[c[2]][1][c[1]] for c in cursors[: pivot + 1])
-                if score >= limit:
-                    out.append((seg, score))
-                aim = seg + 1
-            else:
-                aim = seg
-        else:  # nothing in this block: go behind it, or to the next list that may add to it
-            aim = (block + 1) * BLOCK
+        at = bisect_left(blocks, seg // BLOCK)
+        if at == len(blocks):
+            return out
+        if blocks[at] * BLOCK > seg:  # this block's maxima are too small: on to the next that may do
+            aim = blocks[at] * BLOCK
+        elif sum(float(shard.block_most[c[2], seg // BLOCK]) for c in cursors[: pivot + 1]) < limit:
+            aim = (seg // BLOCK + 1) * BLOCK  # or to the next list that may add to this one
             if pivot + 1 < len(cursors):
-                aim = min(aim, cursors[pivot + 1][0])
-            aim = max(aim, seg + 1)
-        for c in cursors[: pivot + 1]:
-            segs = shard.postings[c[2]][0]
-            while c[1] < len(segs) and segs[c[1]] < aim:
-                c[1] += 1
-            c[0] = segs[c[1]] if c[1] < len(segs) else -1
-        cursors = [c for c in cursors if c[0] >= 0]
+                aim = max(seg + 1, min(aim, cursors[pivot + 1][0]))
+        elif cursors[0][0] == seg:
+            score = sum(shard.postings[c[2]][1][c[1]] for c in cursors[: pivot + 1])
+            if score >= limit:
+                out.append((seg, score))
+            aim = seg + 1
+        else:
+            aim = seg
+        left = []
+        for c in cursors:
+            if c[0] < aim:
+                segs = shard.postings[c[2]][0]
+                c[1] = bisect_left(segs, aim, c[1])
+                if c[1] == len(segs):
+                    continue
+                c[0] = segs[c[1]]
+            left.append(c)
+        cursors = left
     return out
 
 
 def search(texts: list[str | None], shard: Shard, theta: float) -> list[tuple[int, int, float]]:
     """(text, item, score) for every item of which a passage of the text retrieves a segment."""
-    get = shard.terms.get
+    get, width = shard.terms.get, len(shard.terms)
     best: dict[tuple[int, int], float] = {}
-    ids: list[np.ndarray] = []
-    of_text: list[int] = []
     for i, t in enumerate(texts):
-        if t:
-            ids.append(np.array([get(w, -1) for w in words_of(t)], np.int32))
-            of_text.append(i)
-    for ts, i in zip(ids, of_text, strict=True):
-        n_cells = max(1, -(-len(ts) // SEGMENT))
-        for at in range(0, n_cells, 1024):  # cells of SEGMENT words; a passage is two that follow each other
-            some = ts[at * SEGMENT : (at + 1025) * SEGMENT]
+        if not t:
+            continue
+        ids = np.array([get(w, -1) for w in words_of(t)], np.int64)
+        for start in range(0, max(1, len(ids) - SEGMENT), 512 * SEGMENT):  # as many passages at once
+            some = ids[start : start + 513 * SEGMENT]
             known = np.flatnonzero(some >= 0)
             if not len(known):
                 continue
-            cells = -(-len(some) // SEGMENT)
-            pairs = np.unique(known // SEGMENT * np.int64(len(shard.terms)) + some[known])
-            cell, term = pairs // len(shard.terms), pairs % len(shard.terms)
-            starts = np.searchsorted(cell, np.arange(cells))
-            bounds = np.zeros((cells, shard.block_most.shape[1]), np.float32)
-            filled = np.flatnonzero(np.diff(np.append(starts, len(cell))))
-            bounds[filled] = np.add.reduceat(shard.block_most[term], starts[filled], axis=0)
-            two = bounds[:-1] + bounds[1:] if cells > 1 else bounds
-            for p in np.flatnonzero(two.max(1) >= theta - 1e-4):
-                lo, hi = starts[p], starts[p + 2] if p + 2 < cells else len(cell)
-                for seg, score in block_max_wand(sorted(set(term[lo:hi].tolist())), shard, theta):
+            cells, terms = known // SEGMENT, some[known]
+            last = max(0, -(-len(some) // SEGMENT) - 2)  # a passage is a cell of SEGMENT words and the next one
+            pairs = np.unique(np.concatenate([np.minimum(cells, last) * width + terms, np.clip(cells - 1, 0, last) * width + terms]))
+            passage, term = pairs // width, pairs % width
+            begins = np.flatnonzero(np.diff(passage, prepend=-1))
+            bounds = np.add.reduceat(shard.block_most[term], begins, axis=0)
+            ends = np.append(begins[1:], len(term))
+            for p in np.flatnonzero(bounds.max(1) >= theta - 1e-4):
+                blocks = np.flatnonzero(bounds[p] >= theta - 1e-4).tolist()
+                for seg, score in block_max_wand(term[begins[p] : ends[p]].tolist(), shard, theta, blocks):
                     key = (i, shard.item_of[seg])
                     best[key] = max(best.get(key, 0.0), score)
     return [(i, k, s) for (i, k), s in best.items()]
