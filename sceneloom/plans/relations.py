@@ -182,7 +182,7 @@ def members(spark, sf_dir):
     f"""WITH RECURSIVE {COMPONENTS_SQL}, mb AS (SELECT component, vec_id, embedding::DOUBLE[] AS e, label = 0 AS bad, vec_id % 2 = 0 AS face FROM co JOIN embeddings ON id = vec_id),
 us AS (SELECT * FROM mb QUALIFY bool_and(bad) OVER (PARTITION BY component) OR NOT bad), po AS (SELECT * FROM us QUALIFY NOT bool_or(face) OVER (PARTITION BY component) OR face),
 xs AS (SELECT component, i, avg(e[i]) AS m FROM po, range(1, 65) t(i) GROUP BY ALL), ce AS (SELECT component, list(m ORDER BY i) AS c FROM xs GROUP BY component), un AS (SELECT component, list_transform(c, lambda x: x / (sqrt(list_inner_product(c, c)) + 1e-9)) AS c FROM ce),
-sc AS (SELECT po.component, vec_id, list_inner_product(e, c) AS s FROM po JOIN un USING (component)) SELECT component, arg_max(vec_id, s) AS representative, round(max(s), 5) AS centrality FROM sc GROUP BY component""",
+sc AS (SELECT po.component, vec_id, list_inner_product(e, c) AS s FROM po JOIN un USING (component)) SELECT component, arg_max(vec_id, s) AS representative, round(round(max(s), 6), 5) AS centrality FROM sc GROUP BY component""",
 )
 def a7_representatives(spark, sf_dir):
     """A7, T3, P4, J3."""
