@@ -14,6 +14,17 @@ def _bucket(c: Column, width: int) -> Column:
     return F.floor(c / width).cast("long")
 
 
+def _until(key: list[str], last: int):
+    """Rows by (_t, _kind) up to the current one, or the one before."""
+    return Window.partitionBy(*key).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, last)
+
+
+def _behind(key: list[str]):
+    """Rows behind the current one, nearest last: run backwards, as frames that reach to the end cost a pass for
+    each row."""
+    return Window.partitionBy(*key).orderBy(F.col("_t").desc(), F.col("_kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def in_buckets(intervals: DataFrame, start: str, end: str, width: int) -> DataFrame:
     return intervals.withColumn("_bucket", F.explode(F.sequence(_bucket(F.col(start), width), _bucket(F.col(end), width))))
 
@@ -42,8 +53,7 @@ def nearest_interval(points: DataFrame, intervals: DataFrame, key: list[str], po
     both = points.select(*key, F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.col(point_id).alias("_id"), F.lit(None).cast(ordered.schema["_v"].dataType).alias("_v")).unionByName(
         ordered.select(*key, F.col(start).alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast(points.schema[point_id].dataType).alias("_id"), "_v")
     )
-    w = Window.partitionBy(*key).orderBy("_t", "_kind")
-    near = both.withColumns({"_b": F.last("_v", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first("_v", True).over(w.rowsBetween(1, Window.unboundedFollowing))}).filter("_kind = 1")
+    near = both.withColumns({"_b": F.last("_v", True).over(_until(key, 0)), "_a": F.last("_v", True).over(_behind(key))}).filter("_kind = 1")
     dist = lambda v: F.least(F.abs(v["s"] - F.col("_t")), F.abs(v["e"] - F.col("_t")))
     before, after = F.col("_b"), F.col("_a")
     inside = before.isNotNull() & (before["e"] >= F.col("_t"))
@@ -66,8 +76,7 @@ def as_of(points: DataFrame, events: DataFrame, key: list[str], at: str, event_a
     p = points.withColumns({"_t": F.col(at), "_kind": F.lit(0 if strict != forward else 1), "_v": F.lit(None).cast(f"struct<v:{events.schema[value].dataType.simpleString()}>")})
     e = events.select(*key, F.col(event_at).cast(kind).alias("_t"), F.lit(1 if strict != forward else 0).alias("_kind"), F.struct(F.col(value).alias("v")).alias("_v"))
     both = p.withColumn("_p", F.lit(True)).unionByName(e, allowMissingColumns=True)
-    w = Window.partitionBy(*key).orderBy("_t", "_kind")
-    look = F.first("_v", True).over(w.rowsBetween(1, Window.unboundedFollowing)) if forward else F.last("_v", True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    look = F.last("_v", True).over(_behind(key) if forward else _until(key, -1))
     return both.withColumn(name, look["v"]).filter("_p").drop("_t", "_kind", "_v", "_p")
 
 
@@ -101,9 +110,8 @@ def nearest_unused(wanted: DataFrame, have: DataFrame, key: list[str], want: str
     """For each wanted frame the nearest candidate; of those that share one only the first is kept."""
     w = wanted.select(*key, F.col(want).alias("_t"), F.lit(1).alias("_kind"))
     h = have.select(*key, F.col(at).alias("_t"), F.lit(0).alias("_kind"))
-    order = Window.partitionBy(*key).orderBy("_t", "_kind")
-    at_or_before = F.last(F.when(F.col("_kind") == 0, F.col("_t")), True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(F.when(F.col("_kind") == 0, F.col("_t")), True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    own = F.when(F.col("_kind") == 0, F.col("_t"))
+    at_or_before, after = F.last(own, True).over(_until(key, 0)), F.last(own, True).over(_behind(key))
     near = w.unionByName(h).withColumns({"_b": at_or_before, "_a": after}).filter("_kind = 1")
     pick = F.when(F.col("_b").isNull(), F.col("_a")).when(F.col("_a").isNull() | (F.col("_t") - F.col("_b") <= F.col("_a") - F.col("_t")), F.col("_b")).otherwise(F.col("_a"))
     found = near.withColumn(at, pick).filter(F.col(at).isNotNull())

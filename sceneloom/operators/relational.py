@@ -30,7 +30,7 @@ def nearest_key(df: DataFrame, key: list[str], order: str, is_key: Column, name:
     w = Window.partitionBy(*key).orderBy(order)
     own = F.when(is_key, F.col(order))
     before = F.last(own, True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    behind = F.first(own, True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    behind = F.last(own, True).over(Window.partitionBy(*key).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1))
     return df.withColumn(name, F.coalesce(before, behind))
 
 

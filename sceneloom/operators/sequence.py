@@ -79,7 +79,9 @@ def shots(frames: DataFrame, cut_rows: DataFrame, dark: DataFrame, key: list[str
 
 def forward_target(df: DataFrame, key: list[str], order: str, skip: Column, name: str = "target") -> DataFrame:
     """The order value of the next row that isn't skipped, the row itself included; null at the end."""
-    return df.withColumn(name, F.first(F.when(~skip, F.col(order)), ignorenulls=True).over(_w(key, order).rowsBetween(0, Window.unboundedFollowing)))
+    # backwards, so that one pass does: frames that reach to the end are worked out anew for each row
+    back = Window.partitionBy(*key).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(name, F.last(F.when(~skip, F.col(order)), ignorenulls=True).over(back))
 
 
 def runs_of_equal(df: DataFrame, key: list[str], order: list[str], same: list[str], name: str = "run") -> DataFrame:
