@@ -45,7 +45,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
         {
             "_total": F.sum("source_size").over(everything),
             "_before": F.coalesce(F.sum("_cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "_left_w": F.sum("_w").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+            "_left_w": F.sum("_w").over(everything) - F.coalesce(F.sum("_w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         }
     ).withColumn("_capped", F.col("_w") * (F.col("_total") - F.col("_before")) >= F.col("_cap") * F.col("_left_w"))
     rows = rows.withColumns(
