@@ -12,6 +12,8 @@ of them are returned. A lone document is its own next one. Other columns are ign
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,3 +96,36 @@ def fingerprint_documents(documents: DataFrame) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("sigs")).alias("fingerprint"), fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
         likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"), F.size("sigs").alias("n_signatures"),
     )
+
+
+def length_class(n: Column, threshold: float) -> Column:
+    """The partition of a set's length: lengths of one class differ by less than a factor of the threshold, so that
+    sets with a likeness over it stand in the same class or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / F.lit(-math.log(threshold)) + 1e-9).cast("int")
+
+
+def _sets(documents: DataFrame) -> DataFrame:
+    """A row for each distinct set, and which documents have it."""
+    text = F.col("text").cast("string")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), signatures(text).alias("sigs")).withColumn("set_key", F.xxhash64("sigs"))
+
+
+def search(queries: DataFrame, documents: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """query_id, doc_id, likeness: for each query all documents with a likeness of the threshold or more.
+
+    Sets are partitioned by length; in a partition a query meets the sets that share one of its first signatures:
+    of n, in order, n - ceil(threshold * n) + 1 must hold one that both have. Equal sets are compared once. Queries
+    are a stated set; texts without words match nothing. Repeated rows give repeated results.
+    """
+    first = lambda s: F.slice(s, 1, F.size(s) - F.ceil(F.size(s) * F.lit(threshold) - 1e-9).cast("int") + 1)
+    q = written(_sets(queries).filter(F.size("sigs") > 0), "spot-queries")
+    d = written(_sets(documents).filter(F.size("sigs") > 0), "spot-documents")
+    qs = q.select(F.col("set_key").alias("q_key"), F.col("sigs").alias("q_sigs")).dropDuplicates(["q_key"])
+    ds = d.select(F.col("set_key").alias("d_key"), F.col("sigs").alias("d_sigs")).dropDuplicates(["d_key"])
+    own = length_class(F.size("q_sigs"), threshold)
+    probes = qs.select("q_key", F.size("q_sigs").alias("q_n"), F.explode(F.array(own - 1, own, own + 1)).alias("cls"), first(F.col("q_sigs")).alias("f")).withColumn("sig", F.explode("f")).drop("f")
+    index = ds.select("d_key", F.size("d_sigs").alias("d_n"), length_class(F.size("d_sigs"), threshold).alias("cls"), first(F.col("d_sigs")).alias("f")).withColumn("sig", F.explode("f")).drop("f")
+    met = probes.join(index, ["cls", "sig"]).filter(F.least("q_n", "d_n") >= F.greatest("q_n", "d_n") * F.lit(threshold) - 1e-9).select("q_key", "d_key").distinct()
+    near = met.join(qs, "q_key").join(ds, "d_key").select("q_key", "d_key", likeness(F.col("q_sigs"), F.col("d_sigs"), threshold).alias("likeness")).filter(F.col("likeness") >= threshold - 1e-12)
+    by_query = q.select(F.col("doc_id").alias("query_id"), F.col("set_key").alias("q_key")).join(near, "q_key")
+    return by_query.join(d.select("doc_id", F.col("set_key").alias("d_key")), "d_key").select("query_id", "doc_id", "likeness")

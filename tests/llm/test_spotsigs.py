@@ -60,3 +60,25 @@ def test_pruned_likeness(spark):
 def test_no_python_in_the_plan(spark):
     plan = spotsigs.fingerprint_documents(spark.createDataFrame([(1, A), (2, A)], DOCS).cache())._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_search_against_all_pairs(spark):
+    import random
+
+    r = random.Random(9)
+    vocab = [f"w{i}" for i in range(500)] + ["the", "of", "and", "to"] * 60
+    rows = []
+    for g in range(12):
+        base = [r.choice(vocab) for _ in range(r.randint(20, 150))]
+        for k in range(5):
+            w = list(base)
+            for _ in range(k):
+                w[r.randrange(len(w))] = r.choice(vocab)
+            rows.append((g * 10 + k, " ".join(w[: len(w) - 3 * (k == 4)])))
+    rows += [(500, None), (501, ""), (0, rows[0][1])]
+    docs = spark.createDataFrame(rows, DOCS)
+    queries = docs.filter("doc_id % 20 = 0")
+    for t in (0.5, 0.8):
+        got = sorted((x.query_id, x.doc_id) for x in spotsigs.search(queries, docs, t).collect())
+        want = sorted((a, b) for a, x in rows if a % 20 == 0 and x for b, y in rows if y and jaccard(chains(x), chains(y)) >= t - 1e-12)
+        assert got == want
