@@ -49,3 +49,12 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "the river", None)], DOCS)
     assert [r.lang_pred for r in langid.identify(df).collect()] == ["und"]
     assert langid.identify(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_wrong_labels_reject_no_clean_documents(spark):
+    r = random.Random(5)
+    rows = [(d, t, r.choice(list(WORDS)) if r.random() < 0.05 else lang) for d, t, lang in corpus(1500)]
+    df = spark.createDataFrame(rows, DOCS)
+    model = langid.fit(df, langid.training_rows())
+    assert model.reject_below <= 0.5
+    assert langid.accepted_documents(df, model).count() >= 0.99 * len(rows)
