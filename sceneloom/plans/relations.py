@@ -47,6 +47,18 @@ def j6_nearest(spark, sf_dir):
     return interval.nearest_interval(points, some, ["video"], "event_id", "t", "s", "e", "shot").filter("shot IS NOT NULL").select("video", "event_id", "shot")
 
 
+@query(
+    "j6_nearest_whole",
+    f"""WITH {{fr}}, {SHOTS_SQL}, q AS (SELECT video, event_id, frame + 0.5 + (value % 7) AS t FROM fr)
+SELECT q.video, q.event_id, CAST(arg_min(shot, CASE WHEN t BETWEEN "start" AND "end" THEN -1.0 ELSE least(abs("start" - t), abs("end" - t)) END + shot / 1e6) AS INTEGER) AS shot FROM q JOIN shots ON q.video = shots.video GROUP BY q.video, q.event_id""",
+)
+def j6_nearest_whole(spark, sf_dir):
+    """J6 among all shots; j6_nearest leaves every third out."""
+    points = frames(spark, sf_dir).select("video", "event_id", (F.col("frame") + 0.5 + F.col("value") % 7).alias("t"))
+    every = shots(spark, sf_dir).select("video", "shot", F.col("start").cast("double").alias("s"), F.col("end").cast("double").alias("e"))
+    return interval.nearest_interval(points, every, ["video"], "event_id", "t", "s", "e", "shot").filter("shot IS NOT NULL").select("video", "event_id", "shot")
+
+
 @query("j14_asof", "WITH {fr} SELECT f.video, f.frame, g.value AS seen FROM fr f ASOF LEFT JOIN (SELECT * FROM fr WHERE value > 100) g ON f.video = g.video AND f.frame > g.frame")
 def j14_asof(spark, sf_dir):
     fr = frames(spark, sf_dir)
@@ -71,6 +83,14 @@ def j26_nearest_unused(spark, sf_dir):
     return interval.nearest_unused(fr.filter("frame % 11 = 3").select("video", F.col("frame").alias("want")), fr.filter("value > 120").select("video", F.col("frame").alias("cand")), ["video"], "want", "cand")
 
 
+@query("j26_nearest_unused_whole", """WITH {fr}, w AS (SELECT video, frame AS want FROM fr), h AS (SELECT video, frame AS c FROM fr WHERE value > 120),
+p AS (SELECT w.video, want, arg_min(c, abs(c - want) + c / 1e6) AS c FROM w JOIN h ON w.video = h.video GROUP BY w.video, want) SELECT video, min(want) AS want, c AS cand FROM p GROUP BY video, c""")
+def j26_nearest_unused_whole(spark, sf_dir):
+    """J26 for every frame; j26_nearest_unused looks up one in eleven."""
+    fr = frames(spark, sf_dir)
+    return interval.nearest_unused(fr.select("video", F.col("frame").alias("want")), fr.filter("value > 120").select("video", F.col("frame").alias("cand")), ["video"], "want", "cand")
+
+
 @query("p13_clip", f"WITH {INTERVALS_SQL} SELECT video, person, greatest(\"start\", 0) AS \"start\", least(\"end\", 14) AS \"end\" FROM (SELECT video, person, \"start\" - 5 AS \"start\", \"end\" - 5 AS \"end\" FROM iv) WHERE \"end\" >= 0 AND \"start\" < 15")
 def p13_clip(spark, sf_dir):
     rows = person_intervals(spark, sf_dir).select("video", "person", (F.col("start") - 5).alias("start"), (F.col("end") - 5).alias("end"))

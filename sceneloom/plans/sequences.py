@@ -335,6 +335,13 @@ def w30_numbering(spark, sf_dir):
     return rows.select("video", "frame", F.format_string("%d_Scene%02d", "video", "n").alias("scene_id"))
 
 
+@query("w30_numbering_whole", "WITH {fr} SELECT video, frame, video || '_Scene' || printf('%02d', row_number() OVER (PARTITION BY video ORDER BY frame)) AS scene_id FROM fr")
+def w30_numbering_whole(spark, sf_dir):
+    """W30 for every frame; w30_numbering stops at the 60th."""
+    rows = sequence.numbered(frames(spark, sf_dir), ["video"], ["frame"], "n", 1)
+    return rows.select("video", "frame", F.format_string("%d_Scene%02d", "video", "n").alias("scene_id"))
+
+
 @query(
     "x9_pack",
     """WITH RECURSIVE t AS (SELECT source, doc_id, n_chars AS c, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
