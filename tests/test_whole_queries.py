@@ -24,3 +24,11 @@ def test_numbers_of_three_digits(spark):
 def test_every_wanted_frame(spark):
     wanted = {r.want % 11 for r in QUERIES["j26_nearest_unused_whole"](spark, SF).collect()}
     assert wanted - {3}
+
+
+def test_languages_of_whole_texts(spark, tmp_path):
+    long = "latin words " * 50
+    cases = {1: (long + "はい", "ja"), 2: (long + "안녕", "ko"), 3: ("abc " + "你好" * 20, "zh"), 4: (long, "en"), 7: ("你好 " + long, "en"), 8: ("123", "zh"), 10: (long + "カ 안", "ja")}
+    spark.createDataFrame([(k, t) for k, (t, _) in cases.items()], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.guess for r in QUERIES["f2_lang_whole"](spark, str(tmp_path)).collect()}
+    assert got == {k: g for k, (_, g) in cases.items()}
