@@ -17,6 +17,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,11 +42,15 @@ BOILER_WORDS = set(
     " respond related recommended pagination pager skip copyright disclaimer toolbar search contentinfo complementary".split()
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until))|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
+#: Words of readers' texts, which may be longer than the article; first and last words of names that tell what a page has.
+READERS = {"comment", "comments", "disqus", "replies", "reply", "respond"}
+HAS, IS = {"has", "with", "without", "no"}, {"open", "closed"}
+
 #: What a stretch of boilerplate costs at most: an advert must not cut an article in two.
 BRIDGE = 2.0
 #: Where a word or tag stands; the features that have weights.
@@ -54,75 +59,190 @@ PLACES = ("plain", "link", "boiler", "heading")
 DEFAULT_WEIGHTS = {"word plain": 1.0, "word link": -1.0, "word boiler": -3.0, "word heading": 0.5, "tag plain": -0.7, "tag link": -1.5, "tag boiler": -3.0, "tag heading": -0.5}
 
 
-def _boilerplate(tag: str, attrs: str) -> bool:
-    if tag in BOILER:
-        return True
-    if "=" not in attrs and "hidden" not in attrs:
-        return False
-    if _HIDDEN.search(attrs):
-        return True
-    return any(w in BOILER_WORDS for m in _NAMES.finditer(attrs) for w in _SPLIT.split(_CAMEL.sub(" ", m[1] or m[2] or m[3] or "").lower()))
+def _boilerplate(tag: str, attrs: str, but: frozenset[str] = frozenset()) -> tuple[bool, set[str]]:
+    """Whether an element is boilerplate by its tag or isn't shown, and the words of its class, id or role that say so."""
+    words: set[str] = set()
+    if tag in BOILER and tag not in but:
+        return True, words
+    heading = tag[0] == "h" and tag[1:].isdigit()
+    for name, *quoted in _ATTR.findall(attrs) if attrs else ():
+        name, value = name.lower(), quoted[0] or quoted[1] or quoted[2]
+        if name == "hidden":
+            if not value.lower().startswith(("false", "until")):
+                return True, words
+        elif name == "aria-hidden":
+            if value.strip().lower() == "true":
+                return True, words
+        elif name == "style":
+            if _NO_DISPLAY.search(value):
+                return True, words
+        elif name in ("class", "role") and not heading or name == "id" and not heading and tag != "p":  # ids of headings and paragraphs are anchors
+            for one in value.split():
+                parts = _SPLIT.split(_CAMEL.sub(" ", one).lower())
+                if parts[0] not in HAS and parts[-1] not in IS:
+                    words.update(w for w in parts if w in BOILER_WORDS and w not in but)
+    return False, words
+
+
+@dataclass(slots=True)
+class _Named:
+    """An element whose class, id or role says boilerplate, and what it holds."""
+
+    outer: int
+    readers: bool
+    plain: int = 0
+    labelled: int = 0
+    paragraphs: int = 0
+    article: bool = False
+    heading: bool = False
+    top: bool = False
+    dropped: bool = True
+
+
+def _judge(named: list[_Named], plain: int, labelled: int) -> None:
+    """Sets which named elements are boilerplate. `plain` and `labelled` count the page's words outside all of them.
+
+    One that holds most of the plain words (those within <article> or <main> where a page has such) and an article,
+    a heading or two paragraphs is a wrapper of the article; readers' texts are counted only if there is nothing else.
+    Where names would take over nine tenths of the words, they tell nothing.
+    """
+    for e in reversed(named):
+        if e.outer >= 0:
+            o = named[e.outer]
+            o.paragraphs += e.paragraphs
+            o.article |= e.article
+            o.heading |= e.heading
+            o.top |= e.top
+    for e in named:  # what holds <main> or the page's first heading isn't readers' texts
+        e.readers = e.readers and not e.top or e.outer >= 0 and named[e.outer].readers
+    words = labelled + sum(e.labelled for e in named if not e.readers)
+    of = (lambda e: e.labelled) if words else (lambda e: e.plain)
+    rest = labelled if words else plain
+    total = words or plain + sum(e.plain for e in named if not e.readers)
+    readers = not total
+    total = total or sum(e.plain for e in named)
+    held = [of(e) if readers or not e.readers else 0 for e in named]
+    own = list(held)
+    for i in range(len(named) - 1, -1, -1):
+        if named[i].outer >= 0:
+            held[named[i].outer] += held[i]
+    kept = rest
+    for e, n, m in zip(named, held, own, strict=True):
+        wrapper = 2 * n > total and (e.article or e.heading or e.paragraphs > 1)
+        e.dropped = not wrapper or (e.outer >= 0 and named[e.outer].dropped)
+        kept += 0 if e.dropped else m
+    if 10 * kept < total:
+        for e in named:
+            e.dropped = e.readers and not readers
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
+def tokens(page: str) -> list[tuple[str, str, str, bool]]:
     """(kind, value, place, labelled) of a page: kind is `text`, `break` (of a block) or `tag`.
 
-    labelled: inside <article> or <main>, which only learning looks at.
+    labelled: inside <article> or <main>, which learning looks at, and which tells wrappers from boilerplate.
     """
-    stack: list[tuple[str, bool]] = []
+    out: list[tuple[str, str, str, bool]] = []
+    within: list[int] = []  # the innermost named element of each token
+    named: list[_Named] = []
+    opened: list[int] = []  # those that are open
+    stack: list[tuple[str, bool, int]] = []
+    places: dict[str, list[int]] = {}  # of each tag's open elements in the stack
     boiler = links = headings = labels = 0
+    plain = labelled = 0
     at, n = 0, len(page)
+
+    def add(kind: str, value: str) -> None:
+        out.append((kind, value, "boiler" if boiler else "link" if links else "heading" if headings else "plain", labels > 0))
+        within.append(opened[-1] if opened else -1)
+
+    def close(i: int) -> None:
+        """Closes all elements from place i of the stack on."""
+        nonlocal boiler, links, headings, labels
+        while len(stack) > i:
+            name, bad, k = stack.pop()
+            if not name:
+                continue
+            places[name].pop()
+            boiler -= bad
+            links -= name == "a"
+            headings -= name[0] == "h" and name[1:].isdigit()
+            labels -= name in ("article", "main")
+            if k >= 0:
+                opened.remove(k) if opened[-1] != k else opened.pop()
+
+    def push(name: str, bad: bool, words: set[str]) -> None:
+        nonlocal boiler, links, headings, labels
+        k = -1
+        if words:
+            k = len(named)
+            named.append(_Named(opened[-1] if opened else -1, bool(words & READERS)))
+            opened.append(k)
+        places.setdefault(name, []).append(len(stack))
+        stack.append((name, bad, k))
+        boiler += bad
+        links += name == "a"
+        headings += name[0] == "h" and name[1:].isdigit()
+        labels += name in ("article", "main")
+
     while at < n:
         m = _TOKEN.search(page, at)
         start = m.start() if m else n
-        place = "boiler" if boiler else "link" if links else "heading" if headings else "plain"
         if start > at:
-            yield "text", page[at:start], place, labels > 0
+            text = page[at:start]
+            add("text", text)
+            if not boiler and not links:
+                words = len(text.split())
+                if opened:
+                    named[opened[-1]].plain += words
+                    named[opened[-1]].labelled += words if labels else 0
+                else:
+                    plain += words
+                    labelled += words if labels else 0
         if not m:
-            return
+            break
         at = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
         end, attrs = bool(m["end"]), m["attrs"]
         if end:
-            for i in range(len(stack) - 1, max(-1, len(stack) - 200), -1):
-                if stack[i][0] == tag:
-                    for name, bad in stack[i:]:
-                        boiler -= bad
-                        links -= name == "a"
-                        headings -= name[0] == "h" and name[1:].isdigit()
-                        labels -= name in ("article", "main")
-                    del stack[i:]
-                    break
+            if (found := places.get(tag)) and found[-1] > len(stack) - 200:
+                close(found[-1])
         elif tag in UNSEEN:
             if not attrs.rstrip().endswith("/"):
                 if tag in ("script", "style", "textarea", "title", "noscript", "iframe"):
-                    close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                    at = close.end() if close else (n if tag in ("script", "style") else at)
+                    over = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                    at = over.end() if over else (n if tag in ("script", "style") else at)
                 else:
-                    bad = True
-                    stack.append((tag, bad))
-                    boiler += 1
+                    push(tag, True, set())
         elif tag in NESTED and not attrs.rstrip().endswith("/"):
+            while stack and not stack[-1][0]:
+                stack.pop()
             if stack and tag in BLOCKS and stack[-1][0] == "p":  # a block ends an open paragraph
-                boiler -= stack.pop()[1]
-            bad = _boilerplate(tag, attrs) if tag not in ("html", "body", "article", "main") else False
-            if tag == "a" and links:  # links don't nest
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "a":
-                        boiler -= stack.pop(i)[1]
-                        links -= 1
-                        break
-            if tag == "header" and labels:  # an article's own heading
-                bad = any(w in BOILER_WORDS - {"header"} for w in _SPLIT.split(attrs.lower()))
-            stack.append((tag, bad))
-            boiler += bad
-            links += tag == "a"
-            headings += tag[0] == "h" and tag[1:].isdigit()
-            labels += tag in ("article", "main")
-        place = "boiler" if boiler else "link" if links else "heading" if headings else "plain"
-        yield "break" if tag in BLOCKS or tag == "br" else "tag", tag, place, labels > 0
+                close(len(stack) - 1)
+            bad, words = False, set()
+            if tag not in ("html", "body", "article", "main"):
+                bad, words = _boilerplate(tag, attrs, frozenset({"header"}) if tag == "header" and labels else frozenset())  # an article's own heading
+            if tag == "a" and places.get("a"):  # links don't nest
+                i = places["a"].pop()
+                _, was, k = stack[i]
+                stack[i] = ("", False, -1)
+                boiler -= was
+                links -= 1
+                if k >= 0:
+                    opened.remove(k)
+            push(tag, bad, words)
+            if opened and not boiler:
+                e = named[opened[-1]]
+                e.article |= tag in ("article", "main")
+                e.heading |= tag[0] == "h" and tag[1:].isdigit()
+                e.top |= tag in ("h1", "main")
+                e.paragraphs += tag == "p"
+        add("break" if tag in BLOCKS or tag == "br" else "tag", tag)
+    if not named:
+        return out
+    _judge(named, plain, labelled)
+    return [(kind, value, "boiler" if k >= 0 and named[k].dropped else place, inside) for (kind, value, place, inside), k in zip(out, within, strict=True)]
 
 
 def _clean(raw: str) -> str:
@@ -188,7 +308,7 @@ def extract(page: str | None, weights: dict[str, float] = DEFAULT_WEIGHTS) -> st
     """The main text of a page: blocks joined by an empty line."""
     if not page:
         return ""
-    toks = list(tokens(page))
+    toks = tokens(page)
     best = here = 0.0
     best_from = best_to = start = 0
     was = ""

@@ -41,3 +41,32 @@ def test_rows(spark):
     got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in content.extract_text(df).collect()), key=str)
     assert got == sorted([(1, "u", TEXT, len(TEXT)), (1, "u", TEXT, len(TEXT)), (None, None, "", 0), (2, "v", "", 0)], key=str)
     assert content.extract_text(spark.createDataFrame([], PAGES)).count() == 0
+
+
+WORDS = "Some words of the article that stand in it, one behind the other."
+
+
+def test_hidden_is_an_attribute_of_its_own():
+    for attrs in ('style="overflow:hidden"', 'class="overflow-hidden main"', 'class="hidden-print"', 'data-state="hidden"', 'title="display:none"'):
+        assert content.extract(f"<body><div {attrs}><p>{WORDS}</p></div></body>") == WORDS, attrs
+    for attrs in ("hidden", 'hidden=""', 'aria-hidden="true"', 'style="color:red; display: none"'):
+        assert content.extract(f"<body><div {attrs}><p>Not shown</p></div><p>{WORDS}</p></body>") == WORDS, attrs
+
+
+def test_names_do_not_drop_the_article():
+    body = f"<h1>The head of this article, in a few words</h1><p>{WORDS}</p><p>{WORDS}</p>"
+    want = f"The head of this article, in a few words\n\n{WORDS}\n\n{WORDS}"
+    side = '<div class="sidebar"><p>Other things to see</p></div>'
+    for name in ("layout has-sidebar", "layout sidebar-left", "page comments-open", "page comments"):
+        assert content.extract(f'<body><div class="{name}">{body}{side}</div><div>&copy; some<br><br><br><br><br><br><br></div></body>').replace("\n\n© some", "").replace("\n\nOther things to see", "") == want
+    assert content.extract(f'<body><div class="layout sidebar-left">{body}{side}</div></body>') == want
+    assert content.extract(f'<body><div class="share">Share it</div><main><div class="search-page"><article>{body}</article>{side}</div></main></body>') == want
+    assert content.extract(f'<body><p>{WORDS}</p><h2 id="search">Search</h2><p id="notice">{WORDS}</p></body>') == f"{WORDS}\n\nSearch\n\n{WORDS}"
+    blocks = "".join(f'<div class="widget text"><p>{i} {WORDS}</p></div>' for i in range(5))
+    assert content.extract(f"<body>{blocks}</body>").count(WORDS) == 5
+
+
+def test_readers_texts_are_not_the_article():
+    replies = "".join(f"<h3>Someone</h3><p>{WORDS} {WORDS}</p>" for _ in range(20))
+    page = f'<body><div class="post"><h1>The head of this article, in a few words</h1><p>{WORDS}</p><p>{WORDS}</p></div><div id="comments">{replies}</div></body>'
+    assert content.extract(page) == f"The head of this article, in a few words\n\n{WORDS}\n\n{WORDS}"
