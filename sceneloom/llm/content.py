@@ -47,6 +47,8 @@ _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
+#: Elements that may stand in a head; any other ends it.
+IN_HEAD = {"title", "meta", "link", "style", "script", "noscript", "base", "template"}
 #: Words of readers' texts, which may be longer than the article; first and last words of names that tell what a page has.
 READERS = {"comment", "comments", "disqus", "replies", "reply", "respond"}
 HAS, IS = {"has", "with", "without", "no"}, {"open", "closed"}
@@ -189,6 +191,8 @@ def tokens(page: str) -> list[tuple[str, str, str, bool]]:
         start = m.start() if m else n
         if start > at:
             text = page[at:start]
+            if places.get("head") and not text.isspace() and stack[-1][0] == "head":
+                close(places["head"][0])
             add("text", text)
             if not boiler and not links:
                 words = len(text.split())
@@ -205,8 +209,10 @@ def tokens(page: str) -> list[tuple[str, str, str, bool]]:
         if not tag:
             continue
         end, attrs = bool(m["end"]), m["attrs"]
+        if not end and tag not in IN_HEAD and places.get("head"):
+            close(places["head"][0])
         if end:
-            if (found := places.get(tag)) and found[-1] > len(stack) - 200:
+            if found := places.get(tag):
                 close(found[-1])
         elif tag in UNSEEN:
             if not attrs.rstrip().endswith("/"):

@@ -70,3 +70,23 @@ def test_readers_texts_are_not_the_article():
     replies = "".join(f"<h3>Someone</h3><p>{WORDS} {WORDS}</p>" for _ in range(20))
     page = f'<body><div class="post"><h1>The head of this article, in a few words</h1><p>{WORDS}</p><p>{WORDS}</p></div><div id="comments">{replies}</div></body>'
     assert content.extract(page) == f"The head of this article, in a few words\n\n{WORDS}\n\n{WORDS}"
+
+
+def test_end_tags_at_any_depth():
+    for inner in ("<span>", "<div>", "<ul>"):
+        assert content.extract(f"<body><nav>{inner * 500}links</nav><p>{WORDS}</p></body>") == WORDS
+
+
+def test_unclosed_head():
+    for after in ("<body><p>", "<p>", ""):
+        assert content.extract(f"<html><head><meta charset=utf-8><title>T</title>\n{after}{WORDS}") == WORDS
+    assert content.extract(f"<head><title>T</title><script>var a</script></head><body><p>{WORDS}") == WORDS
+
+
+def test_many_open_elements_take_linear_time():
+    import time
+
+    page = "<a class='share'><span>" * 50_000 + "</b></em></span>" * 50_000 + f"<p>{WORDS}"
+    began = time.process_time()
+    content.tokens(page)
+    assert time.process_time() - began < 20
