@@ -394,7 +394,8 @@ def j19_shared_persons(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", "source")
     reps = rows.groupBy("source").agg(F.min("doc_id").alias("rep"))
     found = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("rep"), "quality")
-    return rows.join(reps.join(found, "rep", "left"), "source").select("doc_id", "quality")
+    seen = reps.join(found, "rep", "left").select(F.col("source").alias("_source"), "quality")
+    return rows.join(seen, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "quality")  # no source is a group too
 
 
 @query("j25_header_check", "SELECT count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey")

@@ -94,9 +94,9 @@ def infer(df: DataFrame, name: str, column: str, keep: list[str], attempts: int
 
 
 def once_per(df: DataFrame, name: str, column: str, keep: list[str]) -> DataFrame:
-    """Distinct inputs are inferred once and handed to every row that has them."""
-    results = infer(df.select(F.col(column).alias("_in")).distinct(), name, "_in", ["_in"])
-    return df.select(*keep, F.col(column).alias("_in")).join(results, "_in").drop("_in")
+    """Distinct inputs are inferred once and handed to every row that has them; null is an input like others."""
+    results = infer(df.select(F.col(column).alias("_once")).distinct(), name, "_once", ["_once"])
+    return df.select(*keep, F.col(column).alias("_in")).join(results, F.col("_in").eqNullSafe(F.col("_once"))).drop("_in", "_once")
 
 
 def speaker_numbers(turns: DataFrame, key: list[str], order: str, label: str) -> DataFrame:

@@ -32,3 +32,12 @@ def test_languages_of_whole_texts(spark, tmp_path):
     spark.createDataFrame([(k, t) for k, (t, _) in cases.items()], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.guess for r in QUERIES["f2_lang_whole"](spark, str(tmp_path)).collect()}
     assert got == {k: g for k, (_, g) in cases.items()}
+
+
+def test_null_sources_stay(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, None)], "doc_id long, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r.doc_id: r.quality for r in QUERIES["j19_shared_persons"](spark, str(tmp_path)).collect()}
+    assert got == {1: 1, 2: 0, 3: 1, 4: 0}
+    once = {r.doc_id: r.has_face for r in QUERIES["x1_providers"](spark, str(tmp_path)).collect()}
+    assert set(once) == {1, 2, 3, 4} and once[1] == once[3] and once[2] == once[4] and None not in once.values()
