@@ -21,10 +21,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, small_batches
+from .common import crc_of_id, small_batches, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -115,33 +115,41 @@ def train(units: list[tuple[np.ndarray, np.ndarray, str]], buckets: int = 1 << 1
 
 
 def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int = 1 << 18) -> Model | None:
-    """A model from about `per_lang` documents of each language (the bound), chosen by a hash of their text,
-    among the usable rows with a language: each whole text and one snippet of it."""
+    """A model from `per_lang` to twice as many distinct texts of each language (the bound), or all where there are
+    fewer, chosen by their hash among the usable rows with a language: each whole text and one snippet of it."""
     small_batches(documents.sparkSession)
     rows = documents.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), usable.alias("use")).filter("use AND lang IS NOT NULL AND text IS NOT NULL")
-    found = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
+    distinct = written(rows.select("lang", "h").distinct(), "lang-texts")
+    found = {r.lang: r.n for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not found:
         return None
     every = F.element_at(F.create_map(*[F.lit(x) for k, n in sorted(found.items()) for x in (k, max(1, n // per_lang))]), F.col("lang"))
-    sample = rows.filter(F.pmod(F.xxhash64("text"), every) == 0).select("lang", "text")
+    ranked = distinct.filter(F.pmod("h", every) == 0).withColumn("_rn", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    sample = rows.join(F.broadcast(ranked.filter(F.col("_rn") <= 2 * per_lang).drop("_rn")), ["lang", "h"]).select("lang", "text", "h")
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, list[int]] = {}
+        seen: set[tuple[str, int]] = set()  # of the sample: bounded
         for b in batches:
             out = []
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for lang, text, key in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if (lang, key) in seen:
+                    continue
+                seen.add((lang, key))
                 words = LETTERS.findall(text.lower())
                 if not words:
                     continue
                 h = zlib.crc32(text.encode())
                 start = h % len(words)
-                for k, some in ((h, words), (h ^ 0xFFFF, words[start : start + 3 + h % 17])):
+                for part, (k, some) in enumerate(((h, words), (h ^ 0xFFFF, words[start : start + 3 + h % 17]))):
                     ids, counts = counted(some, buckets, cache)
-                    out.append((k, lang, ids.tolist(), counts.astype(np.int32).tolist()))
+                    out.append((key, part, k, lang, ids.tolist(), counts.astype(np.int32).tolist()))
             for a in range(0, len(out), 256):
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[a : a + 256], strict=True), (pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())), strict=True)], names=["k", "lang", "ids", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[a : a + 256], strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())), strict=True)], names=["h", "part", "k", "lang", "ids", "counts"])
 
-    got = sorted(((r.k, r.lang, r.ids, r.counts) for r in sample.mapInArrow(units, "k long, lang string, ids array<int>, counts array<int>").toLocalIterator()), key=lambda r: (r[0], r[1], len(r[2])))
+    once = sample.mapInArrow(units, "h long, part int, k long, lang string, ids array<int>, counts array<int>").dropDuplicates(["lang", "h", "part"])
+    got = sorted(((r.k, r.lang, r.ids, r.counts) for r in once.toLocalIterator()), key=lambda r: (r[0], r[1], len(r[2])))
     return train([(np.array(i, np.int32), np.array(c, np.float32), lang) for _, lang, i, c in got], buckets)
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, small_batches
+from .common import crc_of_id, small_batches, written
 
 _BYTE_GROUPS = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"\r\n", b".,;:'\"()-", b"!?", b"#$%&*@^~|\\/<>{}[]=+_`")
 _GROUP_OF = np.full(256, len(_BYTE_GROUPS), np.int64)
@@ -153,19 +153,27 @@ def training_rows(remainder: int = 2, of: int = 4) -> Column:
     return crc_of_id() % of != remainder
 
 
+def _some(rows: DataFrame, n: int, sample: int) -> list[list[float]]:
+    """Features of at most twice `sample` of the n rows (the bound), chosen by a hash, repeated rows once, in a fixed order."""
+    drawn = rows.withColumn("h", F.xxhash64("doc_id", "text")).filter(F.pmod("h", F.lit(max(1, n // sample))) == 0)
+    got = _feature_rows(drawn.select(F.struct("doc_id", "h").alias("key"), "text"), "key", "key struct<doc_id: long, h: long>, value array<double>").dropDuplicates(["key"]).orderBy("key.h").limit(2 * sample).collect()
+    return [v for _, v in sorted((-1 if r.key.doc_id is None else r.key.doc_id, r.value) for r in got)]
+
+
 def fit(documents: DataFrame, labels: DataFrame, sample: int = 24_000) -> Model | None:
-    """A model from about `sample` documents (the bound), chosen by a hash of their id and text among the rows to
-    learn from; those with quality 1 are the positives, all of them are the unlabelled texts."""
+    """A model from the rows to learn from: those with quality 1 are the positives, all of them are the unlabelled
+    texts; of both about `sample` documents, at most twice as many, are drawn apart, so that positives don't get fewer as the
+    unlabelled grow."""
     small_batches(documents.sparkSession)
     rows = documents.filter(training_rows()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    every = max(1, rows.count() // sample)
-    some = _feature_rows(rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0), "doc_id", "doc_id long, value array<double>")
-    known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_q")).groupBy("_id").agg(F.max("_q").alias("_q"))
-    got = sorted(((-1 if r.doc_id is None else r.doc_id, r["_q"], r.value) for r in some.join(known, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "_q", "value").collect()), key=lambda r: (r[0], r[2]))
-    if not got:
+    known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_q")).groupBy("_id").agg(F.max("_q").alias("_q")).filter("_q = 1")
+    good = written(rows.select("doc_id").join(known, F.col("doc_id") == F.col("_id"), "left_semi").distinct(), "positives")
+    n = good.count()
+    if not n:
         return None
-    x = np.array([r[2] for r in got])
-    return train(x[[r[1] == 1 for r in got]], x)
+    ids = good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // sample))) == 0).orderBy(F.xxhash64("doc_id")).limit(2 * sample)
+    positive = _some(rows.join(F.broadcast(ids), "doc_id"), 0, sample)
+    return train(np.array(positive), np.array(_some(rows, rows.count(), sample)))
 
 
 def score_documents(documents: DataFrame, labels: DataFrame, cut: float = 0.7) -> DataFrame:

@@ -58,3 +58,14 @@ def test_wrong_labels_reject_no_clean_documents(spark):
     model = langid.fit(df, langid.training_rows())
     assert model.reject_below <= 0.5
     assert langid.accepted_documents(df, model).count() >= 0.99 * len(rows)
+
+
+def test_copies_do_not_fill_or_empty_the_sample(spark, monkeypatch):
+    rows = corpus(400)
+    copies = [(10_000 + i, "the house of light under the river", "en") for i in range(1500)] + [(20_000 + i, f"der fluss {'und das haus' if i % 2 else 'durch licht'}", "xx") for i in range(300)]
+    units = []
+    monkeypatch.setattr(langid, "train", lambda got, buckets: units.extend(got))
+    langid.fit(spark.createDataFrame(rows + copies, DOCS), langid.training_rows(), per_lang=20)
+    for lang in ("en", "de", "fr"):
+        assert 20 <= sum(u[2] == lang for u in units) <= 2 * 40
+    assert sum(u[2] == "xx" for u in units) == 4  # two texts, whole and as a snippet

@@ -60,3 +60,12 @@ def test_prior_estimate():
     p, n = r.normal(2, 1, 4000), r.normal(-2, 1, 4000)
     assert abs(quality.estimate_prior(p[:2000], np.concatenate([p[2000:], n[:2000]])) - 0.5) < 0.06
     assert abs(quality.estimate_prior(p[:2000], np.concatenate([p[2000:], n[:500]])) - 0.8) < 0.06
+
+
+def test_few_labels_are_all_learnt_from(spark, monkeypatch):
+    rows, _ = corpus(900)
+    labels = [(i, 1) for i in range(0, 40)]
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda p, u: seen.extend((len(p), len(u))))
+    quality.fit(spark.createDataFrame(rows + [rows[1]] * 2000, DOCS), spark.createDataFrame(labels, LABELS), sample=50)
+    assert seen[0] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(40)) and 0 < seen[1] <= 100
