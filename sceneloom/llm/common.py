@@ -1,4 +1,8 @@
-"""Helpers that several training-data operators share."""
+"""Helpers that several training-data operators share.
+
+Arrow batches are bounded by Spark itself (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB): a batch holds long texts
+one or few at a time.
+"""
 
 from __future__ import annotations
 
@@ -48,10 +52,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most so many rows, as single texts may be long."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+#: Rows that may be broadcast (about 100 bytes each, so 20 MB).
+BROADCAST_ROWS = 200_000
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, key: str, copies: str, spread: list[str], most: int | None = None) -> DataFrame:
+    """rows LEFT JOIN classes on `key` (text or binary), of which classes, a written table, has one row each and says in
+    `copies` how many rows have it.
+
+    Up to `most` classes are broadcast. Of more, only the hot ones are: those with so many copies that there can't be
+    more than `most` of them. Rows of a hot class then join from where they stand; in the shuffle of the others they
+    are dealt by a hash of the columns `spread`, so that no task gets a whole hot class. Null keys join nothing.
+    """
+    most = most or BROADCAST_ROWS
+    n, total = classes.agg(F.count(F.lit(1)), F.sum(copies)).collect()[0]
+    if n <= most:
+        return rows.join(F.broadcast(classes), key, "left")
+    values = [c for c in classes.columns if c != key]
+    hot = F.col(copies) > -(-total // most)
+    first = classes.filter(hot).select(F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot"))
+    rest = classes.filter(~hot).select(F.col(key).cast("binary").alias("_deal_key"), F.struct(*values).alias("_rest"))
+    found = rows.join(F.broadcast(first), F.col(key) == F.col("_hot_key"), "left")
+    apart = F.concat(F.lit("~").cast("binary"), F.xxhash64(*spread).cast("string").cast("binary"))
+    dealt = found.withColumn("_deal", F.when(F.col("_hot_key").isNull() & F.col(key).isNotNull(), F.col(key).cast("binary")).otherwise(apart))
+    out = dealt.join(rest, F.col("_deal") == F.col("_deal_key"), "left")
+    return out.select(*rows.columns, *[F.coalesce(F.col("_hot")[c], F.col("_rest")[c]).alias(c) for c in values])
 
 
 def in_range_order(df: DataFrame, order: list[str], name: str) -> DataFrame:

@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
 
 # Elements by their role in HTML.
 UNSEEN = {"script", "style", "head", "title", "noscript", "template", "svg", "math", "iframe", "object", "textarea", "select", "button", "canvas", "audio", "video", "map"}
@@ -349,7 +348,6 @@ def extract(page: str | None, weights: dict[str, float] = DEFAULT_WEIGHTS) -> st
 
 def extract_text(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    small_batches(pages.sparkSession)
     w = learn_weights(pages) if weights is None else weights
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, words_of, written
+from .common import words_of, written
 
 SEGMENT = 64
 #: Segments in a block of the index.
@@ -236,7 +236,6 @@ LEAKS = "doc_id long, item_id long, score double, overlap double, question_overl
 def leaks(documents: DataFrame, benchmark: DataFrame, n: int = 5, overlap: float = 0.8, theta: float = 0.6, question: float = 0.5) -> DataFrame:
     """A row for each document and test item that it holds."""
     spark = documents.sparkSession
-    small_batches(spark)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
     for shard in index(benchmark, n):
@@ -256,7 +255,6 @@ def leaks(documents: DataFrame, benchmark: DataFrame, n: int = 5, overlap: float
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, n: int = 5, overlap: float = 0.8, theta: float = 0.6, question: float = 0.5) -> DataFrame:
     """The documents that hold no test item, with all their columns."""
-    small_batches(documents.sparkSession)
     out, at = documents, documents.columns.index("text")
     for shard in index(benchmark, n):
         shared = documents.sparkSession.sparkContext.broadcast(shard)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, small_batches, written
+from .common import crc_of_id, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -117,7 +117,6 @@ def train(units: list[tuple[np.ndarray, np.ndarray, str]], buckets: int = 1 << 1
 def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int = 1 << 18) -> Model | None:
     """A model from `per_lang` to twice as many distinct texts of each language (the bound), or all where there are
     fewer, chosen by their hash among the usable rows with a language: each whole text and one snippet of it."""
-    small_batches(documents.sparkSession)
     rows = documents.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), usable.alias("use")).filter("use AND lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
     distinct = written(rows.select("lang", "h").distinct(), "lang-texts")
@@ -205,7 +204,6 @@ def words_total(words: _Words, found: list[str]) -> np.ndarray:
 
 def predict(documents: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score, accepted of every whole text."""
-    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # buckets times languages: bounded
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -220,7 +218,6 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
 
 def accepted_documents(documents: DataFrame, model: Model | None) -> DataFrame:
     """The documents whose prediction isn't rejected, with all their columns."""
-    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     at = documents.columns.index("text")
 

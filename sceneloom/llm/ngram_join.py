@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, words_of, written
+from .common import words_of, written
 
 #: N-grams of a block of texts, about (8 bytes each); a task holds two blocks.
 BLOCK_NGRAMS = 1 << 19
@@ -262,7 +262,6 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: float = 0.8, re
     Jaccard measure of the threshold or more; group_id: the least doc_id among all texts that links connect.
     """
     spark = documents.sparkSession
-    small_batches(spark)
     bands, per_band = choose_bands(threshold, recall)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text").cast("string")).alias("key"), F.col("text").cast("string").alias("text"))
     sketches = written(_sketches(rows, n, bands, per_band), "sketches")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, small_batches, written
+from .common import crc_of_id, written
 
 _BYTE_GROUPS = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"\r\n", b".,;:'\"()-", b"!?", b"#$%&*@^~|\\/<>{}[]=+_`")
 _GROUP_OF = np.full(256, len(_BYTE_GROUPS), np.int64)
@@ -164,7 +164,6 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = 24_000) -> Model
     """A model from the rows to learn from: those with quality 1 are the positives, all of them are the unlabelled
     texts; of both about `sample` documents, at most twice as many, are drawn apart, so that positives don't get fewer as the
     unlabelled grow."""
-    small_batches(documents.sparkSession)
     rows = documents.filter(training_rows()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_q")).groupBy("_id").agg(F.max("_q").alias("_q")).filter("_q = 1")
     good = written(rows.select("doc_id").join(known, F.col("doc_id") == F.col("_id"), "left_semi").distinct(), "positives")
