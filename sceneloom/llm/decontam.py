@@ -3,16 +3,23 @@
 Items are cut into segments of up to SEGMENT words; a segment's impacts are its BM25 weights divided by their
 sum, so that a passage that holds all of its words scores 1. Every document is cut into overlapping passages
 of two segments' length, so that any segment lies whole within one, and every passage is a query: all segments
-with a score of `theta` or more are retrieved. First, the block maxima of all blocks are added up for all
-passages of a batch at once; a passage with a block over theta goes on to block-max WAND, which finds the
-segments exactly. A retrieved item is then verified: the part of its word n-grams that occur in the document,
-for the whole item, for its question (all but the last sentence) and its answer (the last one).
-
-The index is made in shards of about SHARD_ITEMS items, each broadcast by itself; document frequencies and the
-average length are those of all items. Null or empty items have no words and match nothing; null or empty texts
-match nothing; items with fewer than n words have one n-gram, all their words. Ties don't matter, as all over
-the threshold are retrieved. Repeated item ids are one item for each text. Empty tables give no rows. Other columns are
-ignored (leaks) or kept (clean_documents).
+with a score of `theta` or more are retrieved. A segment's signature is its heaviest terms that together weigh
+more than 1 - theta: without any of them no passage reaches theta. So for all passages of a batch at once, blocks
+with a signature in the passage are looked up and their block maxima added up; a passage with a block over theta
+goes on to block-max WAND, which finds the segments exactly.
+
+A retrieved item is then verified, its question (all sentences but the last) and its answer (the last one) both:
+a document leaks an item if it holds 0.8 of the item's word n-grams, and half of the question's and half of the
+answer's. Of a part with fewer than 2 n words the n-grams are half as long as the part, so that one changed word
+in a short answer doesn't hide it. A document with the question alone is no leak, nor is one with the answer alone.
+
+The index is made in shards of about SHARD_WORDS words (an item is never cut in two, so a longer one is a shard of its
+own), each broadcast by itself in one pass over the documents; its arrays are sparse and have a few numbers for each
+word, whatever the number of items. Document frequencies and the average length are those of all items. Null or empty
+items have no words and match nothing; null or empty texts match nothing; items with fewer than n words have one n-gram,
+all their words. Ties don't matter, as all over the threshold are retrieved. Very long texts are searched 512 passages
+at a time. Repeated item ids are one item for each text. Empty tables give no rows. Other columns are ignored
+(leaks) or kept (clean_documents).
 """
 
 from __future__ import annotations
@@ -30,11 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import words_of, written
+from .ngram_join import WordHash, ngram_hashes
 
 SEGMENT = 64
 #: Segments in a block of the index.
 BLOCK = 4
-SHARD_ITEMS = 1024
+SHARD_WORDS = 2_000_000
 K1, B = 1.2, 0.75
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -52,69 +60,122 @@ def segments_of(text: str) -> list[list[str]]:
     return [words[i : i + SEGMENT] for i in range(0, len(words), SEGMENT)]
 
 
-def _grams(words: list[str], n: int) -> list[str]:
-    k = min(n, len(words))
-    return list(dict.fromkeys(f" {' '.join(words[i : i + k])} " for i in range(len(words) - k + 1))) if k else []
+def gram_length(words: int, n: int) -> int:
+    """Length of the n-grams of a question or an answer."""
+    return min(n, max(1, words // 2))
+
+
+def _grams(words: list[str], k: int, seen: WordHash) -> tuple[int, np.ndarray]:
+    """k and the hashes of the k-grams of some words."""
+    k = min(k, len(words))
+    return k, np.unique(ngram_hashes(words, k, seen)) if k else np.empty(0, np.uint64)
 
 
 @dataclass
 class Shard:
-    """An inverted index of some segments, and the items that they come from."""
+    """An inverted index of some segments, and the items that they come from. Lists of many terms or blocks stand behind
+    each other in one array; `_at` has where each begins."""
 
     terms: dict[str, int]
-    item_of: list[int]  # of each segment, the place of its item in items
-    postings: list[tuple[list[int], list[float]]]  # of each term, segments (ascending) and impacts
-    most: list[float]  # of each term, the largest impact
-    block_most: np.ndarray  # of each term and block, the largest impact
-    items: list[tuple[int | None, list[str], list[str], list[str]]]  # id, grams of all, of question and of answer
-    sizes: list[tuple[int, int, int]]
+    item_of: np.ndarray  # of each segment, the place of its item in items
+    posting_at: np.ndarray  # of each term, its segments (ascending) and impacts
+    segments: np.ndarray
+    impacts: np.ndarray
+    most: np.ndarray  # of each term, the largest impact
+    block_at: np.ndarray  # of each block, its terms (ascending) and their largest impact in it
+    block_terms: np.ndarray
+    block_most: np.ndarray
+    signature_at: np.ndarray  # of each term, the blocks with a segment of whose signature it is
+    signature_blocks: np.ndarray
+    items: list[tuple[int | None, tuple, tuple, tuple]]  # id, (k, k-grams) of all, of question and of answer
+
+    @property
+    def n_blocks(self) -> int:
+        return len(self.block_at) - 1
 
 
-def build_shard(items: list[tuple[int | None, str]], df: dict[str, int], n_segments: int, average: float, n: int) -> Shard:
+def _listed(keys: np.ndarray, n: int) -> np.ndarray:
+    """Where each of n lists begins, of lists that stand behind each other with these ascending keys."""
+    return np.searchsorted(keys, np.arange(n + 1)).astype(np.int64)
+
+
+def build_shard(items: list[tuple[int | None, str]], df: dict[str, int], n_segments: int, average: float, n: int, theta: float) -> Shard:
     """items: (id, text); df: of each term, how many segments of all items hold it."""
     terms: dict[str, int] = {}
     item_of: list[int] = []
-    lists: list[tuple[list[int], list[float]]] = []
+    rows: list[tuple[int, int, float, bool]] = []  # term, segment, impact, in its signature
     kept = []
+    seen = WordHash()
     for item_id, text in items:
         words = words_of(text)
         if not words:
             continue
         q, a = question_and_answer(text)
-        kept.append((item_id, _grams(words, n), _grams(q, n), _grams(a, n)))
+        kept.append((item_id, _grams(words, n, seen), _grams(q, gram_length(len(q), n), seen), _grams(a, gram_length(len(a), n), seen)))
         for part in segments_of(text):
-            seg = len(item_of)
-            item_of.append(len(kept) - 1)
             tf = Counter(part)
             weight = {t: math.log(1 + (n_segments - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(part) / average)) for t, c in tf.items()}
-            total = sum(weight.values())
-            for t, w in weight.items():
-                i = terms.setdefault(t, len(terms))
-                if i == len(lists):
-                    lists.append(([], []))
-                lists[i][0].append(seg)
-                lists[i][1].append(w / total)
-    blocks = np.zeros((len(terms), (len(item_of) + BLOCK - 1) // BLOCK), np.float32)
-    for i, (segs, ws) in enumerate(lists):
-        np.maximum.at(blocks[i], np.array(segs) // BLOCK, np.array(ws, np.float32))
-    return Shard(terms, item_of, lists, [max(w) for _, w in lists], blocks, kept, [(len(g[1]), len(g[2]), len(g[3])) for g in kept])
+            total, held = sum(weight.values()), 0.0
+            for t in sorted(weight, key=lambda t: (-weight[t], t)):
+                rows.append((terms.setdefault(t, len(terms)), len(item_of), weight[t] / total, held <= 1 - theta + 1e-5))
+                held += weight[t] / total
+            item_of.append(len(kept) - 1)
+    term, seg, impact, signs = (np.array([r[i] for r in rows], kind) for i, kind in enumerate((np.int64, np.int64, np.float64, bool)))
+    blocks = (len(item_of) + BLOCK - 1) // BLOCK
+    by_term = np.lexsort((seg, term))
+    most = np.zeros(len(terms))
+    np.maximum.at(most, term, impact)
+    cell, where = np.unique(seg // BLOCK * max(1, len(terms)) + term, return_inverse=True)
+    block_most = np.zeros(len(cell))
+    np.maximum.at(block_most, where, impact)
+    signed = np.unique(term[signs] * max(1, blocks) + seg[signs] // BLOCK)
+    return Shard(
+        terms, np.array(item_of, np.int64), _listed(term[by_term], len(terms)), seg[by_term], impact[by_term], most, _listed(cell // max(1, len(terms)), blocks), cell % max(1, len(terms)), block_most,
+        _listed(signed // max(1, blocks), len(terms)), signed % max(1, blocks), kept,
+    )
+
+
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places begins[i] .. begins[i] + sizes[i] - 1 for each i, behind each other."""
+    return np.repeat(begins - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+
+
+def block_bounds(pairs: np.ndarray, cells: np.ndarray, shard: Shard) -> np.ndarray:
+    """For cells (passage times the number of blocks plus block): the sum of the block's maxima over the passage's terms.
+
+    pairs: the passages' terms (passage times the number of terms plus term), ascending.
+    """
+    out = np.zeros(len(cells))
+    for a in range(0, len(cells), 4096):
+        passage, block = np.divmod(cells[a : a + 4096], shard.n_blocks)
+        sizes = shard.block_at[block + 1] - shard.block_at[block]
+        at = _ranges(shard.block_at[block], sizes)
+        wanted = np.repeat(passage * len(shard.terms), sizes) + shard.block_terms[at]
+        place = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
+        out[a : a + 4096] = np.bincount(np.repeat(np.arange(len(block)), sizes), np.where(pairs[place] == wanted, shard.block_most[at], 0.0), len(block))
+    return out
 
 
 def block_max_wand(query: list[int], shard: Shard, theta: float, blocks: list[int] | None = None) -> list[tuple[int, float]]:
-    """All segments whose impacts for the query's terms add up to theta or more, and their scores.
+    """All segments whose impacts for the query's terms (ascending) add up to theta or more, and their scores.
 
     blocks: those, ascending, whose block maxima for the query reach theta, where that is known already; lists
     are then moved from one of them to the next.
     """
     out: list[tuple[int, float]] = []
     limit = theta - 1e-6
+    if not query:
+        return out
     if blocks is None:
-        blocks = np.flatnonzero(shard.block_most[query].sum(0) >= limit - 1e-4).tolist() if query else []
+        cells = np.arange(shard.n_blocks)
+        blocks = cells[block_bounds(np.array(query), cells, shard) >= limit - 1e-4].tolist()
     if not blocks:
         return out
+    bound_of = {b: dict(zip(shard.block_terms[(r := slice(shard.block_at[b], shard.block_at[b + 1]))].tolist(), shard.block_most[r].tolist(), strict=True)) for b in blocks}
+    lists = {t: (shard.segments[(r := slice(shard.posting_at[t], shard.posting_at[t + 1]))].tolist(), shard.impacts[r].tolist()) for t in query}
     cursors = []  # segment, place in its list, term
     for t in query:
-        segs = shard.postings[t][0]
+        segs = lists[t][0]
         at = bisect_left(segs, blocks[0] * BLOCK)
         if at < len(segs):
             cursors.append([segs[at], at, t])
@@ -136,12 +197,12 @@ def block_max_wand(query: list[int], shard: Shard, theta: float, blocks: list[in
             return out
         if blocks[at] * BLOCK > seg:  # this block's maxima are too small: on to the next that may do
             aim = blocks[at] * BLOCK
-        elif sum(float(shard.block_most[c[2], seg // BLOCK]) for c in cursors[: pivot + 1]) < limit:
+        elif sum(bound_of[seg // BLOCK].get(c[2], 0.0) for c in cursors[: pivot + 1]) < limit:
             aim = (seg // BLOCK + 1) * BLOCK  # or to the next list that may add to this one
             if pivot + 1 < len(cursors):
                 aim = max(seg + 1, min(aim, cursors[pivot + 1][0]))
         elif cursors[0][0] == seg:
-            score = sum(shard.postings[c[2]][1][c[1]] for c in cursors[: pivot + 1])
+            score = sum(lists[c[2]][1][c[1]] for c in cursors[: pivot + 1])
             if score >= limit:
                 out.append((seg, score))
             aim = seg + 1
@@ -150,7 +211,7 @@ def block_max_wand(query: list[int], shard: Shard, theta: float, blocks: list[in
         left = []
         for c in cursors:
             if c[0] < aim:
-                segs = shard.postings[c[2]][0]
+                segs = lists[c[2]][0]
                 c[1] = bisect_left(segs, aim, c[1])
                 if c[1] == len(segs):
                     continue
@@ -160,54 +221,65 @@ def block_max_wand(query: list[int], shard: Shard, theta: float, blocks: list[in
     return out
 
 
-def search(texts: list[str | None], shard: Shard, theta: float) -> list[tuple[int, int, float]]:
-    """(text, item, score) for every item of which a passage of the text retrieves a segment."""
+def search(words: list[str], shard: Shard, theta: float) -> list[tuple[int, float]]:
+    """(item, score) for every item of which a passage of a text retrieves a segment."""
     get, width = shard.terms.get, len(shard.terms)
-    best: dict[tuple[int, int], float] = {}
-    for i, t in enumerate(texts):
-        if not t:
+    signs = np.diff(shard.signature_at)
+    best: dict[int, float] = {}
+    ids = np.array([get(w, -1) for w in words], np.int64)
+    for start in range(0, max(1, len(ids) - SEGMENT), 512 * SEGMENT):  # as many passages at once
+        some = ids[start : start + 513 * SEGMENT]
+        known = np.flatnonzero(some >= 0)
+        cells, terms = known // SEGMENT, some[known]
+        if not signs[terms].any():
             continue
-        ids = np.array([get(w, -1) for w in words_of(t)], np.int64)
-        for start in range(0, max(1, len(ids) - SEGMENT), 512 * SEGMENT):  # as many passages at once
-            some = ids[start : start + 513 * SEGMENT]
-            known = np.flatnonzero(some >= 0)
-            if not len(known):
-                continue
-            cells, terms = known // SEGMENT, some[known]
-            last = max(0, -(-len(some) // SEGMENT) - 2)  # a passage is a cell of SEGMENT words and the next one
-            pairs = np.unique(np.concatenate([np.minimum(cells, last) * width + terms, np.clip(cells - 1, 0, last) * width + terms]))
-            passage, term = pairs // width, pairs % width
-            begins = np.flatnonzero(np.diff(passage, prepend=-1))
-            bounds = np.add.reduceat(shard.block_most[term], begins, axis=0)
-            ends = np.append(begins[1:], len(term))
-            for p in np.flatnonzero(bounds.max(1) >= theta - 1e-4):
-                blocks = np.flatnonzero(bounds[p] >= theta - 1e-4).tolist()
-                for seg, score in block_max_wand(term[begins[p] : ends[p]].tolist(), shard, theta, blocks):
-                    key = (i, shard.item_of[seg])
-                    best[key] = max(best.get(key, 0.0), score)
-    return [(i, k, s) for (i, k), s in best.items()]
-
-
-def verified(text: str, item: tuple, sizes: tuple[int, int, int]) -> tuple[float, float, float]:
-    """Parts of the n-grams of an item, its question and its answer that occur in a text."""
-    whole = f" {' '.join(words_of(text))} "
-    there = {g for g in item[1] if g in whole}
-    part = lambda grams, n: sum(g in there or g in whole for g in grams) / n if n else 0.0
-    return len(there) / sizes[0], part(item[2], sizes[1]), part(item[3], sizes[2])
-
-
-def find(texts: list[str | None], shard: Shard, theta: float, overlap: float, question: float) -> list[tuple[int, int, float, float, float, float]]:
+        last = max(0, -(-len(some) // SEGMENT) - 2)  # a passage is a cell of SEGMENT words and the next one
+        pairs = np.unique(np.concatenate([np.minimum(cells, last) * width + terms, np.clip(cells - 1, 0, last) * width + terms]))
+        passage, term = pairs // width, pairs % width
+        sizes = signs[term]
+        candidates = np.unique(np.repeat(passage * shard.n_blocks, sizes) + shard.signature_blocks[_ranges(shard.signature_at[term], sizes)])
+        good = candidates[block_bounds(pairs, candidates, shard) >= theta - 1e-4]
+        for p in np.unique(good // shard.n_blocks):
+            blocks = (good[good // shard.n_blocks == p] % shard.n_blocks).tolist()
+            lo, hi = np.searchsorted(pairs, (p * width, (p + 1) * width))
+            for seg, score in block_max_wand(term[lo:hi].tolist(), shard, theta, blocks):
+                item = int(shard.item_of[seg])
+                best[item] = max(best.get(item, 0.0), score)
+    return list(best.items())
+
+
+class _Held:
+    """The k-grams of a document, for each k once."""
+
+    def __init__(self, words: list[str], seen: WordHash):
+        self.words, self.seen, self.grams = words, seen, {}
+
+    def share(self, part: tuple[int, np.ndarray]) -> float:
+        """The part of some k-grams that the document holds."""
+        k, grams = part
+        if not k or len(self.words) < k:
+            return 0.0
+        if k not in self.grams:
+            self.grams[k] = np.unique(ngram_hashes(self.words, k, self.seen))
+        return float(np.isin(grams, self.grams[k], assume_unique=True).mean())
+
+
+def find(texts: list[str | None], shard: Shard, theta: float, overlap: float, part: float) -> list[tuple[int, int, float, float, float, float]]:
     """(text, item, score, overlap, question overlap, answer overlap) of verified items."""
     out = []
-    for i, k, score in search(texts, shard, theta):
-        o, q, a = verified(texts[i], shard.items[k], shard.sizes[k])
-        if o >= overlap - 1e-9 and q >= question - 1e-9:
-            out.append((i, k, score, o, q, a))
+    seen = WordHash()
+    for i, text in enumerate(texts):
+        words = words_of(text)
+        held = _Held(words, seen)
+        for k, score in search(words, shard, theta) if words else ():
+            o, q, a = (held.share(x) for x in shard.items[k][1:])
+            if o >= overlap - 1e-9 and q >= part - 1e-9 and a >= part - 1e-9:
+                out.append((i, k, score, o, q, a))
     return out
 
 
-def index(benchmark: DataFrame, n: int = 5) -> Iterator[Shard]:
-    """Shards of the index; each is collected by itself, and holds about SHARD_ITEMS items."""
+def index(benchmark: DataFrame, n: int = 5, theta: float = 0.6) -> Iterator[Shard]:
+    """Shards of the index; each is collected by itself, and holds about SHARD_WORDS words."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL").distinct()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +291,7 @@ def index(benchmark: DataFrame, n: int = 5) -> Iterator[Shard]:
     total = parts.agg(F.count(F.lit(1)).alias("n"), F.avg("words").alias("average")).collect()[0]
     if not total.n:
         return
-    shards = max(1, math.ceil(items.count() / SHARD_ITEMS))
+    shards = max(1, math.ceil(total.n * total.average / SHARD_WORDS))
     dealt = written(items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int")), "items")
     counts = written(parts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "terms")
     for s in range(shards):
@@ -227,42 +299,42 @@ def index(benchmark: DataFrame, n: int = 5) -> Iterator[Shard]:
         if own:
             wanted = items.sparkSession.createDataFrame([(t,) for t in sorted({w for _, x in own for w in words_of(x)})] or [("",)], "term string")
             df = {r.term: r.df for r in counts.join(F.broadcast(wanted), "term").collect()}
-            yield build_shard(own, df, total.n, total.average, n)
+            yield build_shard(own, df, total.n, total.average, n, theta)
 
 
 LEAKS = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, n: int = 5, overlap: float = 0.8, theta: float = 0.6, question: float = 0.5) -> DataFrame:
+def leaks(documents: DataFrame, benchmark: DataFrame, n: int = 5, overlap: float = 0.8, theta: float = 0.6, part: float = 0.5) -> DataFrame:
     """A row for each document and test item that it holds."""
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
-    for shard in index(benchmark, n):
+    for shard in index(benchmark, n, theta):
         shared = spark.sparkContext.broadcast(shard)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 ids = b.column(0).to_pylist()
-                found = find(b.column(1).to_pylist(), shared.value, theta, overlap, question)
+                found = find(b.column(1).to_pylist(), shared.value, theta, overlap, part)
                 cols = list(zip(*((ids[i], shared.value.items[k][0], s, o, q, a) for i, k, s, o, q, a in found), strict=True)) or [()] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if j < 2 else pa.float64()) for j, c in enumerate(cols)], names=["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"])
 
-        part = rows.mapInArrow(run, LEAKS)
-        out = part if out is None else out.unionByName(part)
+        found = rows.mapInArrow(run, LEAKS)
+        out = found if out is None else out.unionByName(found)
     return spark.createDataFrame([], LEAKS) if out is None else out
 
 
-def clean_documents(documents: DataFrame, benchmark: DataFrame, n: int = 5, overlap: float = 0.8, theta: float = 0.6, question: float = 0.5) -> DataFrame:
+def clean_documents(documents: DataFrame, benchmark: DataFrame, n: int = 5, overlap: float = 0.8, theta: float = 0.6, part: float = 0.5) -> DataFrame:
     """The documents that hold no test item, with all their columns."""
     out, at = documents, documents.columns.index("text")
-    for shard in index(benchmark, n):
+    for shard in index(benchmark, n, theta):
         shared = documents.sparkSession.sparkContext.broadcast(shard)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 keep = np.ones(b.num_rows, bool)
-                for x in find(b.column(at).to_pylist(), shared.value, theta, overlap, question):
+                for x in find(b.column(at).to_pylist(), shared.value, theta, overlap, part):
                     keep[x[0]] = False
                 yield b.filter(pa.array(keep))
 

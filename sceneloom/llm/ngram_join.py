@@ -18,11 +18,11 @@ from __future__ import annotations
 
 import itertools
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,14 +47,13 @@ def choose_bands(threshold: float = 0.8, recall: float = 0.9999, most_hashes: in
     return best
 
 
-class _WordHash(dict):
+class WordHash(dict):
     """64-bit hashes of words, remembered."""
 
     def __missing__(self, word: str) -> int:
         if len(self) > 400_000:
             self.clear()
-        b = word.encode()
-        h = self[word] = (zlib.crc32(b) << 32 | zlib.crc32(b, 0x5BD1E995)) & 0x7FFFFFFFFFFFFFFF
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
 
@@ -64,7 +63,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def ngram_hashes(words: list[str], n: int, seen: _WordHash) -> np.ndarray:
+def ngram_hashes(words: list[str], n: int, seen: WordHash) -> np.ndarray:
     """Hashes of the n-grams of a text, not yet distinct."""
     if not words:
         return np.empty(0, np.uint64)
@@ -76,7 +75,7 @@ def ngram_hashes(words: list[str], n: int, seen: _WordHash) -> np.ndarray:
     return out
 
 
-def ngram_set(text: str, n: int, seen: _WordHash) -> np.ndarray:
+def ngram_set(text: str, n: int, seen: WordHash) -> np.ndarray:
     return np.unique(ngram_hashes(words_of(text), n, seen))
 
 
@@ -92,7 +91,7 @@ def _sketches(rows: DataFrame, n: int, bands: int, per_band: int) -> DataFrame:
     plus = draws.randint(0, 1 << 31, bands * per_band).astype(np.uint32)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _WordHash()
+        seen = WordHash()
         for b in batches:
             hashes = [ngram_hashes(words_of(t), n, seen) for t in b.column(2).to_pylist()]
             sizes = [len(h) for h in hashes]
@@ -128,7 +127,7 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
     """key and the sorted n-gram hashes of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _WordHash()
+        seen = WordHash()
         for b in batches:
             sets = [ngram_set(t, n, seen).view(np.int64) for t in b.column(1).to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
