@@ -57,8 +57,8 @@ BROADCAST_ROWS = 200_000
 
 
 def join_classes(rows: DataFrame, classes: DataFrame, key: str, copies: str, spread: list[str], most: int | None = None) -> DataFrame:
-    """rows LEFT JOIN classes on `key` (text or binary), of which classes, a written table, has one row each and says in
-    `copies` how many rows have it.
+    """rows LEFT JOIN classes on `key`, of which classes, a written table, has one row each and says in `copies` how many
+    rows have it at most.
 
     Up to `most` classes are broadcast. Of more, only the hot ones are: those with so many copies that there can't be
     more than `most` of them. Rows of a hot class then join from where they stand; in the shuffle of the others they
@@ -71,11 +71,10 @@ def join_classes(rows: DataFrame, classes: DataFrame, key: str, copies: str, spr
     values = [c for c in classes.columns if c != key]
     hot = F.col(copies) > -(-total // most)
     first = classes.filter(hot).select(F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot"))
-    rest = classes.filter(~hot).select(F.col(key).cast("binary").alias("_deal_key"), F.struct(*values).alias("_rest"))
+    rest = classes.filter(~hot).select(F.col(key).alias("_rest_key"), F.lit(0).cast("long").alias("_rest_salt"), F.struct(*values).alias("_rest"))
     found = rows.join(F.broadcast(first), F.col(key) == F.col("_hot_key"), "left")
-    apart = F.concat(F.lit("~").cast("binary"), F.xxhash64(*spread).cast("string").cast("binary"))
-    dealt = found.withColumn("_deal", F.when(F.col("_hot_key").isNull() & F.col(key).isNotNull(), F.col(key).cast("binary")).otherwise(apart))
-    out = dealt.join(rest, F.col("_deal") == F.col("_deal_key"), "left")
+    dealt = found.withColumn("_salt", F.when(F.col("_hot_key").isNull() & F.col(key).isNotNull(), F.lit(0).cast("long")).otherwise(1 + F.pmod(F.xxhash64(*spread), F.lit(1 << 40))))
+    out = dealt.join(rest, (F.col(key) == F.col("_rest_key")) & (F.col("_salt") == F.col("_rest_salt")), "left")
     return out.select(*rows.columns, *[F.coalesce(F.col("_hot")[c], F.col("_rest")[c]).alias(c) for c in values])
 
 

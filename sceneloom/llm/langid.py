@@ -2,18 +2,26 @@
 
 A word counts with its own hash and those of its 3- and 4-character pieces (`<` and `>` mark its ends). A text
 is the average of the embeddings of all its pieces, and a softmax over that average gives the languages; pieces
-that training never saw count as zero, so that a text in none of the languages comes near even odds. The
-model is trained by stochastic gradient descent in numpy on a bounded sample of labelled texts and their
-snippets; a held-back part sets the softmax's temperature and the score under which a prediction is rejected:
-that which costs one in 2000 of the held-back units that are predicted rightly, and even odds at most.
-
-Null texts and texts without a letter are `und` with score 0 and rejected. Labels that are null are not
-learnt. With no labelled row, every text is `und`. Repeated rows get the same prediction. Empty tables give no
-rows. Other columns are ignored (predict) or kept (accepted_documents).
+that training never saw count as zero. The model is trained by stochastic gradient descent in numpy on a bounded
+sample of labelled texts and their snippets; a held-back part sets the softmax's temperature.
+
+Rejection is calibrated on what the model shall know and on what it shall not. A text in another language may look
+like one of the model's by its pieces, but few of its words are known. So each language in turn is held out: the share
+of its words that the others' texts know (and that of noise, made by shuffling letters) says how an unknown language
+looks; the held-back units say how the known ones do. A text's evidence is the log odds of its known and unknown words
+under the two, a word of either kind counting at most EVIDENCE_WORDS times. A text is rejected if its evidence is under a
+limit, or its score (the softmax's probability) under another; each limit costs at most the part `lost` of the held-back
+units that are predicted rightly, and neither turns away what is likelier than not.
+
+Null texts and texts without a letter are `und` with score 0 and rejected. Labels that are null are not learnt.
+With no labelled row, every text is `und`. Equal scores go to the language that comes first in code point order. Repeated
+rows get the same prediction. Texts of any length are read whole. Empty tables give no rows. Other columns are
+ignored (predict) or kept (accepted_documents).
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -49,18 +57,41 @@ def counted(words: list[str], buckets: int, cache: dict[str, list[int]]) -> tupl
     return np.unique(np.array(ids, np.int32), return_counts=True)
 
 
+#: Numbers in a model's table at most (pieces times languages, 4 bytes each): it is broadcast.
+MOST_CELLS = 1 << 24
+#: Words of a text that count as evidence for or against a known language; words of a text don't stand alone.
+EVIDENCE_WORDS = 64
+#: The share of known words in a known language at most: no sample has all of a language's words.
+MOST_KNOWN = 0.9
+
+
 @dataclass
 class Model:
     langs: list[str]
     buckets: int
     #: Logits of each piece for each language: embedding times softmax weights.
     table: np.ndarray
+    #: Whether training saw a word with this hash, as a whole word.
+    known: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.5
+    #: Log odds (known language to unknown) of a word that is known, and of one that isn't.
+    odds: tuple[float, float] = (0.0, 0.0)
+    least_evidence: float = -math.inf
     facts: dict = field(default_factory=dict)
 
-    def scores(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return softmax((counts @ self.table[ids] / counts.sum()) / self.temperature)
+    def evidence(self, known: np.ndarray | float, words: np.ndarray | float) -> np.ndarray | float:
+        return (known * self.odds[0] + (words - known) * self.odds[1]) * np.minimum(1.0, EVIDENCE_WORDS / np.maximum(words, 1))
+
+
+@dataclass
+class Unit:
+    """A text or snippet to learn from: its distinct pieces with their counts, its words' hashes, its language."""
+
+    ids: np.ndarray
+    counts: np.ndarray
+    words: np.ndarray
+    lang: str
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -68,15 +99,14 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def train(units: list[tuple[np.ndarray, np.ndarray, str]], buckets: int = 1 << 18, dim: int = 16, epochs: int = 3, rate: float = 0.05, seed: int = 1, lost: float = 0.0005) -> Model | None:
-    """A model from (pieces, counts, language); every fifth unit only calibrates it.
+def train(units: list[Unit], buckets: int = 1 << 18, dim: int = 16, epochs: int = 3, rate: float = 0.05, seed: int = 1, lost: float = 0.0005) -> Model | None:
+    """A model from units; every fifth only calibrates it.
 
-    lost: the part of rightly predicted held-back units that rejection may cost. The score is set by what it costs
-    and not by the precision above it: some labels are wrong, so that a precision near 1 may be out of reach at
-    any score.
+    lost: the part of rightly predicted held-back units that a limit of rejection may cost. Limits are set by what
+    they cost and not by the precision above them: some labels are wrong, so that a precision near 1 may be out of reach.
     """
-    units = [u for u in units if len(u[0])]
-    langs = sorted({u[2] for u in units})
+    units = [u for u in units if len(u.ids)]
+    langs = sorted({u.lang for u in units})
     if not langs:
         return None
     at = {x: i for i, x in enumerate(langs)}
@@ -89,21 +119,21 @@ def train(units: list[tuple[np.ndarray, np.ndarray, str]], buckets: int = 1 << 1
     steps, done = epochs * len(use), 0
     for _ in range(epochs):
         for i in draws.permutation(use):
-            ids, counts, lang = units[i]
-            p = (counts / counts.sum()).astype(np.float32)
-            h = p @ emb[ids]
+            u = units[i]
+            p = (u.counts / u.counts.sum()).astype(np.float32)
+            h = p @ emb[u.ids]
             g = softmax(h @ w)
-            g[at[lang]] -= 1
+            g[at[u.lang]] -= 1
             lr = rate * (1 - done / steps) + 0.01
             back = w @ g
             w -= lr * 4 * np.outer(h, g)
-            seen[ids] = True
-            emb[ids] -= lr * 40 * p[:, None] * back
+            seen[u.ids] = True
+            emb[u.ids] -= lr * 40 * p[:, None] * back
             done += 1
-    model = Model(langs, buckets, np.where(seen[:, None], emb, 0) @ w)
+    model = Model(langs, buckets, np.where(seen[:, None], emb, 0) @ w, np.zeros(buckets, bool))
     check = np.flatnonzero(held) if held.any() else use
-    logits = np.array([(units[i][1] @ model.table[units[i][0]]) / units[i][1].sum() for i in check])
-    gold = np.array([at[units[i][2]] for i in check])
+    logits = np.array([(units[i].counts @ model.table[units[i].ids]) / units[i].counts.sum() for i in check])
+    gold = np.array([at[units[i].lang] for i in check])
     loss = lambda t: -np.log(np.maximum(softmax(logits / t)[np.arange(len(gold)), gold], 1e-12)).mean()
     model.temperature = float(min(np.geomspace(0.25, 25, 80), key=loss))
     probs = softmax(logits / model.temperature)
@@ -111,18 +141,54 @@ def train(units: list[tuple[np.ndarray, np.ndarray, str]], buckets: int = 1 << 1
     # never over even odds: a language that is likelier than all others together is kept
     model.reject_below = float(min(0.5, np.quantile(top[right], lost))) if right.any() else 0.5
     model.facts = {"units": len(units), "held_accuracy": float(right.mean())}
+    _calibrate_evidence(model, units, use, check[right] if right.any() else check, lost, draws)
     return model
 
 
-def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int = 1 << 18) -> Model | None:
+def _calibrate_evidence(model: Model, units: list[Unit], use: np.ndarray, check: np.ndarray, lost: float, draws: np.random.RandomState) -> None:
+    """Sets how known words are told from unknown ones, and the least evidence."""
+    times = {lang: np.zeros(model.buckets, np.float32) for lang in model.langs}
+    for i in use:
+        np.add.at(times[units[i].lang], units[i].words, 1)
+    total = sum(times.values())
+    model.known = total > 0
+    # a word is a language's own only if a fifth of its uses are there: some labels are wrong
+    vocabulary = {lang: (n > 0) & (n >= 0.2 * total) for lang, n in times.items()}
+    share = lambda hits, n: (hits + 1) / (n + 2)
+    inside = min(MOST_KNOWN, share(sum(int(model.known[units[i].words].sum()) for i in check), sum(len(units[i].words) for i in check)))
+    outside = [float(model.known.mean())]  # noise: its words meet others' hashes by chance
+    for lang in model.langs if len(model.langs) > 1 else ():
+        others = np.logical_or.reduce([v for k, v in vocabulary.items() if k != lang])
+        own = [units[i].words for i in check if units[i].lang == lang]
+        if own:
+            outside.append(share(sum(int(others[x].sum()) for x in own), sum(map(len, own))))
+    other = float(np.mean(sorted(outside)[-2:]))  # the languages that look most like a known one
+    model.facts |= {"known_words": inside, "known_words_held_out": dict(zip(["noise", *model.langs], outside, strict=False))}
+    if inside <= other:
+        return
+    model.odds = (math.log(inside / other), math.log((1 - inside) / (1 - other)))
+    evidence = np.array([model.evidence(float(model.known[units[i].words].sum()), float(len(units[i].words))) for i in check])
+    # never over even odds here either; under ten units for each lost one, the quantile is their least
+    model.least_evidence = float(min(0.0, np.quantile(evidence, lost, method="lower")))
+
+
+def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int = 1 << 18, unit_words: int = 5000) -> Model | None:
     """A model from `per_lang` to twice as many distinct texts of each language (the bound), or all where there are
-    fewer, chosen by their hash among the usable rows with a language: each whole text and one snippet of it."""
+    fewer, chosen by their hash among the usable rows with a language: each whole text and one snippet of it.
+
+    Of a text with more than `unit_words` words as many, evenly spread over all of it, are learnt. With many languages
+    there are fewer buckets, so that the table keeps its bound.
+    """
     rows = documents.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), usable.alias("use")).filter("use AND lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
     distinct = written(rows.select("lang", "h").distinct(), "lang-texts")
     found = {r.lang: r.n for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not found:
         return None
+    if 256 * len(found) > MOST_CELLS:
+        raise ValueError(f"{len(found)} values of lang: these aren't languages")
+    while buckets * len(found) > MOST_CELLS:
+        buckets //= 2
     every = F.element_at(F.create_map(*[F.lit(x) for k, n in sorted(found.items()) for x in (k, max(1, n // per_lang))]), F.col("lang"))
     ranked = distinct.filter(F.pmod("h", every) == 0).withColumn("_rn", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     sample = rows.join(F.broadcast(ranked.filter(F.col("_rn") <= 2 * per_lang).drop("_rn")), ["lang", "h"]).select("lang", "text", "h")
@@ -141,79 +207,86 @@ def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int
                     continue
                 h = zlib.crc32(text.encode())
                 start = h % len(words)
-                for part, (k, some) in enumerate(((h, words), (h ^ 0xFFFF, words[start : start + 3 + h % 17]))):
+                spread = words[:: -(-len(words) // unit_words)]
+                for part, (k, some) in enumerate(((h, spread), (h ^ 0xFFFF, words[start : start + 3 + h % 17]))):
                     ids, counts = counted(some, buckets, cache)
-                    out.append((key, part, k, lang, ids.tolist(), counts.astype(np.int32).tolist()))
+                    out.append((key, part, k, lang, ids.tolist(), counts.astype(np.int32).tolist(), [cache[w][0] for w in some] if len(cache) else []))
             for a in range(0, len(out), 256):
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[a : a + 256], strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())), strict=True)], names=["h", "part", "k", "lang", "ids", "counts"])
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[a : a + 256], strict=True), kinds, strict=True)], names=["h", "part", "k", "lang", "ids", "counts", "words"])
 
-    once = sample.mapInArrow(units, "h long, part int, k long, lang string, ids array<int>, counts array<int>").dropDuplicates(["lang", "h", "part"])
-    got = sorted(((r.k, r.lang, r.ids, r.counts) for r in once.toLocalIterator()), key=lambda r: (r[0], r[1], len(r[2])))
-    return train([(np.array(i, np.int32), np.array(c, np.float32), lang) for _, lang, i, c in got], buckets)
+    once = sample.mapInArrow(units, "h long, part int, k long, lang string, ids array<int>, counts array<int>, words array<int>").dropDuplicates(["lang", "h", "part"])
+    got = sorted(((r.k, r.lang, len(r.ids), Unit(np.array(r.ids, np.int32), np.array(r.counts, np.float32), np.array(r.words, np.int32), r.lang)) for r in once.toLocalIterator()), key=lambda r: r[:3])
+    return train([u for *_, u in got], buckets)
 
 
 class _Words(dict):
-    """Words to rows of their summed logits and numbers of pieces."""
+    """Words to rows of their summed logits, their numbers of pieces, and whether they are known."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.rows = np.zeros((1024, len(model.langs) + 1), np.float32)
+        self.rows = np.zeros((1024, len(model.langs) + 2), np.float32)
 
     def __missing__(self, word: str) -> int:
         i = len(self)
         if i == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         ids = pieces(word, self.model.buckets)
-        self.rows[i, :-1] = self.model.table[ids].sum(0)
-        self.rows[i, -1] = len(ids)
+        self.rows[i, :-2] = self.model.table[ids].sum(0)
+        self.rows[i, -2:] = len(ids), self.model.known[ids[0]]
         self[word] = i
         return i
 
 
+#: Words of a text that are added up at once.
+STRETCH = 1 << 20
+
+
 def _predictor(model: Model | None):
-    """A function from a batch of texts to (languages, scores, accepted)."""
+    """A function from a batch of texts to (languages, scores, shares of known words, accepted)."""
     words = _Words(model) if model else None
 
-    def run(texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+    def total(found: list[str]) -> np.ndarray:
         nonlocal words
-        langs, scores, accepted = [], [], []
+        if len(words) > 300_000:
+            words = _Words(model)
+        ids = np.array([words[w] for w in found])
+        return words.rows[ids].sum(0, dtype=np.float64)
+
+    def run(texts: list[str | None]) -> tuple[list[str], list[float], list[float], list[bool]]:
+        langs, scores, shares, accepted = [], [], [], []
         for t in texts:
             found = LETTERS.findall(t.lower()) if t and model else []
             if not found:
                 langs.append(UNKNOWN)
                 scores.append(0.0)
+                shares.append(0.0)
                 accepted.append(False)
                 continue
-            if len(words) > 300_000:
-                words = _Words(model)
-            total = words_total(words, found)
-            p = softmax(total[:-1] / total[-1] / model.temperature)
+            sums = sum(total(found[i : i + STRETCH]) for i in range(0, len(found), STRETCH))
+            p = softmax(sums[:-2] / sums[-2] / model.temperature)
             best = int(p.argmax())
             langs.append(model.langs[best])
             scores.append(float(p[best]))
-            accepted.append(bool(p[best] >= model.reject_below))
-        return langs, scores, accepted
+            shares.append(float(sums[-1] / len(found)))
+            accepted.append(bool(p[best] >= model.reject_below and model.evidence(sums[-1], len(found)) >= model.least_evidence))
+        return langs, scores, shares, accepted
 
     return run
 
 
-def words_total(words: _Words, found: list[str]) -> np.ndarray:
-    ids = [words[w] for w in found]
-    return words.rows[np.array(ids)].sum(0, dtype=np.float64)
-
-
 def predict(documents: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, lang_pred, score, accepted of every whole text."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # buckets times languages: bounded
+    """doc_id, lang_pred, score, known (share of known words), accepted of every whole text."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_CELLS
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = _predictor(shared.value)
         for b in batches:
-            langs, scores, accepted = predictor(b.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())], names=["doc_id", "lang_pred", "score", "accepted"])
+            langs, scores, shares, accepted = predictor(b.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(shares, pa.float64()), pa.array(accepted, pa.bool_())], names=["doc_id", "lang_pred", "score", "known", "accepted"])
 
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, accepted boolean")
+    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, known double, accepted boolean")
 
 
 def accepted_documents(documents: DataFrame, model: Model | None) -> DataFrame:
@@ -224,7 +297,7 @@ def accepted_documents(documents: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = _predictor(shared.value)
         for b in batches:
-            yield b.filter(pa.array(predictor(b.column(at).to_pylist())[2], pa.bool_()))
+            yield b.filter(pa.array(predictor(b.column(at).to_pylist())[-1], pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 
@@ -235,6 +308,6 @@ def training_rows(remainder: int = 1, of: int = 3) -> Column:
 
 
 def identify(documents: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, accepted."""
+    """doc_id, held_out, lang_pred, score, known, accepted."""
     out = predict(documents, fit(documents, training_rows()))
-    return out.select("doc_id", (~training_rows()).alias("held_out"), "lang_pred", "score", "accepted")
+    return out.select("doc_id", (~training_rows()).alias("held_out"), "lang_pred", "score", "known", "accepted")

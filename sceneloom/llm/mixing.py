@@ -8,8 +8,11 @@ the cut is where the sum is nearest to what the whole epochs leave. Documents ar
 words miss the target by half a document's at most.
 
 Size is the number of runs of anything but spaces and ASCII white space; a null text has none. Documents of
-size 0 go with the cut at their place. Rows of null source are a source of their own. Repeated rows stand side
-by side in the order and count each for itself. An empty table gives no rows.
+size 0 go with the cut at their place. Rows of null source are a source of their own. Rows that repeat a doc_id have
+one key, stand side by side in the order and count each for itself; rows with a null doc_id have a key for each text, as
+they may be many. An empty table gives no rows. Other columns are ignored (mix) or kept, whatever their names
+(mixed_documents). Texts of any length are one size each. Sources are held to be few enough that a row for each can be
+sorted in one task (millions; the windows of targets() see nothing else).
 """
 
 from __future__ import annotations
@@ -17,13 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import BROADCAST_ROWS, written
 
 # Weights of the sources, in turn.
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 #: Rows in a range of keys, about, and the most ranges (their sums are what prefix sums run along).
-ROWS_PER_RANGE, MOST_RANGES = 2_000, 100_000
+ROWS_PER_RANGE, MOST_RANGES = 400, 100_000
 
 
 def size_of(text: Column) -> Column:
@@ -58,16 +61,16 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def random_key(key: Column, seed: str) -> Column:
-    """A hash-random key of 32 hexadecimal digits."""
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null"))))
+def random_key(doc_id: Column, text: Column, seed: str) -> Column:
+    """A hash-random key of 32 hexadecimal digits: of the id, or of the text where there is none."""
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(text.cast("string"), F.lit("")))))))
 
 
 def _placed(documents: DataFrame, seed: str, weights: tuple[int, ...], epochs: int) -> DataFrame:
     """Each document with its key, its source's size and target, whole epochs, and whether the cut takes it."""
     rows = written(
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text").cast("string")).alias("size"))
-        .withColumn("_key", random_key(F.col("doc_id"), seed)), "mix-sizes",
+        documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text"), size_of(F.col("text").cast("string")).alias("size"))
+        .withColumn("_key", random_key(F.col("doc_id"), F.col("text"), seed)).drop("text"), "mix-sizes",
     )
     ranges = min(MOST_RANGES, max(1, rows.count() // ROWS_PER_RANGE))
     # ranges of equal width: keys are uniform, so ranges of a source hold about as many rows
@@ -95,19 +98,20 @@ def mixed_documents(documents: DataFrame, seed: str = "mix", weights: tuple[int,
     """The documents as often as the mix takes them, with all their columns.
 
     A cut is a key: of a source, documents up to its key are taken once more. So the texts needn't be
-    shuffled; what is joined is a row for each source. Rows that repeat a doc_id have one key and are
-    taken alike.
+    shuffled; what is joined is a row for each source. Rows that have one key are taken alike.
     """
-    cuts = written(_placed(documents, seed, weights, epochs).groupBy("source").agg(F.max("_whole").alias("_whole"), F.max(F.when(F.col("_cut"), F.col("_key"))).alias("_last")).withColumnRenamed("source", "_s"), "mix-cuts")
-    side = F.broadcast(cuts) if cuts.count() <= 100_000 else cuts
-    key = random_key(F.col("doc_id").cast("long"), seed)
-    taken = F.col("_whole") + F.coalesce((key <= F.col("_last")).cast("int"), F.lit(0))
-    joined = documents.join(side, F.col("source").cast("string").eqNullSafe(F.col("_s")))
-    return joined.withColumn("_again", F.explode(F.sequence(F.lit(1), F.greatest(taken, F.lit(1))))).filter(taken > 0).select(*[F.col(f"`{c}`") for c in documents.columns])
+    cuts = _placed(documents, seed, weights, epochs).groupBy("source").agg(F.max("_whole").alias("whole"), F.max(F.when(F.col("_cut"), F.col("_key"))).alias("last"))
+    cuts = written(cuts.withColumnRenamed("source", "of"), "mix-cuts")
+    side = F.broadcast(cuts) if cuts.count() <= BROADCAST_ROWS else cuts
+    key = random_key(F.col("doc_id").cast("long"), F.col("text"), seed)
+    rows = documents.select(F.col("source").cast("string").alias("from"), key.alias("key"), F.struct(*[f"`{c}`" for c in documents.columns]).alias("row"))
+    taken = F.col("whole") + F.coalesce((F.col("key") <= F.col("last")).cast("int"), F.lit(0))
+    joined = rows.join(side, F.col("from").eqNullSafe(F.col("of"))).withColumn("times", taken).filter("times > 0")
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
 
 ORACLE = r"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS i FROM s),
 c AS (SELECT *, [5, 2, 1][(i - 1) % 3 + 1] AS w, 3 * source_size AS cap, sum(source_size) OVER () AS total FROM w),

@@ -26,14 +26,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of, written
+from .common import BROADCAST_ROWS, join_classes, words_of, written
 
 #: N-grams of a block of texts, about (8 bytes each); a task holds two blocks.
 BLOCK_NGRAMS = 1 << 19
 #: Texts of a block at most, about.
 BLOCK_TEXTS = 1024
-#: Rows that may be broadcast (32 bytes each).
-BROADCAST_ROWS = 500_000
 
 
 def choose_bands(threshold: float = 0.8, recall: float = 0.9999, most_hashes: int = 128) -> tuple[int, int]:
@@ -273,9 +271,10 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: float = 0.8, re
         F.count(F.lit(1)).alias("members"), F.sum("n_grams").alias("grams"), F.bit_xor(F.xxhash64("key")).alias("x"), F.min("key").alias("first")
     )
     # buckets with the same members are compared once
-    alone = buckets.filter("members > 1").groupBy("members", "x", "first").agg(F.min("bh").alias("bh"), F.any_value("grams").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("grams") / BLOCK_NGRAMS), F.ceil(F.col("members") / BLOCK_TEXTS)).cast("int")
-    in_buckets = written(in_bands.join(alone.select("bh", blocks.alias("blocks")), "bh").select("key", "bh", "blocks"), "buckets")
+    alone = buckets.filter("members > 1").groupBy("members", "x", "first").agg(F.min("bh").alias("bh"), F.any_value("grams").alias("grams"))
+    sized = written(alone.select("bh", "members", blocks.alias("blocks")), "bucket-sizes")
+    in_buckets = written(join_classes(in_bands, sized, "bh", "members", ["key"]).filter("blocks IS NOT NULL").select("key", "bh", "blocks"), "buckets")
 
     wanted = written(in_buckets.groupBy("key").agg(F.sort_array(F.collect_set("bh")).alias("own")).join(classes.select("key", "class_id"), "key"), "wanted")
     side = wanted.select(F.col("key").alias("_k"), F.col("class_id").alias("_c"))
@@ -296,21 +295,29 @@ def near_duplicates(documents: DataFrame, n: int = 5, threshold: float = 0.8, re
     heads = groups.groupBy("component").agg(F.min("class_id").alias("group_id"))
     grouped = labels.join(heads, "component").select("key", "group_id")
     known = classes.select("key", "class_id", "copies").join(counted, "key", "left").join(grouped, "key", "left")
-    known = known.select(F.col("key").alias("_k"), "class_id", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("group_id", "class_id").alias("group_id"))
-    out = sketches.select("doc_id", "key").join(known, F.col("key") == F.col("_k"), "left")
-    return out.select("doc_id", "key", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("group_id", "doc_id").alias("group_id"))
+    # texts that stand alone need no join: what they are follows from their own row
+    known = known.select("key", "class_id", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("group_id", "class_id").alias("group_id")).filter("copies > 1 OR n_links > 0")
+    out = join_classes(sketches.select("doc_id", "key"), written(known, "known"), "key", "copies", ["doc_id"])
+    own = F.col("copies").isNull()
+    return out.select(
+        "doc_id", "key", F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.when(own, F.col("doc_id")).otherwise(F.col("group_id")).alias("group_id"),
+    )
 
 
 def one_of_each_group(documents: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
     """The documents without near duplicates: of each group the row with the least doc_id stays, of its repeats one.
 
-    Rows with null text stay. All columns stay.
+    Rows with null text stay. All columns stay, whatever their names.
     """
     found = written(near_duplicates(documents, n, threshold), "near")
-    lost = found.filter("key IS NOT NULL AND NOT doc_id <=> group_id").select(F.col("doc_id").alias("_lost_id"), F.col("key").alias("_lost_key")).distinct()
+    lost = found.filter("key IS NOT NULL AND NOT doc_id <=> group_id").select("doc_id", "key").distinct()
     if lost.count() <= BROADCAST_ROWS:
         lost = F.broadcast(lost)
-    key = text_key(F.col("text").cast("string"))
-    kept = documents.join(lost, F.col("doc_id").eqNullSafe(F.col("_lost_id")) & (key == F.col("_lost_key")), "left_anti")
+    rows = documents.select(F.col("doc_id").cast("long").alias("id"), text_key(F.col("text").cast("string")).alias("text_key"), F.struct(*[f"`{c}`" for c in documents.columns]).alias("row"))
+    kept = rows.join(lost, F.col("id").eqNullSafe(lost["doc_id"]) & (F.col("text_key") == lost["key"]), "left_anti")
     repeated = found.filter("key IS NOT NULL AND doc_id <=> group_id").groupBy("doc_id", "key").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    if not repeated.isEmpty():
+        apart = F.when(F.col("text_key").isNull(), F.monotonically_increasing_id())  # rows with null text don't repeat each other
+        kept = kept.withColumn("apart", apart).dropDuplicates(["id", "text_key", "apart"])
+    return kept.select("row.*")

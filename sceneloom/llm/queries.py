@@ -93,5 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": ORACLE_OP1,
     "op3_warc_normalise": ORACLE_OP3,
+    "op8_shard_tree": sharding.oracle(),
     "op9_mix_sources": mixing.ORACLE,
 }

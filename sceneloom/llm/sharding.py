@@ -5,11 +5,13 @@ key and child, and the least draw wins, so that a child gets keys in proportion
 weight moves keys only into or out of that child's subtree. The first 16 shards stand in 4 regions of 2 racks
 of 2 shards. Each further shard stands in a region of its own with weight 1: all older draws stay as they are,
 and a key moves only if the new region wins, which means into the new shard. So the law is `key`: doc_id and
-the number of shards decide.
+the number of shards decide. Below 16 shards the tree has fewer racks and regions, so one more shard changes weights
+inside a rack and moves keys within it as well. Draws that are equal go to the first child.
 
 Null texts have no bytes and the crc32 of the empty text. Rows with a null doc_id have one key, that of the
 text `null`. Repeated rows go to the same shard and get slots of their own. Slots number the rows of a shard
-from 0 by (doc_id, crc, size), nulls first. An empty table gives no rows.
+from 0 by (doc_id, crc, size), nulls first. An empty table gives no rows. Texts of any
+length count with all their bytes. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -91,7 +93,7 @@ def shard_documents(documents: DataFrame, shards: int = 16, grow: bool = True) -
 
 
 def _sql_place(nodes: tuple[Node, ...]) -> str:
-    """place() in DuckDB's SQL, for tests."""
+    """place() in DuckDB's SQL."""
     if len(nodes) == 1:
         return str(nodes[0].shard) if nodes[0].shard is not None else _sql_place(nodes[0].children)
     draws = ", ".join(f"-ln((CAST('0x' || substr(md5('{n.name}:' || k), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) / {n.weight}" for n in nodes)
@@ -100,8 +102,13 @@ def _sql_place(nodes: tuple[Node, ...]) -> str:
 
 
 def oracle(shards: int = 16) -> str:
+    """shard_documents() in DuckDB's SQL. It has no crc32: that is folded from the bytes by a table of 256 steps."""
     return f"""
-WITH r AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size, coalesce(CAST(doc_id AS VARCHAR), 'null') AS k, coalesce(text, '') AS t FROM documents),
-p AS (SELECT doc_id, size, {_sql_place(tree(shards))} AS shard, {_sql_place(tree(shards + 1))} AS grown_shard FROM r)
-SELECT doc_id, size, 'key' AS law, CAST(shard AS INTEGER) AS shard,
-       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard FROM p"""
+WITH steps AS (SELECT list(v ORDER BY i) AS step FROM (
+    SELECT i, list_reduce([CAST(i AS UBIGINT)] || [CAST(0 AS UBIGINT) FOR k IN range(8)], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS v FROM (SELECT unnest(range(256)) AS i))),
+r AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size, coalesce(CAST(doc_id AS VARCHAR), 'null') AS k, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, size, {_sql_place(tree(shards))} AS shard, {_sql_place(tree(shards + 1))} AS grown_shard,
+             CAST(xor(list_reduce([CAST(4294967295 AS UBIGINT)] || list_transform(regexp_extract_all(h, '..'), lambda x: CAST('0x' || x AS UBIGINT)),
+                 lambda a, b: xor(a // 256, step[CAST(xor(a, b) % 256 AS BIGINT) + 1])), 4294967295) AS BIGINT) AS text_crc32 FROM r, steps)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard FROM p"""

@@ -58,6 +58,7 @@ def test_wrong_labels_reject_no_clean_documents(spark):
     model = langid.fit(df, langid.training_rows())
     assert model.reject_below <= 0.5
     assert langid.accepted_documents(df, model).count() >= 0.99 * len(rows)
+    assert not langid.predict(spark.createDataFrame([(1, OTHER["nl"] * 3, None)], DOCS), model).first().accepted
 
 
 def test_copies_do_not_fill_or_empty_the_sample(spark, monkeypatch):
@@ -67,5 +68,50 @@ def test_copies_do_not_fill_or_empty_the_sample(spark, monkeypatch):
     monkeypatch.setattr(langid, "train", lambda got, buckets: units.extend(got))
     langid.fit(spark.createDataFrame(rows + copies, DOCS), langid.training_rows(), per_lang=20)
     for lang in ("en", "de", "fr"):
-        assert 20 <= sum(u[2] == lang for u in units) <= 2 * 40
-    assert sum(u[2] == "xx" for u in units) == 4  # two texts, whole and as a snippet
+        assert 20 <= sum(u.lang == lang for u in units) <= 2 * 40
+    assert sum(u.lang == "xx" for u in units) == 4  # two texts, whole and as a snippet
+
+
+OTHER = {
+    "nl": "de rivier loopt door het huis en het licht valt onder de brug in het koude water van de stad",
+    "vi": "dòng sông chảy qua ngôi nhà và ánh sáng dưới nước rất lạnh ở thành phố này",
+    "fi": "joki virtaa talon läpi ja valo laskeutuu sillan alle kylmään veteen kaupungissa",
+}
+
+
+def test_unseen_languages_and_noise_are_rejected(spark):
+    r = random.Random(8)
+    noise = [" ".join("".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 9))) for _ in range(40)) for _ in range(20)]
+    shuffled = [" ".join("".join(r.sample(w, len(w))) for w in r.choices([x for ws in WORDS.values() for x in ws if len(x) > 4], k=30)) for _ in range(20)]
+    model = langid.fit(spark.createDataFrame(corpus(900), DOCS), langid.training_rows())
+    out = [(i, t, None) for i, t in enumerate([*OTHER.values(), *noise, *shuffled])]
+    got = langid.predict(spark.createDataFrame(out, DOCS), model).collect()
+    assert not any(x.accepted for x in got)
+    mixed = [(1, "the river and the house " * 5 + "la rivière et la maison " * 5, None), (2, "der fluss", None), (3, "house", None)]
+    assert all(x.accepted for x in langid.predict(spark.createDataFrame(mixed, DOCS), model).collect())
+    assert set(model.facts["known_words_held_out"]) == {"noise", *WORDS} and max(model.facts["known_words_held_out"].values()) < model.facts["known_words"]
+
+
+def test_scores_are_those_of_averaged_embeddings(spark):
+    """predict() beside the definition: the softmax of the mean of all pieces' logits."""
+    import numpy as np
+
+    model = langid.fit(spark.createDataFrame(corpus(300), DOCS), langid.training_rows())
+    texts = ["The river, and DAS Haus!", "l'eau", "qqq zzz", "the " * 5000]
+    got = {r.doc_id: r for r in langid.predict(spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], DOCS), model).collect()}
+    for i, t in enumerate(texts):
+        words = langid.LETTERS.findall(t.lower())
+        rows = [model.table[k] for w in words for k in langid.pieces(w, model.buckets)]
+        x = np.mean(rows, 0, dtype=np.float64) / model.temperature
+        p = np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+        assert got[i].lang_pred == model.langs[int(p.argmax())] and abs(got[i].score - p.max()) < 1e-5
+        assert abs(got[i].known - np.mean([model.known[langid.pieces(w, model.buckets)[0]] for w in words])) < 1e-9
+
+
+def test_stretches_and_table_bound(spark, monkeypatch):
+    df = spark.createDataFrame(corpus(300), DOCS)
+    one = sorted(langid.identify(df).collect())
+    monkeypatch.setattr(langid, "STRETCH", 7)
+    assert [r[:3] for r in sorted(langid.identify(df).collect())] == [r[:3] for r in one]
+    monkeypatch.setattr(langid, "MOST_CELLS", 3 << 10)
+    assert langid.fit(df, langid.training_rows()).buckets == 1 << 10

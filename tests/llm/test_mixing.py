@@ -55,12 +55,13 @@ def test_ranges_make_no_difference(spark, monkeypatch):
 
 def test_documents_come_as_often_as_they_are_taken(spark):
     rows = [(i, t, s) for i, (_, t, s) in enumerate(corpus({"a": 60, "b": 200, None: 3}))]
-    df = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 AS _again", "'x' AS _s2")
+    df = spark.createDataFrame(rows, DOCS).selectExpr("*", "7 AS _again", "'x' AS _s", "1 AS _whole", "2 AS _last", "3 AS whole", "4 AS last", "5 AS of", "6 AS row", "8 AS times", "9 AS key")
     times = {r.doc_id: r.times for r in mixing.mix(df).collect()}
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns
     seen = {}
     for r in out.collect():
+        assert tuple(r)[3:] == (7, "x", 1, 2, 3, 4, 5, 6, 8, 9)
         seen[r.doc_id] = seen.get(r.doc_id, 0) + 1
     assert seen == {d: n for d, n in times.items() if n}
 
@@ -72,3 +73,13 @@ def test_odd_rows(spark):
     assert mixing.mix(spark.createDataFrame([(1, None, "a"), (2, None, None)], DOCS)).filter("taken > 0").count() == 0
     assert mixing.mix(spark.createDataFrame([], DOCS)).count() == 0
     assert mixing.mixed_documents(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_rows_without_ids_are_taken_apart(spark):
+    """Many rows with a null id are no single key: a cut may run between them."""
+    rows = [(None, f"word w{i}", "a") for i in range(60)] + [(i, "x " * 40, "b") for i in range(30)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix(df).filter("source = 'b'").agg({"taken": "sum"}).first()[0]
+    assert abs(got - mixing.mix(df).filter("source = 'b'").first().target) <= 40
+    kept = mixing.mixed_documents(df)
+    assert kept.count() == mixing.mix(df).agg({"times": "sum"}).first()[0]

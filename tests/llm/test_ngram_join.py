@@ -3,7 +3,9 @@ import random
 
 import pytest
 
+from sceneloom.llm import common
 from sceneloom.llm import ngram_join as J
+from sceneloom.llm.common import words_of
 
 DOCS = "doc_id long, text string"
 
@@ -33,12 +35,12 @@ def corpus(seed=2):
 
 
 def brute(rows, n=5, threshold=0.8):
-    seen = J._WordHash()
     texts = {}
     for d, t in rows:
         texts.setdefault(t, []).append(d)
     keys = list(texts)
-    sets = [set(J.ngram_set(t, n, seen).tolist()) for t in keys]
+    words = [words_of(t) for t in keys]
+    sets = [{tuple(w[i : i + min(n, len(w))]) for i in range(max(1, len(w) - n + 1))} if w else set() for w in words]
     root = list(range(len(keys)))
 
     def find(a):
@@ -78,6 +80,7 @@ def test_one_of_each_group_stays(spark):
 
 def test_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(J, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 5)
     rows = corpus(6)
     assert {r.doc_id for r in J.one_of_each_group(spark.createDataFrame(rows, DOCS)).collect()} == {g for *_, g in brute(rows).values()}
 
@@ -103,3 +106,28 @@ def test_components_of_a_long_chain(spark):
     edges = [(f"{i:05d}".encode(), f"{i + 1:05d}".encode()) for i in range(300)]
     got = J.components(spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in edges], "key binary, root binary")).collect()
     assert len(got) == 301 and {bytes(r.component) for r in got} == {b"00000"}
+
+
+def test_word_hashes_have_64_bits():
+    seen = J.WordHash()
+    hashes = [seen[f"{a}{b}{c}{d}"] for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyzabcd" for d in "efghijklmn"]
+    assert len(set(hashes)) == len(hashes)
+    assert len({(h >> 32) ^ (h & 0xFFFFFFFF) for h in hashes}) > 9_900  # the halves don't follow from each other
+    assert max(hashes) > 1 << 63
+
+
+def test_clashing_columns_and_repeats(spark):
+    rows = [(1, "a b c"), (2, "a b c"), (2, "a b c"), (1, "a b c"), (3, None), (3, None)]
+    df = spark.createDataFrame(rows, DOCS).selectExpr("doc_id AS _lost_id", "*", "text AS _lost_key", "1 AS id", "2 AS text_key", "3 AS row", "4 AS apart", "5 AS key")
+    kept = J.one_of_each_group(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.row) for r in kept.collect()) == [(1, 3), (3, 3), (3, 3)]
+
+
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_join_classes(spark, tmp_path, most):
+    rows = spark.createDataFrame([("hot", i) for i in range(40)] + [(f"k{i % 9}", 100 + i) for i in range(20)] + [(None, 7), ("alone", 8)], "k string, i long")
+    path = str(tmp_path / "classes")
+    rows.filter("k IS NOT NULL").groupBy("k").count().filter("count > 1").selectExpr("k", "count AS copies", "concat('v-', k) AS v").write.parquet(path)
+    got = {r.i: (r.k, r.v) for r in common.join_classes(rows, spark.read.parquet(path), "k", "copies", ["i"], most).collect()}
+    assert got == {r.i: (r.k, None if r.k in (None, "alone") else f"v-{r.k}") for r in rows.collect()}

@@ -17,11 +17,3 @@ def test_query(spark, name):
         assert len(rows) == spark.read.parquet(f"{SF}/{t}.parquet").count()
     if name in ORACLE_SQL:
         assert compare(rows, df.columns, connect(SF), ORACLE_SQL[name]) == ""
-
-
-def test_shards_beside_sql(spark):
-    """The tree's draws; DuckDB has no crc32, so that column is tested elsewhere."""
-    from sceneloom.llm import sharding
-
-    df = QUERIES["op8_shard_tree"](spark, SF).drop("text_crc32")
-    assert compare([r.asDict() for r in df.collect()], df.columns, connect(SF), sharding.oracle()) == ""
