@@ -140,19 +140,19 @@ def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(begins - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
 
 
-def block_bounds(pairs: np.ndarray, cells: np.ndarray, shard: Shard) -> np.ndarray:
+def block_bounds(present: np.ndarray, cells: np.ndarray, shard: Shard) -> np.ndarray:
     """For cells (passage times the number of blocks plus block): the sum of the block's maxima over the passage's terms.
 
-    pairs: the passages' terms (passage times the number of terms plus term), ascending.
+    present: of each passage and each term, whether it has it.
     """
     out = np.zeros(len(cells))
     for a in range(0, len(cells), 4096):
         passage, block = np.divmod(cells[a : a + 4096], shard.n_blocks)
-        sizes = shard.block_at[block + 1] - shard.block_at[block]
-        at = _ranges(shard.block_at[block], sizes)
-        wanted = np.repeat(passage * len(shard.terms), sizes) + shard.block_terms[at]
-        place = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
-        out[a : a + 4096] = np.bincount(np.repeat(np.arange(len(block)), sizes), np.where(pairs[place] == wanted, shard.block_most[at], 0.0), len(block))
+        begins = shard.block_at[block]
+        sizes = shard.block_at[block + 1] - begins
+        at = _ranges(begins, sizes)
+        weights = shard.block_most[at] * present[np.repeat(passage * len(shard.terms), sizes) + shard.block_terms[at]]
+        out[a : a + 4096] = np.add.reduceat(weights, np.cumsum(sizes) - sizes)
     return out
 
 
@@ -167,8 +167,9 @@ def block_max_wand(query: list[int], shard: Shard, theta: float, blocks: list[in
     if not query:
         return out
     if blocks is None:
-        cells = np.arange(shard.n_blocks)
-        blocks = cells[block_bounds(np.array(query), cells, shard) >= limit - 1e-4].tolist()
+        present = np.zeros(len(shard.terms), bool)
+        present[query] = True
+        blocks = np.flatnonzero(block_bounds(present, np.arange(shard.n_blocks), shard) >= limit - 1e-4).tolist()
     if not blocks:
         return out
     bound_of = {b: dict(zip(shard.block_terms[(r := slice(shard.block_at[b], shard.block_at[b + 1]))].tolist(), shard.block_most[r].tolist(), strict=True)) for b in blocks}
@@ -227,22 +228,26 @@ def search(words: list[str], shard: Shard, theta: float) -> list[tuple[int, floa
     signs = np.diff(shard.signature_at)
     best: dict[int, float] = {}
     ids = np.array([get(w, -1) for w in words], np.int64)
-    for start in range(0, max(1, len(ids) - SEGMENT), 512 * SEGMENT):  # as many passages at once
-        some = ids[start : start + 513 * SEGMENT]
+    span = max(1, min(512, (1 << 22) // width))  # passages at a time: a bit for each of their terms
+    for start in range(0, max(1, len(ids) - SEGMENT), span * SEGMENT):
+        some = ids[start : start + (span + 1) * SEGMENT]
         known = np.flatnonzero(some >= 0)
         cells, terms = known // SEGMENT, some[known]
         if not signs[terms].any():
             continue
         last = max(0, -(-len(some) // SEGMENT) - 2)  # a passage is a cell of SEGMENT words and the next one
-        pairs = np.unique(np.concatenate([np.minimum(cells, last) * width + terms, np.clip(cells - 1, 0, last) * width + terms]))
-        passage, term = pairs // width, pairs % width
+        present = np.zeros((last + 1) * width, bool)
+        present[np.minimum(cells, last) * width + terms] = True
+        present[np.clip(cells - 1, 0, last) * width + terms] = True
+        passage, term = np.divmod(np.flatnonzero(present), width)
         sizes = signs[term]
-        candidates = np.unique(np.repeat(passage * shard.n_blocks, sizes) + shard.signature_blocks[_ranges(shard.signature_at[term], sizes)])
-        good = candidates[block_bounds(pairs, candidates, shard) >= theta - 1e-4]
+        met = np.zeros((last + 1) * shard.n_blocks, bool)
+        met[np.repeat(passage * shard.n_blocks, sizes) + shard.signature_blocks[_ranges(shard.signature_at[term], sizes)]] = True
+        candidates = np.flatnonzero(met)
+        good = candidates[block_bounds(present, candidates, shard) >= theta - 1e-4]
         for p in np.unique(good // shard.n_blocks):
             blocks = (good[good // shard.n_blocks == p] % shard.n_blocks).tolist()
-            lo, hi = np.searchsorted(pairs, (p * width, (p + 1) * width))
-            for seg, score in block_max_wand(term[lo:hi].tolist(), shard, theta, blocks):
+            for seg, score in block_max_wand(term[passage == p].tolist(), shard, theta, blocks):
                 item = int(shard.item_of[seg])
                 best[item] = max(best.get(item, 0.0), score)
     return list(best.items())

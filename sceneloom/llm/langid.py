@@ -9,9 +9,9 @@ Rejection is calibrated on what the model shall know and on what it shall not. A
 like one of the model's by its pieces, but few of its words are known. So each language in turn is held out: the share
 of its words that the others' texts know (and that of noise, made by shuffling letters) says how an unknown language
 looks; the held-back units say how the known ones do. A text's evidence is the log odds of its known and unknown words
-under the two, a word of either kind counting at most EVIDENCE_WORDS times. A text is rejected if its evidence is under a
-limit, or its score (the softmax's probability) under another; each limit costs at most the part `lost` of the held-back
-units that are predicted rightly, and neither turns away what is likelier than not.
+under the two, scaled down to EVIDENCE_WORDS words where it has more. A text is rejected if its evidence against a known
+language outweighs ODDS_FOR_KNOWN, or if its score (the softmax's probability) is under even odds; both limits are
+lowered where they would cost more than the part `lost` of the held-back units that are predicted rightly.
 
 Null texts and texts without a letter are `und` with score 0 and rejected. Labels that are null are not learnt.
 With no labelled row, every text is `und`. Equal scores go to the language that comes first in code point order. Repeated
@@ -44,6 +44,10 @@ def pieces(word: str, buckets: int) -> list[int]:
     return [zlib.crc32(p.encode()) % buckets for p in parts]
 
 
+def word_hash(word: str) -> int:
+    return zlib.crc32(word.encode())
+
+
 def counted(words: list[str], buckets: int, cache: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pieces of some words, and how often each occurs."""
     ids: list[int] = []
@@ -61,6 +65,8 @@ def counted(words: list[str], buckets: int, cache: dict[str, list[int]]) -> tupl
 MOST_CELLS = 1 << 24
 #: Words of a text that count as evidence for or against a known language; words of a text don't stand alone.
 EVIDENCE_WORDS = 64
+#: A text is taken to be in a known language by these odds until its words say otherwise.
+ODDS_FOR_KNOWN = 100
 #: The share of known words in a known language at most: no sample has all of a language's words.
 MOST_KNOWN = 0.9
 
@@ -71,7 +77,7 @@ class Model:
     buckets: int
     #: Logits of each piece for each language: embedding times softmax weights.
     table: np.ndarray
-    #: Whether training saw a word with this hash, as a whole word.
+    #: Hashes of the whole words that training saw, ascending.
     known: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.5
@@ -130,7 +136,7 @@ def train(units: list[Unit], buckets: int = 1 << 18, dim: int = 16, epochs: int
             seen[u.ids] = True
             emb[u.ids] -= lr * 40 * p[:, None] * back
             done += 1
-    model = Model(langs, buckets, np.where(seen[:, None], emb, 0) @ w, np.zeros(buckets, bool))
+    model = Model(langs, buckets, np.where(seen[:, None], emb, 0) @ w, np.empty(0, np.int64))
     check = np.flatnonzero(held) if held.any() else use
     logits = np.array([(units[i].counts @ model.table[units[i].ids]) / units[i].counts.sum() for i in check])
     gold = np.array([at[units[i].lang] for i in check])
@@ -147,29 +153,28 @@ def train(units: list[Unit], buckets: int = 1 << 18, dim: int = 16, epochs: int
 
 def _calibrate_evidence(model: Model, units: list[Unit], use: np.ndarray, check: np.ndarray, lost: float, draws: np.random.RandomState) -> None:
     """Sets how known words are told from unknown ones, and the least evidence."""
-    times = {lang: np.zeros(model.buckets, np.float32) for lang in model.langs}
-    for i in use:
-        np.add.at(times[units[i].lang], units[i].words, 1)
-    total = sum(times.values())
-    model.known = total > 0
+    model.known, where = np.unique(np.concatenate([units[i].words for i in use]), return_inverse=True)
+    times = np.zeros((len(model.langs), len(model.known)), np.float32)
+    np.add.at(times, (np.repeat([model.langs.index(units[i].lang) for i in use], [len(units[i].words) for i in use]), where), 1)
     # a word is a language's own only if a fifth of its uses are there: some labels are wrong
-    vocabulary = {lang: (n > 0) & (n >= 0.2 * total) for lang, n in times.items()}
-    share = lambda hits, n: (hits + 1) / (n + 2)
-    inside = min(MOST_KNOWN, share(sum(int(model.known[units[i].words].sum()) for i in check), sum(len(units[i].words) for i in check)))
-    outside = [float(model.known.mean())]  # noise: its words meet others' hashes by chance
-    for lang in model.langs if len(model.langs) > 1 else ():
-        others = np.logical_or.reduce([v for k, v in vocabulary.items() if k != lang])
-        own = [units[i].words for i in check if units[i].lang == lang]
-        if own:
-            outside.append(share(sum(int(others[x].sum()) for x in own), sum(map(len, own))))
-    other = float(np.mean(sorted(outside)[-2:]))  # the languages that look most like a known one
-    model.facts |= {"known_words": inside, "known_words_held_out": dict(zip(["noise", *model.langs], outside, strict=False))}
+    own = (times > 0) & (times >= 0.2 * times.sum(0))
+    hits = lambda words, which: int(which[(at := np.minimum(np.searchsorted(model.known, words), len(which) - 1))][model.known[at] == words].sum())
+    every = np.ones(len(model.known), bool)
+    share = lambda some, which: (sum(hits(x, which) for x in some) + 1) / (sum(map(len, some)) + 2)
+    inside = min(MOST_KNOWN, share([units[i].words for i in check], every))
+    noise = [np.array([word_hash("".join(draws.permutation(list(f"w{x}")))) for x in units[i].words], np.int64) for i in check[:50]]
+    outside = {"noise": share(noise, every)}
+    for k, lang in enumerate(model.langs if len(model.langs) > 1 else ()):
+        if some := [units[i].words for i in check if units[i].lang == lang]:
+            outside[lang] = share(some, np.delete(own, k, 0).any(0))
+    other = float(np.mean(sorted(outside.values())[-2:]))  # the languages that look most like a known one
+    model.facts |= {"known_words": inside, "known_words_held_out": outside}
     if inside <= other:
         return
     model.odds = (math.log(inside / other), math.log((1 - inside) / (1 - other)))
-    evidence = np.array([model.evidence(float(model.known[units[i].words].sum()), float(len(units[i].words))) for i in check])
-    # never over even odds here either; under ten units for each lost one, the quantile is their least
-    model.least_evidence = float(min(0.0, np.quantile(evidence, lost, method="lower")))
+    evidence = np.array([model.evidence(float(hits(units[i].words, every)), float(len(units[i].words))) for i in check])
+    # a text is in no language only by odds that outweigh how rare such texts are
+    model.least_evidence = float(min(-math.log(ODDS_FOR_KNOWN), np.quantile(evidence, lost, method="lower")))
 
 
 def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int = 1 << 18, unit_words: int = 5000) -> Model | None:
@@ -210,13 +215,13 @@ def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int
                 spread = words[:: -(-len(words) // unit_words)]
                 for part, (k, some) in enumerate(((h, spread), (h ^ 0xFFFF, words[start : start + 3 + h % 17]))):
                     ids, counts = counted(some, buckets, cache)
-                    out.append((key, part, k, lang, ids.tolist(), counts.astype(np.int32).tolist(), [cache[w][0] for w in some] if len(cache) else []))
+                    out.append((key, part, k, lang, ids.tolist(), counts.astype(np.int32).tolist(), [word_hash(w) for w in some]))
             for a in range(0, len(out), 256):
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()))
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[a : a + 256], strict=True), kinds, strict=True)], names=["h", "part", "k", "lang", "ids", "counts", "words"])
 
-    once = sample.mapInArrow(units, "h long, part int, k long, lang string, ids array<int>, counts array<int>, words array<int>").dropDuplicates(["lang", "h", "part"])
-    got = sorted(((r.k, r.lang, len(r.ids), Unit(np.array(r.ids, np.int32), np.array(r.counts, np.float32), np.array(r.words, np.int32), r.lang)) for r in once.toLocalIterator()), key=lambda r: r[:3])
+    once = sample.mapInArrow(units, "h long, part int, k long, lang string, ids array<int>, counts array<int>, words array<long>").dropDuplicates(["lang", "h", "part"])
+    got = sorted(((r.k, r.lang, len(r.ids), Unit(np.array(r.ids, np.int32), np.array(r.counts, np.float32), np.array(r.words, np.int64), r.lang)) for r in once.toLocalIterator()), key=lambda r: r[:3])
     return train([u for *_, u in got], buckets)
 
 
@@ -225,6 +230,7 @@ class _Words(dict):
 
     def __init__(self, model: Model):
         self.model = model
+        self.known = set(model.known.tolist())
         self.rows = np.zeros((1024, len(model.langs) + 2), np.float32)
 
     def __missing__(self, word: str) -> int:
@@ -233,7 +239,7 @@ class _Words(dict):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         ids = pieces(word, self.model.buckets)
         self.rows[i, :-2] = self.model.table[ids].sum(0)
-        self.rows[i, -2:] = len(ids), self.model.known[ids[0]]
+        self.rows[i, -2:] = len(ids), word_hash(word) in self.known
         self[word] = i
         return i
 
