@@ -6,9 +6,14 @@ with the logistic loss l and the class prior p, which is estimated from the data
 least ratio of unlabelled to positive texts above a score bounds the part of positives among the unlabelled.
 As the risk is that of the supervised logistic loss, the sigmoid of g is the probability of a good text.
 
-Scores come from the whole text alone. Null and empty texts score as texts with no words. Without positives
-or unlabelled rows every score is 0.5. Repeated rows score alike; of repeated labels of an id the largest
-counts. Other columns are ignored.
+A text's features are how its characters, words and lines are made up, and hashed n-grams: its words, pairs of words
+and triples of bytes, in HASHED buckets whatever the vocabulary. The network is linear over all of them, with a hidden
+layer over the former.
+
+Scores come from the whole text alone, however long. Null and empty texts score as texts with no words. Without
+positives or unlabelled rows every score is 0.5. With FEW positives or fewer the prior can't be estimated: it is held to
+be 0.5, and the result says so (prior_estimated). Repeated rows score alike; equal scores are equal predictions; of
+repeated labels of an id the largest counts. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,17 +34,49 @@ _BYTE_GROUPS = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"
 _GROUP_OF = np.full(256, len(_BYTE_GROUPS), np.int64)
 for _i, _g in enumerate(_BYTE_GROUPS):
     _GROUP_OF[list(_g)] = _i
-#: Number of features of a text.
-WIDTH = 27
+#: Number of features of how a text is made up, and of buckets of hashed n-grams (half of words, half of bytes).
+SHAPE, HASHED = 27, 512
+WIDTH = SHAPE + HASHED
+#: Positives without which the prior isn't estimated.
+FEW = 20
+
+
+class _Buckets(dict):
+    """Words to 32-bit hashes, remembered."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        h = self[word] = zlib.crc32(word.encode())
+        return h
+
+
+def hashed_ngrams(raw: bytes, words: list[str], seen: _Buckets, step: int = 1 << 20) -> np.ndarray:
+    """Roots of the shares of hashed words and pairs of words, and of triples of bytes."""
+    half = HASHED // 2
+    bits = np.uint64(64 - (half.bit_length() - 1))
+    spread = lambda x: (x * np.uint64(0x9E3779B97F4A7C15) >> bits).astype(np.int64)
+    of_words, of_bytes = np.zeros(half), np.zeros(half)
+    for a in range(0, len(words), step):
+        ids = np.array([seen[w] for w in words[a : a + step + 1]], np.uint64)  # one more, for the pair over the edge
+        of_words += np.bincount(spread(ids[:step]), minlength=half) + np.bincount(spread(ids[:-1] * np.uint64(31) + ids[1:]), minlength=half)
+    for a in range(0, len(raw) - 2, step):
+        x = np.frombuffer(raw, np.uint8, min(step + 2, len(raw) - a), a).astype(np.uint64)
+        of_bytes += np.bincount(spread(x[:-2] | x[1:-1] << np.uint64(8) | x[2:] << np.uint64(16)), minlength=half)
+    return np.sqrt(np.concatenate([of_words / max(1, of_words.sum()), of_bytes / max(1, of_bytes.sum())]))
+
+
+def features(text: str | None, seen: _Buckets) -> np.ndarray:
+    """All features of a text."""
+    text = text or ""
+    raw, words = text.encode(), text.split()
+    return np.concatenate([shape(text, raw, words), hashed_ngrams(raw, words, seen)]).astype(np.float32)
 
 
-def features(text: str | None) -> list[float]:
+def shape(text: str, raw: bytes, words: list[str]) -> list[float]:
     """Shares of kinds of characters, of words and of lines, and how much a text repeats itself."""
-    text = text or ""
-    raw = text.encode()
     n = max(1, len(raw))
     groups = np.bincount(_GROUP_OF[np.frombuffer(raw, np.uint8)], minlength=len(_BYTE_GROUPS) + 1) / n
-    words = text.split()
     m = max(1, len(words))
     distinct = len(set(words))
     lower = set(text.lower().split())
@@ -65,49 +102,62 @@ class Model:
     scale: np.ndarray
     weights: list[np.ndarray]
     prior: float
+    prior_estimated: bool
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        return _forward(self.weights, np.clip((x - self.mean) / self.scale, -6, 6))[-1]
+        return _forward(self.weights, _normal(x, self.mean, self.scale))[-1]
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(x), -40, 40)))
 
 
+def _normal(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / scale, -6, 6)
+
+
 def _forward(w: list[np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    h = np.tanh(x @ w[0] + w[1])
+    h = np.tanh(x[:, : len(w[0])] @ w[0] + w[1])
     return h, h @ w[2] + x @ w[4] + w[3][0]
 
 
+def _risk(w: list[np.ndarray], p: np.ndarray, u: np.ndarray, prior: float, non_negative: bool) -> tuple[float, list[np.ndarray]]:
+    """The unbiased risk on positives p and unlabelled u, and the gradient to go against.
+
+    Where the part for negatives is under zero, the non-negative form goes against that part's gradient alone, upwards.
+    """
+    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    (hp, gp), (hu, gu) = _forward(w, p), _forward(w, u)
+    negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+    d_neg_p, d_neg_u = -prior * sig(gp) / len(p), sig(gu) / len(u)
+    if non_negative and negative < 0:  # step back from the part that fits too well
+        dp, du = -d_neg_p, -d_neg_u
+    else:
+        dp, du = -prior * sig(-gp) / len(p) + d_neg_p, d_neg_u
+    grads = [np.zeros_like(a) for a in w]
+    for x, h, g in ((p, hp, dp), (u, hu, du)):
+        back = np.outer(g, w[2]) * (1 - h * h)
+        for i, a in enumerate((x[:, : len(w[0])].T @ back, back.sum(0), h.T @ g, np.array([g.sum()]), x.T @ g)):
+            grads[i] += a
+    return float(prior * np.logaddexp(0, -gp).mean() + (max(0.0, negative) if non_negative else negative)), grads
+
+
 def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int, steps: int, seed: int, non_negative: bool = True) -> list[np.ndarray]:
     """Adam on the (non-negative) unbiased risk, on minibatches."""
     draws = np.random.RandomState(seed)
-    d = positive.shape[1]
-    w = [draws.normal(0, d**-0.5, (d, hidden)), np.zeros(hidden), draws.normal(0, hidden**-0.5, hidden) * 0.1, np.zeros(1), np.zeros(d)]
+    d, deep = positive.shape[1], min(SHAPE, positive.shape[1])
+    w = [draws.normal(0, deep**-0.5, (deep, hidden)), np.zeros(hidden), draws.normal(0, hidden**-0.5, hidden) * 0.1, np.zeros(1), np.zeros(d)]
     m, v = [np.zeros_like(a) for a in w], [np.zeros_like(a) for a in w]
-    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-    soft = lambda z: np.logaddexp(0, z)
+    pull = [1e-4, 1e-4, 1e-4, 0.0, np.where(np.arange(d) < deep, 1e-4, 3e-3)]  # hashed n-grams are many and weak
     for t in range(1, steps + 1):
         p = positive[draws.randint(0, len(positive), min(len(positive), 1024))]
         u = unlabelled[draws.randint(0, len(unlabelled), min(len(unlabelled), 2048))]
-        hp, gp = _forward(w, p)
-        hu, gu = _forward(w, u)
-        negative = soft(gu).mean() - prior * soft(gp).mean()
-        d_neg_p, d_neg_u = -prior * sig(gp) / len(p), sig(gu) / len(u)
-        if non_negative and negative < 0:  # step back from the part that fits too well
-            dp, du = -d_neg_p, -d_neg_u
-        else:
-            dp, du = -prior * sig(-gp) / len(p) + d_neg_p, d_neg_u
-        grads = [np.zeros_like(a) for a in w]
-        for x, h, g in ((p, hp, dp), (u, hu, du)):
-            back = np.outer(g, w[2]) * (1 - h * h)
-            for i, a in enumerate((x.T @ back, back.sum(0), h.T @ g, np.array([g.sum()]), x.T @ g)):
-                grads[i] += a
         rate = 0.02 * (1 - t / steps) + 0.0005
-        for i, g in enumerate(grads):
-            g = g + 1e-4 * w[i]
+        for i, g in enumerate(_risk(w, p, u, prior, non_negative)[1]):
+            g = g + pull[i] * w[i]
             m[i] = 0.9 * m[i] + 0.1 * g
             v[i] = 0.999 * v[i] + 0.001 * g * g
-            w[i] = w[i] - rate * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
+            step = rate * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
+            w[i] = w[i] - (step if i < 4 else np.where(np.arange(d) < deep, step, step * 0.2))
     return w
 
 
@@ -125,22 +175,26 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, hidden: int = 24, steps:
     if not len(positive) or not len(unlabelled):
         return None
     both = np.concatenate([positive, unlabelled])
-    mean, scale = both.mean(0), both.std(0) + 1e-6
-    norm = lambda x: np.clip((x - mean) / scale, -6, 6)
-    p, u = norm(positive), norm(unlabelled)
-    # the first classifier: positives against unlabelled, half of each, so that the other half is unseen
-    first = _descend(p[::2], u[::2], 0.5, hidden, max(200, steps // 3), seed, False) if len(p) > 20 and len(u) > 20 else None
-    prior = estimate_prior(_forward(first, p[1::2])[-1], _forward(first, u[1::2])[-1]) if first else 0.5
-    return Model(mean, scale, _descend(p, u, prior, hidden, steps, seed + 1), prior)
+    mean, scale = both.mean(0), both.std(0) + 1e-3 * (np.arange(both.shape[1]) >= SHAPE) + 1e-6
+    p, u = _normal(positive, mean, scale), _normal(unlabelled, mean, scale)
+    enough = len(p) > FEW and len(u) > FEW
+    prior = 0.5
+    if enough:  # the first classifier: positives against unlabelled, half of each, so that the other half is unseen
+        first = _descend(p[::2], u[::2], 0.5, hidden, max(200, steps // 3), seed, False)
+        prior = estimate_prior(_forward(first, p[1::2])[-1], _forward(first, u[1::2])[-1])
+    return Model(mean, scale, _descend(p, u, prior, hidden, steps, seed + 1), prior, enough)
 
 
 def _feature_rows(rows: DataFrame, keep: str, schema: str, score=None) -> DataFrame:
+    """A value for each row's text: its features as the bytes of 32-bit floats, or the score that a model gives them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = score.value if score is not None else None
+        seen = _Buckets()
         for b in batches:
-            x = np.array([features(t) for t in b.column(1).to_pylist()], np.float64).reshape(b.num_rows, WIDTH)
+            x = np.array([features(t, seen) for t in b.column(1).to_pylist()], np.float32).reshape(b.num_rows, WIDTH)
             if score is None:
-                value = pa.array(list(x.astype(np.float64)), pa.list_(pa.float64()))
+                value = pa.array([v.tobytes() for v in x], pa.binary())
             else:
                 value = pa.array(model.scores(x) if model else np.full(b.num_rows, 0.5), pa.float64())
             yield pa.RecordBatch.from_arrays([b.column(0), value], names=[keep, "value"])
@@ -153,14 +207,15 @@ def training_rows(remainder: int = 2, of: int = 4) -> Column:
     return crc_of_id() % of != remainder
 
 
-def _some(rows: DataFrame, n: int, sample: int) -> list[list[float]]:
+def _some(rows: DataFrame, n: int, sample: int) -> np.ndarray:
     """Features of at most twice `sample` of the n rows (the bound), chosen by a hash, repeated rows once, in a fixed order."""
     drawn = rows.withColumn("h", F.xxhash64("doc_id", "text")).filter(F.pmod("h", F.lit(max(1, n // sample))) == 0)
-    got = _feature_rows(drawn.select(F.struct("doc_id", "h").alias("key"), "text"), "key", "key struct<doc_id: long, h: long>, value array<double>").dropDuplicates(["key"]).orderBy("key.h").limit(2 * sample).collect()
-    return [v for _, v in sorted((-1 if r.key.doc_id is None else r.key.doc_id, r.value) for r in got)]
+    got = _feature_rows(drawn.select(F.struct("doc_id", "h").alias("key"), "text"), "key", "key struct<doc_id: long, h: long>, value binary").dropDuplicates(["key"]).orderBy("key.h").limit(2 * sample).collect()
+    ordered = sorted(got, key=lambda r: (-1 if r.key.doc_id is None else r.key.doc_id, r.key.h))
+    return np.array([np.frombuffer(r.value, np.float32) for r in ordered], np.float64).reshape(len(ordered), WIDTH)
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample: int = 24_000) -> Model | None:
+def fit(documents: DataFrame, labels: DataFrame, sample: int = 8_000) -> Model | None:
     """A model from the rows to learn from: those with quality 1 are the positives, all of them are the unlabelled
     texts; of both about `sample` documents, at most twice as many, are drawn apart, so that positives don't get fewer as the
     unlabelled grow."""
@@ -172,13 +227,16 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = 24_000) -> Model
         return None
     ids = good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // sample))) == 0).orderBy(F.xxhash64("doc_id")).limit(2 * sample)
     positive = _some(rows.join(F.broadcast(ids), "doc_id"), 0, sample)
-    return train(np.array(positive), np.array(_some(rows, rows.count(), sample)))
+    return train(positive, _some(rows, rows.count(), sample))
 
 
 def score_documents(documents: DataFrame, labels: DataFrame, cut: float = 0.7) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document."""
+    """doc_id, held_out, score, predicted, prior (of the model; null without one), prior_estimated of every document."""
     model = fit(documents, labels)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = _feature_rows(rows, "doc_id", "doc_id long, value double", shared)
-    return scored.select("doc_id", (~training_rows()).alias("held_out"), F.col("value").alias("score"), (F.col("value") >= cut).cast("int").alias("predicted"))
+    return scored.select(
+        "doc_id", (~training_rows()).alias("held_out"), F.col("value").alias("score"), (F.col("value") >= cut).cast("int").alias("predicted"),
+        F.lit(model.prior if model else None).cast("double").alias("prior"), F.lit(bool(model and model.prior_estimated)).alias("prior_estimated"),
+    )

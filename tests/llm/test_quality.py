@@ -69,3 +69,61 @@ def test_few_labels_are_all_learnt_from(spark, monkeypatch):
     monkeypatch.setattr(quality, "train", lambda p, u: seen.extend((len(p), len(u))))
     quality.fit(spark.createDataFrame(rows + [rows[1]] * 2000, DOCS), spark.createDataFrame(labels, LABELS), sample=50)
     assert seen[0] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(40)) and 0 < seen[1] <= 100
+
+
+def plain_risk(w, p, u, prior):
+    """The parts of the risk, sum by sum: that of positives, and that of negatives."""
+    g = lambda x: sum(np.tanh(x[: len(w[0])] @ w[0] + w[1]) * w[2]) + x @ w[4] + w[3][0]
+    loss = lambda z: np.log(1 + np.exp(-z))
+    good = prior * sum(loss(g(x)) for x in p) / len(p)
+    bad = sum(loss(-g(x)) for x in u) / len(u) - prior * sum(loss(-g(x)) for x in p) / len(p)
+    return good, bad
+
+
+def test_risk_and_gradient_are_those_of_the_plain_form():
+    r = np.random.RandomState(4)
+    seen = set()
+    for shift in (0.0, 4.0):
+        w = [r.normal(size=(5, 3)), r.normal(size=3), r.normal(size=3), r.normal(size=1), r.normal(size=9)]
+        p, u = r.normal(size=(6, 9)) + shift * np.sign(w[4]), r.normal(size=(8, 9)) - shift * np.sign(w[4])
+        good, bad = plain_risk(w, p, u, 0.6)
+        value, grads = quality._risk(w, p, u, 0.6, True)
+        assert abs(value - (good + max(0.0, bad))) < 1e-9
+        seen.add(bad < 0)
+        of = (lambda: sum(plain_risk(w, p, u, 0.6))) if bad >= 0 else (lambda: -plain_risk(w, p, u, 0.6)[1])
+        for a, g in zip(w, grads, strict=True):
+            for i in np.ndindex(a.shape):
+                was = a[i]
+                a[i] = was + 1e-5
+                up = of()
+                a[i] = was - 1e-5
+                down = of()
+                a[i] = was
+                assert abs((up - down) / 2e-5 - g[i]) < 1e-5
+    assert seen == {True, False}
+
+
+def test_ngrams_tell_what_the_shape_does_not(spark):
+    """Good and bad texts differ in their words alone, not in lengths, characters or lines."""
+    r = random.Random(9)
+    good, bad = ["abdo", "bodo", "dabo", "obda"], ["adob", "boda", "doba", "odab"]
+    rows = [(i, " ".join(r.choice(bad if i % 3 == 0 else good) for _ in range(40))) for i in range(1200)]
+    labels = [(i, int(i % 3 > 0)) for i in range(0, 1200, 2)]
+    got = quality.score_documents(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)).collect()
+    assert np.mean([(r.score >= 0.5) == (r.doc_id % 3 > 0) for r in got if r.held_out]) > 0.95
+    assert all(r.prior_estimated for r in got) and 0.5 < got[0].prior < 0.85
+
+
+def test_hashed_ngrams_are_counts():
+    seen = quality._Buckets()
+    text = "aa bb aa bb cc é"
+    one = quality.hashed_ngrams(text.encode(), text.split(), seen)
+    assert abs((one[:256] ** 2).sum() - 1) < 1e-9 and abs((one[256:] ** 2).sum() - 1) < 1e-9
+    assert np.allclose(one, quality.hashed_ngrams(text.encode(), text.split(), seen, step=3))
+    assert not quality.hashed_ngrams(b"", [], seen).any() and len(quality.features(None, seen)) == quality.WIDTH
+
+
+def test_a_prior_that_cannot_be_estimated_is_said(spark):
+    rows, _ = corpus(200)
+    got = quality.score_documents(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, 1) for i in range(10)], LABELS)).collect()
+    assert {(r.prior, r.prior_estimated) for r in got} == {(0.5, False)}
