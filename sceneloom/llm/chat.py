@@ -3,9 +3,15 @@
     {{ expr }}  {% for x in messages %}..{% endfor %}  {% if a %}..{% elif b %}..{% else %}..{% endif %}
     {% set x = expr %}  {% generation %}..{% endgeneration %}  {# comment #}
 
-Expressions: text and number literals, true, false, none, names, `a.b`, `a['b']`, `+ ~ == != < <= > >=
-in not and or`, and the filters of FILTERS. There are no calls, no attributes of Python objects, no
-unbounded loops: a template reads mappings that it is given and nothing else.
+Expressions: text and number literals, true, false, none, names, `a.b`, `a['b']`, `a[0]`, `a[-1]`, `+ ~ == != < <= > >=
+in not in and or`, and the filters of FILTERS. There are no calls, no attributes of Python objects, no
+unbounded loops: a template reads mappings that it is given and nothing else. Whatever goes wrong in it, on compiling or
+on rendering, is a TemplateError.
+
+A template that goes through `messages` once, in an outermost loop, has its turns streamed: no conversation has to fit
+into memory. One that looks at `messages` in another way too (`messages[0]`, `messages|length`, a second loop) gets
+them as a list, of WHOLE_CHARS code points at most; a longer conversation is then an error. A message has `role`, `text`
+(also as `content`) and `turn`.
 
 Rows of a conversation are taken by turn (nulls first, ties by role and text). Null roles and texts
 count as empty. Rows with a null conv_id make one conversation with a null id. Repeated rows are
@@ -44,13 +50,19 @@ def unguard(text: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], text, flags=re.S) if "\\" in text else text
 
 
+def _length(x) -> int:
+    if not isinstance(x, (str, list, dict)):
+        raise TemplateError("only texts, lists and mappings have a length")
+    return len(x)
+
+
 FILTERS: dict[str, Callable] = {
     "guard": guard,
     "guard_line": guard_line,
     "trim": lambda x: str(x).strip(),
     "upper": lambda x: str(x).upper(),
     "lower": lambda x: str(x).lower(),
-    "length": lambda x: len(x),
+    "length": _length,
     "string": lambda x: "" if x is None else str(x),
 }
 
@@ -94,8 +106,9 @@ class _Expression:
             at = m.end()
         self.at = 0
 
-    def peek(self) -> str | None:
-        return self.tokens[self.at][1] if self.at < len(self.tokens) and self.tokens[self.at][0] != "str" else None
+    def peek(self, ahead: int = 0) -> str | None:
+        i = self.at + ahead
+        return self.tokens[i][1] if i < len(self.tokens) and self.tokens[i][0] != "str" else None
 
     def take(self, *wanted: str) -> str | None:
         if self.peek() in wanted:
@@ -130,9 +143,14 @@ class _Expression:
 
     def compared(self) -> tuple:
         left = self.added()
-        while op := self.take(*_COMPARE):
-            left = (op, left, self.added())
-        return left
+        while True:
+            if self.peek() == "not" and self.peek(1) == "in":
+                self.at += 2
+                left = ("not", ("in", left, self.added()))
+            elif op := self.take(*_COMPARE):
+                left = (op, left, self.added())
+            else:
+                return left
 
     def added(self) -> tuple:
         left = self.postfix()
@@ -167,6 +185,9 @@ class _Expression:
             return ("const", re.sub(r"\\(.)", lambda m: _ESCAPES.get(m[1], m[1]), text[1:-1], flags=re.S))
         if kind == "name":
             return ("const", _LITERALS[text]) if text in _LITERALS else ("name", text)
+        if text == "-" and self.at < len(self.tokens) and self.tokens[self.at][0] == "num":
+            self.at += 1
+            return ("const", -int(self.tokens[self.at - 1][1]))
         if text == "(":
             out = self.either()
             self.need(")")
@@ -324,6 +345,8 @@ def _expression(node: tuple) -> Callable[[dict], object]:
             if isinstance(at, dict):
                 return at.get(k)
             if isinstance(at, (list, str)) and isinstance(k, int):
+                if not -len(at) <= k < len(at):
+                    raise TemplateError(f"no part {k} of {len(at)}")
                 return at[k]
             raise TemplateError("only mappings, lists and texts have parts")
 
@@ -393,7 +416,10 @@ def _statement(node: tuple, depth: int) -> Callable[[dict], Iterator]:
 
     def loop(env):
         inner = dict(env)
-        rows = iter(many(env) or ())
+        rows = many(env)
+        if isinstance(rows, (str, int, bool)):
+            raise TemplateError("only lists can be gone through")
+        rows = iter(rows or ())
         now = next(rows, _END)
         at = 0
         while now is not _END:
@@ -411,9 +437,37 @@ def _statement(node: tuple, depth: int) -> Callable[[dict], Iterator]:
 _END = object()
 
 
-def compile_template(template: str) -> Callable[[dict], Iterator]:
-    """A function from values (`messages` may be an iterator) to texts and markers, made of closures."""
-    return _statements(fold(parse(template)))
+def _uses(node, name: str) -> int:
+    """How often a name stands in a tree."""
+    if isinstance(node, tuple):
+        return int(node == ("name", name)) + sum(_uses(x, name) for x in node)
+    return sum(_uses(x, name) for x in node) if isinstance(node, list) else 0
+
+
+class Template:
+    """A compiled template: a function from values to texts and markers, made of closures.
+
+    streams: `messages` is gone through once, by an outermost loop, and may be an iterator.
+    """
+
+    def __init__(self, template: str):
+        try:
+            tree = fold(parse(template))
+            loops = sum(n[0] == "for" and n[2] == ("name", "messages") and not _uses(n[3], "messages") for n in tree)
+            self.streams = loops == _uses(tree, "messages") <= 1
+            self._run = _statements(tree)
+        except (RecursionError, TypeError, ValueError, IndexError, OverflowError) as e:
+            raise TemplateError(str(e) or type(e).__name__) from e
+
+    def __call__(self, env: dict) -> Iterator:
+        try:
+            yield from self._run(env)
+        except (RecursionError, TypeError, IndexError, KeyError, AttributeError, OverflowError) as e:
+            raise TemplateError(f"{type(e).__name__}: {e}") from e
+
+
+def compile_template(template: str) -> Template:
+    return Template(template)
 
 
 #: Turns between `<|im_start|>` and `<|im_end|>`; what assistants say is generation.
@@ -446,11 +500,27 @@ def _pieces(events: Iterator, limit: int) -> Iterator[tuple[str, list[tuple[int,
     yield "".join(parts), spans
 
 
-def format_conversations(conversations: DataFrame, template: str = CHATML, piece_chars: int = 1 << 20) -> DataFrame:
+#: Code points of a conversation that a template may look at as a whole.
+WHOLE_CHARS = 1 << 26
+
+
+def _whole(messages: Iterator[dict], most: int) -> list[dict]:
+    out, n = [], 0
+    for m in messages:
+        n += len(m["text"]) + len(m["role"])
+        if n > most:
+            raise TemplateError(f"a conversation has over {most} code points: a template that looks at all messages can't take it")
+        out.append(m)
+    return out
+
+
+def format_conversations(conversations: DataFrame, template: str = CHATML, piece_chars: int = 1 << 20, values: dict | None = None, whole_chars: int = WHOLE_CHARS) -> DataFrame:
     """conv_id, piece, text, loss: the formatted conversation and its generation spans in code points.
 
     A conversation of more than `piece_chars` comes in pieces (0, 1, ..), cut between turns, that
-    follow each other in a partition. Turns are streamed: no conversation has to fit into memory.
+    follow each other in a partition. values: what else the template may name (`bos_token`, `add_generation_prompt`..).
+    A conversation is one sequence, so its turns go to one task; they are streamed there unless the template looks at all
+    of them (whole_chars).
     """
     compile_template(template)  # errors show here, not in tasks
     rows = conversations.select(
@@ -465,8 +535,9 @@ def format_conversations(conversations: DataFrame, template: str = CHATML, piece
         out: list[tuple] = []
         size = 0
         for conv, own in itertools.groupby(turns, key=lambda r: r[0]):
-            messages = ({"role": r[2], "text": r[3], "turn": r[1]} for r in own)
-            for k, (text, spans) in enumerate(_pieces(run({"messages": messages}), piece_chars)):
+            messages = ({"role": r[2], "text": r[3], "content": r[3], "turn": r[1]} for r in own)
+            env = dict(values or {}) | {"messages": messages if run.streams else _whole(messages, whole_chars)}
+            for k, (text, spans) in enumerate(_pieces(run(env), piece_chars)):
                 out.append((conv, k, text, [{"start": a, "end": b} for a, b in spans]))
                 size += len(text)
                 if size >= 1 << 22:

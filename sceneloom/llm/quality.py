@@ -112,7 +112,7 @@ class Model:
 
 
 def _normal(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    return np.clip((x - mean) / scale, -6, 6)
+    return np.clip((x - mean) / scale, -6, 6).astype(np.float32)
 
 
 def _forward(w: list[np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,18 +146,21 @@ def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden:
     draws = np.random.RandomState(seed)
     d, deep = positive.shape[1], min(SHAPE, positive.shape[1])
     w = [draws.normal(0, deep**-0.5, (deep, hidden)), np.zeros(hidden), draws.normal(0, hidden**-0.5, hidden) * 0.1, np.zeros(1), np.zeros(d)]
+    w = [a.astype(np.float32) for a in w]
     m, v = [np.zeros_like(a) for a in w], [np.zeros_like(a) for a in w]
-    pull = [1e-4, 1e-4, 1e-4, 0.0, np.where(np.arange(d) < deep, 1e-4, 3e-3)]  # hashed n-grams are many and weak
+    weak = np.arange(d) >= deep  # hashed n-grams are many, and each tells little
+    pull = [1e-4, 1e-4, 1e-4, 0.0, np.where(weak, 3e-3, 1e-4).astype(np.float32)]
+    slow = np.where(weak, 0.2, 1.0).astype(np.float32)
     for t in range(1, steps + 1):
-        p = positive[draws.randint(0, len(positive), min(len(positive), 1024))]
-        u = unlabelled[draws.randint(0, len(unlabelled), min(len(unlabelled), 2048))]
+        p = positive[draws.randint(0, len(positive), min(len(positive), 256))]
+        u = unlabelled[draws.randint(0, len(unlabelled), min(len(unlabelled), 512))]
         rate = 0.02 * (1 - t / steps) + 0.0005
         for i, g in enumerate(_risk(w, p, u, prior, non_negative)[1]):
             g = g + pull[i] * w[i]
             m[i] = 0.9 * m[i] + 0.1 * g
             v[i] = 0.999 * v[i] + 0.001 * g * g
-            step = rate * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
-            w[i] = w[i] - (step if i < 4 else np.where(np.arange(d) < deep, step, step * 0.2))
+            step = np.float32(rate) * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
+            w[i] = w[i] - (step if i < 4 else step * slow)
     return w
 
 

@@ -65,3 +65,23 @@ def test_language():
 def test_the_sandbox_rejects(bad):
     with pytest.raises(chat.TemplateError):
         chat.compile_template(bad)
+
+
+def test_templates_that_look_at_all_messages(spark):
+    t = (
+        "{% if messages[0].role == 'system' %}[{{ messages[0]['content'] }}]{% endif %}{{ messages|length }}:{% for m in messages %}{% if m.role not in 'system' %}"
+        "{% for x in messages %}{% if x.turn == m.turn %}{{ loop.index }}{% endif %}{% endfor %}{{ m.text }}{% endif %}{% endfor %}{{ messages[-1].text }}{{ bos }}"
+    )
+    rows = [(1, 0, "system", "be"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (2, 0, "user", "c")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = {r.conv_id: r.text for r in chat.format_conversations(df, t, values={"bos": "!"}).collect()}
+    assert got == {1: "[be]3:2a3bb!", 2: "1:1cc!"}
+    assert not chat.compile_template(t).streams and chat.compile_template(chat.CHATML).streams
+    with pytest.raises(Exception, match="over 3 code points"):
+        chat.format_conversations(df, t, values={"bos": "!"}, whole_chars=3).collect()
+
+
+@pytest.mark.parametrize("template", ["{{ messages + 1 }}", "{{ messages[9] }}", "{{ 1|length }}", "{{ 1 < 'a' }}", "{% for x in 3 %}{% endfor %}", "{{ none + 1 }}", "{{ 3|upper|length < 'a' }}", "{{ " + "(" * 3000 + "1" + ")" * 3000 + " }}"])
+def test_what_goes_wrong_is_a_template_error(template):
+    with pytest.raises(chat.TemplateError):
+        list(chat.compile_template(template)({"messages": [{"role": "a", "text": "b"}]}))

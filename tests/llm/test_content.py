@@ -90,3 +90,53 @@ def test_many_open_elements_take_linear_time():
     began = time.process_time()
     content.tokens(page)
     assert time.process_time() - began < 20
+
+
+def test_long_lists_and_tables_do_not_cut_the_article():
+    links = "<ul>" + "".join(f'<li><a href="/{i}">Source number {i}</a></li>' for i in range(40)) + "</ul>"
+    table = "<table>" + "".join(f"<tr><td>row</td><td>{i}</td><td></td></tr>" for i in range(20)) + "</table>"
+    for middle, of in ((links, "Source number 17"), (table, "row")):
+        for tag in ("article", 'div class="post"', "div"):
+            before = WORDS if tag == "article" else f"{WORDS} " * 5  # without labels, what stands before must outweigh the list
+            page = f"<body><div><a href='/'>Home page</a></div><{tag}><h1>The head of it</h1><p>{before}</p>{middle}<p>Behind {WORDS * 5}</p></{tag.split()[0]}></body>"
+            got = content.extract(page)
+            assert got.startswith("The head of it\n\nSome words") and of in got and got.endswith(f"Behind {WORDS * 5}"), (tag, of)
+    tail = content.extract(f"<body><article><p>{WORDS}</p>{links}<p>Last words.</p></article><div>{links}</div></body>")
+    assert tail.endswith("Last words.") and tail.count("Source number 3\n") == 1
+
+
+def test_open_quotes_and_tags_take_linear_time():
+    import time
+
+    for unit in ('<a b="', "<p class='x", "<a <a ", "<textarea>", "<!-- ", "</ ", "<title>x", "<a<a<a", '<a b="c" '):
+        page = f"<p>{WORDS}</p>" + unit * (1_000_000 // len(unit))
+        began = time.process_time()
+        assert content.extract(page).startswith("Some words"), unit
+        assert time.process_time() - began < 8, unit
+
+
+def test_best_run_is_the_best_of_all_spans():
+    import random
+
+    r = random.Random(2)
+    for _ in range(400):
+        scores = [r.choice([-3.0, -1.0, -0.5, 0.0, 0.5, 1.0, 2.0]) for _ in range(r.randint(0, 14))]
+        a, b = content.best_run(scores)
+        spans = [(sum(scores[i:j]), -i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+        assert sum(scores[a:b]) == max([0.0, *(s for s, *_ in spans)])
+        if b:
+            ties = [(j, i) for s, i, j in spans if s == sum(scores[a:b])]
+            assert (b, -a) == min(ties)
+
+
+def test_class_words_are_learnt(spark):
+    """A word of the list that wraps articles, and one beside it that always stands outside them."""
+    body = f"<article><h1>The head</h1><p>{WORDS}</p></article>"
+    page = f'<body><div class="search"><div>{body}</div></div><div class="zork"><p>Read more of what else there is here today</p></div><div class="footer">end</div></body>'
+    w = content.learn_weights(spark.createDataFrame([(i, "u", page.replace("article", "ARTICLE") if i % 2 else page) for i in range(40)], PAGES))
+    assert w["class search"] > 0 > w["class zork"] and w["class footer"] < 0 and w["class ad"] == content.NAMED
+    plain = f'<body><div class="search"><p>{WORDS}</p></div><div><p>{WORDS}</p></div><div class="zork"><p>Read more of what else there is</p></div></body>'
+    assert content.extract(plain, w) == f"{WORDS}\n\n{WORDS}"
+    assert content.extract(plain) == f"{WORDS}\n\nRead more of what else there is"
+    for name in ("search-results", "social-history"):
+        assert content.extract(f'<body><div class="{name}"><h1>The head of it</h1><p>{WORDS}</p></div></body>') == f"The head of it\n\n{WORDS}"
