@@ -58,6 +58,11 @@ def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5's search: every document whose id is divisible by 100 against all, partitioned and pruned by length."""
+    return spotsigs.nearest(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_normalise": op3_warc_normalise,
     "op4_html_extract": op4_html_extract,
     "op5_spotsigs": op5_spotsigs,
+    "op5_nearest": op5_nearest,
     "op6_quality_pu": op6_quality_pu,
     "op7_ngram_join": op7_ngram_join,
     "op8_shard_tree": op8_shard_tree,

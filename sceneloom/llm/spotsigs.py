@@ -5,6 +5,10 @@ within the next SPAN words. The set of a text's hashed signatures is its fingerp
 Jaccard measure of two sets. A text with no such chain takes its words as chains of one; a text without
 words (null, empty) has the empty set, whose likeness is 1 to another empty set and 0 to any other.
 
+search() finds near documents as the method has it: sets are partitioned by length, and only those that share a rare
+signature are compared. fingerprint_documents() compares the two pairs that it is asked for. There a text's signatures are
+worked out where it is the next one and again where it is its own: carrying them along would shuffle the texts twice.
+
 Equal texts have equal fingerprints. Documents are ordered by (doc_id, hash of the text), nulls first.
 Rows that repeat doc_id and text share their results, with the next different row as their next one; all
 of them are returned. A lone document is its own next one. Other columns are ignored.
@@ -104,28 +108,58 @@ def length_class(n: Column, threshold: float) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(-math.log(threshold)) + 1e-9).cast("int")
 
 
-def _sets(documents: DataFrame) -> DataFrame:
-    """A row for each distinct set, and which documents have it."""
-    text = F.col("text").cast("string")
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), signatures(text).alias("sigs")).withColumn("set_key", F.xxhash64("sigs"))
+#: Counters of how often signatures occur, each shared by those with its remainder: a bounded table.
+COUNTERS = 1 << 16
+
+
+def _sets(documents: DataFrame, name: str) -> DataFrame:
+    """doc_id, sigs, set_key of each document with a signature; equal sets have equal keys."""
+    sets = documents.select(F.col("doc_id").cast("long").alias("doc_id"), signatures(F.col("text").cast("string")).alias("sigs"))
+    return written(sets.filter(F.size("sigs") > 0).withColumn("set_key", F.md5(F.array_join("sigs", ","))), name)
+
+
+def _frequencies(sets: DataFrame) -> DataFrame:
+    """One row: an array with how many distinct sets have a signature of each counter."""
+    counts = sets.select(F.explode("sigs").alias("s")).groupBy(F.pmod("s", F.lit(COUNTERS)).cast("int").alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    every = sets.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("at")).join(counts, "at", "left")
+    return every.agg(F.transform(F.sort_array(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n")))), lambda x: x["n"]).alias("frequency"))
 
 
 def search(queries: DataFrame, documents: DataFrame, threshold: float = 0.8) -> DataFrame:
     """query_id, doc_id, likeness: for each query all documents with a likeness of the threshold or more.
 
-    Sets are partitioned by length; in a partition a query meets the sets that share one of its first signatures:
-    of n, in order, n - ceil(threshold * n) + 1 must hold one that both have. Equal sets are compared once. Queries
-    are a stated set; texts without words match nothing. Repeated rows give repeated results.
+    Sets are partitioned by length; in a partition a query meets the sets that share one of its first signatures,
+    rarest first: of n, n - ceil(threshold * n) + 1 must hold one that both have. How rare they are is counted over all
+    documents in a table of fixed size; that two signatures share a counter changes their order alone, which is the same
+    for all sets. Equal sets are compared once, and sets whose lengths rule it out aren't. Queries are a stated set; texts
+    without words match nothing. Repeated rows give repeated results.
     """
-    first = lambda s: F.slice(s, 1, F.size(s) - F.ceil(F.size(s) * F.lit(threshold) - 1e-9).cast("int") + 1)
-    q = written(_sets(queries).filter(F.size("sigs") > 0), "spot-queries")
-    d = written(_sets(documents).filter(F.size("sigs") > 0), "spot-documents")
-    qs = q.select(F.col("set_key").alias("q_key"), F.col("sigs").alias("q_sigs")).dropDuplicates(["q_key"])
-    ds = d.select(F.col("set_key").alias("d_key"), F.col("sigs").alias("d_sigs")).dropDuplicates(["d_key"])
-    own = length_class(F.size("q_sigs"), threshold)
-    probes = qs.select("q_key", F.size("q_sigs").alias("q_n"), F.explode(F.array(own - 1, own, own + 1)).alias("cls"), first(F.col("q_sigs")).alias("f")).withColumn("sig", F.explode("f")).drop("f")
-    index = ds.select("d_key", F.size("d_sigs").alias("d_n"), length_class(F.size("d_sigs"), threshold).alias("cls"), first(F.col("d_sigs")).alias("f")).withColumn("sig", F.explode("f")).drop("f")
-    met = probes.join(index, ["cls", "sig"]).filter(F.least("q_n", "d_n") >= F.greatest("q_n", "d_n") * F.lit(threshold) - 1e-9).select("q_key", "d_key").distinct()
-    near = met.join(qs, "q_key").join(ds, "d_key").select("q_key", "d_key", likeness(F.col("q_sigs"), F.col("d_sigs"), threshold).alias("likeness")).filter(F.col("likeness") >= threshold - 1e-12)
-    by_query = q.select(F.col("doc_id").alias("query_id"), F.col("set_key").alias("q_key")).join(near, "q_key")
-    return by_query.join(d.select("doc_id", F.col("set_key").alias("d_key")), "d_key").select("query_id", "doc_id", "likeness")
+    q, d = _sets(queries, "spot-queries"), _sets(documents, "spot-documents")
+    qs, ds = q.select("set_key", "sigs").dropDuplicates(["set_key"]), written(d.select("set_key", "sigs").dropDuplicates(["set_key"]), "spot-sets")
+    frequency = written(_frequencies(ds), "spot-frequencies")
+
+    def first(sets: DataFrame, key: str) -> DataFrame:
+        """A row for each of a set's first signatures."""
+        ranked = F.transform("sigs", lambda s: F.struct(F.get("frequency", F.pmod(s, F.lit(COUNTERS)).cast("int")).alias("n"), s.alias("s")))
+        few = F.slice(F.sort_array(ranked), 1, F.size("sigs") - F.ceil(F.size("sigs") * F.lit(threshold) - 1e-9).cast("int") + 1)
+        rows = sets.withColumn("frequency", frequency.scalar()).select(F.col("set_key").alias(key), F.size("sigs").alias(f"{key}_n"), few.alias("few"))
+        return rows.select(key, f"{key}_n", F.explode("few.s").alias("sig"))
+
+    own = length_class(F.col("q_n"), threshold)
+    probes = first(qs, "q").withColumn("cls", F.explode(F.array(own - 1, own, own + 1)))
+    index = first(ds, "d").withColumn("cls", length_class(F.col("d_n"), threshold))
+    met = probes.join(index, ["cls", "sig"]).filter(F.least("q_n", "d_n") >= F.greatest("q_n", "d_n") * F.lit(threshold) - 1e-9).select("q", "d").distinct()
+    both = met.join(qs.select(F.col("set_key").alias("q"), F.col("sigs").alias("q_sigs")), "q").join(ds.select(F.col("set_key").alias("d"), F.col("sigs").alias("d_sigs")), "d")
+    near = both.select("q", "d", likeness(F.col("q_sigs"), F.col("d_sigs"), threshold).alias("likeness")).filter(F.col("likeness") >= threshold - 1e-12)
+    by_query = q.select(F.col("doc_id").alias("query_id"), F.col("set_key").alias("q")).join(near, "q")
+    return by_query.join(d.select("doc_id", F.col("set_key").alias("d")), "d").select("query_id", "doc_id", "likeness")
+
+
+def nearest(documents: DataFrame, every: int = 100, threshold: float = 0.8) -> DataFrame:
+    """query_id, n_near, near_id, likeness of each document whose id `every` divides: how many other ids are near, and the
+    most alike of them, the least id of equal ones; null where there is none."""
+    queries = documents.filter(F.col("doc_id") % every == 0)
+    found = search(queries, documents, threshold).filter("query_id <> doc_id").distinct()
+    best = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_near"), F.max_by("doc_id", F.struct("likeness", -F.col("doc_id"))).alias("near_id"), F.max("likeness").alias("likeness"))
+    ids = queries.select(F.col("doc_id").cast("long").alias("query_id")).distinct()
+    return ids.join(best, "query_id", "left").select("query_id", F.coalesce("n_near", F.lit(0)).alias("n_near"), "near_id", "likeness")

@@ -82,3 +82,28 @@ def test_search_against_all_pairs(spark):
         got = sorted((x.query_id, x.doc_id) for x in spotsigs.search(queries, docs, t).collect())
         want = sorted((a, b) for a, x in rows if a % 20 == 0 and x for b, y in rows if y and jaccard(chains(x), chains(y)) >= t - 1e-12)
         assert got == want
+
+
+def test_nearest_against_all_pairs(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(spotsigs, "COUNTERS", 64)  # counters that many signatures share change nothing
+    r = random.Random(4)
+    hot = [r.choice(["the", "of", "and"]) if i % 3 == 0 else f"h{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        w = list(hot) if i % 3 == 0 else [r.choice(["the", "of", f"v{r.randrange(90)}"]) for _ in range(r.randint(1, 80))]
+        if i % 2:
+            w[r.randrange(len(w))] = "other"
+        rows.append((i * 5, " ".join(w)))
+    rows += [rows[0], (7, rows[0][1]), (None, rows[0][1]), (1000, None), (1100, "")]
+    df = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 AS set_key", "2 AS sigs", "3 AS frequency")
+    got = {x.query_id: (x.n_near, x.near_id, x.likeness) for x in spotsigs.nearest(df).collect()}
+    for q, t in {(d, t) for d, t in rows if d is not None and d % 100 == 0}:
+        near = {(jaccard(chains(t), chains(x)), -d) for d, x in rows if t and x and d not in (None, q)}
+        near = [(s, d) for s, d in near if s >= 0.8 - 1e-12]
+        best = max(near, default=None)
+        assert got[q][:2] == (len(near), -best[1] if best else None) and (not best or abs(got[q][2] - best[0]) < 1e-9)
+    assert set(got) == {d for d, _ in rows if d is not None and d % 100 == 0}
+    assert not re.search("Python|Arrow|Pandas", spotsigs.nearest(df.cache())._jdf.queryExecution().toString())
+    assert spotsigs.nearest(spark.createDataFrame([], DOCS)).count() == 0
