@@ -52,10 +52,18 @@ def key_frame_score(stability: Column, sharpness: Column, entropy: Column, brigh
 
 
 def square_crop(x1: Column, y1: Column, x2: Column, y2: Column, width: Column, height: Column, scale: float = 1.3) -> Column:
-    """struct(x, y, side): a square around a box, larger by scale, shifted into the frame."""
-    side = F.least((F.greatest(x2 - x1, y2 - y1) * scale).cast("int"), width, height)
-    place = lambda lo, hi, most: F.greatest(F.lit(0), F.least(((lo + hi) / 2 - side / 2).cast("int"), most - side))
-    return F.struct(place(x1, x2, width).alias("x"), place(y1, y2, height).alias("y"), side.alias("side"))
+    """struct(x1, y1, x2, y2): the square around a box's centre whose side is the box's longer one times scale, moved
+    into the frame; corners are cut to whole pixels last. A square larger than the frame sticks out on the near side."""
+    side = F.greatest(x2 - x1, y2 - y1) * F.lit(scale)
+
+    def place(lo: Column, hi: Column, most: Column) -> tuple[Column, Column]:
+        first = (lo + hi) / 2.0 - side / 2.0
+        last = F.when(first < 0, first + side - first).otherwise(first + side)
+        first = F.greatest(first, F.lit(0.0))
+        return F.when(last > most, first - (last - most)).otherwise(first).cast("int"), F.least(last, most.cast("double")).cast("int")
+
+    (left, right), (top, bottom) = place(x1, x2, width), place(y1, y2, height)
+    return F.struct(left.alias("x1"), top.alias("y1"), right.alias("x2"), bottom.alias("y2"))
 
 
 def padded_box(x1: Column, y1: Column, x2: Column, y2: Column, width: Column, height: Column, pad: float = 1.0) -> Column:
@@ -76,13 +84,12 @@ def visual_tokens(width: Column, height: Column, patch: int = 32) -> Column:
 
 
 def work_size(width: Column, height: Column, short: int = 960) -> Column:
-    """struct(w, h): the short side at most `short`, the long one scaled by integers and made even."""
+    """struct(w, h): the shorter side becomes `short`, also where it was smaller, the longer one keeps the ratio, cut to
+    a whole number; odd ones become even."""
     wide = width >= height
-    long_side, short_side = F.greatest(width, height), F.least(width, height)
-    s = F.least(short_side, F.lit(short))
-    scaled = F.expr("0") + F.floor(long_side * s / short_side).cast("int")
+    scaled = F.floor(F.greatest(width, height).cast("long") * short / F.least(width, height)).cast("int")
     even = lambda x: (x + F.pmod(x, F.lit(2))).cast("int")
-    return F.struct(F.when(wide, even(scaled)).otherwise(even(s)).alias("w"), F.when(wide, even(s)).otherwise(even(scaled)).alias("h"))
+    return F.struct(even(F.when(wide, scaled).otherwise(short)).alias("w"), even(F.when(wide, F.lit(short)).otherwise(scaled)).alias("h"))
 
 
 def fps_of(avg: Column, real: Column, time_base: Column) -> Column:

@@ -96,12 +96,25 @@ def split_once(text: Column, sep: str) -> Column:
     return F.struct(F.when(at > 0, F.substring_index(text, sep, 1)).otherwise(text).alias("head"), F.when(at > 0, F.substr(text, at + F.lit(len(sep)))).otherwise("").alias("tail"))
 
 
+# Words of a transcript.
+NOBODY, PICTURES, LINES, NOTHING = "无", "画面", "对白", "(None)"
+
+
 def scene_text(scene: Column, persons: Column, pictures: Column, lines: Column) -> Column:
-    """F8: a scene's paragraph of a transcript."""
-    who = F.when(F.size(persons) > 0, F.concat(F.lit(" [persons: "), F.array_join(persons, ", "), F.lit("]"))).otherwise("")
-    seen = F.when(F.size(pictures) > 0, F.concat(F.lit("\n  画面:"), F.array_join(pictures, "; "))).otherwise("")
-    said = F.when(F.size(lines) > 0, F.concat(F.lit("\n  对白:"), F.array_join(lines, "; "))).otherwise("")
-    return F.concat(F.lit("Scene"), scene.cast("string"), who, seen, said)
+    """F8: a scene's paragraph of a transcript: who is there, what is seen and what is said, a line each.
+
+    `SPK|text` is written `SPK: text`; a line without `|` stays. A scene with neither pictures nor lines says so.
+    """
+    listed = lambda title, rows: F.when(F.size(rows) > 0, F.concat(F.lit(f"\n  {title}:\n    "), F.array_join(rows, "\n    "))).otherwise("")
+    who = F.when(F.size(persons) > 0, F.array_join(persons, ",")).otherwise(NOBODY)
+    said = F.transform(lines, lambda x: F.when(F.instr(x, "|") > 0, F.concat(split_once(x, "|")["head"], F.lit(": "), split_once(x, "|")["tail"])).otherwise(x))
+    nothing = F.when((F.size(pictures) > 0) | (F.size(lines) > 0), "").otherwise(f"\n  {NOTHING}")
+    return F.concat(F.lit("Scene"), scene.cast("string"), F.lit(" [persons: "), who, F.lit("]"), listed(PICTURES, pictures), listed(LINES, said), nothing)
+
+
+def transcript(paragraphs: Column) -> Column:
+    """F8: a video's paragraphs, an empty line between them."""
+    return F.array_join(paragraphs, "\n\n")
 
 
 def fill_prompt(template: Column, values: dict[str, Column]) -> Column:

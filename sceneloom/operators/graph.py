@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .relational import ranked
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", most_rounds: int = 60) -> DataFrame:
@@ -30,9 +31,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
 def named_clusters(components: DataFrame) -> DataFrame:
     """Cluster names c001, c002, .. by size, then by least member: id, component, cluster, size."""
     sizes = components.groupBy("component").agg(F.count(F.lit(1)).cast("int").alias("size")).filter("size > 1")
-    # one row for each cluster
-    ranked = sizes.withColumn("cluster", F.format_string("c%03d", F.row_number().over(Window.orderBy(F.col("size").desc(), "component"))))
-    return components.join(ranked, "component").select("id", "component", "cluster", "size")
+    order = ranked(sizes, [F.col("size").desc(), F.col("component")])
+    return components.join(order.withColumn("cluster", F.format_string("c%03d", "rank")).drop("rank"), "component").select("id", "component", "cluster", "size")
 
 
 def persons(ids: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
@@ -43,19 +43,27 @@ def persons(ids: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
     return ids.select(F.col(id_col).alias("id")).join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("person"))
 
 
+#: A half of the ids moves at a time: those whose id times MIX plus the round times STEP has this bit unset.
+MIX, STEP, BIT = 40503, 26501, 64
+
+
 def whispers(edges: DataFrame, rounds: int = 20) -> DataFrame:
-    """Id, label. In each round every id takes the label with the most weight among its neighbours and itself
-    (ties: the least). All ids change at once, from a fixed start, so that runs agree; the original's random order
-    doesn't."""
+    """Id, label (int64 ids). An id takes the label with the most weight among its neighbours, ties the least one.
+
+    The original goes through the ids in a random order, each seeing what the ones before it did. If all moved at once,
+    two linked ids would swap their labels for ever. So in each of 2 * `rounds` turns about a half of the ids may move, by
+    a rule on id and turn that deals linked ids apart sooner or later; runs agree. It ends when no id would move.
+    """
     one = edges.select("src", "dst", F.col("cos").alias("w"))
-    both = written(one.union(one.select("dst", "src", "w")).union(one.select("src", "src", F.lit(1e-9))).union(one.select("dst", "dst", F.lit(1e-9))).groupBy("src", "dst").agg(F.max("w").alias("w")), "whisper-edges")
-    labels = both.select(F.col("src").alias("id")).distinct().withColumn("label", F.col("id"))
-    for _ in range(rounds):
+    both = written(one.union(one.select("dst", "src", "w")).groupBy("src", "dst").agg(F.max("w").alias("w")), "whisper-edges")
+    labels = written(both.select(F.col("src").alias("id")).distinct().withColumn("label", F.col("id")), "whisper-labels")
+    for turn in range(2 * rounds):
         votes = both.join(labels, both["dst"] == labels["id"]).groupBy("src", "label").agg(F.sum("w").alias("w"))
-        new = written(votes.groupBy("src").agg(F.max_by("label", F.struct(F.round("w", 9), -F.col("label"))).alias("label")).select(F.col("src").alias("id"), "label"), "whisper-labels")
-        moved = new.join(labels.select("id", F.col("label").alias("was")), "id").filter("label <> was")
-        settled = moved.isEmpty()
-        labels = new
-        if settled:
+        best = votes.groupBy("src").agg(F.max_by("label", F.struct(F.round("w", 9), -F.col("label"))).alias("best"))
+        may = F.pmod(F.floor(F.pmod(F.col("id") * MIX + turn * STEP, F.lit(1 << 20)) / BIT), F.lit(2)) == 0
+        new = labels.join(best, labels["id"] == best["src"]).select("id", F.col("best").alias("would"), F.col("label").alias("was"), F.when(may, F.col("best")).otherwise(F.col("label")).alias("label"))
+        new = written(new, "whisper-labels")
+        labels = new.select("id", "label")
+        if new.filter("would <> was").isEmpty():
             break
     return labels

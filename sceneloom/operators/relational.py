@@ -164,20 +164,50 @@ def persons_of_scenes(intervals: DataFrame, key: list[str], person: str) -> Data
     return rows.groupBy(*key, "scene").agg(F.sort_array(F.collect_list(person)).alias("persons"))
 
 
-def scenes(survivors: DataFrame, black_runs: DataFrame, key: list[str], order: str, shot: str) -> DataFrame:
-    """Scenes of frames that survived: neighbours of a shot with no black run between them; each black run is
-    a scene of its own. key, scene, start, end, frames, black; by start, other scenes before black ones."""
-    from .interval import first_interval
-
-    runs = black_runs.select(*key, F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("start").alias("_run"))
-    inside = first_interval(survivors.select(*key, order, shot), runs.withColumn("_o", F.col("_s")), key, order, order, "_s", "_e", "_o", "_run", 64)
+def scenes(survivors: DataFrame, black_runs: DataFrame, shots: DataFrame, key: list[str], order: str, shot: str) -> DataFrame:
+    """Scenes of frames that survived, in time order: neighbours of a shot with no black run between them; each
+    black run that touches a shot is a scene of its own. Survivors of a shot merge within it, so a scene's merged shots are
+    that one.
+
+    shots: (key, shot, start, end). Returns key, scene, start, end (of the shot, or of the black run), n_shots (of a black
+    scene, the shots that it touches), key_frame, frames (survivors; of a black scene, those within it), black. Scenes stand
+    by their first frame, black ones by their run's start.
+    """
+    from .interval import first_interval, overlapping
+
+    touched = overlapping(black_runs.select(*key, F.col("start").alias("_s"), F.col("end").alias("_e")), shots.select(*key, shot, "start", "end"), key, ("_s", "_e"), ("start", "end"), 64)
+    runs = touched.groupBy(*key, "_s", "_e").agg(F.countDistinct(shot).cast("int").alias("n_shots"))
+    inside = first_interval(survivors.select(*key, order, shot), black_runs.select(*key, F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("start").alias("_run")).withColumn("_o", F.col("_s")), key, order, order, "_s", "_e", "_o", "_run", 64)
     clear = inside.filter("_run IS NULL").drop("_run")
-    marks = clear.select(*key, F.col(order).alias("_t"), shot, F.lit(0).alias("_black")).unionByName(runs.select(*key, F.col("_s").alias("_t"), F.lit(None).cast(clear.schema[shot].dataType).alias(shot), F.lit(1).alias("_black")))
+    marks = clear.select(*key, F.col(order).alias("_t"), shot, F.lit(0).alias("_black")).unionByName(black_runs.select(*key, F.col("start").alias("_t"), F.lit(None).cast(clear.schema[shot].dataType).alias(shot), F.lit(1).alias("_black")))
     w = Window.partitionBy(*key).orderBy("_t", F.col("_black").desc())
     counted = marks.withColumn("_passed", F.sum("_black").over(w)).filter("_black = 0")
     row, before = F.struct(shot, "_passed"), F.lag(F.struct(shot, "_passed")).over(Window.partitionBy(*key).orderBy("_t"))
     grouped = counted.withColumn("_new", F.when(before.isNull() | ~row.eqNullSafe(before), 1).otherwise(0)).withColumn("_g", F.sum("_new").over(Window.partitionBy(*key).orderBy("_t")))
-    normal = grouped.groupBy(*key, "_g").agg(F.min("_t").alias("start"), F.max("_t").alias("end"), F.sort_array(F.collect_list("_t")).alias("frames")).withColumn("black", F.lit(False)).drop("_g")
-    dark = runs.select(*key, F.col("_s").alias("start"), F.col("_e").alias("end")).withColumn("frames", F.array().cast(normal.schema["frames"].dataType)).withColumn("black", F.lit(True))
+    normal = grouped.groupBy(*key, "_g", shot).agg(F.min("_t").alias("key_frame"), F.sort_array(F.collect_list("_t")).alias("frames")).drop("_g").join(shots.select(*key, shot, "start", "end"), [*key, shot])
+    normal = normal.select(*key, F.col("key_frame").alias("_at"), "start", "end", F.lit(1).alias("n_shots"), "key_frame", "frames", F.lit(False).alias("black"))
+    kept = inside.filter("_run IS NOT NULL").groupBy(*key, F.col("_run").alias("_s")).agg(F.sort_array(F.collect_list(order)).alias("frames"))
+    dark = runs.join(kept, [*key, "_s"], "left").select(*key, F.col("_s").alias("_at"), F.col("_s").alias("start"), F.col("_e").alias("end"), "n_shots", F.col("_s").alias("key_frame"), F.coalesce("frames", F.array().cast(normal.schema["frames"].dataType)).alias("frames"), F.lit(True).alias("black"))
     every = normal.unionByName(dark)
-    return every.withColumn("scene", (F.row_number().over(Window.partitionBy(*key).orderBy("start", "black")) - 1).cast("int")).select(*key, "scene", "start", "end", "frames", "black")
+    return every.withColumn("scene", (F.row_number().over(Window.partitionBy(*key).orderBy("_at", "black")) - 1).cast("int")).select(*key, "scene", "start", "end", "n_shots", "key_frame", "frames", "black")
+
+
+def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Numbers all rows from 1 by `order`: ranges of it are numbered apart and shifted by the counts of those before, so
+    that no task sorts all rows. The only window without a key has a row for each range."""
+    from ..session import written
+
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id()), "ranked")
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    shifts = counts.select("_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_shift"))
+    own = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+    return own.join(F.broadcast(shifts), "_pid").withColumn(name, F.col("_rn") + F.col("_shift")).drop("_pid", "_rn", "_shift")
+
+
+def decoded_totals(headers: DataFrame, frames: DataFrame, key: list[str], total: str, least: int = 2) -> DataFrame:
+    """ST5: headers with `total` lowered to the frames that were decoded; a video with fewer than `least` is an error."""
+    counts = frames.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.least(F.col(total), F.coalesce("_n", F.lit(0))).cast(headers.schema[total].dataType)
+    checked = F.when(n >= least, n).otherwise(F.raise_error(F.concat(F.lit("too few frames of "), F.to_json(F.struct(*key)))).cast(headers.schema[total].dataType))
+    return headers.join(counts, key, "left").withColumn(total, checked).drop("_n")

@@ -22,16 +22,34 @@ def st2_stream_cuts(spark, sf_dir):
     return out.select("video", "frame", F.round("mafd", 6).alias("mafd"), F.round("score", 6).alias("score"))
 
 
+def with_totals(events, spark, sf_dir):
+    """A stream of events as frames, with the number of frames that each video's header names."""
+    headers = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("video")).agg(F.count(F.lit(1)).cast("int").alias("total"))
+    return events.select(F.col("user_id").alias("video"), "event_id", "value").join(headers, "video")
+
+
 @query(
     "st3_stream_shots",
     """WITH {fr}, m AS (SELECT *, coalesce(abs(value - lag(value) OVER w), 0.0) AS mafd, lag(value) OVER w AS pv FROM fr WINDOW w AS (PARTITION BY video ORDER BY frame)),
 sc AS (SELECT *, CASE WHEN pv IS NULL THEN 0.0 ELSE least(greatest(least(mafd, abs(mafd - lag(mafd, 1, 0.0) OVER (PARTITION BY video ORDER BY frame))), 0.0), 100.0) END AS score FROM m),
-c AS (SELECT video, frame - 1 AS cut FROM sc WHERE score >= 40 AND frame - 1 > 0)
-SELECT video, CAST(row_number() OVER w - 1 AS INTEGER) AS shot, CAST(lag(cut, 1, 0) OVER w AS INTEGER) AS "start", cut - 1 AS "end" FROM c WINDOW w AS (PARTITION BY video ORDER BY cut)""",
+c AS (SELECT video, 0 AS b, total FROM fr WHERE frame = 0 UNION SELECT video, frame - 1, total FROM sc WHERE score >= 40 AND frame - 1 > 0)
+SELECT video, CAST(row_number() OVER w - 1 AS INTEGER) AS shot, CAST(b AS INTEGER) AS "start", CAST(lead(b, 1, total) OVER w - 1 AS INTEGER) AS "end" FROM c WINDOW w AS (PARTITION BY video ORDER BY b)""",
 )
 def st3_stream_shots(spark, sf_dir):
     events = online.event_stream(spark, f"{sf_dir}/events.parquet")
-    return online.run_to_end(online.stream_shots(events.select(F.col("user_id").alias("video"), "event_id", "value"), "video", "event_id", "value", 40.0), "st3")
+    return online.run_to_end(online.stream_shots(with_totals(events, spark, sf_dir), "video", "event_id", "value", 40.0, "total"), "st3")
+
+
+@query(
+    "st2_stream_dark_runs",
+    """WITH {fr}, dk AS (SELECT video, frame, total, frame - row_number() OVER (PARTITION BY video ORDER BY frame) AS run FROM fr WHERE value < 20),
+r AS (SELECT video, min(frame) AS s, max(frame) AS e, max(frame) = max(total) - 1 AS last FROM dk GROUP BY video, run)
+SELECT video, s AS "start", e AS "end" FROM r WHERE CASE WHEN last THEN e - s >= 2 ELSE e + 1 - s >= 2 END""",
+)
+def st2_stream_dark_runs(spark, sf_dir):
+    """ST2, W2: dark runs from a stream, whose state is an open run's first frame."""
+    events = online.event_stream(spark, f"{sf_dir}/events.parquet")
+    return online.run_to_end(online.stream_dark_runs(with_totals(events, spark, sf_dir), "video", "event_id", "value", 20.0, 2, "total"), "st2-dark")
 
 
 @query("k1_artifacts", f'WITH {{fr}}, {SHOTS_SQL} SELECT CAST(video AS BIGINT) AS video, CAST(shot AS INTEGER) AS shot, "start", CAST("end" AS INTEGER) AS "end" FROM shots')
@@ -94,3 +112,48 @@ def e3_assembled(spark, sf_dir):
     scenes = inside.groupBy("video", "shot").agg(F.sort_array(F.collect_set("kind")).alias("persons"), F.transform(F.sort_array(F.collect_list(said)), lambda x: x["line"]).alias("lines"), F.min("start").alias("start"))
     described = fr.filter("value > 150").select("video", F.col("frame").alias("at"), F.concat(F.lit("d"), F.col("frame").cast("string")).alias("txt"))
     return interval.as_of(scenes, described, ["video"], "start", "at", "txt", name="picture").select("video", "shot", "persons", "lines", "picture")
+
+
+@query(
+    "s10_subtitles",
+    """SELECT doc_id, '/in/' || source || '/Clip' || doc_id || '.mp4' AS path, '/in/' || source || '/Clip' || doc_id || CASE doc_id % 6 WHEN 0 THEN '.srt' WHEN 1 THEN '.ass' WHEN 2 THEN '.ass' WHEN 3 THEN '.SRT' END AS subtitle FROM documents""",
+)
+def s10_subtitles(spark, sf_dir):
+    """Subtitles of the same folder and stem; of several `.srt`, then `.ass`, then endings in another case."""
+    i, clip = F.col("doc_id") % 6, F.concat(F.lit("/in/"), "source", F.lit("/Clip"), F.col("doc_id").cast("string"))
+    videos = table(spark, sf_dir, "documents").select("doc_id", F.concat(clip, F.lit(".mp4")).alias("path"))
+    names = F.when(i == 0, F.array(F.lit(".ass"), F.lit(".srt"))).when(i == 1, F.array(F.lit(".ass"))).when(i == 2, F.array(F.lit(".SRT"), F.lit(".ass"))).when(i == 3, F.array(F.lit(".SRT"), F.lit(".txt"))).otherwise(F.array(F.lit("b.srt")))
+    found = table(spark, sf_dir, "documents").select(F.explode(F.transform(names, lambda e: F.concat(clip, e))).alias("path"))
+    other = table(spark, sf_dir, "documents").filter("doc_id % 6 = 5").select(F.lower(clip).alias("path")).withColumn("path", F.concat("path", F.lit(".srt")))
+    return files.subtitles_for(videos, found.union(other)).select("doc_id", "path", "subtitle")
+
+
+@query("k5_transcripts", "SELECT role, conv_id || ' ' || turn || ' ' || replace(replace(text, chr(10), ' '), chr(13), ' ') AS line FROM conversations")
+def k5_transcripts(spark, sf_dir):
+    """K5: lines written as text files in order, a folder for each key, and read again."""
+    path = f"{shared_folder(spark)}/transcripts-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "conversations").withColumn("line", F.concat_ws(" ", F.col("conv_id").cast("string"), F.col("turn").cast("string"), F.translate("text", "\n\r", "  ")))
+    sinks.write_transcript(rows.select("role", "conv_id", "turn", "line"), ["role"], ["conv_id", "turn"], "line", path)
+    return spark.read.schema("value string, role string").text(path).select("role", F.col("value").alias("line"))
+
+
+@query(
+    "p22_best_track",
+    """WITH t AS (SELECT p_size, p_partkey, ['H264', 'hevc', 'AV1', 'vp9', 'theora', 'vc1', NULL][p_partkey % 7 + 1] AS codec FROM part), k AS (SELECT *, list_position(['h264', 'hevc', 'av1', 'vp9', 'vp8', 'mpeg2', 'vc1'], lower(codec)) AS r FROM t)
+SELECT p_size, p_partkey, codec FROM k WHERE r > 0 QUALIFY row_number() OVER (PARTITION BY p_size ORDER BY r, p_partkey) = 1""",
+)
+def p22_best_track(spark, sf_dir):
+    """Of a file's tracks that with the preferred codec; unknown ones don't count."""
+    codec = F.element_at(F.array(*[F.lit(c) for c in ("H264", "hevc", "AV1", "vp9", "theora", "vc1", None)]), (F.col("p_partkey") % 7 + 1).cast("int"))
+    tracks = table(spark, sf_dir, "part").select("p_size", "p_partkey", codec.alias("codec"))
+    return files.best_track(tracks.filter(files.known_codec(F.col("codec"))), ["p_size"], "codec", "p_partkey")
+
+
+@query("s16_picture_sizes", "SELECT p_partkey, CASE WHEN p_partkey % 5 <> 4 THEN p_size * 32 END AS width, CASE WHEN p_partkey % 5 <> 4 THEN p_size + 1000 END AS height FROM part")
+def s16_picture_sizes(spark, sf_dir):
+    """Sizes from the frame headers of JPEG files, of which some have none."""
+    number = lambda c: F.lpad(F.hex(c.cast("int")), 4, "0")
+    head = F.concat(F.lit("FFD8FFE000104A46494600010100000100010000FFC2001108"), number(F.col("p_size") + 1000), number(F.col("p_size") * 32), F.lit("0301220002110103110100"))
+    content = F.unhex(F.when(F.col("p_partkey") % 5 == 4, F.lit("FFD8FFD9")).otherwise(head))
+    size = table(spark, sf_dir, "part").select("p_partkey", files.jpeg_size(content).alias("s"))
+    return size.select("p_partkey", "s.width", "s.height")

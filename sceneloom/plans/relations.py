@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 
 
+from ..functions import numeric as N
 from ..operators import folds, graph, interval, relational, sequence, vector
 from .base import frames, query, table
 from .sequences import DAYS_SQL, INTERVALS_SQL, RUNS_SQL, SHOTS_SQL, dark, person_intervals, shots
@@ -38,22 +39,11 @@ def j5_interval_first(spark, sf_dir):
 
 @query(
     "j6_nearest",
-    f"""WITH {{fr}}, {SHOTS_SQL}, q AS (SELECT video, event_id, frame + 0.5 + (value % 7) AS t FROM fr), gap AS (SELECT video, shot, "start", "end" FROM shots WHERE shot % 3 <> 1)
-SELECT q.video, q.event_id, CAST(arg_min(shot, CASE WHEN t BETWEEN "start" AND "end" THEN -1.0 ELSE least(abs("start" - t), abs("end" - t)) END + shot / 1e6) AS INTEGER) AS shot FROM q JOIN gap ON q.video = gap.video GROUP BY q.video, q.event_id""",
-)
-def j6_nearest(spark, sf_dir):
-    points = frames(spark, sf_dir).select("video", "event_id", (F.col("frame") + 0.5 + F.col("value") % 7).alias("t"))
-    some = shots(spark, sf_dir).filter("shot % 3 <> 1").select("video", "shot", F.col("start").cast("double").alias("s"), F.col("end").cast("double").alias("e"))
-    return interval.nearest_interval(points, some, ["video"], "event_id", "t", "s", "e", "shot").filter("shot IS NOT NULL").select("video", "event_id", "shot")
-
-
-@query(
-    "j6_nearest_whole",
     f"""WITH {{fr}}, {SHOTS_SQL}, q AS (SELECT video, event_id, frame + 0.5 + (value % 7) AS t FROM fr)
 SELECT q.video, q.event_id, CAST(arg_min(shot, CASE WHEN t BETWEEN "start" AND "end" THEN -1.0 ELSE least(abs("start" - t), abs("end" - t)) END + shot / 1e6) AS INTEGER) AS shot FROM q JOIN shots ON q.video = shots.video GROUP BY q.video, q.event_id""",
 )
-def j6_nearest_whole(spark, sf_dir):
-    """J6 among all shots; j6_nearest leaves every third out."""
+def j6_nearest(spark, sf_dir):
+    """Among all shots; points behind the last one have a nearest too."""
     points = frames(spark, sf_dir).select("video", "event_id", (F.col("frame") + 0.5 + F.col("value") % 7).alias("t"))
     every = shots(spark, sf_dir).select("video", "shot", F.col("start").cast("double").alias("s"), F.col("end").cast("double").alias("e"))
     return interval.nearest_interval(points, every, ["video"], "event_id", "t", "s", "e", "shot").filter("shot IS NOT NULL").select("video", "event_id", "shot")
@@ -76,17 +66,10 @@ def j15_nearest_key(spark, sf_dir):
     return relational.nearest_key(fr, ["video", "seg"], "frame", F.col("value") > 100, "key_frame").filter("value <= 100").select("video", "frame", "key_frame")
 
 
-@query("j26_nearest_unused", """WITH {fr}, w AS (SELECT video, frame AS want FROM fr WHERE frame % 11 = 3), h AS (SELECT video, frame AS c FROM fr WHERE value > 120),
+@query("j26_nearest_unused", """WITH {fr}, w AS (SELECT video, frame AS want FROM fr), h AS (SELECT video, frame AS c FROM fr WHERE value > 120),
 p AS (SELECT w.video, want, arg_min(c, abs(c - want) + c / 1e6) AS c FROM w JOIN h ON w.video = h.video GROUP BY w.video, want) SELECT video, min(want) AS want, c AS cand FROM p GROUP BY video, c""")
 def j26_nearest_unused(spark, sf_dir):
-    fr = frames(spark, sf_dir)
-    return interval.nearest_unused(fr.filter("frame % 11 = 3").select("video", F.col("frame").alias("want")), fr.filter("value > 120").select("video", F.col("frame").alias("cand")), ["video"], "want", "cand")
-
-
-@query("j26_nearest_unused_whole", """WITH {fr}, w AS (SELECT video, frame AS want FROM fr), h AS (SELECT video, frame AS c FROM fr WHERE value > 120),
-p AS (SELECT w.video, want, arg_min(c, abs(c - want) + c / 1e6) AS c FROM w JOIN h ON w.video = h.video GROUP BY w.video, want) SELECT video, min(want) AS want, c AS cand FROM p GROUP BY video, c""")
-def j26_nearest_unused_whole(spark, sf_dir):
-    """J26 for every frame; j26_nearest_unused looks up one in eleven."""
+    """Every frame looks for a candidate."""
     fr = frames(spark, sf_dir)
     return interval.nearest_unused(fr.select("video", F.col("frame").alias("want")), fr.filter("value > 120").select("video", F.col("frame").alias("cand")), ["video"], "want", "cand")
 
@@ -189,7 +172,7 @@ def g2_persons(spark, sf_dir):
 
 @query("g3_whispers")
 def g3_whispers(spark, sf_dir):
-    """G3, in a deterministic form; tests check that labels stay within components."""
+    """G3, in a fixed order of moves; tests replay it step by step."""
     return graph.whispers(pairs(spark, sf_dir, 0.35))
 
 
@@ -238,24 +221,58 @@ def w20_neighbour_dedup(spark, sf_dir):
 
 @query("w21_scenes")
 def w21_scenes(spark, sf_dir):
-    """Survivors of a shot, cut by black frames, as scenes in time order."""
-    left = vector.neighbour_dedup(key_frame_vectors(spark, sf_dir), ["video"], "frame", "shot", "embedding", "black", "face", 0.16)
-    blacks = sequence.islands(key_frame_vectors(spark, sf_dir), ["video"], "frame", F.col("black")).select("video", "start", "end")
-    return relational.scenes(left, blacks, ["video"], "frame", "shot")
+    """Survivors of a shot, cut by black frames, as scenes in time order."""
+    every = key_frame_vectors(spark, sf_dir)
+    left = vector.neighbour_dedup(every, ["video"], "frame", "shot", "embedding", "black", "face", 0.16)
+    blacks = sequence.islands(every, ["video"], "frame", F.col("black")).select("video", "start", "end")
+    ranges = every.groupBy("video", "shot").agg(F.min("frame").alias("start"), F.max("frame").alias("end"))
+    return relational.scenes(left, blacks, ranges, ["video"], "frame", "shot")
 
 
-@query("w24_skip")
+@query(
+    "w24_skip",
+    """WITH RECURSIVE r AS (SELECT vec_id // 5 AS batch, vec_id AS frame, embedding::DOUBLE[] AS e, vec_id % 17 = 0 AS must, row_number() OVER (PARTITION BY vec_id // 5 ORDER BY vec_id) AS i FROM embeddings),
+f(batch, frame, i, ref, kept) AS (SELECT batch, frame, i, e, true FROM r WHERE i = 1 UNION ALL
+SELECT r.batch, r.frame, r.i, CASE WHEN r.must OR list_cosine_similarity(f.ref, r.e) < 0.1 THEN r.e ELSE f.ref END, r.must OR list_cosine_similarity(f.ref, r.e) < 0.1 FROM f JOIN r ON r.batch = f.batch AND r.i = f.i + 1)
+SELECT CAST(batch AS BIGINT) AS batch, frame, kept FROM f""",
+)
 def w24_skip(spark, sf_dir):
     rows = key_frame_vectors(spark, sf_dir).select(F.floor(F.col("frame") / 5).alias("batch"), "frame", "embedding", (F.col("frame") % 17 == 0).alias("always"))
     return folds.skip_similar(rows, ["batch"], ["frame"], "embedding", "always", 0.1).select("batch", "frame", "kept")
 
 
-@query("t5_refine")
+def _refine_sql(keep: int = 3, threshold: float = 0.15) -> str:
+    """T5 as one common table expression for each place: the best that is unlike those who have theirs, or the best."""
+    steps = [
+        """r AS (SELECT vec_id // 5 AS batch, vec_id AS frame, embedding::DOUBLE[] AS e, CAST(vec_id % 3 = 0 AS INTEGER) + CAST(vec_id % 2 = 0 AS INTEGER) AS bonus, vec_id % 17 = 0 AS forced FROM embeddings),
+c AS (SELECT a.batch, a.frame AS a, b.frame AS b, list_cosine_similarity(a.e, b.e) AS cos FROM r a JOIN r b ON a.batch = b.batch AND a.frame <> b.frame),
+w AS (SELECT r.batch, frame, forced, any_value(bonus) + coalesce(avg(cos), 0) AS worth, count(*) OVER (PARTITION BY r.batch) AS n, sum(CAST(forced AS INTEGER)) OVER (PARTITION BY r.batch) AS nf FROM r LEFT JOIN c ON c.batch = r.batch AND c.a = frame GROUP BY r.batch, frame, forced),
+s0 AS (SELECT batch, frame FROM w WHERE forced)"""
+    ]
+    for t in range(1, keep + 1):
+        steps.append(f"""t{t} AS (SELECT batch, frame, worth, NOT EXISTS (SELECT 1 FROM s{t - 1} s JOIN c ON c.batch = s.batch AND c.b = s.frame WHERE s.batch = w.batch AND c.a = w.frame AND c.cos >= {threshold}) AS fresh
+FROM w WHERE n > {keep} AND nf + {t} <= {keep} AND NOT EXISTS (SELECT 1 FROM s{t - 1} s WHERE s.batch = w.batch AND s.frame = w.frame)),
+s{t} AS (SELECT * FROM s{t - 1} UNION ALL (SELECT batch, frame FROM t{t} QUALIFY row_number() OVER (PARTITION BY batch ORDER BY fresh DESC, worth DESC, frame) = 1))""")
+    return f"WITH {', '.join(steps)} SELECT CAST(batch AS BIGINT) AS batch, frame, n <= {keep} OR EXISTS (SELECT 1 FROM s{keep} s WHERE s.batch = w.batch AND s.frame = w.frame) AS kept FROM w"
+
+
+@query("t5_refine", _refine_sql())
 def t5_refine(spark, sf_dir):
     rows = key_frame_vectors(spark, sf_dir).select(F.floor(F.col("frame") / 5).alias("batch"), "frame", "embedding", "face", (F.col("frame") % 2 == 0).alias("body"), (F.col("frame") % 17 == 0).alias("forced"))
     return folds.refine_batches(rows, ["batch"], "frame", "embedding", "face", "body", "forced", 3, 0.15)
 
 
+@query(
+    "f13_vectors",
+    """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, list_reverse(embedding::DOUBLE[]) AS r FROM embeddings)
+SELECT vec_id, round(list_inner_product(e, r), 5) AS product, round(sqrt(list_inner_product(e, e)), 5) AS length, round(list_inner_product(e, r) / (sqrt(list_inner_product(e, e)) * sqrt(list_inner_product(r, r)) + 1e-10), 5) AS likeness, round(e[1] / (sqrt(list_inner_product(e, e)) + 1e-9), 5) AS first_of_unit FROM v""",
+)
+def f13_vectors(spark, sf_dir):
+    """products, lengths and cosines in double."""
+    e, r = F.col("embedding"), F.reverse("embedding")
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(N.dot(e, r), 5).alias("product"), F.round(N.norm(e), 5).alias("length"), F.round(N.cosine(e, r, 1e-10), 5).alias("likeness"), F.round(N.unit(e)[0], 5).alias("first_of_unit"))
+
+
 @query("w26_chain_closeness", "WITH x AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, range(1, 65) t(i) GROUP BY ALL), c AS (SELECT label, list(m ORDER BY i) AS c FROM x GROUP BY label) SELECT label, vec_id, round(list_cosine_similarity(embedding::DOUBLE[], c), 5) AS cos_to_mean FROM embeddings JOIN c USING (label)")
 def w26_chain_closeness(spark, sf_dir):
     return vector.chain_closeness(table(spark, sf_dir, "embeddings"), ["label"], "vec_id", "embedding", 0.3).select("label", "vec_id", F.round("cos_to_mean", 5).alias("cos_to_mean"))

@@ -46,9 +46,15 @@ def dark(spark, sf_dir, least=3):
     return sequence.dark_runs(frames(spark, sf_dir), ["video"], "frame", F.col("value") < 20, least)
 
 
-@query("w2_dark_runs", f'WITH {{fr}}, {RUNS_SQL.replace("{n}", "3")} SELECT video, "start", "end", n, "end" + 1 AS end_excl FROM runs')
+@query(
+    "w2_dark_runs",
+    """WITH {fr}, dk AS (SELECT video, frame, total, frame - row_number() OVER (PARTITION BY video ORDER BY frame) AS run FROM fr WHERE value < 20),
+r AS (SELECT video, min(frame) AS s, max(frame) AS e, max(frame) = max(total) - 1 AS last FROM dk GROUP BY video, run)
+SELECT video, s AS "start", e AS "end", CAST(e - s + 1 AS INTEGER) AS n, e + 1 AS end_excl, CASE WHEN last THEN e ELSE e + 1 END AS end_written FROM r WHERE CASE WHEN last THEN e - s >= 2 ELSE e + 1 - s >= 2 END""",
+)
 def w2_dark_runs(spark, sf_dir):
-    return dark(spark, sf_dir)
+    """A run that reaches the end of its video is measured without its last frame."""
+    return sequence.dark_runs(frames(spark, sf_dir), ["video"], "frame", F.col("value") < 20, 2, "total")
 
 
 @query("w4_islands", f'WITH {{fr}}, {RUNS_SQL.replace("{n}", "1")} SELECT * FROM runs')
@@ -329,15 +335,8 @@ def w29_columns(spark, sf_dir):
     return sequence.split_columns(table(spark, sf_dir, "customer"), ["c_nationkey"], ["c_custkey"]).select("c_nationkey", "c_custkey", "col_no")
 
 
-@query("w30_numbering", "WITH {fr} SELECT video, frame, video || '_Scene' || lpad(CAST(row_number() OVER (PARTITION BY video ORDER BY frame) AS VARCHAR), 2, '0') AS scene_id FROM fr WHERE frame < 60")
+@query("w30_numbering", "WITH {fr} SELECT video, frame, video || '_Scene' || printf('%02d', row_number() OVER (PARTITION BY video ORDER BY frame)) AS scene_id FROM fr")
 def w30_numbering(spark, sf_dir):
-    rows = sequence.numbered(frames(spark, sf_dir).filter("frame < 60"), ["video"], ["frame"], "n", 1)
-    return rows.select("video", "frame", F.format_string("%d_Scene%02d", "video", "n").alias("scene_id"))
-
-
-@query("w30_numbering_whole", "WITH {fr} SELECT video, frame, video || '_Scene' || printf('%02d', row_number() OVER (PARTITION BY video ORDER BY frame)) AS scene_id FROM fr")
-def w30_numbering_whole(spark, sf_dir):
-    """W30 for every frame; w30_numbering stops at the 60th."""
     rows = sequence.numbered(frames(spark, sf_dir), ["video"], ["frame"], "n", 1)
     return rows.select("video", "frame", F.format_string("%d_Scene%02d", "video", "n").alias("scene_id"))
 
@@ -353,7 +352,17 @@ def x9_pack(spark, sf_dir):
     return folds.pack_budget(table(spark, sf_dir, "documents").select("source", "doc_id", "n_chars"), ["source"], ["doc_id"], "n_chars").select("source", "doc_id", "grp")
 
 
-@query("t4_candidate_pool")
+@query(
+    "t4_candidate_pool",
+    f"""WITH RECURSIVE {{fr}}, {SCORE_SQL}, k AS (SELECT video, frame, CAST(round(mafd + greatest(0.0, (value % 10) / 100 - 0.05) * 8 + (1 - greatest(0.0, least(1.0, 1 - abs(value / 500 - 0.5) * 3))) * 0.5, 6) AS DOUBLE) AS r FROM sc),
+f(video, frame, pool) AS (SELECT video, frame, [{{'a': frame, 'r': r}}] FROM k WHERE frame = 0 UNION ALL SELECT video, frame, CASE
+  WHEN near > 0 THEN CASE WHEN r < pool[near].r THEN pool[:near - 1] || [new] || pool[near + 1:] ELSE pool END
+  WHEN len(pool) < 8 THEN pool || [new]
+  WHEN r < pool[worst].r THEN pool[:worst - 1] || [new] || pool[worst + 1:] ELSE pool END
+ FROM (SELECT k.video, k.frame, f.pool, k.r, {{'a': k.frame, 'r': k.r}} AS new, coalesce(list_position(list_transform(f.pool, lambda p: abs(p.a - k.frame) <= 5), true), 0) AS near,
+       list_position(list_transform(f.pool, lambda p: p.r), list_max(list_transform(f.pool, lambda p: p.r))) AS worst FROM f JOIN k ON k.video = f.video AND k.frame = f.frame + 1)),
+e AS (SELECT video, unnest(pool) AS p FROM f QUALIFY row_number() OVER (PARTITION BY video ORDER BY frame DESC) = 1) SELECT video, p.a AS frame, p.r AS rank FROM e""",
+)
 def t4_candidate_pool(spark, sf_dir):
     """Candidates by motion, brightness and overexposure."""
     ft = sequence.cut_scores(shot_features(spark, sf_dir), ["video"], "frame", "value")

@@ -18,38 +18,25 @@ def f1_sentences(spark, sf_dir):
 
 @query(
     "f2_lang",
-    r"""WITH s AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'はい' || substr(text, 1, 3) WHEN doc_id % 7 = 1 THEN '안녕' || substr(text, 1, 3) WHEN doc_id % 7 = 2 THEN '你好你好' || substr(text, 1, 3) WHEN doc_id % 7 = 3 THEN '123' ELSE text END AS t FROM documents),
-c AS (SELECT doc_id, length(t) - length(regexp_replace(t, '[\x{3040}-\x{30FF}]', '', 'g')) AS ja, length(t) - length(regexp_replace(t, '[\x{AC00}-\x{D7AF}]', '', 'g')) AS ko,
-length(t) - length(regexp_replace(t, '[\x{4E00}-\x{9FFF}]', '', 'g')) AS han, length(t) - length(regexp_replace(t, '[A-Za-z]', '', 'g')) AS latin FROM s)
-SELECT doc_id, CASE WHEN ja > 0 THEN 'ja' WHEN ko > 0 THEN 'ko' WHEN han >= latin THEN 'zh' ELSE 'en' END AS guess FROM c""",
-)
-def f2_lang(spark, sf_dir):
-    i, t = F.col("doc_id") % 7, F.col("text")
-    head = t.substr(1, 3)
-    mixed = F.when(i == 0, F.concat(F.lit("はい"), head)).when(i == 1, F.concat(F.lit("안녕"), head)).when(i == 2, F.concat(F.lit("你好你好"), head)).when(i == 3, "123").otherwise(t)
-    return table(spark, sf_dir, "documents").select("doc_id", X.guess_language(mixed).alias("guess"))
-
-
-@query(
-    "f2_lang_whole",
     r"""WITH c AS (SELECT doc_id, length(text) - length(regexp_replace(text, '[\x{3040}-\x{30FF}]', '', 'g')) AS ja, length(text) - length(regexp_replace(text, '[\x{AC00}-\x{D7AF}]', '', 'g')) AS ko,
 length(text) - length(regexp_replace(text, '[\x{4E00}-\x{9FFF}]', '', 'g')) AS han, length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g')) AS latin FROM documents)
 SELECT doc_id, CASE WHEN ja > 0 THEN 'ja' WHEN ko > 0 THEN 'ko' WHEN han >= latin THEN 'zh' ELSE 'en' END AS guess FROM c""",
 )
-def f2_lang_whole(spark, sf_dir):
-    """F2 over the whole text of every document; f2_lang puts made-up cases in place of four in seven."""
+def f2_lang(spark, sf_dir):
+    """F2 over the whole text of every document."""
     return table(spark, sf_dir, "documents").select("doc_id", X.guess_language(F.col("text")).alias("guess"))
 
 
 @query(
     "f3_asr_parse",
-    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN CASE lang WHEN 'en' THEN 'en' WHEN 'fr' THEN 'fr' WHEN 'de' THEN 'de' ELSE 'es' END WHEN doc_id % 3 = 1 THEN NULL ELSE NULL END AS asr_lang,
-CASE WHEN doc_id % 3 = 2 THEN 'plain ' || doc_id ELSE 'said ' || doc_id END AS asr_text FROM documents""",
+    r"""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN CASE lang WHEN 'en' THEN 'en' WHEN 'fr' THEN 'fr' WHEN 'de' THEN 'de' ELSE 'es' END END AS asr_lang,
+trim(regexp_replace(CASE WHEN doc_id % 3 = 2 THEN 'plain ' ELSE 'said ' END || text, '<\|[^|]+\|>', '', 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS asr_text FROM documents""",
 )
 def f3_asr_parse(spark, sf_dir):
+    """answers of a recogniser that hold the documents' whole texts, with a known language, an unknown one or none."""
     name = F.when(F.col("lang") == "en", "English").when(F.col("lang") == "fr", "French").when(F.col("lang") == "de", "German").otherwise("Spanish")
-    i, n = F.col("doc_id") % 3, F.col("doc_id").cast("string")
-    raw = F.when(i == 0, F.concat(F.lit("language "), name, F.lit("<asr_text>said "), n, F.lit("<|end|>"))).when(i == 1, F.concat(F.lit(" language Klingon<asr_text>said "), n, F.lit(" "))).otherwise(F.concat(F.lit("plain "), n))
+    i, t = F.col("doc_id") % 3, F.col("text")
+    raw = F.when(i == 0, F.concat(F.lit("language "), name, F.lit("<asr_text>said "), t, F.lit("<|end|>"))).when(i == 1, F.concat(F.lit(" language Klingon<asr_text>said "), t, F.lit(" "))).otherwise(F.concat(F.lit("plain "), t))
     got = table(spark, sf_dir, "documents").select("doc_id", X.parse_asr(raw).alias("p"))
     return got.select("doc_id", F.col("p.lang").alias("asr_lang"), F.col("p.text").alias("asr_text"))
 
@@ -90,11 +77,20 @@ def f7_split_once(spark, sf_dir):
     return rows.select("conv_id", "turn", "p.head", "p.tail")
 
 
-@query("f8_transcript", "SELECT conv_id, 'Scene' || conv_id || ' [persons: ' || array_to_string(list_sort(list(DISTINCT role)), ', ') || ']' || chr(10) || '  对白:' || string_agg(role || '|' || text, '; ' ORDER BY turn) AS para FROM conversations GROUP BY conv_id")
+@query(
+    "f8_transcript",
+    """WITH s AS (SELECT conv_id, turn, text, role, CASE WHEN turn % 4 = 0 THEN '无' ELSE role || ',x' END AS who, turn % 3 = 0 AS seen, turn % 2 = 1 AS heard FROM conversations)
+SELECT conv_id, string_agg('Scene' || turn || ' [persons: ' || who || ']' || CASE WHEN seen THEN chr(10) || '  画面:' || chr(10) || '    F' || turn || ' a picture' || chr(10) || '    F' || (turn + 1) ELSE '' END
+|| CASE WHEN heard THEN chr(10) || '  对白:' || chr(10) || '    ' || role || ': ' || text || chr(10) || '    a plain line' ELSE '' END || CASE WHEN seen OR heard THEN '' ELSE chr(10) || '  (None)' END, chr(10) || chr(10) ORDER BY turn) AS transcript FROM s GROUP BY conv_id""",
+)
 def f8_transcript(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").withColumn("line", F.concat_ws("|", "role", "text"))
-    lists = rows.groupBy("conv_id").agg(F.sort_array(F.collect_set("role")).alias("who"), F.transform(F.sort_array(F.collect_list(F.struct("turn", "line"))), lambda x: x["line"]).alias("said"))
-    return lists.select("conv_id", X.scene_text(F.col("conv_id"), F.col("who"), F.array().cast("array<string>"), F.col("said")).alias("para"))
+    """F8: conversations as videos, their turns as scenes with or without persons, pictures and lines."""
+    turn, none = F.col("turn"), F.array().cast("array<string>")
+    who = F.when(turn % 4 == 0, none).otherwise(F.array("role", F.lit("x")))
+    seen = F.when(turn % 3 == 0, F.array(F.format_string("F%d a picture", turn), F.format_string("F%d", turn + 1))).otherwise(none)
+    said = F.when(turn % 2 == 1, F.array(F.concat_ws("|", "role", "text"), F.lit("a plain line"))).otherwise(none)
+    rows = table(spark, sf_dir, "conversations").withColumn("para", X.scene_text(turn, who, seen, said))
+    return relational.ordered_list(rows, ["conv_id"], ["turn"], "para", "paras").select("conv_id", X.transcript(F.col("paras")).alias("transcript"))
 
 
 @query("f9_prompt", "SELECT doc_id, '{{n}} scenes, at most ' || (n_chars // 100) || ', {\"a\": ' || doc_id || '}' AS prompt FROM documents".replace("{{n}}", "{'|| doc_id ||'}"))
@@ -180,12 +176,15 @@ def boxes(spark, sf_dir):
 
 @query(
     "f21_crop",
-    f"""WITH {BOX_SQL}, s AS (SELECT *, least(CAST(trunc(greatest(x2 - x1, y2 - y1) * CAST(1.3 AS DOUBLE)) AS INTEGER), 1920, 1080) AS side FROM bx)
-SELECT l_orderkey, l_linenumber, side, greatest(0, least(CAST(trunc((x1 + x2) / 2 - side / 2) AS INTEGER), 1920 - side)) AS x, greatest(0, least(CAST(trunc((y1 + y2) / 2 - side / 2) AS INTEGER), 1080 - side)) AS y FROM s""",
+    f"""WITH {BOX_SQL}, c AS (SELECT *, CAST(x1 + x2 AS DOUBLE) / 2 AS cx, CAST(y1 + y2 AS DOUBLE) / 2 AS cy, CAST(greatest(x2 - x1, y2 - y1) AS DOUBLE) * CAST(1.3 AS DOUBLE) AS side FROM bx),
+o AS (SELECT l_orderkey, l_linenumber, cx - side / 2 AS a0, cx - side / 2 + side AS a1, cy - side / 2 AS b0, cy - side / 2 + side AS b1 FROM c),
+i AS (SELECT l_orderkey, l_linenumber, CASE WHEN a0 < 0 THEN 0 ELSE a0 END AS a0, CASE WHEN a0 < 0 THEN a1 - a0 ELSE a1 END AS a1, CASE WHEN b0 < 0 THEN 0 ELSE b0 END AS b0, CASE WHEN b0 < 0 THEN b1 - b0 ELSE b1 END AS b1 FROM o)
+SELECT l_orderkey, l_linenumber, CAST(trunc(CASE WHEN a1 > 1920 THEN a0 - (a1 - 1920) ELSE a0 END) AS INTEGER) AS x1, CAST(trunc(CASE WHEN b1 > 1080 THEN b0 - (b1 - 1080) ELSE b0 END) AS INTEGER) AS y1,
+       CAST(trunc(least(a1, 1920)) AS INTEGER) AS x2, CAST(trunc(least(b1, 1080)) AS INTEGER) AS y2 FROM i""",
 )
 def f21_crop(spark, sf_dir):
     c = N.square_crop(*[F.col(x) for x in ("x1", "y1", "x2", "y2")], F.lit(1920), F.lit(1080))
-    return boxes(spark, sf_dir).withColumn("c", c).select("l_orderkey", "l_linenumber", "c.side", "c.x", "c.y")
+    return boxes(spark, sf_dir).withColumn("c", c).select("l_orderkey", "l_linenumber", "c.x1", "c.y1", "c.x2", "c.y2")
 
 
 @query("f22_pad", f"WITH {BOX_SQL} SELECT l_orderkey, l_linenumber, greatest(0, least(x1 - (x2 - x1), 1920)) AS x1, greatest(0, least(y1 - (y2 - y1), 1080)) AS y1, greatest(0, least(x2 + (x2 - x1), 1920)) AS x2, greatest(0, least(y2 + (y2 - y1), 1080)) AS y2 FROM bx")
@@ -206,9 +205,14 @@ def f28_lines(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.speaker_line(lang, F.col("role"), F.col("text")).alias("line"))
 
 
-@query("f30_work_size", "WITH s AS (SELECT p_partkey, p_size * 40 + 400 AS w, 1080 AS h FROM part), t AS (SELECT p_partkey, w, h, greatest(w, h) AS lo, least(w, h) AS sh FROM s), u AS (SELECT *, least(sh, 960) AS s, CAST(floor(lo * least(sh, 960) / sh) AS INTEGER) AS g FROM t) SELECT p_partkey, CAST(CASE WHEN w >= h THEN g + g % 2 ELSE s + s % 2 END AS INTEGER) AS work_w, CAST(CASE WHEN w >= h THEN s + s % 2 ELSE g + g % 2 END AS INTEGER) AS work_h FROM u")
+@query(
+    "f30_work_size",
+    """WITH s AS (SELECT p_partkey, CAST(p_size * 40 + 400 AS BIGINT) AS w, CASE WHEN p_partkey % 3 = 0 THEN 360 ELSE 1080 END AS h FROM part), t AS (SELECT p_partkey, CASE WHEN w >= h THEN w * 960 // h ELSE 960 END AS a, CASE WHEN w >= h THEN 960 ELSE h * 960 // w END AS b FROM s)
+SELECT p_partkey, CAST(a + a % 2 AS INTEGER) AS work_w, CAST(b + b % 2 AS INTEGER) AS work_h FROM t""",
+)
 def f30_work_size(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select("p_partkey", N.work_size((F.col("p_size") * 40 + 400).cast("int"), F.lit(1080)).alias("s"))
+    h = F.when(F.col("p_partkey") % 3 == 0, 360).otherwise(1080)  # some smaller than the size wanted
+    rows = table(spark, sf_dir, "part").select("p_partkey", N.work_size((F.col("p_size") * 40 + 400).cast("int"), h).alias("s"))
     return rows.select("p_partkey", F.col("s.w").alias("work_w"), F.col("s.h").alias("work_h"))
 
 

@@ -42,13 +42,13 @@ def first_in_folder(files: DataFrame) -> DataFrame:
 
 
 def subtitles_for(videos: DataFrame, subtitles: DataFrame) -> DataFrame:
-    """Each video with the subtitle of the same folder and stem: .srt before .ass, exact case before any."""
-    low = lambda c: F.lower(stem(c))
+    """Each video with the subtitle of the same folder and the same stem, whose case counts: `.srt`, then `.ass`, then
+    those with such an ending in another case, by name."""
     folder = lambda c: F.regexp_replace(c, r"/[^/]*$", "")
     s = subtitles.select(F.col("path").alias("subtitle")).filter(F.lower("subtitle").rlike(r"\.(srt|ass)$"))
-    v = videos.withColumns({"_f": folder(F.col("path")), "_k": low(F.col("path"))})
-    s = s.withColumns({"_f": folder(F.col("subtitle")), "_k": low(F.col("subtitle"))})
-    rank = F.struct((stem(F.col("subtitle")) != stem(F.col("path"))).cast("int"), F.when(F.lower("subtitle").endswith(".srt"), 0).otherwise(1), "subtitle")
+    v = videos.withColumns({"_f": folder(F.col("path")), "_k": stem(F.col("path"))})
+    s = s.withColumns({"_f": folder(F.col("subtitle")), "_k": stem(F.col("subtitle"))})
+    rank = F.struct(F.when(F.col("subtitle").endswith(".srt"), 0).when(F.col("subtitle").endswith(".ass"), 1).otherwise(2), "subtitle")
     best = v.join(s, ["_f", "_k"]).groupBy("path").agg(F.min_by("subtitle", rank).alias("subtitle"))
     return videos.join(best, "path", "left")
 

@@ -39,20 +39,27 @@ def stream_scores(frames: DataFrame, key: str, order: str, value: str) -> DataFr
 SHOTS = "video long, shot int, start int, end int"
 
 
-def stream_shots(frames: DataFrame, key: str, order: str, value: str, threshold: float) -> DataFrame:
-    """ST3: a shot is sent when the cut behind it is seen; the last one stays open, as a stream has no end."""
+def stream_shots(frames: DataFrame, key: str, order: str, value: str, threshold: float, total: str) -> DataFrame:
+    """ST3: a shot is sent when the cut behind it is seen, and the last one when the video's last frame is.
+
+    total: the column with the number of frames that the video's header names (lowered by decoded_totals() where a video was
+    cut off); where it is null the last shot stays open.
+    """
 
     def step(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         frame, before, mafd_before, shot, start = state.get if state.exists else (0, None, 0.0, 0, 0)
         rows = pd.concat(list(batches)).sort_values(order)
         out = []
-        for x in rows[value]:
+        for x, n in zip(rows[value], rows[total], strict=True):
             mafd = 0.0 if before is None else abs(x - before)
             score = 0.0 if before is None else min(max(min(mafd, abs(mafd - mafd_before)), 0.0), 100.0)
             cut = frame - 1
             if score >= threshold and cut > 0:
                 out.append((k[0], shot, start, cut - 1))
                 shot, start = shot + 1, cut
+            if not pd.isna(n) and frame == n - 1:
+                out.append((k[0], shot, start, frame))
+                shot, start = shot + 1, frame + 1
             frame, before, mafd_before = frame + 1, x, mafd
         state.update((frame, before, mafd_before, shot, start))
         yield pd.DataFrame(out, columns=["video", "shot", "start", "end"])
@@ -60,12 +67,44 @@ def stream_shots(frames: DataFrame, key: str, order: str, value: str, threshold:
     return frames.groupBy(key).applyInPandasWithState(step, SHOTS, "frame int, before double, mafd double, shot int, start int", "append", GroupStateTimeout.NoTimeout)
 
 
-def run_to_end(stream: DataFrame, name: str) -> DataFrame:
-    """ST7: runs a stream over all that is there and returns its table; a second run of the same checkpoint would
-    only take what is new."""
+DARK_RUNS = "video long, start int, end int"
+
+
+def stream_dark_runs(frames: DataFrame, key: str, order: str, value: str, dark_below: float, least: int, total: str) -> DataFrame:
+    """ST2, W2: dark runs with the state that the analysis keeps, the first frame of an open run. A run is sent when it ends,
+    or at the video's last frame, where it must be longer by one."""
+
+    def step(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        frame, began = state.get if state.exists else (0, -1)
+        rows = pd.concat(list(batches)).sort_values(order)
+        out = []
+        for x, n in zip(rows[value], rows[total], strict=True):
+            if x < dark_below:
+                began = frame if began < 0 else began
+                if not pd.isna(n) and frame == n - 1:
+                    if frame - began >= least:
+                        out.append((k[0], began, frame))
+                    began = -1
+            elif began >= 0:
+                if frame - began >= least:
+                    out.append((k[0], began, frame - 1))
+                began = -1
+            frame += 1
+        state.update((frame, began))
+        yield pd.DataFrame(out, columns=["video", "start", "end"])
+
+    return frames.groupBy(key).applyInPandasWithState(step, DARK_RUNS, "frame int, began int", "append", GroupStateTimeout.NoTimeout)
+
+
+def run_to_end(stream: DataFrame, name: str, base: str | None = None) -> DataFrame:
+    """ST7: runs a stream over all that is there and returns its table.
+
+    base: a folder for the table and the checkpoint. A second run with the same one takes what is new only, and adds to
+    the table. Without it the run stands alone, in a new folder of the shared ones.
+    """
     import uuid
 
-    base = f"{shared_folder(stream.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    base = base or f"{shared_folder(stream.sparkSession)}/{name}-{uuid.uuid4().hex}"
     q = stream.writeStream.format("parquet").option("path", f"{base}/table").option("checkpointLocation", f"{base}/state").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{base}/table")

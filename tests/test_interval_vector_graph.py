@@ -132,9 +132,49 @@ def test_neighbour_dedup(spark):
 
 def test_scenes(spark):
     left = spark.createDataFrame([(1, f, s) for f, s in [(0, 0), (2, 0), (5, 0), (6, 0), (9, 1), (12, 1)]], "v int, f int, shot int")
-    black = spark.createDataFrame([(1, 3, 4), (1, 12, 13)], "v int, start int, end int")
-    got = relational.scenes(left, black, ["v"], "f", "shot").orderBy("scene").collect()
-    assert [(r.start, r.frames, r.black) for r in got] == [(0, [0, 2], False), (3, [], True), (5, [5, 6], False), (9, [9], False), (12, [], True)]
+    black = spark.createDataFrame([(1, 3, 4), (1, 12, 13), (1, 40, 41)], "v int, start int, end int")
+    shots = spark.createDataFrame([(1, 0, 0, 7), (1, 1, 8, 12), (1, 2, 13, 20)], "v int, shot int, start int, end int")
+    got = relational.scenes(left, black, shots, ["v"], "f", "shot").orderBy("scene").collect()
+    assert [(r.start, r.end, r.n_shots, r.key_frame, r.frames, r.black) for r in got] == [
+        (0, 7, 1, 0, [0, 2], False), (3, 4, 1, 3, [], True), (0, 7, 1, 5, [5, 6], False), (8, 12, 1, 9, [9], False), (12, 13, 2, 12, [12], True)
+    ]
+
+
+def test_ranked(spark):
+    rows = [(i * 7 % 101, i) for i in range(300)]
+    got = {(r.a, r.b): r["rank"] for r in relational.ranked(spark.createDataFrame(rows, "a int, b int"), [F.col("a").desc(), F.col("b")]).collect()}
+    assert got == {x: k + 1 for k, x in enumerate(sorted(rows, key=lambda x: (-x[0], x[1])))}
+
+
+def whisper_step_by_step(edges, rounds=20):
+    near = {}
+    for a, b, w in edges:
+        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = w
+    labels = {i: i for i in near}
+    for turn in range(2 * rounds):
+        would = {}
+        for i in near:
+            votes = {}
+            for j, w in near[i].items():
+                votes[labels[j]] = votes.get(labels[j], 0.0) + w
+            would[i] = max(votes, key=lambda x: (round(votes[x], 9), -x))
+        if would == labels:
+            break
+        for i in near:
+            if (i * graph.MIX + turn * graph.STEP) % (1 << 20) // graph.BIT % 2 == 0:
+                labels[i] = would[i]
+    return labels
+
+
+def test_whispers_settle(spark):
+    pair, path, clique = [(1, 2)], [(10, 11), (11, 12), (12, 13)], [(a, b) for a in range(20, 26) for b in range(a + 1, 26)]
+    r = random.Random(2)
+    some = [(a, b) for a in range(100, 140) for b in range(a + 1, 140) if r.random() < (0.5 if a // 10 == b // 10 else 0.02)]
+    edges = [(a, b, 0.5 + (a * b % 7) / 20 if a >= 100 else 0.9) for a, b in pair + path + clique + some]
+    got = {x.id: x.label for x in graph.whispers(spark.createDataFrame(edges, "src long, dst long, cos double")).collect()}
+    assert got == whisper_step_by_step(edges)
+    for group in ((1, 2), range(10, 14), range(20, 26)):
+        assert len({got[i] for i in group}) == 1
 
 
 def test_main_subject(spark):

@@ -128,10 +128,18 @@ def test_candidate_pool(spark):
     assert len(got) <= 8 and all(abs(a.f - b.f) > 0 for a in got for b in got if a is not b)
 
 
-def test_skip_and_refine():
-    assert folds.refine([([1.0, 0], True, True, False), ([1.0, 0.01], True, False, False), ([0, 1.0], False, False, False), ([0.7, 0.7], False, False, True)], 3) == [True, False, True, True]
-    assert folds.refine([([1.0], 0, 0, 0)] * 3) == [True] * 3
-    assert folds.refine([([1.0], 0, 0, i in (1, 2, 4)) for i in range(5)]) == [False, True, True, False, True]
+def test_refine():
+    keep = lambda v, bonus, forced, n=3: folds.refine(v, bonus, forced, n).tolist()
+    assert keep([[1.0, 0], [1.0, 0.01], [0, 1.0], [0.7, 0.7]], [2, 1, 0, 0], [False, False, False, True]) == [True, False, True, True]
+    assert keep([[1.0]] * 3, [0] * 3, [False] * 3) == [True] * 3
+    assert keep([[1.0]] * 5, [0] * 5, [i in (1, 2, 4) for i in range(5)]) == [False, True, True, False, True]
+    assert keep([[1.0], [0.0], [1.0], [1.0]], [0, 0, 1, 0], [False] * 4) == [True, True, True, False]
+
+
+def test_dark_runs_at_the_end(spark):
+    df = frame(spark, [(1, i, v, 8) for i, v in enumerate([0, 0, 9, 0, 0, 9, 0, 0])], "v int, f int, x int, total int")
+    runs = lambda least: sorted((r.start, r.end, r.end_excl, r.end_written) for r in sequence.dark_runs(df, ["v"], "f", F.col("x") < 5, least, "total").collect())
+    assert runs(2) == [(0, 1, 2, 2), (3, 4, 5, 5)] and runs(1)[-1] == (6, 7, 8, 7)
 
 
 def test_stable_regions_pick_the_indexed_order_statistic(spark):

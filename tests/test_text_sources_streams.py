@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sceneloom.functions import numeric as N
 from sceneloom.functions import text as X
+from sceneloom.operators import relational
 from sceneloom.sources import files, providers, sinks
 from sceneloom.streaming import online
 
@@ -81,7 +82,7 @@ def test_listings_and_subtitles(spark, tmp_path):
     assert files.list_videos(spark, str(tmp_path), deep=True).count() == 3
     subs = spark.read.format("binaryFile").load(str(tmp_path / "*")).select("path")
     got = {r.name: (r.subtitle or "").rsplit("/", 1)[-1] for r in files.subtitles_for(v, subs).collect()}
-    assert got == {"a.mp4": "a.SRT", "b.MKV": "B.srt"}
+    assert got == {"a.mp4": "a.ass", "b.MKV": ""}
     assert files.first_in_folder(files.list_videos(spark, str(tmp_path), True)).count() == 2
 
 
@@ -181,3 +182,48 @@ def test_stream_equals_batch_over_several_batches(spark, tmp_path):
     got = online.run_to_end(online.stream_scores(stream, "video", "event_id", "value"), "test")
     want = sequence.cut_scores(frames(spark, SF), ["video"], "frame", "value").select("video", "frame", "mafd", "score")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_second_run_takes_what_is_new(spark, tmp_path):
+    """ST7: the same folder for table and checkpoint."""
+    source, base = tmp_path / "in", str(tmp_path / "base")
+    frames = lambda n, at: spark.createDataFrame([(1, at + i, float(i % 7 * 40)) for i in range(n)], "video long, event_id long, value double").coalesce(1)
+    read = lambda: spark.readStream.schema("video long, event_id long, value double").parquet(str(source))
+    frames(20, 0).write.parquet(str(source))
+    first = online.run_to_end(online.stream_scores(read(), "video", "event_id", "value"), "again", base).count()
+    frames(5, 20).write.mode("append").parquet(str(source))
+    table = online.run_to_end(online.stream_scores(read(), "video", "event_id", "value"), "again", base)
+    assert first == 20 and sorted(r.frame for r in table.collect()) == list(range(25))
+    assert online.run_to_end(online.stream_scores(read(), "video", "event_id", "value"), "again", base).count() == 25
+
+
+def test_open_shots_and_runs_end_with_the_video(spark, tmp_path):
+    values = [float(x) for x in (10, 10, 300, 10, 10, 10, 5, 5, 5)]
+    rows = [(1, i, v, 9) for i, v in enumerate(values)] + [(2, i, v, None) for i, v in enumerate(values)] + [(3, 0, 1.0, 1)]
+    for i, some in enumerate((rows[:4] + rows[9:12], rows[4:9] + rows[12:])):
+        spark.createDataFrame(some, "video long, event_id long, value double, total int").coalesce(1).write.parquet(str(tmp_path / "in" / f"{i}"))
+    read = lambda: spark.readStream.schema("video long, event_id long, value double, total int").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    shots = online.run_to_end(online.stream_shots(read(), "video", "event_id", "value", 40.0, "total"), "ends").collect()
+    assert sorted((r.start, r.end) for r in shots if r.video == 1) == [(0, 0), (1, 8)]
+    assert [(r.start, r.end) for r in shots if r.video == 2] == [(0, 0)] and [(r.start, r.end) for r in shots if r.video == 3] == [(0, 0)]
+    runs = lambda least: sorted((r.start, r.end) for r in online.run_to_end(online.stream_dark_runs(read(), "video", "event_id", "value", 8.0, least, "total"), "dark").collect() if r.video == 1)
+    assert runs(2) == [(6, 8)] and runs(3) == []
+
+
+def test_too_few_frames_are_an_error(spark):
+    headers = spark.createDataFrame([(1, 9), (2, 3)], "video int, total int")
+    frames = spark.createDataFrame([(1, i) for i in range(5)] + [(2, i) for i in range(3)], "video int, frame int")
+    assert {r.video: r.total for r in relational.decoded_totals(headers, frames, ["video"], "total").collect()} == {1: 5, 2: 3}
+    with pytest.raises(Exception, match="too few frames"):
+        relational.decoded_totals(headers, frames.filter("video = 1 OR frame = 0"), ["video"], "total").collect()
+
+
+def test_transcripts_and_sizes_as_they_are_written(spark):
+    none = F.array().cast("array<string>")
+    said = F.array(F.lit("A|hi | there"), F.lit("plain"))
+    assert value(spark, X.scene_text(F.lit(3), F.array(F.lit("p1"), F.lit("p2")), F.array(F.lit("F1: x"), F.lit("F2")), said)) == "Scene3 [persons: p1,p2]\n  画面:\n    F1: x\n    F2\n  对白:\n    A: hi | there\n    plain"
+    assert value(spark, X.scene_text(F.lit(0), none, none, none)) == "Scene0 [persons: 无]\n  (None)"
+    crop = lambda *b: tuple(value(spark, N.square_crop(*[F.lit(x) for x in b])))
+    assert crop(10, 10, 24, 20, 100, 100)[:3:2] == (7, 26)
+    assert crop(0, 0, 50, 20, 100, 100) == (0, 0, 65, 65) and crop(80, 40, 100, 60, 100, 100) == (74, 37, 100, 63)
+    assert tuple(value(spark, N.work_size(F.lit(640), F.lit(360)))) == (1706, 960) and tuple(value(spark, N.work_size(F.lit(1080), F.lit(1921)))) == (960, 1708)

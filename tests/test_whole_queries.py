@@ -1,4 +1,4 @@
-"""Queries that take every row, where older ones take a part of them."""
+"""Queries take every row, frame and text."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +9,7 @@ from sceneloom.plans.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["w30_numbering_whole", "j6_nearest_whole"])
+@pytest.mark.parametrize("name", ["w30_numbering", "j6_nearest"])
 def test_every_frame(spark, name):
     assert QUERIES[name](spark, SF).count() == connect(SF).execute("SELECT count(*) FROM events").fetchone()[0]
 
@@ -22,7 +22,7 @@ def test_numbers_of_three_digits(spark):
 
 
 def test_every_wanted_frame(spark):
-    wanted = {r.want % 11 for r in QUERIES["j26_nearest_unused_whole"](spark, SF).collect()}
+    wanted = {r.want % 11 for r in QUERIES["j26_nearest_unused"](spark, SF).collect()}
     assert wanted - {3}
 
 
@@ -30,7 +30,7 @@ def test_languages_of_whole_texts(spark, tmp_path):
     long = "latin words " * 50
     cases = {1: (long + "はい", "ja"), 2: (long + "안녕", "ko"), 3: ("abc " + "你好" * 20, "zh"), 4: (long, "en"), 7: ("你好 " + long, "en"), 8: ("123", "zh"), 10: (long + "カ 안", "ja")}
     spark.createDataFrame([(k, t) for k, (t, _) in cases.items()], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.doc_id: r.guess for r in QUERIES["f2_lang_whole"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.guess for r in QUERIES["f2_lang"](spark, str(tmp_path)).collect()}
     assert got == {k: g for k, (_, g) in cases.items()}
 
 
