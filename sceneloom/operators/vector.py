@@ -15,19 +15,70 @@ from ..session import written
 
 #: Vectors of a block; a task multiplies two blocks.
 BLOCK = 1024
+#: Cells at most (their pivots are broadcast, and all pairs of them are looked at on the driver).
+MOST_CELLS = 1024
+
+
+def _in_cells(rows: DataFrame, cells: int) -> tuple[DataFrame, np.ndarray]:
+    """rows with `_cell`, the place of the pivot nearest by angle, and `_angle` to it; and the pivots, at length 1.
+
+    Pivots are the vectors whose ids have the least hashes. Vectors of length 0 have no angle: they count as opposite.
+    """
+    drawn = rows.orderBy(F.xxhash64("_id")).limit(cells).select("_v").collect()
+    if not drawn:
+        return rows.withColumns({"_cell": F.lit(0), "_angle": F.lit(0.0)}), np.zeros((0, 1))
+    pivots = np.array([r[0] for r in drawn], np.float64)
+    pivots /= np.maximum(np.linalg.norm(pivots, axis=1, keepdims=True), 1e-300)
+    shared = rows.sparkSession.sparkContext.broadcast(pivots)
+    at = rows.columns.index("_v")
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cell, angle = np.zeros(b.num_rows, np.int32), np.zeros(b.num_rows)
+            values, ends = b.column(at).values.to_numpy(), b.column(at).offsets.to_numpy()
+            for lo in range(0, b.num_rows, 4096):
+                some = slice(lo, min(lo + 4096, b.num_rows))
+                x = values[ends[some.start] : ends[some.stop]].reshape(some.stop - some.start, -1)
+                norms = np.linalg.norm(x, axis=1)
+                cos = (x @ shared.value.T) / np.maximum(norms, 1e-300)[:, None]
+                cell[some] = cos.argmax(1)
+                angle[some] = np.where(norms > 0, np.arccos(np.clip(cos.max(1), -1, 1)), np.pi)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(angle)], names=[*b.schema.names, "_cell", "_angle"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return written(rows.mapInArrow(assign, f"{fields}, _cell int, _angle double"), "cells"), pivots
+
+
+def near_cells(pivots: np.ndarray, radii: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of cells may hold vectors with a cosine of the threshold or more: two vectors are apart by the angle of
+    their pivots less both their own angles at least."""
+    apart = np.arccos(np.clip(pivots @ pivots.T, -1, 1)) - radii[:, None] - radii[None, :]
+    return apart <= np.arccos(np.clip(threshold, -1, 1)) + 1e-6
 
 
 def cosine_pairs(df: DataFrame, key: str, vector: str, threshold: float, apart: list[str] | None = None, block: int = BLOCK) -> DataFrame:
     """Src < dst and cos of all pairs with cos >= threshold that differ in each column of `apart`.
 
-    The upper triangle is cut into pairs of blocks, each multiplied in one task; only pairs over the threshold
-    become rows. The number of blocks follows from the number of rows.
+    Vectors are dealt into cells around pivots, and large cells into blocks. Only blocks of cells that may hold such a pair
+    meet (none is lost: the bound is exact), each two of them in one task as a matrix product; only pairs over the threshold
+    become rows. How many blocks a vector is copied to follows from how many are near it; where vectors have no clusters
+    at all, that is all of them.
     """
     apart = apart or []
-    n = df.count()
-    blocks = max(1, math.ceil(n / block))
     rows = df.select(F.col(key).cast("long").alias("_id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("_v"), *[F.col(c).cast("string").alias(f"_a{i}") for i, c in enumerate(apart)])
-    dealt = rows.filter("_v IS NOT NULL").withColumn("_own", F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.filter("_v IS NOT NULL")
+    cells = min(MOST_CELLS, max(1, math.ceil(rows.count() / block)))
+    dealt, pivots = _in_cells(rows, cells)
+    found = {r._cell: (r.n, r.radius) for r in dealt.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_angle").alias("radius")).collect()}
+    used = sorted(found)
+    parts = [max(1, math.ceil(found[c][0] / block)) for c in used]
+    firsts = np.concatenate(([0], np.cumsum(parts)[:-1])).astype(int).tolist() if used else []
+    near = near_cells(pivots[used], np.array([found[c][1] for c in used]), threshold) if used else np.zeros((0, 0), bool)
+    meets = [(c, firsts[i], parts[i], [{"f": firsts[j], "n": parts[j]} for j in np.flatnonzero(near[i]).tolist()]) for i, c in enumerate(used)]
+    table = df.sparkSession.createDataFrame(meets, "_cell int, _first int, _parts int, _near array<struct<f:int,n:int>>")
+    own = F.col("_first") + F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int")
+    others = F.flatten(F.transform("_near", lambda x: F.sequence(x["f"], x["f"] + x["n"] - 1)))
+    dealt = dealt.join(F.broadcast(table), "_cell").withColumn("_own", own).withColumn("_other", F.explode(others))
     spread = dealt.select(F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", "_id", "_v", *[f"_a{i}" for i in range(len(apart))])
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

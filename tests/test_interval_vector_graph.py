@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from sceneloom.operators import graph, interval, relational, sequence, vector
@@ -81,10 +82,27 @@ def test_cosine_pairs_in_any_blocks(spark):
     want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and cos(a[1], b[1]) >= 0.5}
     for block in (1024, 16):
         assert {(x.src, x.dst) for x in vector.cosine_pairs(df, "id", "v", 0.5, block=block).collect()} == want
+    assert vector.cosine_pairs(df.limit(0), "id", "v", 0.5).count() == 0
     apart = {(x.src, x.dst) for x in vector.cosine_pairs(df, "id", "v", 0.5, ["g"]).collect()}
     assert apart == {(a, b) for a, b in want if a % 3 != b % 3}
 
 
+def test_far_cells_do_not_meet(spark):
+    r = np.random.RandomState(1)
+    centres = np.linalg.qr(r.normal(size=(12, 12)))[0]
+    x = np.concatenate([centres[i % 12] + r.normal(0, 0.05, (1, 12)) for i in range(240)] + [np.zeros((1, 12))])
+    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    want = {(i, j) for i in range(241) for j in range(i + 1, 241) if unit[i] @ unit[j] >= 0.9}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    assert {(p.src, p.dst) for p in vector.cosine_pairs(df, "id", "v", 0.9, block=20).collect()} == want
+    pivots = unit[:36]
+    cell = (unit[:240] @ pivots.T).argmax(1)
+    angles = np.arccos(np.clip((unit[:240] * pivots[cell]).sum(1), -1, 1))
+    radii = np.array([angles[cell == c].max(initial=0.0) for c in range(36)])
+    near = vector.near_cells(pivots, radii, 0.9)
+    assert near.mean() < 0.3 and all(near[cell[i], cell[j]] for i, j in want if j < 240)
+
+
 def test_components_clusters_whispers(spark):
     edges = spark.createDataFrame([(0, 3, 0.95), (1, 2, 0.9), (2, 4, 0.92)], "src long, dst long, cos double")
     named = graph.named_clusters(graph.connected_components(edges)).collect()
