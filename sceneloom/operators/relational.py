@@ -107,6 +107,11 @@ def conforms(frames: Column) -> Column:
     return F.coalesce((F.size(frames) > 0) & F.forall(frames, lambda m: m.rlike(r"^\w+_f\d+(?:_\w+)?")), F.lit(False))
 
 
+def tall_enough(y1: Column, y2: Column, height: Column, ratio: float = 0.2) -> Column:
+    """Boxes whose height is at least a part of the frame's; unknown ones aren't."""
+    return F.coalesce((y2 - y1) >= height * ratio, F.lit(False))
+
+
 def main_subject(df: DataFrame, frame: list[str], box: str, height: str, ratio: float = 1.4) -> DataFrame:
     """Of three boxes or more, those above the largest jump in height, if it is large enough."""
     w = Window.partitionBy(*frame).orderBy(height, box)

@@ -187,6 +187,13 @@ def f21_crop(spark, sf_dir):
     return boxes(spark, sf_dir).withColumn("c", c).select("l_orderkey", "l_linenumber", "c.x1", "c.y1", "c.x2", "c.y2")
 
 
+@query("p18_body_ratio", f"WITH {BOX_SQL} SELECT l_orderkey, l_linenumber, y2 - y1 AS tall FROM bx WHERE CAST(y2 - y1 AS DOUBLE) >= 1080 * CAST(0.2 AS DOUBLE)")
+def p18_body_ratio(spark, sf_dir):
+    """P18."""
+    rows = boxes(spark, sf_dir).filter(relational.tall_enough(F.col("y1"), F.col("y2"), F.lit(1080)))
+    return rows.select("l_orderkey", "l_linenumber", (F.col("y2") - F.col("y1")).alias("tall"))
+
+
 @query("f22_pad", f"WITH {BOX_SQL} SELECT l_orderkey, l_linenumber, greatest(0, least(x1 - (x2 - x1), 1920)) AS x1, greatest(0, least(y1 - (y2 - y1), 1080)) AS y1, greatest(0, least(x2 + (x2 - x1), 1920)) AS x2, greatest(0, least(y2 + (y2 - y1), 1080)) AS y2 FROM bx")
 def f22_pad(spark, sf_dir):
     p = N.padded_box(*[F.col(x) for x in ("x1", "y1", "x2", "y2")], F.lit(1920), F.lit(1080))

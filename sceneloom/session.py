@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -19,9 +20,11 @@ def build_session(master: str = "local[*]", partitions: int = 8, **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; a temporary folder only where it is unset, as in tests."""
+    """`spark.checkpoint.dir`; where it is unset a temporary folder on one machine, as in tests, and an error elsewhere."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="sceneloom-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
