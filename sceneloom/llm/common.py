@@ -29,12 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: `spark.checkpoint.dir`.
 
-    Only where the session has none (tests on one machine), a temporary one is set.
+    Only where the session has none on one machine (as in tests), a temporary one is set; elsewhere that is an error, as
+    executors don't see the driver's folders.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="sceneloom-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

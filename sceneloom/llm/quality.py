@@ -178,7 +178,8 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, hidden: int = 24, steps:
     if not len(positive) or not len(unlabelled):
         return None
     both = np.concatenate([positive, unlabelled])
-    mean, scale = both.mean(0), both.std(0) + 1e-3 * (np.arange(both.shape[1]) >= SHAPE) + 1e-6
+    mean, scale = both.mean(0, dtype=np.float64), both.std(0, dtype=np.float64) + 1e-3 * (np.arange(both.shape[1]) >= SHAPE) + 1e-6
+    del both
     p, u = _normal(positive, mean, scale), _normal(unlabelled, mean, scale)
     enough = len(p) > FEW and len(u) > FEW
     prior = 0.5
@@ -215,7 +216,7 @@ def _some(rows: DataFrame, n: int, sample: int) -> np.ndarray:
     drawn = rows.withColumn("h", F.xxhash64("doc_id", "text")).filter(F.pmod("h", F.lit(max(1, n // sample))) == 0)
     got = _feature_rows(drawn.select(F.struct("doc_id", "h").alias("key"), "text"), "key", "key struct<doc_id: long, h: long>, value binary").dropDuplicates(["key"]).orderBy("key.h").limit(2 * sample).collect()
     ordered = sorted(got, key=lambda r: (-1 if r.key.doc_id is None else r.key.doc_id, r.key.h))
-    return np.array([np.frombuffer(r.value, np.float32) for r in ordered], np.float64).reshape(len(ordered), WIDTH)
+    return np.array([np.frombuffer(r.value, np.float32) for r in ordered], np.float32).reshape(len(ordered), WIDTH)
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = 8_000) -> Model | None:
