@@ -67,15 +67,18 @@ def square_crop(x1: Column, y1: Column, x2: Column, y2: Column, width: Column, h
 
 
 def padded_box(x1: Column, y1: Column, x2: Column, y2: Column, width: Column, height: Column, pad: float = 1.0) -> Column:
-    """a face's protected box, padded by a part of its size and clipped to the frame."""
-    w, h = (x2 - x1) * pad, (y2 - y1) * pad
-    clip = lambda v, most: F.greatest(F.lit(0), F.least(v.cast("int"), most))
-    return F.struct(clip(x1 - w, width).alias("x1"), clip(y1 - h, height).alias("y1"), clip(x2 + w, width).alias("x2"), clip(y2 + h, height).alias("y2"))
+    """a face's protected box: padded on all sides by a part of its longer one, clipped to the frame, then rounded (half
+    to even). Null for a box without an area."""
+    by = F.greatest(x2 - x1, y2 - y1) * F.lit(float(pad))
+    whole = lambda v: F.bround(v.cast("double"), 0).cast("int")
+    near, far = (lambda v: whole(F.greatest(F.lit(0.0), v - by))), (lambda v, most: whole(F.least(most.cast("double"), v + by)))
+    box = F.struct(near(x1).alias("x1"), near(y1).alias("y1"), far(x2, width).alias("x2"), far(y2, height).alias("y2"))
+    return F.when((x2 > x1) & (y2 > y1) & (box["x2"] > box["x1"]) & (box["y2"] > box["y1"]), box)
 
 
 def scaled_width(width: Column, height: Column, target: int = 540) -> Column:
-    """width after scaling to a height; smaller frames stay."""
-    return F.when(height > target, F.rint(width * target / height).cast("int")).otherwise(width)
+    """width after scaling to a height, up or down; at least 1."""
+    return F.greatest(F.lit(1), F.bround((width * target / height).cast("double"), 0).cast("int"))
 
 
 def visual_tokens(width: Column, height: Column, patch: int = 32) -> Column:

@@ -157,9 +157,9 @@ def histogram_stats(df: DataFrame, key: list[str], value: str) -> DataFrame:
     whole = Window.partitionBy(*key)
     h = h.withColumns({"_cum": F.sum("_n").over(whole.orderBy("_v")), "_t": F.sum("_n").over(whole)})
     p = F.col("_n") / F.col("_t")
-    level = lambda q: F.min(F.when(F.col("_cum") >= F.rint(F.col("_t") * q), F.col("_v")))
+    level = lambda percent: F.min(F.when(F.col("_cum") >= F.rint(F.col("_t") * percent / 100), F.col("_v")))
     return h.groupBy(*key).agg(
-        (F.sum(F.col("_v") * F.col("_n")) / F.max("_t")).alias("mean"), F.min("_v").alias("low"), F.max("_v").alias("high"), level(0.1).alias("ylow"), level(0.9).alias("yhigh"), F.sum(-p * F.log2(p)).alias("entropy")
+        (F.sum(F.col("_v") * F.col("_n")) / F.max("_t")).alias("mean"), F.min("_v").alias("low"), F.max("_v").alias("high"), level(10).alias("ylow"), level(90).alias("yhigh"), F.sum(-p * F.log2(p)).alias("entropy")
     )
 
 

@@ -433,7 +433,7 @@ def a1_change(spark, sf_dir):
 
 
 @query("a2_entropy", """WITH h AS (SELECT event_type AS kind, CAST(floor(value) AS BIGINT) % 256 AS v, count(*) AS n FROM events GROUP BY ALL), c AS (SELECT *, sum(n) OVER (PARTITION BY kind ORDER BY v) AS cum, sum(n) OVER (PARTITION BY kind) AS t FROM h)
-SELECT kind, round(sum(v * n) / max(t), 6) AS mean, min(v) AS low, max(v) AS high, min(v) FILTER (cum >= round_even(t * 0.1, 0)) AS ylow, min(v) FILTER (cum >= round_even(t * 0.9, 0)) AS yhigh, round(sum(-(n / t) * log2(n / t)), 6) AS entropy FROM c GROUP BY kind""")
+SELECT kind, round(sum(v * n) / max(t), 6) AS mean, min(v) AS low, max(v) AS high, min(v) FILTER (cum >= round_even(t * 10 / 100, 0)) AS ylow, min(v) FILTER (cum >= round_even(t * 90 / 100, 0)) AS yhigh, round(sum(-(n / t) * log2(n / t)), 6) AS entropy FROM c GROUP BY kind""")
 def a2_entropy(spark, sf_dir):
     rows = frames(spark, sf_dir).withColumn("v", F.floor("value") % 256)
     out = relational.histogram_stats(rows, ["kind"], "v")

@@ -194,16 +194,27 @@ def p18_body_ratio(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", (F.col("y2") - F.col("y1")).alias("tall"))
 
 
-@query("f22_pad", f"WITH {BOX_SQL} SELECT l_orderkey, l_linenumber, greatest(0, least(x1 - (x2 - x1), 1920)) AS x1, greatest(0, least(y1 - (y2 - y1), 1080)) AS y1, greatest(0, least(x2 + (x2 - x1), 1920)) AS x2, greatest(0, least(y2 + (y2 - y1), 1080)) AS y2 FROM bx")
+@query(
+    "f22_pad",
+    f"""WITH {BOX_SQL}, p AS (SELECT *, CAST(greatest(x2 - x1, y2 - y1) AS DOUBLE) * CAST(0.35 AS DOUBLE) AS pad FROM bx WHERE x2 > x1 AND y2 > y1),
+r AS (SELECT l_orderkey, l_linenumber, CAST(round_even(greatest(0, x1 - pad), 0) AS INTEGER) AS x1, CAST(round_even(greatest(0, y1 - pad), 0) AS INTEGER) AS y1, CAST(round_even(least(1920, x2 + pad), 0) AS INTEGER) AS x2, CAST(round_even(least(1080, y2 + pad), 0) AS INTEGER) AS y2 FROM p)
+SELECT * FROM r WHERE x2 > x1 AND y2 > y1""",
+)
 def f22_pad(spark, sf_dir):
-    p = N.padded_box(*[F.col(x) for x in ("x1", "y1", "x2", "y2")], F.lit(1920), F.lit(1080))
-    return boxes(spark, sf_dir).select("l_orderkey", "l_linenumber", p.alias("p")).select("l_orderkey", "l_linenumber", "p.x1", "p.y1", "p.x2", "p.y2")
+    p = N.padded_box(*[F.col(x) for x in ("x1", "y1", "x2", "y2")], F.lit(1920), F.lit(1080), 0.35)
+    rows = boxes(spark, sf_dir).select("l_orderkey", "l_linenumber", p.alias("p")).filter("p IS NOT NULL")
+    return rows.select("l_orderkey", "l_linenumber", "p.x1", "p.y1", "p.x2", "p.y2")
 
 
-@query("f25_tokens", "SELECT p_partkey, CAST(ceil(w / 32) * ceil(540 / 32) AS INTEGER) AS tokens FROM (SELECT p_partkey, CAST(round_even((p_size * 40 + 100) * 540 / 1080, 0) AS INTEGER) AS w FROM part)")
+@query(
+    "f25_tokens",
+    """WITH s AS (SELECT p_partkey, p_size * 40 + 100 AS w, CASE WHEN p_partkey % 3 = 0 THEN 360 ELSE 1080 END AS h FROM part), t AS (SELECT p_partkey, greatest(1, CAST(round_even(CAST(w * 540 AS DOUBLE) / h, 0) AS INTEGER)) AS w FROM s)
+SELECT p_partkey, w AS width, CAST(ceil(w / 32) * ceil(540 / 32) AS INTEGER) AS tokens FROM t""",
+)
 def f25_tokens(spark, sf_dir):
-    w = N.scaled_width(F.col("p_size") * 40 + 100, F.lit(1080))
-    return table(spark, sf_dir, "part").select("p_partkey", N.visual_tokens(w, F.lit(540)).alias("tokens"))
+    """frames are scaled to a height of 540, small ones up."""
+    w = N.scaled_width(F.col("p_size") * 40 + 100, F.when(F.col("p_partkey") % 3 == 0, 360).otherwise(1080))
+    return table(spark, sf_dir, "part").select("p_partkey", w.alias("width"), N.visual_tokens(w, F.lit(540)).alias("tokens"))
 
 
 @query("f28_lines", "SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN '' ELSE '[zh]' END || role || ': ' || text AS line FROM conversations")
