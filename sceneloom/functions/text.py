@@ -160,8 +160,8 @@ def srt_ms(stamp: Column) -> Column:
 
 
 def clock(seconds: Column) -> Column:
-    """m:ss."""
-    s = F.floor(seconds).cast("long")
+    """m:ss of seconds, rounded (half to even)."""
+    s = F.bround(seconds.cast("double"), 0).cast("long")
     return F.concat(F.floor(s / 60).cast("string"), F.lit(":"), F.lpad((s % 60).cast("string"), 2, "0"))
 
 

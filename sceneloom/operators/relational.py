@@ -34,11 +34,18 @@ def nearest_key(df: DataFrame, key: list[str], order: str, is_key: Column, name:
     return df.withColumn(name, F.coalesce(before, behind))
 
 
-def fill_from_key(df: DataFrame, cluster: str, order: str, value: str, is_key: Column, key_value: Column, last: bool = False) -> DataFrame:
-    """Rows without a value take that of their cluster's first (or last) key row."""
+def fill_from_key(df: DataFrame, cluster: str, order: str, value: str, is_key: Column, key_value: Column, last: bool = False, required: bool = False) -> DataFrame:
+    """Rows without a value take that of their cluster's first (or last) key row that has one.
+
+    required: a row without a value, whose cluster has none to give or that is in no cluster, is an error.
+    """
     pick = F.max_by if last else F.min_by
-    keys = df.filter(is_key).groupBy(cluster).agg(pick(key_value, F.col(order)).alias("_key_value"))
-    return df.join(keys, cluster, "left").withColumn(value, F.coalesce(value, "_key_value")).drop("_key_value")
+    keys = df.filter(is_key & (F.trim(F.coalesce(key_value.cast("string"), F.lit(""))) != "")).groupBy(cluster).agg(pick(key_value, F.col(order)).alias("_key_value"))
+    filled = F.coalesce(value, "_key_value")
+    if required:
+        missing = F.raise_error(F.concat(F.lit("no key value for cluster "), F.coalesce(F.col(cluster).cast("string"), F.lit("null"))))
+        filled = F.when(filled.isNotNull(), filled).otherwise(missing.cast(df.schema[value].dataType))
+    return df.join(keys, cluster, "left").withColumn(value, filled).drop("_key_value")
 
 
 def first_source(sources: list[DataFrame], on: list[str], value: str) -> DataFrame:

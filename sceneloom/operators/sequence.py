@@ -243,12 +243,15 @@ def batches(df: DataFrame, key: list[str], order: str, same: str, breaks: Column
 
 
 def unique_shots(df: DataFrame, key: list[str], order: str, close: str) -> DataFrame:
-    """N frames of a chain, how many differ, and its class (valid from 3, merged if all are one)."""
+    """N frames of a chain, how many differ, and its class (valid from 3, merged if all are one).
+
+    `close` is null for frames without an embedding; with fewer than two that have one, all frames count as different.
+    """
     w = _w(key, order)
     was = F.lag(close).over(w)
-    rows = df.withColumn("_new", F.when(was.isNull(), 0).when(F.col(close) & was, 0).otherwise(1))
-    out = rows.groupBy(*key).agg(F.count(F.lit(1)).cast("int").alias("raw"), F.bool_and(close).alias("_all"), F.sum("_new").alias("_n"))
-    out = out.withColumn("uniq", F.when(F.col("_all") & (F.col("raw") > 1), 1).otherwise(F.col("_n") + 1).cast("int"))
+    rows = df.withColumn("_new", F.when(F.row_number().over(w) == 1, 0).when(F.col(close) & was, 0).otherwise(1))
+    out = rows.groupBy(*key).agg(F.count(F.lit(1)).cast("int").alias("raw"), F.bool_and(close).alias("_all"), F.sum("_new").alias("_n"), F.count(close).alias("_known"))
+    out = out.withColumn("uniq", F.when(F.col("_known") < 2, F.col("raw")).when(F.col("_all"), 1).otherwise(F.col("_n") + 1).cast("int"))
     kind = F.when((F.col("uniq") == 1) & (F.col("raw") > 1), "merged").when(F.col("uniq") >= 3, "valid").otherwise("short")
     return out.select(*key, "raw", "uniq", kind.alias("kind"))
 

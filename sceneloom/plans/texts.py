@@ -118,7 +118,7 @@ def f11_time(spark, sf_dir):
     return rows.withColumn("back", X.ms_to_frame(F.col("ms"), 23.976))
 
 
-@query("f12_clock", "SELECT event_id, (CAST(floor(value) AS BIGINT) // 60) || ':' || lpad(CAST(CAST(floor(value) AS BIGINT) % 60 AS VARCHAR), 2, '0') AS clock, 3600000 + CAST(floor(value) AS BIGINT) * 1000 + 7 AS ms FROM events")
+@query("f12_clock", "SELECT event_id, (CAST(round_even(value, 0) AS BIGINT) // 60) || ':' || lpad(CAST(CAST(round_even(value, 0) AS BIGINT) % 60 AS VARCHAR), 2, '0') AS clock, 3600000 + CAST(floor(value) AS BIGINT) * 1000 + 7 AS ms FROM events")
 def f12_clock(spark, sf_dir):
     s = F.floor("value").cast("long")
     stamp = F.format_string("01:%02d:%02d,007", F.floor(s / 60).cast("long"), s % 60)

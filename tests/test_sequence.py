@@ -149,3 +149,9 @@ def test_stable_regions_pick_the_indexed_order_statistic(spark):
     assert got and all(e - s >= 2 for s, e in got) and all(e < 12 or s > 17 for s, e in got)
     flat = frame(spark, [(1, i, 1.0) for i in range(5)], "v int, f int, x double")
     assert [(r.start, r.end) for r in sequence.stable_regions(flat, ["v"], "f", "x", 3).collect()] == [(0, 1)]
+
+
+def test_chains_with_few_embeddings(spark):
+    rows = [(1, 0, True), (1, 1, None), (1, 2, None), (2, 0, True), (2, 1, True), (3, 0, None), (3, 1, True), (3, 2, True), (3, 3, False), (4, 0, True)]
+    got = {r.c: (r.raw, r.uniq, r.kind) for r in sequence.unique_shots(frame(spark, rows, "c int, i int, close boolean"), ["c"], "i", "close").collect()}
+    assert got == {1: (3, 3, "valid"), 2: (2, 1, "merged"), 3: (4, 3, "valid"), 4: (1, 1, "short")}

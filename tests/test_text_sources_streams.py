@@ -227,3 +227,12 @@ def test_transcripts_and_sizes_as_they_are_written(spark):
     assert crop(10, 10, 24, 20, 100, 100)[:3:2] == (7, 26)
     assert crop(0, 0, 50, 20, 100, 100) == (0, 0, 65, 65) and crop(80, 40, 100, 60, 100, 100) == (74, 37, 100, 63)
     assert tuple(value(spark, N.work_size(F.lit(640), F.lit(360)))) == (1706, 960) and tuple(value(spark, N.work_size(F.lit(1080), F.lit(1921)))) == (960, 1708)
+
+
+def test_fill_from_key_rules(spark):
+    rows = [("c1", 0, None, True), ("c1", 1, "a", True), ("c1", 2, "b", True), ("c1", 3, None, False), ("c2", 4, " ", True), ("c2", 5, None, False)]
+    df = spark.createDataFrame(rows, "c string, i int, v string, k boolean")
+    got = {r.i: r.v for r in relational.fill_from_key(df, "c", "i", "v", F.col("k"), F.col("v")).collect()}
+    assert got == {0: "a", 1: "a", 2: "b", 3: "a", 4: " ", 5: None}
+    with pytest.raises(Exception, match="no key value for cluster c2"):
+        relational.fill_from_key(df, "c", "i", "v", F.col("k"), F.col("v"), required=True).collect()
