@@ -1,7 +1,7 @@
 """Helpers that several training-data operators share.
 
 Arrow batches are bounded by Spark itself (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB): a batch holds long texts
-one or few at a time.
+one or few at a time. Python works on slices of them.
 """
 
 from __future__ import annotations
@@ -9,7 +9,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +57,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows, which share their memory: what Python makes of a slice is small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 #: Rows that may be broadcast (about 100 bytes each, so 20 MB).
 BROADCAST_ROWS = 200_000
 

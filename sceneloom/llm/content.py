@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sliced
+
 
 # Elements by their role in HTML.
 UNSEEN = {"script", "style", "head", "title", "noscript", "template", "svg", "math", "iframe", "object", "textarea", "select", "button", "canvas", "audio", "video", "map"}
@@ -390,7 +392,7 @@ def learn_weights(pages: DataFrame, sample: int = 4000) -> dict[str, float]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
-        for b in batches:
+        for b in sliced(batches):
             for page in b.column(0).to_pylist():
                 total.update(count_labels(page))
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.bool_()), pa.array(list(total.values()), pa.int64())], names=["feature", "labelled", "n"])
@@ -492,7 +494,7 @@ def extract_text(pages: DataFrame, weights: dict[str, float] | None = None) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         named = class_weights(w)
-        for b in batches:
+        for b in sliced(batches):
             texts = [extract(x, w, named) for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

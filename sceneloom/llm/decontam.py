@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of, written
+from .common import sliced, words_of, written
 from .ngram_join import WordHash, ngram_hashes
 
 SEGMENT = 64
@@ -288,7 +288,7 @@ def index(benchmark: DataFrame, n: int = 5, theta: float = 0.6) -> Iterator[Shar
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL").distinct()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             rows = [(len(part), sorted(set(part))) for t in b.column(1).to_pylist() for part in segments_of(t)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], names=["words", "terms"])
 
@@ -319,7 +319,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, n: int = 5, overlap: float
         shared = spark.sparkContext.broadcast(shard)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in sliced(batches):
                 ids = b.column(0).to_pylist()
                 found = find(b.column(1).to_pylist(), shared.value, theta, overlap, part)
                 cols = list(zip(*((ids[i], shared.value.items[k][0], s, o, q, a) for i, k, s, o, q, a in found), strict=True)) or [()] * 6
@@ -337,7 +337,7 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, n: int = 5, over
         shared = documents.sparkSession.sparkContext.broadcast(shard)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in sliced(batches):
                 keep = np.ones(b.num_rows, bool)
                 for x in find(b.column(at).to_pylist(), shared.value, theta, overlap, part):
                     keep[x[0]] = False

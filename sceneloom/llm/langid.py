@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, written
+from .common import crc_of_id, sliced, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -201,7 +201,7 @@ def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, list[int]] = {}
         seen: set[tuple[str, int]] = set()  # of the sample: bounded
-        for b in batches:
+        for b in sliced(batches):
             out = []
             for lang, text, key in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if (lang, key) in seen:
@@ -288,7 +288,7 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = _predictor(shared.value)
-        for b in batches:
+        for b in sliced(batches):
             langs, scores, shares, accepted = predictor(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(shares, pa.float64()), pa.array(accepted, pa.bool_())], names=["doc_id", "lang_pred", "score", "known", "accepted"])
 
@@ -302,7 +302,7 @@ def accepted_documents(documents: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = _predictor(shared.value)
-        for b in batches:
+        for b in sliced(batches):
             yield b.filter(pa.array(predictor(b.column(at).to_pylist())[-1], pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)

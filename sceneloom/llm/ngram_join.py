@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, join_classes, words_of, written
+from .common import BROADCAST_ROWS, join_classes, sliced, words_of, written
 
 #: N-grams of a block of texts, about (8 bytes each); a task holds two blocks.
 BLOCK_NGRAMS = 1 << 19
@@ -90,7 +90,7 @@ def _sketches(rows: DataFrame, n: int, bands: int, per_band: int) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = WordHash()
-        for b in batches:
+        for b in sliced(batches):
             hashes = [ngram_hashes(words_of(t), n, seen) for t in b.column(2).to_pylist()]
             sizes = [len(h) for h in hashes]
             counts = [len(np.unique(h)) for h in hashes]
@@ -126,7 +126,7 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = WordHash()
-        for b in batches:
+        for b in sliced(batches):
             sets = [ngram_set(t, n, seen).view(np.int64) for t in b.column(1).to_pylist()]
             offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))], names=["key", "grams"])

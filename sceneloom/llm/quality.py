@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, written
+from .common import crc_of_id, sliced, written
 
 _BYTE_GROUPS = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"\r\n", b".,;:'\"()-", b"!?", b"#$%&*@^~|\\/<>{}[]=+_`")
 _GROUP_OF = np.full(256, len(_BYTE_GROUPS), np.int64)
@@ -195,7 +195,7 @@ def _feature_rows(rows: DataFrame, keep: str, schema: str, score=None) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = score.value if score is not None else None
         seen = _Buckets()
-        for b in batches:
+        for b in sliced(batches):
             x = np.array([features(t, seen) for t in b.column(1).to_pylist()], np.float32).reshape(b.num_rows, WIDTH)
             if score is None:
                 value = pa.array([v.tobytes() for v in x], pa.binary())
