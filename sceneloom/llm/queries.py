@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, content, decontam, langid, mixing, ngram_join, quality, sharding, spotsigs, warc
+from . import centroids, chat, content, decontam, divergence, langid, mixing, ngram_join, packing, quality, sharding, spotsigs, warc
 from .common import table
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -83,6 +83,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_elkan_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
@@ -95,10 +107,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shard_tree": op8_shard_tree,
     "op9_mix_sources": op9_mix_sources,
     "op10_language_id": op10_language_id,
+    "op11_elkan_centroids": op11_elkan_centroids,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_pack_windows": op13_pack_windows,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": ORACLE_OP1,
     "op3_warc_normalise": ORACLE_OP3,
     "op8_shard_tree": sharding.oracle(),
     "op9_mix_sources": mixing.ORACLE,
+    "op11_elkan_centroids": centroids.oracle(),
+    "op12_source_divergence": divergence.ORACLE,
 }
