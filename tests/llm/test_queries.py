@@ -6,7 +6,7 @@ from oracle_check import compare, connect
 from sceneloom.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
-ROWS = {"op3": "pages", "op4": "pages", "op5_spotsigs": "documents", "op6": "documents", "op7": "documents", "op8": "documents", "op9": "documents", "op10": "documents"}
+ROWS = {"op3": "pages", "op4": "pages", "op5_spotsigs": "documents", "op6": "documents", "op7": "documents", "op8": "documents", "op9": "documents", "op10": "documents", "op11": "embeddings"}
 
 
 @pytest.mark.parametrize("name", QUERIES)
