@@ -43,27 +43,92 @@ def persons(ids: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
     return ids.select(F.col(id_col).alias("id")).join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("person"))
 
 
-#: A half of the ids moves at a time: those whose id times MIX plus the round times STEP has this bit unset.
-MIX, STEP, BIT = 40503, 26501, 64
+def whispers(edges: DataFrame, most_turns: int = 1000) -> DataFrame:
+    """Id, label (the least id of its group) of all ends of edges src, dst, cos.
 
-
-def whispers(edges: DataFrame, rounds: int = 20) -> DataFrame:
-    """Id, label (int64 ids). An id takes the label with the most weight among its neighbours, ties the least one.
-
-    The original goes through the ids in a random order, each seeing what the ones before it did. If all moved at once,
-    two linked ids would swap their labels for ever. So in each of 2 * `rounds` turns about a half of the ids may move, by
-    a rule on id and turn that deals linked ids apart sooner or later; runs agree. It ends when no id would move.
+    An id takes the label with the most weight among its neighbours, of equal ones the least. The original goes through
+    the ids in a random order, each seeing what the ones before it did. Here all ids that would change draw a hash of id and
+    turn, and those move that drew more than every neighbour that would change, too. So no two linked ids move at once, and
+    a turn is a part of some sequential order. Weights are whole numbers of 1e-9, so that sums are exact: a move makes the
+    weight of edges inside labels larger, or leaves it and makes a label smaller. So it ends, with no id that would change.
+    Ids may be of any type that has an order.
     """
-    one = edges.select("src", "dst", F.col("cos").alias("w"))
-    both = written(one.union(one.select("dst", "src", "w")).groupBy("src", "dst").agg(F.max("w").alias("w")), "whisper-edges")
+    one = edges.select("src", "dst", F.round(F.col("cos") * 1e9).cast("long").alias("w"))
+    both = written(one.union(one.select("dst", "src", "w")).filter("src <> dst").groupBy("src", "dst").agg(F.max("w").alias("w")), "whisper-edges")
     labels = written(both.select(F.col("src").alias("id")).distinct().withColumn("label", F.col("id")), "whisper-labels")
-    for turn in range(2 * rounds):
+    for turn in range(most_turns):
         votes = both.join(labels, both["dst"] == labels["id"]).groupBy("src", "label").agg(F.sum("w").alias("w"))
-        best = votes.groupBy("src").agg(F.max_by("label", F.struct(F.round("w", 9), -F.col("label"))).alias("best"))
-        may = F.pmod(F.floor(F.pmod(F.col("id") * MIX + turn * STEP, F.lit(1 << 20)) / BIT), F.lit(2)) == 0
-        new = labels.join(best, labels["id"] == best["src"]).select("id", F.col("best").alias("would"), F.col("label").alias("was"), F.when(may, F.col("best")).otherwise(F.col("label")).alias("label"))
-        new = written(new, "whisper-labels")
-        labels = new.select("id", "label")
-        if new.filter("would <> was").isEmpty():
+        best = votes.groupBy(F.col("src").alias("_i")).agg(F.min(F.struct((-F.col("w")).alias("w"), "label"))["label"].alias("would"))
+        changed = labels.join(best, labels["id"] == best["_i"]).filter("would <> label").select("id", "would", F.struct(F.xxhash64("id", F.lit(turn).cast("long")).alias("h"), "id").alias("drew"))
+        changed = written(changed, "whisper-moves")
+        if changed.isEmpty():
             break
-    return labels
+        theirs = both.join(changed.select(F.col("id").alias("_d"), "drew"), F.col("dst") == F.col("_d"))
+        rivals = theirs.groupBy(F.col("src").alias("_i")).agg(F.max("drew").alias("most"))
+        moves = changed.join(rivals, changed["id"] == rivals["_i"], "left").filter(F.col("most").isNull() | (F.col("drew") > F.col("most"))).select(F.col("id").alias("_m"), "would")
+        labels = written(labels.join(moves, labels["id"] == moves["_m"], "left").select("id", F.coalesce("would", "label").alias("label")), "whisper-labels")
+    else:
+        raise RuntimeError(f"labels didn't settle in {most_turns} turns")
+    least = labels.groupBy(F.col("label").alias("_l")).agg(F.min("id").alias("least"))
+    return labels.join(least, labels["label"] == least["_l"]).select("id", F.col("least").alias("label"))
+
+
+def numbered_persons(ids: DataFrame, labels: DataFrame) -> DataFrame:
+    """Id, person: every id's group, numbered from 0 by first appearance; ids without edges are groups of their own."""
+    own = ids.select("id").join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
+    order = ranked(own.select("label").distinct(), [F.col("label")])
+    return own.join(order, "label").select("id", (F.col("rank") - 1).alias("person"))
+
+
+def spanning_forest(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """A maximum spanning forest: those of the edges src, dst, cos that hold every component of cos >= t together, for
+    all t at once. Of equal weights the edge with the lesser ends comes first.
+
+    In each round every component takes its best edge to another (at least halving their number), and what is left between
+    two components shrinks to its best edge.
+    """
+    edge = F.struct((-F.col("cos")).alias("w"), F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).alias("edge")
+    left = edges.filter("src <> dst AND cos IS NOT NULL").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), edge)
+    left = written(left.groupBy("a", "b").agg(F.min("edge").alias("edge")), "forest-edges")
+    chosen = []
+    for _ in range(most_rounds):
+        both = left.union(left.select("b", "a", "edge"))
+        best = both.groupBy("a").agg(F.min(F.struct("edge", "b")).alias("x")).select("a", "x.b", "x.edge")
+        best = written(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "edge").distinct(), "forest")
+        chosen.append(best.select("edge.src", "edge.dst", (-F.col("edge.w")).alias("cos")))
+        if best.isEmpty():
+            out = chosen[0]
+            for more in chosen[1:]:
+                out = out.union(more)
+            return out
+        root = connected_components(best, "a", "b")
+        ends = left.join(root.select(F.col("id").alias("a"), F.col("component").alias("ra")), "a").join(root.select(F.col("id").alias("b"), F.col("component").alias("rb")), "b").filter("ra <> rb")
+        left = written(ends.groupBy(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).agg(F.min("edge").alias("edge")), "forest-edges")
+    raise RuntimeError(f"the forest isn't whole after {most_rounds} rounds")
+
+
+def _at_thresholds(edges: DataFrame, thresholds: list[float]) -> DataFrame:
+    """The edges of each threshold, with ends that tell it."""
+    at = F.explode(F.filter(F.array(*[F.lit(float(t)) for t in thresholds]), lambda t: t <= F.col("cos"))).alias("thr")
+    return edges.select("src", "dst", "cos", at).select(F.struct("thr", F.col("src").alias("id")).alias("src"), F.struct("thr", F.col("dst").alias("id")).alias("dst"), "cos")
+
+
+def threshold_sweep(ids: DataFrame, edges: DataFrame, thresholds: list[float], method: str = "union", largest: int = 6) -> DataFrame:
+    """Thr, persons, sizes (of the `largest` groups, falling) for each threshold.
+
+    method `union`: components, all found at once on a maximum spanning forest; `whispers`: G3 on the edges of all
+    thresholds side by side. Ids without an edge are persons, too. Sizes are counted before they are sorted, so that no task
+    gets a row for each group.
+    """
+    if method == "union":
+        groups = connected_components(_at_thresholds(written(spanning_forest(edges), "forest"), thresholds)).select("id", F.col("component").alias("label"))
+    elif method == "whispers":
+        groups = whispers(_at_thresholds(edges, thresholds))
+    else:
+        raise ValueError(f"method {method}")
+    sizes = written(groups.groupBy("label").agg(F.count(F.lit(1)).alias("size")).groupBy(F.col("label.thr").alias("thr"), "size").agg(F.count(F.lit(1)).alias("n")), "sweep")
+    every = ids.sparkSession.createDataFrame([(float(t),) for t in thresholds], "thr double").crossJoin(ids.agg(F.count(F.lit(1)).alias("total")))  # one row
+    singles = every.join(sizes.groupBy("thr").agg(F.sum(F.col("size") * F.col("n")).alias("inside")), "thr", "left").select("thr", F.lit(1).cast("long").alias("size"), (F.col("total") - F.coalesce("inside", F.lit(0))).alias("n"))
+    by_size = F.sort_array(F.collect_list(F.struct("size", "n")), asc=False)
+    few = F.slice(F.flatten(F.transform(by_size, lambda x: F.array_repeat(x["size"], F.least(x["n"], F.lit(largest)).cast("int")))), 1, largest)
+    return sizes.unionByName(singles).filter("n > 0").groupBy("thr").agg(F.sum("n").alias("persons"), few.alias("sizes"))

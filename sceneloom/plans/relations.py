@@ -142,12 +142,33 @@ def j13_person_pairs(spark, sf_dir):
     return pairs(spark, sf_dir, 0.35, ["label"]).withColumn("cos", F.round("cos", 6))
 
 
-@query("a18_threshold_sweep", f"WITH {PAIRS_SQL}, t AS (SELECT unnest([0.35, 0.38, 0.40, 0.42, 0.45]) AS thr) SELECT CAST(thr AS DOUBLE) AS thr, count(*) AS n FROM pr JOIN t ON cos >= thr GROUP BY thr")
+#: The thresholds of the sweep.
+THRESHOLDS = [0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65]
+
+
+def face_pairs(spark, sf_dir):
+    """Three vectors are the faces of a frame; those of one frame are never linked."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.floor(F.col("vec_id") / 3).alias("frame"))
+    return vector.cosine_pairs(rows, "vec_id", "embedding", THRESHOLDS[0], ["frame"])
+
+
+@query(
+    "a18_threshold_sweep",
+    f"""WITH RECURSIVE {PAIRS_SQL}, t AS (SELECT CAST(unnest({THRESHOLDS}) AS DOUBLE) AS thr), ed AS MATERIALIZED (SELECT thr, src AS a, dst AS b FROM pr JOIN t ON cos >= thr WHERE src // 3 <> dst // 3 UNION SELECT thr, dst, src FROM pr JOIN t ON cos >= thr WHERE src // 3 <> dst // 3),
+re(thr, id, r) AS (SELECT thr, vec_id, vec_id FROM embeddings, t UNION SELECT re.thr, ed.b, re.r FROM re JOIN ed ON re.id = ed.a AND re.thr = ed.thr), co AS (SELECT thr, id, min(r) AS c FROM re GROUP BY thr, id), sz AS (SELECT thr, c, count(*) AS n FROM co GROUP BY thr, c)
+SELECT thr, count(*) AS persons, list(n ORDER BY n DESC)[1:6] AS sizes FROM sz GROUP BY thr""",
+)
 def a18_threshold_sweep(spark, sf_dir):
-    """Pairs found once at the least threshold, counted for each."""
-    found = pairs(spark, sf_dir, 0.35)
-    at = F.explode(F.filter(F.array(*[F.lit(x) for x in (0.35, 0.38, 0.40, 0.42, 0.45)]), lambda t: t <= F.col("cos")))
-    return found.select(at.alias("thr")).groupBy("thr").agg(F.count(F.lit(1)).alias("n"))
+    """Persons at each threshold, by components."""
+    ids = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"))
+    return graph.threshold_sweep(ids, face_pairs(spark, sf_dir), THRESHOLDS)
+
+
+@query("a18_whispers_sweep")
+def a18_whispers_sweep(spark, sf_dir):
+    """The same by label propagation."""
+    ids = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"))
+    return graph.threshold_sweep(ids, face_pairs(spark, sf_dir), THRESHOLDS, "whispers")
 
 
 COMPONENTS_SQL = f"""{PAIRS_SQL}, ed AS (SELECT src AS a, dst AS b FROM pr WHERE cos >= 0.40 UNION SELECT dst, src FROM pr WHERE cos >= 0.40), re(id, r) AS (SELECT DISTINCT a, a FROM ed UNION SELECT ed.b, re.r FROM re JOIN ed ON re.id = ed.a),
@@ -172,8 +193,9 @@ def g2_persons(spark, sf_dir):
 
 @query("g3_whispers")
 def g3_whispers(spark, sf_dir):
-    """G3, in a fixed order of moves; tests replay it step by step."""
-    return graph.whispers(pairs(spark, sf_dir, 0.35))
+    """Persons numbered by first appearance; tests replay the moves step by step."""
+    ids = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"))
+    return graph.numbered_persons(ids, graph.whispers(face_pairs(spark, sf_dir)))
 
 
 def members(spark, sf_dir):

@@ -164,35 +164,95 @@ def test_ranked(spark):
     assert got == {x: k + 1 for k, x in enumerate(sorted(rows, key=lambda x: (-x[0], x[1])))}
 
 
-def whisper_step_by_step(edges, rounds=20):
+def whisper_step_by_step(edges):
+    """The moves of each turn one after the other, each seeing those before it."""
+    import struct
+
+    import xxhash
+
     near = {}
     for a, b, w in edges:
-        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = w
+        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = round(w * 1e9)
     labels = {i: i for i in near}
-    for turn in range(2 * rounds):
-        would = {}
-        for i in near:
-            votes = {}
-            for j, w in near[i].items():
-                votes[labels[j]] = votes.get(labels[j], 0.0) + w
-            would[i] = max(votes, key=lambda x: (round(votes[x], 9), -x))
-        if would == labels:
+
+    def best(i):
+        votes = {}
+        for j, w in near[i].items():
+            votes[labels[j]] = votes.get(labels[j], 0) + w
+        return min(votes, key=lambda x: (-votes[x], x))
+
+    def drew(i, turn):  # Spark's xxhash64 of two longs
+        h = xxhash.xxh64_intdigest(struct.pack("<q", i), 42)
+        h = xxhash.xxh64_intdigest(struct.pack("<q", turn), h)
+        return (h - (1 << 64) if h >> 63 else h), i
+
+    for turn in range(1000):
+        changed = {i: drew(i, turn) for i in near if best(i) != labels[i]}
+        if not changed:
             break
-        for i in near:
-            if (i * graph.MIX + turn * graph.STEP) % (1 << 20) // graph.BIT % 2 == 0:
-                labels[i] = would[i]
-    return labels
+        for i in sorted(changed, key=changed.get, reverse=True):
+            if all(changed[i] > changed[j] for j in near[i] if j in changed):
+                labels[i] = best(i)
+    least = {}
+    for i, x in labels.items():
+        least[x] = min(i, least.get(x, i))
+    return {i: least[x] for i, x in labels.items()}
 
 
 def test_whispers_settle(spark):
-    pair, path, clique = [(1, 2)], [(10, 11), (11, 12), (12, 13)], [(a, b) for a in range(20, 26) for b in range(a + 1, 26)]
-    r = random.Random(2)
-    some = [(a, b) for a in range(100, 140) for b in range(a + 1, 140) if r.random() < (0.5 if a // 10 == b // 10 else 0.02)]
-    edges = [(a, b, 0.5 + (a * b % 7) / 20 if a >= 100 else 0.9) for a, b in pair + path + clique + some]
+    """Pairs, paths, stars and cliques end in one label whatever their ids; 1,000 random graphs as the moves one by one."""
+    r, edges, whole = random.Random(2), [], []
+    for step in (1, 2, 128, 40503, 1 << 20):
+        base = step * 100_000_000
+        shapes = [[(0, 1)], [(i, i + 1) for i in range(20)], [(0, i) for i in range(1, 12)], [(a, b) for a in range(7) for b in range(a + 1, 7)], [(0, 1), (1, 2)]]
+        for k, shape in enumerate(shapes):
+            at = base + k * step * 1000
+            edges += [(at + a * step, at + b * step, 0.5) for a, b in shape]
+            whole.append({at + x * step for e in shape for x in e})
+    for k in range(1000):
+        at, n = -(k + 1) * 100_000, r.randint(2, 9)
+        edges += [(at + a * 128, at + b * 128, r.choice([0.4, 0.5, 0.61])) for a in range(n) for b in range(a + 1, n) if r.random() < 0.45]
     got = {x.id: x.label for x in graph.whispers(spark.createDataFrame(edges, "src long, dst long, cos double")).collect()}
     assert got == whisper_step_by_step(edges)
-    for group in ((1, 2), range(10, 14), range(20, 26)):
-        assert len({got[i] for i in group}) == 1
+    for ids in whole:
+        assert {got[i] for i in ids} == {min(ids)}
+    persons = graph.numbered_persons(spark.createDataFrame([(i,) for i in (7, 8, 9)], "id long"), spark.createDataFrame([(8, 8), (9, 8)], "id long, label long")).collect()
+    assert {r.id: r.person for r in persons} == {7: 0, 8: 1, 9: 1}
+
+
+def test_spanning_forest_and_sweep(spark):
+    """The forest's weight is that of Kruskal's, and its components are those of all edges at every threshold."""
+    r = random.Random(5)
+    edges = [(a * 128, b * 128, r.choice([0.3, 0.4, 0.5, 0.6, 0.7])) for a in range(60) for b in range(a + 1, 60) if r.random() < 0.06] + [(0, 0, 0.9)]
+
+    def components(some):
+        root = {i * 128: i * 128 for i in range(70)}
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        total = 0.0
+        for a, b, w in sorted(some, key=lambda e: (-e[2], e[0], e[1])):
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                total += w
+        return {i: find(i) for i in root}, total
+
+    df = spark.createDataFrame(edges, "src long, dst long, cos double")
+    forest = [tuple(x) for x in graph.spanning_forest(df).collect()]
+    assert round(sum(w for *_, w in forest), 6) == round(components(edges)[1], 6) and len(forest) == len(set(forest))
+    ids = spark.createDataFrame([(i * 128,) for i in range(70)], "id long")
+    thresholds = [0.35, 0.5, 0.65, 0.8]
+    got = {x.thr: (x.persons, x.sizes) for x in graph.threshold_sweep(ids, df, thresholds).collect()}
+    for t in thresholds:
+        of = list(components([e for e in edges if e[2] >= t])[0].values())
+        sizes = sorted((of.count(c) for c in set(of)), reverse=True)
+        assert got[t] == (len(sizes), sizes[:6])
+    by_whispers = {x.thr: x.persons for x in graph.threshold_sweep(ids, df, thresholds, "whispers").collect()}
+    assert all(by_whispers[t] >= got[t][0] for t in thresholds) and by_whispers[0.8] == 70
 
 
 def test_main_subject(spark):
