@@ -6,12 +6,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions import numeric as N
 from ..operators import interval, relational
 from ..session import shared_folder
 from ..sources import files, providers, sinks
 from ..streaming import online
 from .base import ORACLE_SQL, frames, query, table
-from .sequences import SHOTS_SQL, shots
+from .sequences import SCORE_SQL, SHOTS_SQL, shots
 
 
 @query("st2_stream_cuts", ORACLE_SQL["w1_cut_score"])
@@ -52,6 +53,30 @@ def st2_stream_dark_runs(spark, sf_dir):
     return online.run_to_end(online.stream_dark_runs(with_totals(events, spark, sf_dir), "video", "event_id", "value", 20.0, 2, "total"), "st2-dark")
 
 
+@query(
+    "st2_stream_pool",
+    f"""WITH RECURSIVE {{fr}}, {SCORE_SQL}, k AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY video, shot ORDER BY frame) AS i FROM (SELECT video, frame,
+  sum(CASE WHEN score >= 40 AND frame > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY video ORDER BY frame) AS shot,
+  CAST(round(mafd + greatest(0.0, (value % 10) / 100 - 0.05) * 8 + (1 - greatest(0.0, least(1.0, 1 - abs(value / 500 - 0.5) * 3))) * 0.5, 6) AS DOUBLE) AS r FROM sc)),
+f(video, shot, i, pool) AS (SELECT video, shot, i, [{{{{'a': frame, 'r': r}}}}] FROM k WHERE i = 1 UNION ALL SELECT video, shot, i, CASE
+  WHEN near > 0 THEN CASE WHEN r < pool[near].r THEN pool[:near - 1] || [new] || pool[near + 1:] ELSE pool END
+  WHEN len(pool) < 3 THEN pool || [new]
+  WHEN r < pool[worst].r THEN pool[:worst - 1] || [new] || pool[worst + 1:] ELSE pool END
+ FROM (SELECT k.video, k.shot, k.i, f.pool, k.r, {{{{'a': k.frame, 'r': k.r}}}} AS new, coalesce(list_position(list_transform(f.pool, lambda p: abs(p.a - k.frame) <= 2), true), 0) AS near,
+       list_position(list_transform(f.pool, lambda p: p.r), list_max(list_transform(f.pool, lambda p: p.r))) AS worst FROM f JOIN k ON k.video = f.video AND k.shot = f.shot AND k.i = f.i + 1)),
+e AS (SELECT video, shot, unnest(pool) AS p FROM f QUALIFY row_number() OVER (PARTITION BY video, shot ORDER BY i DESC) = 1),
+c AS (SELECT video, 0 AS b, total FROM fr WHERE frame = 0 UNION SELECT video, frame - 1, total FROM sc WHERE score >= 40 AND frame - 1 > 0),
+sh AS (SELECT video, row_number() OVER w - 1 AS shot, b AS s, lead(b, 1, total) OVER w - 1 AS e FROM c WINDOW w AS (PARTITION BY video ORDER BY b))
+SELECT video, CAST(shot AS INTEGER) AS shot, CAST(s AS INTEGER) AS "start", CAST(sh.e AS INTEGER) AS "end", p.a AS frame, p.r AS rank FROM e JOIN sh USING (video, shot)""".replace("{{", "{").replace("}}", "}"),
+)
+def st2_stream_pool(spark, sf_dir):
+    """ST2, T4: the candidates of each shot from a stream, beside the streamed shots."""
+    events = with_totals(online.event_stream(spark, f"{sf_dir}/events.parquet"), spark, sf_dir)
+    penalty = N.candidate_rank(F.lit(0.0), (F.col("value") % 10) / 100, N.brightness_score(F.col("value") / 500))
+    pool = online.run_to_end(online.stream_pool(events.withColumn("penalty", penalty), "video", "event_id", "value", "penalty", 40.0, "total", 2, 3), "st2-pool", listed=True)
+    return st3_stream_shots(spark, sf_dir).join(pool, ["video", "shot"])
+
+
 @query("k1_artifacts", f'WITH {{fr}}, {SHOTS_SQL} SELECT CAST(video AS BIGINT) AS video, CAST(shot AS INTEGER) AS shot, "start", CAST("end" AS INTEGER) AS "end" FROM shots')
 def k1_artifacts(spark, sf_dir):
     """Shots as nested JSON artefacts, written and read again."""

@@ -236,3 +236,29 @@ def test_fill_from_key_rules(spark):
     assert got == {0: "a", 1: "a", 2: "b", 3: "a", 4: " ", 5: None}
     with pytest.raises(Exception, match="no key value for cluster c2"):
         relational.fill_from_key(df, "c", "i", "v", F.col("k"), F.col("v"), required=True).collect()
+
+
+def test_streamed_pool_equals_batch_over_several_batches(spark, tmp_path):
+    """T4 with a list in the state: the shots' candidates as the batch fold finds them, and an open shot stays in the state."""
+    import random
+
+    from pyspark.sql import Window
+
+    from sceneloom.operators import folds, sequence
+
+    r = random.Random(6)
+    rows = [(v, i, float(r.choice([10, 12, 14, 90, 200]) + r.random()), r.random(), 120 if v != 3 else None) for v in range(4) for i in range(120)]
+    schema = "video long, event_id long, value double, penalty double, total int"
+    for part in range(6):
+        spark.createDataFrame([x for x in rows if part * 20 <= x[1] < part * 20 + 20], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = online.run_to_end(online.stream_pool(stream, "video", "event_id", "value", "penalty", 40.0, "total", 3, 4), "pool", listed=True)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    scores = sequence.cut_scores(spark.createDataFrame(rows, schema), ["video"], "event_id", "value")
+    shot = F.sum(F.when((F.col("score") >= 40) & (F.col("event_id") > 1), 1).otherwise(0)).over(Window.partitionBy("video").orderBy("event_id")).cast("int")
+    ranked = scores.withColumns({"shot": shot, "rank": F.round(F.col("mafd") + F.col("penalty"), 6)})
+    want = folds.candidate_pool(ranked, ["video", "shot"], "event_id", "rank", 3, 4)
+    mine, batch = ({(x[0], x[1], x[2], round(x[3], 6)) for x in df.collect()} for df in (got, want))
+    last = max(x[1] for x in batch if x[0] == 3)
+    assert mine == {x for x in batch if x[:2] != (3, last)} and len(mine) > 100
