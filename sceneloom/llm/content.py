@@ -37,14 +37,16 @@ from .common import sliced
 
 # Elements by their role in HTML.
 UNSEEN = {"script", "style", "head", "title", "noscript", "template", "svg", "math", "iframe", "object", "textarea", "select", "button", "canvas", "audio", "video", "map"}
-BOILER = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset", "label"}
+BOILER = {"nav", "header", "footer", "aside"}
+#: Boilerplate unless they wrap the article, as forms do on some sites.
+FORMS = {"form", "fieldset", "label", "dialog", "menu"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
     "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-#: Elements whose end is looked for; those of UNSEEN, BOILER and the others that carry a class.
-NESTED = UNSEEN | BOILER | {"div", "section", "article", "main", "ul", "ol", "table", "figure", "details", "span", "p", "a", "body", "h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements whose end is looked for; those of UNSEEN, BOILER, FORMS and the others that carry a class.
+NESTED = UNSEEN | BOILER | FORMS | {"div", "section", "article", "main", "ul", "ol", "table", "figure", "details", "span", "p", "a", "body", "h1", "h2", "h3", "h4", "h5", "h6"}
 #: Words in a class, id or role that name what is not the article.
 BOILER_WORDS = set(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu topbar breadcrumb breadcrumbs sidebar rail widget widgets footer"
@@ -56,6 +58,7 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _ATTRIBUTES = re.compile(r"(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>")
 _ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+_HREF = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -114,6 +117,7 @@ class _Named:
 
     outer: int
     readers: bool
+    form: bool = False
     plain: int = 0
     labelled: int = 0
     paragraphs: int = 0
@@ -128,7 +132,7 @@ def _judge(named: list[_Named], plain: int, labelled: int) -> None:
 
     One that holds most of the plain words (those within <article> or <main> where a page has such) and an article,
     a heading or two paragraphs is a wrapper of the article; readers' texts are counted only if there is nothing else.
-    Where names would take over nine tenths of the words, they tell nothing.
+    Where names would take over nine tenths of the words, they tell nothing; then only forms without an article go.
     """
     for e in reversed(named):
         if e.outer >= 0:
@@ -157,7 +161,7 @@ def _judge(named: list[_Named], plain: int, labelled: int) -> None:
         kept += 0 if e.dropped else m
     if 10 * kept < total:
         for e in named:
-            e.dropped = e.readers and not readers
+            e.dropped = e.readers and not readers or e.form and not (e.article or e.heading or e.paragraphs > 1) or e.outer >= 0 and named[e.outer].form and named[e.outer].dropped
 
 
 class _Markup:
@@ -167,6 +171,7 @@ class _Markup:
         self.page = page
         self.loose = False  # a quote was never closed: from there on any `>` ends a tag
         self.unclosed: set[str] = set()
+        self.next: dict[str, int] = {}  # where the next start or end tag of a name is
 
     def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
         """Start, end, whether it is an end tag, name and attributes of the next tag, or of what hides text (no name)."""
@@ -195,6 +200,18 @@ class _Markup:
             at = lt + 1
         return None
 
+    def ends(self, tag: str, at: int, nests: bool = True) -> bool:
+        """Whether an end tag of `tag` comes; of one that doesn't nest, before its next start tag."""
+        end = self._next(f"</{tag}", at)
+        return end < len(self.page) and (nests or end < self._next(f"<{tag}", at))
+
+    def _next(self, mark: str, at: int) -> int:
+        """Where the next tag that begins so is; each stretch of the page is looked at once."""
+        if self.next.get(mark, -1) < at:
+            found = re.compile(rf"{mark}(?![^\s/>])", re.I).search(self.page, at)
+            self.next[mark] = found.start() if found else len(self.page)
+        return self.next[mark]
+
     def closed(self, tag: str, at: int) -> int:
         """Where the element of a tag that holds no tags ends; -1 if it never does."""
         if tag in self.unclosed:
@@ -228,7 +245,8 @@ def tokens(page: str, named_words: dict[str, float] | None = None, watched: list
     within: list[int] = []  # the innermost named element of each token
     named: list[_Named] = []
     opened: list[int] = []  # those that are open
-    stack: list[tuple[str, bool, int]] = []
+    stack: list[tuple[str, bool, int, bool]] = []  # name, whether boilerplate, named element, whether a link
+    short: list[int] = []  # places of open elements that end at the next block, as no end tag of theirs comes
     seen: list[_Watched | None] = []  # of the stack's elements
     places: dict[str, list[int]] = {}  # of each tag's open elements in the stack
     boiler = links = headings = labels = articles = 0
@@ -243,26 +261,28 @@ def tokens(page: str, named_words: dict[str, float] | None = None, watched: list
     def close(i: int) -> None:
         """Closes all elements from place i of the stack on."""
         nonlocal boiler, links, headings, labels, articles
+        while short and short[-1] >= i:
+            short.pop()
         while len(stack) > i:
-            name, bad, k = stack.pop()
+            name, bad, k, link = stack.pop()
             seen.pop()
             if not name:
                 continue
             places[name].pop()
             boiler -= bad
-            links -= name == "a"
+            links -= link
             headings -= name[0] == "h" and name[1:].isdigit()
             labels -= name in ("article", "main")
             articles -= name == "article"
             if k >= 0:
                 opened.remove(k) if opened[-1] != k else opened.pop()
 
-    def push(name: str, bad: bool, words: set[str]) -> None:
+    def push(name: str, bad: bool, words: set[str], link: bool = False, form: bool = False) -> None:
         nonlocal boiler, links, headings, labels, articles
         k = -1
-        if words and sum(named_words.get(w, 0.0) for w in words) < -1:
+        if form or words and sum(named_words.get(w, 0.0) for w in words) < -1:
             k = len(named)
-            named.append(_Named(opened[-1] if opened else -1, bool(words & READERS)))
+            named.append(_Named(opened[-1] if opened else -1, bool(words & READERS), form))
             opened.append(k)
         if watched is not None:
             if name in ("article", "main"):
@@ -277,9 +297,9 @@ def tokens(page: str, named_words: dict[str, float] | None = None, watched: list
         else:
             seen.append(None)
         places.setdefault(name, []).append(len(stack))
-        stack.append((name, bad, k))
+        stack.append((name, bad, k, link))
         boiler += bad
-        links += name == "a"
+        links += link
         headings += name[0] == "h" and name[1:].isdigit()
         labels += name in ("article", "main")
         articles += name == "article"
@@ -313,31 +333,39 @@ def tokens(page: str, named_words: dict[str, float] | None = None, watched: list
             if tag in BLOCKS or tag == "br":
                 add("stop", tag)
             continue
+        if tag in BLOCKS and short:
+            close(short[0])
         if tag in UNSEEN:
             if not attrs.rstrip().endswith("/"):
                 if tag in ("script", "style", "textarea", "title", "noscript", "iframe"):
                     over = markup.closed(tag, at)
                     at = over if over >= 0 else n if tag in ("script", "style") else at
                 else:
+                    if tag != "head" and not markup.ends(tag, at, tag not in ("button", "select")):
+                        short.append(len(stack))
                     push(tag, True, set())
         elif tag in NESTED and not attrs.rstrip().endswith("/"):
             while stack and not stack[-1][0]:
-                stack.pop()
-                seen.pop()
+                close(len(stack) - 1)
             if stack and tag in BLOCKS and stack[-1][0] == "p":  # a block ends an open paragraph
                 close(len(stack) - 1)
-            bad, words = False, set()
+            bad, words, form = False, set(), tag in FORMS
             if tag not in ("html", "body", "article", "main"):
                 bad, words = _boilerplate(tag, attrs, frozenset({"header"}) if tag == "header" and labels else frozenset())  # an article's own heading
+            if tag in BOILER and bad and not markup.ends(tag, at):  # it would hold to the end
+                bad, form = False, True
             if tag == "a" and places.get("a"):  # links don't nest
                 i = places["a"].pop()
-                _, was, k = stack[i]
-                stack[i] = ("", False, -1)
+                _, was, k, link = stack[i]
+                stack[i] = ("", False, -1, False)
                 boiler -= was
-                links -= 1
+                links -= link
                 if k >= 0:
                     opened.remove(k)
-            push(tag, bad, words)
+            link = tag == "a" and _HREF.search(attrs) is not None
+            if link and not markup.ends("a", at, False):
+                short.append(len(stack))
+            push(tag, bad, words, link, form and not bad)
             if opened and not boiler:
                 e = named[opened[-1]]
                 e.article |= tag in ("article", "main")
