@@ -61,8 +61,12 @@ def counted(words: list[str], buckets: int, cache: dict[str, list[int]]) -> tupl
     return np.unique(np.array(ids, np.int32), return_counts=True)
 
 
-#: Numbers in a model's table at most (pieces times languages, 4 bytes each): it is broadcast.
-MOST_CELLS = 1 << 24
+#: Languages that are learnt at most (those with the most texts), and texts that a label needs to be one of them.
+MOST_LANGS, LEAST_TEXTS = 1000, 2
+#: Texts and words (of texts and snippets) of a sample at most; with more languages each gets fewer.
+SAMPLE_TEXTS, SAMPLE_WORDS = 40_000, 16_000_000
+#: Steps of the descent for each language, at least.
+STEPS_PER_LANG = 600
 #: Words of a text that count as evidence for or against a known language; words of a text don't stand alone.
 EVIDENCE_WORDS = 64
 #: A text is taken to be in a known language by these odds until its words say otherwise.
@@ -75,8 +79,9 @@ MOST_KNOWN = 0.9
 class Model:
     langs: list[str]
     buckets: int
-    #: Logits of each piece for each language: embedding times softmax weights.
-    table: np.ndarray
+    #: The embedding of each piece, and the softmax's weights: a model's size hardly grows with its languages.
+    embedding: np.ndarray
+    weights: np.ndarray
     #: Hashes of the whole words that training saw, ascending.
     known: np.ndarray
     temperature: float = 1.0
@@ -86,6 +91,18 @@ class Model:
     least_evidence: float = -math.inf
     facts: dict = field(default_factory=dict)
 
+    def knows(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.zeros(len(hashes), bool)
+        return self.known[np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)] == hashes
+
+    def columns(self) -> np.ndarray:
+        """What is summed up for a text: logits of pieces, or their embeddings where there are more languages than dimensions."""
+        return self.embedding @ self.weights if len(self.langs) <= self.weights.shape[0] else self.embedding
+
+    def logits(self, sums: np.ndarray) -> np.ndarray:
+        return sums if len(self.langs) <= self.weights.shape[0] else sums @ self.weights
+
     def evidence(self, known: np.ndarray | float, words: np.ndarray | float) -> np.ndarray | float:
         return (known * self.odds[0] + (words - known) * self.odds[1]) * np.minimum(1.0, EVIDENCE_WORDS / np.maximum(words, 1))
 
@@ -122,6 +139,8 @@ def train(units: list[Unit], buckets: int = 1 << 18, dim: int = 16, epochs: int
     w = np.zeros((dim, len(langs)), np.float32)
     seen = np.zeros(buckets, bool)
     use = np.flatnonzero(~held)
+    labels = np.array([at[u.lang] for u in units])
+    epochs = max(epochs, min(10 * epochs, -(-STEPS_PER_LANG * len(langs) // len(use))))  # many languages have few units each
     steps, done = epochs * len(use), 0
     for _ in range(epochs):
         for i in draws.permutation(use):
@@ -129,17 +148,17 @@ def train(units: list[Unit], buckets: int = 1 << 18, dim: int = 16, epochs: int
             p = (u.counts / u.counts.sum()).astype(np.float32)
             h = p @ emb[u.ids]
             g = softmax(h @ w)
-            g[at[u.lang]] -= 1
+            g[labels[i]] -= 1
             lr = rate * (1 - done / steps) + 0.01
             back = w @ g
             w -= lr * 4 * np.outer(h, g)
             seen[u.ids] = True
             emb[u.ids] -= lr * 40 * p[:, None] * back
             done += 1
-    model = Model(langs, buckets, np.where(seen[:, None], emb, 0) @ w, np.empty(0, np.int64))
+    model = Model(langs, buckets, np.where(seen[:, None], emb, np.float32(0)), w, np.empty(0, np.int64))
     check = np.flatnonzero(held) if held.any() else use
-    logits = np.array([(units[i].counts @ model.table[units[i].ids]) / units[i].counts.sum() for i in check])
-    gold = np.array([at[units[i].lang] for i in check])
+    logits = np.array([(units[i].counts @ model.embedding[units[i].ids] @ w) / units[i].counts.sum() for i in check])
+    gold = labels[check]
     loss = lambda t: -np.log(np.maximum(softmax(logits / t)[np.arange(len(gold)), gold], 1e-12)).mean()
     model.temperature = float(min(np.geomspace(0.25, 25, 80), key=loss))
     probs = softmax(logits / model.temperature)
@@ -154,19 +173,32 @@ def train(units: list[Unit], buckets: int = 1 << 18, dim: int = 16, epochs: int
 def _calibrate_evidence(model: Model, units: list[Unit], use: np.ndarray, check: np.ndarray, lost: float, draws: np.random.RandomState) -> None:
     """Sets how known words are told from unknown ones, and the least evidence."""
     model.known, where = np.unique(np.concatenate([units[i].words for i in use]), return_inverse=True)
-    times = np.zeros((len(model.langs), len(model.known)), np.float32)
-    np.add.at(times, (np.repeat([model.langs.index(units[i].lang) for i in use], [len(units[i].words) for i in use]), where), 1)
+    n, langs = len(model.known), {x: k for k, x in enumerate(model.langs)}
+    uses = np.bincount(where, minlength=n)
+    pairs, times = np.unique(np.repeat([langs[units[i].lang] for i in use], [len(units[i].words) for i in use]).astype(np.int64) * n + where, return_counts=True)
     # a word is a language's own only if a fifth of its uses are there: some labels are wrong
-    own = (times > 0) & (times >= 0.2 * times.sum(0))
-    hits = lambda words, which: int(which[(at := np.minimum(np.searchsorted(model.known, words), len(which) - 1))][model.known[at] == words].sum())
-    every = np.ones(len(model.known), bool)
+    own = pairs[times >= 0.2 * uses[pairs % n]]
+    owners = np.bincount(own % n, minlength=n)
+
+    def others(k: int) -> np.ndarray:
+        """Which words are some other language's own."""
+        out = owners.copy()
+        out[own[np.searchsorted(own, k * n) : np.searchsorted(own, (k + 1) * n)] % n] -= 1
+        return out > 0
+
+    def hits(words: np.ndarray, which: np.ndarray) -> int:
+        return int(which[np.searchsorted(model.known, words[model.knows(words)])].sum())
+
+    every = np.ones(n, bool)
     share = lambda some, which: (sum(hits(x, which) for x in some) + 1) / (sum(map(len, some)) + 2)
     inside = min(MOST_KNOWN, share([units[i].words for i in check], every))
     noise = [np.array([word_hash("".join(draws.permutation(list(f"w{x}")))) for x in units[i].words], np.int64) for i in check[:50]]
     outside = {"noise": share(noise, every)}
-    for k, lang in enumerate(model.langs if len(model.langs) > 1 else ()):
-        if some := [units[i].words for i in check if units[i].lang == lang]:
-            outside[lang] = share(some, np.delete(own, k, 0).any(0))
+    of: dict[str, list[np.ndarray]] = {}
+    for i in check if len(model.langs) > 1 else ():
+        of.setdefault(units[i].lang, []).append(units[i].words)
+    for lang, some in sorted(of.items()):
+        outside[lang] = share(some, others(langs[lang]))
     other = float(np.mean(sorted(outside.values())[-2:]))  # the languages that look most like a known one
     model.facts |= {"known_words": inside, "known_words_held_out": outside}
     if inside <= other:
@@ -181,21 +213,22 @@ def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int
     """A model from `per_lang` to twice as many distinct texts of each language (the bound), or all where there are
     fewer, chosen by their hash among the usable rows with a language: each whole text and one snippet of it.
 
-    Of a text with more than `unit_words` words as many, evenly spread over all of it, are learnt. With many languages
-    there are fewer buckets, so that the table keeps its bound.
+    Of a text with more than `unit_words` words as many, evenly spread over all of it, are learnt. The whole sample is bounded
+    by SAMPLE_TEXTS and SAMPLE_WORDS: many languages get fewer texts and words each. A label with fewer than LEAST_TEXTS
+    texts isn't learnt where others have more, nor is any beyond the MOST_LANGS with the most texts (equal ones by name).
     """
     rows = documents.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), usable.alias("use")).filter("use AND lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
     distinct = written(rows.select("lang", "h").distinct(), "lang-texts")
-    found = {r.lang: r.n for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    most = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(MOST_LANGS).collect()
+    found = {r.lang: r.n for r in most if r.n >= LEAST_TEXTS} or {r.lang: r.n for r in most}
     if not found:
         return None
-    if 256 * len(found) > MOST_CELLS:
-        raise ValueError(f"{len(found)} values of lang: these aren't languages")
-    while buckets * len(found) > MOST_CELLS:
-        buckets //= 2
-    every = F.element_at(F.create_map(*[F.lit(x) for k, n in sorted(found.items()) for x in (k, max(1, n // per_lang))]), F.col("lang"))
-    ranked = distinct.filter(F.pmod("h", every) == 0).withColumn("_rn", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    per_lang = max(1, min(per_lang, SAMPLE_TEXTS // len(found)))
+    unit_words = max(20, min(unit_words, SAMPLE_WORDS // (2 * per_lang * len(found))))
+    every = documents.sparkSession.createDataFrame([(k, max(1, n // per_lang)) for k, n in sorted(found.items())], "lang string, every long")
+    drawn = distinct.join(F.broadcast(every), "lang").filter(F.pmod("h", "every") == 0).drop("every")
+    ranked = drawn.withColumn("_rn", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     sample = rows.join(F.broadcast(ranked.filter(F.col("_rn") <= 2 * per_lang).drop("_rn")), ["lang", "h"]).select("lang", "text", "h")
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,20 +259,19 @@ def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int
 
 
 class _Words(dict):
-    """Words to rows of their summed logits, their numbers of pieces, and whether they are known."""
+    """Words to rows of their summed columns, their numbers of pieces, and whether they are known."""
 
     def __init__(self, model: Model):
-        self.model = model
-        self.known = set(model.known.tolist())
-        self.rows = np.zeros((1024, len(model.langs) + 2), np.float32)
+        self.model, self.table = model, model.columns()
+        self.rows = np.zeros((1024, self.table.shape[1] + 2), np.float32)
 
     def __missing__(self, word: str) -> int:
         i = len(self)
         if i == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         ids = pieces(word, self.model.buckets)
-        self.rows[i, :-2] = self.model.table[ids].sum(0)
-        self.rows[i, -2:] = len(ids), word_hash(word) in self.known
+        self.rows[i, :-2] = self.table[ids].sum(0)
+        self.rows[i, -2:] = len(ids), self.model.knows(np.array([word_hash(word)]))[0]
         self[word] = i
         return i
 
@@ -270,7 +302,7 @@ def _predictor(model: Model | None):
                 accepted.append(False)
                 continue
             sums = sum(total(found[i : i + STRETCH]) for i in range(0, len(found), STRETCH))
-            p = softmax(sums[:-2] / sums[-2] / model.temperature)
+            p = softmax(model.logits(sums[:-2]) / sums[-2] / model.temperature)
             best = int(p.argmax())
             langs.append(model.langs[best])
             scores.append(float(p[best]))
@@ -283,7 +315,7 @@ def _predictor(model: Model | None):
 
 def predict(documents: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score, known (share of known words), accepted of every whole text."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_CELLS
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by its buckets and SAMPLE_WORDS
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -101,17 +101,55 @@ def test_scores_are_those_of_averaged_embeddings(spark):
     got = {r.doc_id: r for r in langid.predict(spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], DOCS), model).collect()}
     for i, t in enumerate(texts):
         words = langid.LETTERS.findall(t.lower())
-        rows = [model.table[k] for w in words for k in langid.pieces(w, model.buckets)]
+        table = model.embedding @ model.weights
+        rows = [table[k] for w in words for k in langid.pieces(w, model.buckets)]
         x = np.mean(rows, 0, dtype=np.float64) / model.temperature
         p = np.exp(x - x.max()) / np.exp(x - x.max()).sum()
         assert got[i].lang_pred == model.langs[int(p.argmax())] and abs(got[i].score - p.max()) < 1e-5
         assert abs(got[i].known - np.mean([langid.word_hash(w) in model.known for w in words])) < 1e-9
 
 
-def test_stretches_and_table_bound(spark, monkeypatch):
+def test_stretches(spark, monkeypatch):
     df = spark.createDataFrame(corpus(300), DOCS)
     one = sorted(langid.identify(df).collect())
     monkeypatch.setattr(langid, "STRETCH", 7)
     assert [r[:3] for r in sorted(langid.identify(df).collect())] == [r[:3] for r in one]
-    monkeypatch.setattr(langid, "MOST_CELLS", 3 << 10)
-    assert langid.fit(df, langid.training_rows()).buckets == 1 << 10
+
+
+def test_a_label_for_each_text(spark):
+    """70,000 labels of one text each: the languages that have more are learnt, and the model keeps its size."""
+    noise = [(100_000 + i, f"w{i}x word", f"label{i}") for i in range(70_000)]
+    model = langid.fit(spark.createDataFrame(corpus(400) + noise, DOCS), langid.training_rows())
+    assert model.langs == sorted(WORDS)
+    got = langid.predict(spark.createDataFrame([(1, "der fluss und das haus", None)], DOCS), model).first()
+    assert got.lang_pred == "de" and got.accepted
+
+
+def test_three_hundred_languages(spark, monkeypatch):
+    """More languages than dimensions: the sample as a whole is bounded, and predictions hold."""
+    r = random.Random(4)
+    letters = "bcdfghjklmnpqrstvwxz"
+    words = {f"l{k:03}": ["".join(r.choice(letters[k % 20] + letters[k // 20] + "aeiou") for _ in range(6)) for _ in range(12)] for k in range(300)}
+    rows = [(i, " ".join(r.choices(words[lang], k=20)), lang) for i, lang in enumerate(sorted(words) * 30)]
+    units = []
+    train = langid.train
+    monkeypatch.setattr(langid, "train", lambda got, buckets: (units.extend(got), train(got, buckets))[1])
+    monkeypatch.setattr(langid, "SAMPLE_TEXTS", 6000)
+    monkeypatch.setattr(langid, "SAMPLE_WORDS", 240_000)
+    got = langid.identify(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(units) <= 4 * 6000 and sum(len(u.words) for u in units) <= 2 * 240_000
+    held = [(x.lang_pred, rows[x.doc_id][2]) for x in got if x.held_out]
+    assert len(held) > 900
+    assert sum(a == b for a, b in held) / len(held) > 0.5  # of 300, from 20 short texts each
+
+
+def test_equal_with_fewer_or_more_languages_than_dimensions(monkeypatch):
+    """Logits summed up word by word are those of summed embeddings."""
+    import numpy as np
+
+    r = np.random.RandomState(1)
+    few = langid.Model(["a", "b"], 64, r.randn(64, 4).astype(np.float32), r.randn(4, 2).astype(np.float32), np.empty(0, np.int64))
+    many = langid.Model([f"l{i}" for i in range(9)], 64, few.embedding, r.randn(4, 9).astype(np.float32), np.empty(0, np.int64))
+    for m in (few, many):
+        sums = m.columns()[[3, 5, 5]].sum(0)
+        assert np.allclose(m.logits(sums), m.embedding[[3, 5, 5]].sum(0) @ m.weights, atol=1e-4)
