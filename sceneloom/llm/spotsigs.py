@@ -11,7 +11,7 @@ worked out where it is the next one and again where it is its own: carrying them
 
 Equal texts have equal fingerprints. Documents are ordered by (doc_id, hash of the text), nulls first.
 Rows that repeat doc_id and text share their results, with the next different row as their next one; all
-of them are returned. A lone document is its own next one. Other columns are ignored.
+of them are returned, and many of one kind are dealt over many tasks. A lone document is its own next one. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -71,6 +71,32 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     return F.when(large == 0, F.lit(1.0)).when((small == 0) | (small < large * F.lit(least)), F.lit(0.0)).otherwise(exact)
 
 
+def repeats(order: DataFrame) -> tuple[bool, DataFrame | None]:
+    """Whether rows repeat, and the keys of which so many do that a task would get more than a quarter of its share: k, th and
+    `parts`, over how many tasks they are dealt. There are at most four such keys for each task."""
+    tasks = int(order.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total, most = order.agg(F.sum("copies"), F.max("copies")).first()
+    if (most or 1) == 1:
+        return False, None
+    parts = F.ceil(F.col("copies") * 4 * tasks / F.lit(total)).cast("long")
+    return True, F.broadcast(written(order.select("k", "th", parts.alias("parts")).filter("parts > 1"), "spot-hot"))
+
+
+def dealt(keyed: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """keyed with `salt`: rows of a hot key are dealt over its parts, all others have 0."""
+    if hot is None:
+        return keyed.withColumn("salt", F.lit(0).cast("long"))
+    salt = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("parts")), F.lit(0)).cast("long")
+    return keyed.join(hot, ["k", "th"], "left").select(*keyed.columns, salt.alias("salt"))
+
+
+def for_each_part(handed: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """One row of a key for each of its parts."""
+    if hot is None:
+        return handed.withColumn("salt", F.lit(0).cast("long"))
+    return handed.join(hot, ["k", "th"], "left").select(*handed.columns, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("parts") - 1, F.lit(0)))).alias("salt"))
+
+
 def fingerprint_documents(documents: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_signatures.
 
@@ -80,17 +106,21 @@ def fingerprint_documents(documents: DataFrame) -> DataFrame:
     names the document before; what a document hands back to that one is the head it needs and its own set.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # the same columns on both sides of the last join, so that one shuffle of the texts serves both
     keyed = rows.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("k"), F.xxhash64("text").alias("th"), "text")
     slim = keyed.select("k", "th", F.char_length("text").cast("long").alias("n")).groupBy("k", "th").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     order = written(with_next(slim, ["k", "th"], ["k", "th"], "spot-order"), "spot-next")
+    repeated, hot = repeats(order)
+    # the same columns on both sides of the last join, so that one shuffle of the texts serves both
+    keyed = dealt(keyed, hot)
     before = order.select(F.col("_next_k").alias("k"), F.col("_next_th").alias("th"), F.col("k").alias("to_k"), F.col("th").alias("to_th"), F.floor(F.col("n") / 2).cast("int").alias("half"))
-    base = keyed.join(before, ["k", "th"])
+    base = keyed.join(for_each_part(before, hot), ["k", "th", "salt"])
+    if repeated:  # one of each part is enough: they hand the same back
+        base = base.dropDuplicates(["k", "th", "salt"])
     handed = base.select(F.col("to_k").alias("k"), F.col("to_th").alias("th"), F.col("text").substr(F.lit(1), F.col("half")).alias("head"), signatures(F.col("text")).alias("next_sigs"))
-    if not order.filter("copies > 1").isEmpty():  # repeated rows hand the same back
+    if repeated:
         handed = handed.dropDuplicates(["k", "th"])
     n = F.char_length("text")
-    both = keyed.join(handed, ["k", "th"])
+    both = keyed.join(for_each_part(handed, hot), ["k", "th", "salt"])
     edited = both.select(
         F.when(F.col("k") != NULL_ID, F.col("k")).alias("doc_id"), n.cast("long").alias("n_chars"), signatures(F.col("text")).alias("sigs"), "next_sigs",
         F.concat(F.col("text").substr(F.lit(1), n - F.floor(n / 2).cast("int")), F.col("head")).alias("edited"),

@@ -107,3 +107,21 @@ def test_nearest_against_all_pairs(spark, monkeypatch):
     assert set(got) == {d for d, _ in rows if d is not None and d % 100 == 0}
     assert not re.search("Python|Arrow|Pandas", spotsigs.nearest(df.cache())._jdf.queryExecution().toString())
     assert spotsigs.nearest(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_many_repeated_rows_are_dealt_over_tasks(spark):
+    """Half of all rows repeat one id and text, a quarter have no id and one text: no task gets them together, and results
+    are those of a table without repeats."""
+    from pyspark.sql import functions as F
+
+    rows = [(5, "the quick fox of the old house runs by night", "en")] * 3000 + [(None, "no id at all but the same old text", "en")] * 1500 + [(100 + i, f"the word{i} and other{i % 7} things of it all", "en") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    keyed = df.select(F.coalesce("doc_id", F.lit(spotsigs.NULL_ID)).alias("k"), F.xxhash64("text").alias("th"), "text")
+    repeated, hot = spotsigs.repeats(keyed.groupBy("k", "th").agg(F.count(F.lit(1)).alias("copies")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert repeated and hot.count() == 2
+    tasks = [r["count"] for r in spotsigs.dealt(keyed, hot).repartition(int(before), "k", "th", "salt").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(tasks) < 0.6 * len(rows)
+    got = sorted(map(tuple, spotsigs.fingerprint_documents(df).collect()), key=str)
+    once = {r.doc_id: tuple(r) for r in spotsigs.fingerprint_documents(df.distinct()).collect()}
+    assert got == sorted((once[i] for i, *_ in rows), key=str)
