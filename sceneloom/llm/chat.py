@@ -1,12 +1,14 @@
 """Chat formatting: a small sandboxed template language, compiled to Python closures.
 
     {{ expr }}  {% for x in messages %}..{% endfor %}  {% if a %}..{% elif b %}..{% else %}..{% endif %}
-    {% set x = expr %}  {% generation %}..{% endgeneration %}  {# comment #}
+    {% set x = expr %}  {% generation %}..{% endgeneration %}  {# comment #}  {% for x in messages if test %}
 
-Expressions: text and number literals, true, false, none, names, `a.b`, `a['b']`, `a[0]`, `a[-1]`, `+ ~ == != < <= > >=
-in not in and or`, and the filters of FILTERS. There are no calls, no attributes of Python objects, no
-unbounded loops: a template reads mappings that it is given and nothing else. Whatever goes wrong in it, on compiling or
-on rendering, is a TemplateError.
+Expressions: text and number literals, true, false, none, names, `a.b`, `a['b']`, `a[0]`, `a[-1]`, `a[1:]`, `+ - % ~ == !=
+< <= > >= in not in and or`, `a if b else c`, `is defined` (none, string, not ..), the filters of FILTERS, `|default(x)`, and
+raise_exception(text). There are no other calls, no attributes of Python objects, no unbounded loops: a template reads
+mappings that it is given and nothing else. What it makes is bounded, too: each turn of an outermost loop may make texts
+of BUDGET_CHARS code points and BUDGET_RATIO times the turn's own, and take BUDGET_STEPS statements. Whatever goes wrong, on
+compiling or on rendering, is a TemplateError.
 
 A template that goes through `messages` once, in an outermost loop, has its turns streamed: no conversation has to fit
 into memory. One that looks at `messages` in another way too (`messages[0]`, `messages|length`, a second loop) gets
@@ -56,6 +58,40 @@ def _length(x) -> int:
     return len(x)
 
 
+#: What a turn of an outermost loop, or the statements around it, may make: code points, as many times the turn's own, and statements.
+BUDGET_CHARS, BUDGET_RATIO, BUDGET_STEPS = 1_000_000, 64, 1_000_000
+#: The budget's place among a template's values; no name can be spelt so.
+BUDGET = "\0budget"
+
+
+class Budget:
+    """What may still be made and done."""
+
+    def __init__(self):
+        self.refill(0)
+
+    def refill(self, own: int) -> None:
+        self.chars, self.steps = BUDGET_CHARS + BUDGET_RATIO * own, BUDGET_STEPS
+
+    def spend(self, value):
+        if isinstance(value, (str, list)):
+            self.chars -= len(value)
+            if self.chars < 0:
+                raise TemplateError("the template makes too much text")
+        return value
+
+    def step(self) -> None:
+        self.steps -= 1
+        if self.steps < 0:
+            raise TemplateError("the template takes too many steps")
+
+
+def _spent(env: dict, value):
+    """The value, on the account of the rendering; constants that are folded have none."""
+    budget = env.get(BUDGET)
+    return budget.spend(value) if budget else value
+
+
 FILTERS: dict[str, Callable] = {
     "guard": guard,
     "guard_line": guard_line,
@@ -67,11 +103,12 @@ FILTERS: dict[str, Callable] = {
 }
 
 # --- syntax tree -----------------------------------------------------------------------------
-# Expressions: ("const", v) ("name", n) ("get", e, e) ("filter", name, e) ("not", e) (op, e, e)
-# Statements: ("out", e) ("for", name, e, body) ("if", [(e, body)..]) ("set", name, e) ("gen", body)
+# Expressions: ("const", v) ("name", n) ("get", e, e) ("slice", e, e, e) ("filter", name, e) ("default", e, e) ("is", test, e)
+#   ("cond", test, e, e) ("raise", e) ("not", e) (op, e, e)
+# Statements: ("out", e) ("for", name, e, body, test) ("if", [(e, body)..]) ("set", name, e) ("gen", body)
 
 _PIECES = re.compile(r"(\{\{-?.*?-?\}\}|\{%-?.*?-?%\}|\{#.*?#\})", re.S)
-_TOKEN = re.compile(r"""\s*(?:(?P<num>\d+)|(?P<str>'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*")|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|<=|>=|[-+~<>|.\[\]()=]))""", re.S)
+_TOKEN = re.compile(r"""\s*(?:(?P<num>\d+)|(?P<str>'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*")|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|<=|>=|[-+%~<>|.:\[\]()=]))""", re.S)
 _ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
 _LITERALS = {"true": True, "false": False, "none": None}
 _COMPARE: dict[str, Callable] = {
@@ -91,7 +128,25 @@ def _plus(a, b):
     return a + b
 
 
-_BINARY = _COMPARE | {"+": _plus, "~": lambda a, b: f"{'' if a is None else a}{'' if b is None else b}"}
+def _number(f: Callable) -> Callable:
+    def run(a, b):
+        if not isinstance(a, int) or not isinstance(b, int):
+            raise TemplateError("- and % need two numbers")
+        if f is _rest and b == 0:
+            raise TemplateError("% by 0")
+        return f(a, b)
+
+    return run
+
+
+def _rest(a: int, b: int) -> int:
+    return a % b
+
+
+#: What `is` may ask for, beside `defined`.
+TESTS: dict[str, Callable] = {"none": lambda x: x is None, "string": lambda x: isinstance(x, str), "mapping": lambda x: isinstance(x, dict), "true": lambda x: x is True, "false": lambda x: x is False}
+
+_BINARY = _COMPARE | {"+": _plus, "-": _number(lambda a, b: a - b), "%": _number(_rest), "~": lambda a, b: f"{'' if a is None else a}{'' if b is None else b}"}
 
 
 class _Expression:
@@ -121,10 +176,27 @@ class _Expression:
             raise TemplateError(f"{what!r} expected")
 
     def whole(self) -> tuple:
-        out = self.either()
+        out = self.chosen()
+        self.end()
+        return out
+
+    def listed(self) -> tuple[tuple, tuple | None]:
+        """What a loop goes through, and its test."""
+        many = self.either()
+        test = self.either() if self.take("if") else None
+        self.end()
+        return many, test
+
+    def chosen(self) -> tuple:
+        value = self.either()
+        if not self.take("if"):
+            return value
+        test = self.either()
+        return ("cond", test, value, self.chosen() if self.take("else") else ("const", None))
+
+    def end(self) -> None:
         if self.at < len(self.tokens):
             raise TemplateError(f"unexpected {self.tokens[self.at][1]!r}")
-        return out
 
     def either(self) -> tuple:
         left = self.both()
@@ -147,28 +219,50 @@ class _Expression:
             if self.peek() == "not" and self.peek(1) == "in":
                 self.at += 2
                 left = ("not", ("in", left, self.added()))
+            elif self.take("is"):
+                no = self.take("not")
+                test = self.peek()
+                if test != "defined" and test not in TESTS:
+                    raise TemplateError(f"no test {test!r}")
+                self.at += 1
+                left = ("not", ("is", test, left)) if no else ("is", test, left)
             elif op := self.take(*_COMPARE):
                 left = (op, left, self.added())
             else:
                 return left
 
     def added(self) -> tuple:
+        left = self.remainder()
+        while op := self.take("+", "-", "~"):
+            left = (op, left, self.remainder())
+        return left
+
+    def remainder(self) -> tuple:
         left = self.postfix()
-        while op := self.take("+", "~"):
-            left = (op, left, self.postfix())
+        while self.take("%"):
+            left = ("%", left, self.postfix())
         return left
 
     def postfix(self) -> tuple:
         left = self.primary()
         while op := self.take(".", "[", "|"):
             if op == "[":
-                left = ("get", left, self.either())
+                first = ("const", None) if self.peek() == ":" else self.either()
+                if self.take(":"):
+                    left = ("slice", left, first, ("const", None) if self.peek() == "]" else self.either())
+                else:
+                    left = ("get", left, first)
                 self.need("]")
                 continue
             kind, name = self.tokens[self.at] if self.at < len(self.tokens) else ("", "")
             if kind != "name" or name.startswith("_"):
                 raise TemplateError("a plain name expected")
             self.at += 1
+            if op == "|" and name == "default":
+                self.need("(")
+                left = ("default", left, self.chosen())
+                self.need(")")
+                continue
             if op == "|" and name not in FILTERS:
                 raise TemplateError(f"no filter {name!r}")
             left = ("get", left, ("const", name)) if op == "." else ("filter", name, left)
@@ -183,13 +277,18 @@ class _Expression:
             return ("const", int(text))
         if kind == "str":
             return ("const", re.sub(r"\\(.)", lambda m: _ESCAPES.get(m[1], m[1]), text[1:-1], flags=re.S))
+        if kind == "name" and text == "raise_exception":
+            self.need("(")
+            said = self.chosen()
+            self.need(")")
+            return ("raise", said)
         if kind == "name":
             return ("const", _LITERALS[text]) if text in _LITERALS else ("name", text)
         if text == "-" and self.at < len(self.tokens) and self.tokens[self.at][0] == "num":
             self.at += 1
             return ("const", -int(self.tokens[self.at - 1][1]))
         if text == "(":
-            out = self.either()
+            out = self.chosen()
             self.need(")")
             return out
         raise TemplateError(f"unexpected {text!r}")
@@ -232,7 +331,7 @@ def _body(queue: list, at: int, ends: tuple[str, ...]) -> tuple[list, int]:
                     raise TemplateError(f"can't read {text}")
                 body, at = _body(queue, at + 1, ("endfor",))
                 _closed(queue, at, "endfor")
-                out.append(("for", m[1], _Expression(m[2]).whole(), body))
+                out.append(("for", m[1], *(listed := _Expression(m[2]).listed())[:1], body, listed[1]))
             elif word == "if":
                 arms = []
                 while True:
@@ -287,7 +386,7 @@ def fold(node):
     if kind in ("out",):
         return ("out", fold(node[1]))
     if kind == "for":
-        return ("for", node[1], fold(node[2]), fold(node[3]))
+        return ("for", node[1], fold(node[2]), fold(node[3]), node[4] and fold(node[4]))
     if kind == "set":
         return ("set", node[1], fold(node[2]))
     if kind == "gen":
@@ -308,8 +407,13 @@ def fold(node):
     if kind == "filter":
         inner = fold(node[2])
         return ("const", FILTERS[node[1]](inner[1])) if inner[0] == "const" else ("filter", node[1], inner)
+    if kind == "is":
+        inner = fold(node[2])
+        return ("const", node[1] == "defined" or TESTS[node[1]](inner[1])) if inner[0] == "const" else ("is", node[1], inner)
+    if kind == "cond" and (test := fold(node[1]))[0] == "const":
+        return fold(node[2] if test[1] else node[3])
     parts = [fold(x) for x in node[1:]]
-    if all(x[0] == "const" for x in parts) and kind != "get":
+    if all(x[0] == "const" for x in parts) and kind not in ("get", "slice", "raise"):
         return ("const", _expression((kind, *parts))({}))
     return (kind, *parts)
 
@@ -351,9 +455,39 @@ def _expression(node: tuple) -> Callable[[dict], object]:
             raise TemplateError("only mappings, lists and texts have parts")
 
         return get
+    if kind == "slice":
+        whole, first, last = map(_expression, node[1:])
+
+        def part(env):
+            at, a, b = whole(env), first(env), last(env)
+            if not isinstance(at, (list, str)) or not all(x is None or isinstance(x, int) for x in (a, b)):
+                raise TemplateError("only lists and texts have stretches, by numbers")
+            return _spent(env, at[a:b])
+
+        return part
     if kind == "filter":
         f, inner = FILTERS[node[1]], _expression(node[2])
-        return lambda env: f(inner(env))
+        return lambda env: _spent(env, f(inner(env)))
+    if kind in ("is", "default"):
+        asked = node[2] if kind == "is" else node[1]
+        value, there = _expression(asked), _defined(asked)
+        if kind == "default":
+            other = _expression(node[2])
+            return lambda env: value(env) if there(env) else other(env)
+        if node[1] == "defined":
+            return there
+        test = TESTS[node[1]]
+        return lambda env: test(value(env))
+    if kind == "cond":
+        test, a, b = map(_expression, node[1:])
+        return lambda env: a(env) if test(env) else b(env)
+    if kind == "raise":
+        said = _expression(node[1])
+
+        def fail(env):
+            raise TemplateError(_text(said(env)))
+
+        return fail
     if kind == "not":
         inner = _expression(node[1])
         return lambda env: not inner(env)
@@ -363,14 +497,36 @@ def _expression(node: tuple) -> Callable[[dict], object]:
     if kind == "or":
         return lambda env: a(env) or b(env)
     op = _BINARY[kind]
+    if kind in ("+", "~"):
+        return lambda env: _spent(env, op(a(env), b(env)))
     return lambda env: op(a(env), b(env))
 
 
+def _defined(node: tuple) -> Callable[[dict], bool]:
+    """Whether a name has a value, or a mapping or list the part that is asked for."""
+    if node[0] == "name":
+        return lambda env: node[1] in env
+    if node[0] == "get":
+        whole, key, there = _expression(node[1]), _expression(node[2]), _defined(node[1])
+
+        def has(env):
+            if not there(env):
+                return False
+            at, k = whole(env), key(env)
+            return k in at if isinstance(at, dict) else isinstance(at, (list, str)) and isinstance(k, int) and -len(at) <= k < len(at)
+
+        return has
+    return lambda env: True
+
+
 def _statements(nodes: list[tuple], depth: int = 0) -> Callable[[dict], Iterator]:
     steps = [_statement(n, depth) for n in nodes]
 
     def run(env):
+        budget = env.get(BUDGET)
         for step in steps:
+            if budget:
+                budget.step()
             yield from step(env)
 
     return run
@@ -382,7 +538,7 @@ def _statement(node: tuple, depth: int) -> Callable[[dict], Iterator]:
         value = _expression(node[1])
 
         def out(env):
-            yield _text(value(env))
+            yield _spent(env, _text(value(env)))
 
         return out
     if kind == "set":
@@ -412,7 +568,7 @@ def _statement(node: tuple, depth: int) -> Callable[[dict], Iterator]:
                     return
 
         return choose
-    name, many, body = node[1], _expression(node[2]), _statements(node[3], depth + 1)
+    name, many, body, test = node[1], _expression(node[2]), _statements(node[3], depth + 1), node[4] and _expression(node[4])
 
     def loop(env):
         inner = dict(env)
@@ -420,11 +576,18 @@ def _statement(node: tuple, depth: int) -> Callable[[dict], Iterator]:
         if isinstance(rows, (str, int, bool)):
             raise TemplateError("only lists can be gone through")
         rows = iter(rows or ())
+        if test:
+            rows = (x for x in rows if test(inner | {name: x}))
+        budget = env.get(BUDGET)
         now = next(rows, _END)
         at = 0
         while now is not _END:
             after = next(rows, _END)
             inner[name] = now
+            if budget and depth == 0:
+                budget.refill(sum(len(x) for x in now.values() if isinstance(x, str)) if isinstance(now, dict) else len(now) if isinstance(now, str) else 0)
+            elif budget:
+                budget.step()
             inner["loop"] = {"index0": at, "index": at + 1, "first": at == 0, "last": after is _END}
             yield from body(inner)
             if depth == 0:
@@ -453,7 +616,7 @@ class Template:
     def __init__(self, template: str):
         try:
             tree = fold(parse(template))
-            loops = sum(n[0] == "for" and n[2] == ("name", "messages") and not _uses(n[3], "messages") for n in tree)
+            loops = sum(n[0] == "for" and n[2] == ("name", "messages") and not _uses(n[3:], "messages") for n in tree)
             self.streams = loops == _uses(tree, "messages") <= 1
             self._run = _statements(tree)
         except (RecursionError, TypeError, ValueError, IndexError, OverflowError) as e:
@@ -461,7 +624,7 @@ class Template:
 
     def __call__(self, env: dict) -> Iterator:
         try:
-            yield from self._run(env)
+            yield from self._run({BUDGET: Budget()} | env)
         except (RecursionError, TypeError, IndexError, KeyError, AttributeError, OverflowError) as e:
             raise TemplateError(f"{type(e).__name__}: {e}") from e
 

@@ -85,3 +85,50 @@ def test_templates_that_look_at_all_messages(spark):
 def test_what_goes_wrong_is_a_template_error(template):
     with pytest.raises(chat.TemplateError):
         list(chat.compile_template(template)({"messages": [{"role": "a", "text": "b"}]}))
+
+
+def render(template, **values):
+    return "".join(x for x in chat.compile_template(template)(values) if isinstance(x, str))
+
+
+def test_templates_that_grow_are_stopped():
+    """Doubling a text each turn, copying it in nested loops and counting without end: errors, in little time and memory."""
+    import time
+    import tracemalloc
+
+    many = [{"role": "user", "text": "hello there"}] * 60
+    began = time.time()
+    tracemalloc.start()
+    for bad in (
+        "{% set x = 'ab' %}{% for m in messages %}{% set x = x ~ x %}{% endfor %}{{ x }}",
+        "{% for m in messages %}{% set x = m.text %}{% for a in messages %}{% set x = x + x %}{% endfor %}{% endfor %}",
+        "{% for m in messages %}{% for a in messages %}{% for b in messages %}{% for c in messages %}{% for d in messages %}{% set x = 1 %}{% endfor %}{% endfor %}{% endfor %}{% endfor %}{% endfor %}",
+        "{% for a in messages %}{% for b in messages %}{% for c in messages %}{% for d in messages %}{{ d.text }}{% endfor %}{% endfor %}{% endfor %}{% endfor %}",
+    ):
+        # variables set inside a loop end with it, so the first one doubles through a mapping of its own turn
+        with pytest.raises(chat.TemplateError, match="too m"):
+            render(bad.replace("{% set x = 'ab' %}{% for m in messages %}", "{% set x = 'ab' %}{% for m in messages %}{% for a in messages %}").replace("x ~ x %}{% endfor %}", "x ~ x %}{% endfor %}{% endfor %}"), messages=many)
+    assert time.time() - began < 60 and tracemalloc.get_traced_memory()[1] < 64 << 20
+    tracemalloc.stop()
+
+
+def test_long_turns_have_room():
+    long = [{"role": "assistant", "text": "x<|" * 2_000_000}]
+    assert len(render("{% for m in messages %}{{ m.text|guard }}{{ m.text|upper }}{% endfor %}", messages=long)) == 14_000_000
+
+
+def test_choices_tests_defaults_remainders_and_stretches():
+    messages = [{"role": r, "text": t} for r, t in (("system", "S"), ("user", "u1"), ("assistant", "a1"), ("user", "u2"))]
+    assert render("{{ 'a' if x else 'b' }}{{ ('c' if y == 2 else 'd') ~ '!' }}{{ 'e' if false }}", x=1, y=3) == "ad!"
+    assert render("{% for m in messages[1:] %}{{ m.text }}{% endfor %}|{{ messages[0].text }}|{{ 'hello'[1:-1] }}|{{ 'hello'[:2] }}", messages=messages) == "u1a1u2|S|ell|he"
+    assert render("{% for m in messages if m.role == 'user' %}{{ loop.index }}{{ m.text }}{% if not loop.last %},{% endif %}{% endfor %}", messages=messages) == "1u1,2u2"
+    assert render("{{ t|default('none') }}{{ messages[9]|default('no') }}{{ messages[0].tools|default('T') }}{{ messages[0].text|default('x') }}", messages=messages) == "nonenoTS"
+    assert render("{% if t is defined %}a{% elif t is not defined %}b{% endif %}{{ 'n' if none is none else 'm' }}{{ 's' if 'q' is string }}{{ 'k' if messages[0].text is defined }}", messages=messages) == "bnsk"
+    assert render("{% for m in messages %}{% if (m.role == 'user') != (loop.index0 % 2 == 0) %}{{ loop.index0 - 1 }}{% endif %}{% endfor %}", messages=messages[1:]) == ""
+    with pytest.raises(chat.TemplateError, match="must begin with user"):
+        render("{% if messages[0].role != 'user' %}{{ raise_exception('must begin with user') }}{% endif %}", messages=messages)
+    for bad in ("{{ 1 % 0 }}", "{{ 'a' % 2 }}", "{{ a is odd }}", "{{ a|default }}", "{{ 5[1:] }}", "{{ f('x') }}", "{{ a if }}", "{% for x in a if %}{% endfor %}"):
+        with pytest.raises(chat.TemplateError):
+            render(bad, a="x")
+    assert chat.compile_template("{% for m in messages if m.role != 'system' %}{{ m.text }}{% endfor %}").streams
+    assert not chat.compile_template("{% for m in messages[1:] %}{{ m.text }}{% endfor %}").streams
