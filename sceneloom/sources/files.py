@@ -104,6 +104,11 @@ def shots_from_text(df: DataFrame, key: list[str], text: str) -> DataFrame:
 
 def read_matrices(spark: SparkSession, path: str, vectors: str = "embeddings", ids: str = "frame_ids") -> DataFrame:
     """Path, frame, embedding of NPZ files; a matrix must be 2-D, finite, with a unique id for each row."""
+    return matrices(spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path), vectors, ids)
+
+
+def matrices(stored: DataFrame, vectors: str = "embeddings", ids: str = "frame_ids") -> DataFrame:
+    """The same of a table of path and content, as binaryFile gives it."""
     import numpy as np
 
     def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,13 +120,12 @@ def read_matrices(spark: SparkSession, path: str, vectors: str = "embeddings", i
                     raise ValueError(f"{file}: not a matrix of finite rows with unique ids")
                 yield pd.DataFrame({"path": file, "frame": k, "embedding": list(m)})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path).select("path", "content")
-    return files.mapInPandas(load, "path string, frame long, embedding array<float>")
+    return stored.select("path", "content").mapInPandas(load, "path string, frame long, embedding array<float>")
 
 
-def frames_with_pixels(key_frames: DataFrame, files: DataFrame, on: list[str]) -> DataFrame:
-    """Key frames with their raw pixels; a missing file counts as black."""
-    zeros = F.unhex(F.repeat(F.lit("00"), FRAME_BYTES))
+def frames_with_pixels(key_frames: DataFrame, files: DataFrame, on: list[str], black: Column | None = None) -> DataFrame:
+    """Key frames with their raw pixels; a missing file counts as black (zeros of FRAME_BYTES, unless told)."""
+    zeros = F.unhex(F.repeat(F.lit("00"), FRAME_BYTES)) if black is None else black
     return key_frames.join(files.select(*on, "content"), on, "left").withColumn("content", F.coalesce("content", zeros))
 
 

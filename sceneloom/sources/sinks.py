@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import io
 import subprocess
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
+
+from ..functions.text import escape_html
 
 
 def write_by_video(df: DataFrame, path: str, video: str = "video", mode: str = "overwrite") -> None:
@@ -33,6 +38,42 @@ def write_transcript(df: DataFrame, key: list[str], order: list[str], line: str,
     df.repartition(*key).sortWithinPartitions(*key, *order).select(*key, F.col(line).alias("value")).write.mode("overwrite").partitionBy(*key).text(path)
 
 
+def write_reports(df: DataFrame, key: str, order: list[str], columns: list[str], path: str, title: Column) -> None:
+    """K9: an HTML page for each key, its rows by `order` as a table of `columns`, all texts escaped.
+
+    Rows are streamed by Spark's text writer from sorted partitions: no page has to fit into memory. Null values are empty.
+    """
+    cells = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), escape_html(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit("</td>")) for c in columns], F.lit("</tr>"))
+    w = Window.partitionBy(key).orderBy(*order)
+    named = escape_html(title)
+    head = F.concat(F.lit('<!DOCTYPE html><html><head><meta charset="utf-8"><title>'), named, F.lit("</title></head><body><h1>"), named, F.lit("</h1><table>\n"))
+    lines = df.withColumns({"_line": cells, "_head": F.when(F.row_number().over(w) == 1, head).otherwise(F.lit("")), "_last": F.lead(F.lit(1)).over(w).isNull()})
+    whole = F.concat("_head", "_line", F.when(F.col("_last"), F.lit("\n</table></body></html>")).otherwise(F.lit("")))
+    pages = lines.select(key, *order, whole.alias("value")).repartition(key).sortWithinPartitions(key, *order)
+    pages.select(key, "value").write.mode("overwrite").partitionBy(key).text(path)
+
+
+def read_reports(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """K9: key and html of pages that write_reports() wrote; a key with more than one file is an error."""
+    pages = spark.read.text(path, wholetext=True)
+    one = F.when(F.count(F.lit(1)) == 1, F.first("value")).otherwise(F.raise_error(F.lit("a page in several files")).cast("string"))
+    return pages.groupBy(key).agg(one.alias("html"))
+
+
+def matrix_files(df: DataFrame, key: list[str], item: str, vector: str, vectors: str = "embeddings", ids: str = "frame_ids") -> DataFrame:
+    """Key and content, the vectors of a key as the bytes of an NPZ file, by item. A key's matrix is one value, so its
+    rows meet in one task: keys must be of bounded size (a video, a part of a label)."""
+    schema = StructType([*[df.schema[k] for k in key], StructField("content", BinaryType())])
+
+    def pack(k: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(item)
+        held = io.BytesIO()
+        np.savez(held, **{vectors: np.array(rows[vector].tolist(), np.float32), ids: rows[item].to_numpy(np.int64)})
+        return pd.DataFrame([(*k, held.getvalue())], columns=schema.names)
+
+    return df.groupBy(*key).applyInPandas(pack, schema)
+
+
 def append_new(df: DataFrame, path: str, on: list[str]) -> int:
     """K2, K6, ST7: appends the rows whose keys the table doesn't hold yet; returns how many there were."""
     spark = df.sparkSession
