@@ -44,23 +44,24 @@ def clean_cuts(df: DataFrame, key: list[str], cut: str, total: str) -> DataFrame
     return run.withColumn("_at", F.row_number().over(_w([*key, "_run"], cut)) - 1).filter(F.col("_at") % 2 == 0).drop("_run", "_at")
 
 
-def islands(df: DataFrame, key: list[str], order: str, flag: Column | None = None) -> DataFrame:
-    """Runs of consecutive integers in `order` (where the flag holds): key, start, end, n."""
+def islands(df: DataFrame, key: list[str], order: str, flag: Column | None = None, most: dict[str, str] | None = None) -> DataFrame:
+    """Runs of consecutive integers in `order` (where the flag holds): key, start, end, n; and for each name of `most` the
+    largest value of its column in the run."""
     rows = df if flag is None else df.filter(flag)
     run = rows.withColumn("_run", F.col(order) - F.row_number().over(_w(key, order)))
-    return run.groupBy(*key, "_run").agg(F.min(order).alias("start"), F.max(order).alias("end"), F.count(F.lit(1)).cast("int").alias("n")).drop("_run")
+    return run.groupBy(*key, "_run").agg(F.min(order).alias("start"), F.max(order).alias("end"), F.count(F.lit(1)).cast("int").alias("n"), *[F.max(c).alias(name) for name, c in (most or {}).items()]).drop("_run")
 
 
 def dark_runs(df: DataFrame, key: list[str], order: str, dark: Column, least: int, total: str | None = None) -> DataFrame:
     """Runs of dark frames with at least `least` frames; end is inclusive, end_excl exclusive.
 
-    total: the column with the video's number of frames. With it, a run is measured as the frame-by-frame analysis does
+    total: the column with the video's number of frames, the same in all its rows. With it, a run is measured as the frame-by-frame analysis does
     it: one that is still open at the video's end has its last frame for its end and must be longer by one; end_written is
     the end that the analysis writes, exclusive, but inclusive for such a run.
     """
     if total is None:
         return islands(df, key, order, dark).filter(F.col("n") >= least).withColumn("end_excl", F.col("end") + 1)
-    runs = islands(df, key, order, dark).join(df.groupBy(*key).agg(F.max(total).alias("_total")), key)
+    runs = islands(df, key, order, dark, {"_total": total})
     is_last = F.col("end") == F.col("_total") - 1
     written = F.when(is_last, F.col("end")).otherwise(F.col("end") + 1)
     return runs.withColumns({"end_excl": F.col("end") + 1, "end_written": written}).filter(F.col("end_written") - F.col("start") >= least).drop("_total")

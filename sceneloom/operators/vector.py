@@ -15,106 +15,205 @@ from ..session import written
 
 #: Vectors of a block; a task multiplies two blocks.
 BLOCK = 1024
-#: Cells at most (their pivots are broadcast, and all pairs of them are looked at on the driver).
-MOST_CELLS = 1024
+#: Cells at most: their pivots are broadcast (8 bytes a component); and pivots that are chosen to lie apart.
+MOST_CELLS, SPREAD = 1 << 16, 1024
+#: Vectors farther from their pivot than so many times the angle of nine in ten of the cell stand in cells of their own.
+STRAY = 2.0
+#: Dimensions from which a product first looks at a part of them.
+WIDE = 32
 
 
-def _in_cells(rows: DataFrame, cells: int) -> tuple[DataFrame, np.ndarray]:
-    """rows with `_cell`, the place of the pivot nearest by angle, and `_angle` to it; and the pivots, at length 1.
+def _drawn(rows: DataFrame, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pivots at length 1, and a rotation that puts the directions in which they vary most first.
 
-    Pivots are the vectors whose ids have the least hashes. Vectors of length 0 have no angle: they count as opposite.
+    Of four times as many vectors, those whose ids have the least hashes, each of the first SPREAD pivots is the one that is
+    farthest from those before it, so that no cluster of the sample goes without; the others follow by their hashes.
     """
-    drawn = rows.orderBy(F.xxhash64("_id")).limit(cells).select("_v").collect()
-    if not drawn:
-        return rows.withColumns({"_cell": F.lit(0), "_angle": F.lit(0.0)}), np.zeros((0, 1))
-    pivots = np.array([r[0] for r in drawn], np.float64)
-    pivots /= np.maximum(np.linalg.norm(pivots, axis=1, keepdims=True), 1e-300)
+    some = np.array([r[0] for r in rows.orderBy(F.xxhash64("_id")).limit(4 * cells).select("_v").collect()], np.float64)
+    some /= np.maximum(np.linalg.norm(some, axis=1, keepdims=True), 1e-300)
+    chosen, near = [0], some @ some[0]
+    while len(chosen) < min(cells, SPREAD, len(some)):
+        chosen.append(int(near.argmin()))
+        near = np.maximum(near, some @ some[chosen[-1]])
+        near[chosen[-1]] = np.inf
+    others = np.setdiff1d(np.arange(len(some)), chosen)[: max(0, cells - len(chosen))]
+    return some[[*dict.fromkeys(chosen), *others.tolist()]], np.linalg.eigh(some.T @ some)[1][:, ::-1]
+
+
+def _in_cells(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """rows with `_cell`, the place of the pivot nearest by angle, and `_angle` to it. Vectors of length 0 have no angle: they
+    count as opposite."""
     shared = rows.sparkSession.sparkContext.broadcast(pivots)
     at = rows.columns.index("_v")
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cell, angle = np.zeros(b.num_rows, np.int32), np.zeros(b.num_rows)
-            values, ends = b.column(at).values.to_numpy(), b.column(at).offsets.to_numpy()
-            for lo in range(0, b.num_rows, 4096):
-                some = slice(lo, min(lo + 4096, b.num_rows))
-                x = values[ends[some.start] : ends[some.stop]].reshape(some.stop - some.start, -1)
+            some_rows = max(1, (1 << 22) // len(shared.value))
+            for lo in range(0, b.num_rows, some_rows):
+                part = b.column(at).slice(lo, some_rows)
+                x = part.flatten().to_numpy().reshape(len(part), -1)
                 norms = np.linalg.norm(x, axis=1)
                 cos = (x @ shared.value.T) / np.maximum(norms, 1e-300)[:, None]
-                cell[some] = cos.argmax(1)
-                angle[some] = np.where(norms > 0, np.arccos(np.clip(cos.max(1), -1, 1)), np.pi)
+                cell[lo : lo + len(x)] = cos.argmax(1)
+                angle[lo : lo + len(x)] = np.where(norms > 0, np.arccos(np.clip(cos.max(1), -1, 1)), np.pi)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(angle)], names=[*b.schema.names, "_cell", "_angle"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    return written(rows.mapInArrow(assign, f"{fields}, _cell int, _angle double"), "cells"), pivots
+    return written(rows.mapInArrow(assign, f"{fields}, _cell int, _angle double"), "cells")
 
 
-def near_cells(pivots: np.ndarray, radii: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs of cells may hold vectors with a cosine of the threshold or more: two vectors are apart by the angle of
-    their pivots less both their own angles at least."""
-    apart = np.arccos(np.clip(pivots @ pivots.T, -1, 1)) - radii[:, None] - radii[None, :]
+def near_cells(pivots: np.ndarray, radii: np.ndarray, threshold: float, some: slice = slice(None)) -> np.ndarray:
+    """Which pairs of cells (of `some` with all) may hold vectors with a cosine of the threshold or more: two vectors are apart
+    by the angle of their pivots less both their own angles at least. Cells without a bound have radius pi."""
+    apart = np.arccos(np.clip(pivots[some] @ pivots.T, -1, 1)) - radii[some][:, None] - radii[None, :]
     return apart <= np.arccos(np.clip(threshold, -1, 1)) + 1e-6
 
 
+def _dealt(rows: DataFrame, n: int, threshold: float, block: int) -> tuple[DataFrame, np.ndarray]:
+    """A row (_lo, _hi, _own) for each block that a vector meets, and the rotation for bounds."""
+    spark = rows.sparkSession
+    cells = min(MOST_CELLS, max(math.ceil(n / block) if n < block * block else 0, math.ceil(math.sqrt(n))))
+    pivots, rotation = _drawn(rows, cells)
+    found = _in_cells(rows, pivots)
+    angles = found.groupBy("_cell").agg(F.percentile_approx("_angle", 0.9).alias("most"), F.max("_angle").alias("max"))
+    radius = F.when(F.col("max") <= STRAY * F.col("most"), F.col("max")).otherwise(STRAY * F.col("most")).alias("_radius")
+    radii = written(angles.select("_cell", radius), "cell-radii")  # a row for each cell
+    strays = len(pivots)
+    placed = found.join(F.broadcast(radii), "_cell").withColumn("_cell", F.when(F.col("_angle") <= F.col("_radius"), F.col("_cell")).otherwise(strays))
+    counts = {r._cell: r.n for r in placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    used = sorted(counts)
+    parts = np.array([max(1, math.ceil(counts[c] / block)) for c in used])
+    firsts = np.concatenate(([0], np.cumsum(parts)[:-1]))
+    bound = {r._cell: r._radius for r in radii.collect()} | {strays: math.pi}
+    centres = np.concatenate([pivots, np.zeros((1, pivots.shape[1]))])[used]
+    shared = spark.sparkContext.broadcast((centres, np.array([bound[c] for c in used]), np.array(used), firsts, parts))
+
+    def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, radii, used, firsts, parts = shared.value
+        for b in batches:
+            for i in b.column(0).to_pylist():
+                near = np.flatnonzero(near_cells(centres, radii, threshold, slice(i, i + 1))[0])
+                others = pa.array([[{"f": int(firsts[j]), "n": int(parts[j])} for j in near]], pa.list_(pa.struct([("f", pa.int64()), ("n", pa.int64())])))
+                yield pa.RecordBatch.from_arrays([pa.array([int(used[i])], pa.int32()), pa.array([int(firsts[i])]), pa.array([int(parts[i])]), others], names=["_cell", "_first", "_parts", "_near"])
+
+    table = written(spark.range(len(used)).mapInArrow(meetings, "_cell int, _first long, _parts long, _near array<struct<f:long,n:long>>"), "cell-meetings")
+    if len(used) <= BLOCK:  # a million meetings at most
+        table = F.broadcast(table)
+    own = F.col("_first") + F.pmod(F.xxhash64("_id"), F.col("_parts"))
+    others = F.flatten(F.transform("_near", lambda x: F.sequence(x["f"], x["f"] + x["n"] - 1)))
+    met = placed.join(table, "_cell").withColumn("_own", own).withColumn("_other", F.explode(others))
+    return met.select(F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", *rows.columns), rotation
+
+
+class _Block:
+    """Vectors of two blocks that meet: ids, unit vectors, and the columns in which pairs must differ, as numbers."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        t = pa.Table.from_batches(batches).combine_chunks()
+        self.lo, self.hi = t["_lo"][0].as_py(), t["_hi"][0].as_py()
+        self.ids = t["_id"].to_numpy()
+        x = t["_v"].chunk(0).flatten().to_numpy().reshape(len(self.ids), -1)
+        self.x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+        self.apart = [t[c].chunk(0).dictionary_encode().indices.fill_null(-1).to_numpy() for c in t.column_names if c.startswith("_a")]
+        own = t["_own"].to_numpy()
+        self.left = np.flatnonzero(own == self.lo)
+        self.right = self.left if self.lo == self.hi else np.flatnonzero(own == self.hi)
+
+    def pairs(self, threshold: float, rotation: np.ndarray | None, tally: list[int]) -> Iterator[pa.RecordBatch]:
+        """src, dst and cos over the threshold. With a rotation, a quarter of the dimensions is multiplied first, and the rest,
+        by Cauchy and Schwarz, adds the product of what is left of both lengths at most; rows and columns in which no pair can
+        reach the threshold go no further. tally: gets the pairs that met and those multiplied in full."""
+        few = self.x.shape[1] // 4
+        if rotation is not None:
+            turned = self.x @ rotation[:, :few]
+            rest = np.sqrt(np.maximum(0.0, 1.0 - (turned * turned).sum(1)))
+        for at in range(0, len(self.left), 256):
+            some, against = self.left[at : at + 256], self.right
+            tally[0] += len(some) * len(against)
+            if rotation is not None:
+                may = turned[some] @ turned[against].T + rest[some][:, None] * rest[against][None, :] >= threshold - 1e-9
+                some, against = some[may.any(1)], against[may.any(0)]
+            tally[1] += len(some) * len(against)
+            if not len(some):
+                continue
+            sims = self.x[some] @ self.x[against].T
+            hit = sims >= threshold
+            if self.lo == self.hi:
+                hit &= self.ids[some][:, None] < self.ids[against][None, :]
+            for v in self.apart:
+                hit &= v[some][:, None] != v[against][None, :]
+            i, j = np.nonzero(hit)
+            a, b = self.ids[some[i]], self.ids[against[j]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sims[i, j])], names=["src", "dst", "cos"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
+    """The blocks of sorted batches, one at a time."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for b in batches:
+        lo, hi = b.column(0).to_numpy(), b.column(1).to_numpy()
+        ends = [*(np.flatnonzero((lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1).tolist(), b.num_rows]
+        at = 0
+        for end in ends:
+            if end == at:
+                continue
+            if held and now != (lo[at], hi[at]):
+                yield _Block(held)
+                held = []
+            now = (lo[at], hi[at])
+            held.append(b.slice(at, end - at))
+            at = end
+    if held:
+        yield _Block(held)
+
+
+def _meeting(df: DataFrame, key: str, vector: str, threshold: float, apart: list[str], block: int) -> tuple[DataFrame, np.ndarray | None]:
+    rows = df.select(F.col(key).cast("long").alias("_id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("_v"), *[F.col(c).cast("string").alias(f"_a{i}") for i, c in enumerate(apart)])
+    rows = rows.filter("_v IS NOT NULL")
+    if threshold > 0:  # vectors of length 0 have a cosine of 0 to all
+        rows = rows.filter(F.exists("_v", lambda x: x != 0))
+    n = rows.count()
+    zero = F.lit(0).cast("long")
+    if n <= block:
+        return rows.select(zero.alias("_lo"), zero.alias("_hi"), zero.alias("_own"), *rows.columns).repartition(1), None
+    spread, rotation = _dealt(rows, n, threshold, block)
+    return spread.repartition("_lo", "_hi").sortWithinPartitions("_lo", "_hi"), rotation if len(rotation) >= WIDE else None
+
+
 def cosine_pairs(df: DataFrame, key: str, vector: str, threshold: float, apart: list[str] | None = None, block: int = BLOCK) -> DataFrame:
     """Src < dst and cos of all pairs with cos >= threshold that differ in each column of `apart`.
 
-    Vectors are dealt into cells around pivots, and large cells into blocks. Only blocks of cells that may hold such a pair
-    meet (none is lost: the bound is exact), each two of them in one task as a matrix product; only pairs over the threshold
-    become rows. How many blocks a vector is copied to follows from how many are near it; where vectors have no clusters
-    at all, that is all of them.
+    Vectors are dealt into cells around pivots, and large cells into blocks; those that stray from their cell stand apart,
+    so that one of them doesn't widen it. Only blocks of cells that may hold such a pair meet (none is lost: the bounds are
+    exact), each two of them in one task as a matrix product, of which a first part of the dimensions rules out rows
+    and columns; only pairs over the threshold become rows. How many blocks a vector is copied to follows from how many are
+    near it; where vectors have no clusters at all, that is all of them (cosine_work() tells). As many vectors as a block
+    has are multiplied at once.
     """
-    apart = apart or []
-    rows = df.select(F.col(key).cast("long").alias("_id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("_v"), *[F.col(c).cast("string").alias(f"_a{i}") for i, c in enumerate(apart)])
-    rows = rows.filter("_v IS NOT NULL")
-    cells = min(MOST_CELLS, max(1, math.ceil(rows.count() / block)))
-    dealt, pivots = _in_cells(rows, cells)
-    found = {r._cell: (r.n, r.radius) for r in dealt.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_angle").alias("radius")).collect()}
-    used = sorted(found)
-    parts = [max(1, math.ceil(found[c][0] / block)) for c in used]
-    firsts = np.concatenate(([0], np.cumsum(parts)[:-1])).astype(int).tolist() if used else []
-    near = near_cells(pivots[used], np.array([found[c][1] for c in used]), threshold) if used else np.zeros((0, 0), bool)
-    meets = [(c, firsts[i], parts[i], [{"f": firsts[j], "n": parts[j]} for j in np.flatnonzero(near[i]).tolist()]) for i, c in enumerate(used)]
-    table = df.sparkSession.createDataFrame(meets, "_cell int, _first int, _parts int, _near array<struct<f:int,n:int>>")
-    own = F.col("_first") + F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int")
-    others = F.flatten(F.transform("_near", lambda x: F.sequence(x["f"], x["f"] + x["n"] - 1)))
-    dealt = dealt.join(F.broadcast(table), "_cell").withColumn("_own", own).withColumn("_other", F.explode(others))
-    spread = dealt.select(F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", "_id", "_v", *[f"_a{i}" for i in range(len(apart))])
+    met, rotation = _meeting(df, key, vector, threshold, apart or [], block)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, own = None, []
-
-        def out() -> Iterator[pa.RecordBatch]:
-            ids = np.array([r[1] for r in own])
-            x = np.array([r[2] for r in own], np.float64)
-            x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-            sides = np.array([r[0] for r in own])
-            left = np.flatnonzero(sides == now[0])
-            right = left if now[0] == now[1] else np.flatnonzero(sides == now[1])
-            for at in range(0, len(left), 256):
-                some = left[at : at + 256]
-                sims = x[some] @ x[right].T
-                hit = sims >= threshold
-                if now[0] == now[1]:
-                    hit &= ids[some][:, None] < ids[right][None, :]
-                for c in range(3, 3 + len(apart)):
-                    v = np.array([str(r[c]) for r in own])
-                    hit &= v[some][:, None] != v[right][None, :]
-                i, j = np.nonzero(hit)
-                a, b = ids[some[i]], ids[right[j]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sims[i, j])], names=["src", "dst", "cos"])
+        for g in _groups(batches):
+            yield from g.pairs(threshold, rotation, [0, 0])
 
-        for b in batches:
-            for lo, hi, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if (lo, hi) != now:
-                    if own:
-                        yield from out()
-                    now, own = (lo, hi), []
-                own.append(row)
-        if own:
-            yield from out()
-
-    return spread.repartition("_lo", "_hi").sortWithinPartitions("_lo", "_hi").mapInArrow(multiply, "src long, dst long, cos double")
+    return met.mapInArrow(multiply, "src long, dst long, cos double")
+
+
+def cosine_work(df: DataFrame, key: str, vector: str, threshold: float, block: int = BLOCK) -> DataFrame:
+    """What cosine_pairs() does for its pairs: met, the pairs of vectors whose blocks meet, and multiplied, those of them
+    that are multiplied in full; one row."""
+    met, rotation = _meeting(df, key, vector, threshold, [], block)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = [0, 0]
+        for g in _groups(batches):
+            for _ in g.pairs(threshold, rotation, tally):
+                pass
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in tally], names=["met", "multiplied"])
+
+    return met.mapInArrow(count, "met long, multiplied long").agg(F.sum("met").alias("met"), F.sum("multiplied").alias("multiplied"))
 
 
 def centroid(df: DataFrame, key: list[str], vector: str, name: str = "centroid", normalise: bool = True, eps: float = 1e-9) -> DataFrame:

@@ -103,6 +103,33 @@ def test_far_cells_do_not_meet(spark):
     assert near.mean() < 0.3 and all(near[cell[i], cell[j]] for i, j in want if j < 240)
 
 
+def test_work_on_clustered_and_isotropic_vectors(spark):
+    """Equal pairs in both; cells spare clustered vectors nearly all work, and bounds on a part of the dimensions spare it where
+    cells can't but the vectors vary mostly along a few. A stray vector and one of length 0 don't widen a cell."""
+    r = np.random.RandomState(4)
+    n, d = 600, 40
+    centres = np.linalg.qr(r.normal(size=(d, d)))[0]
+    kinds = {
+        "clustered": np.array([centres[i % 20] + r.normal(0, 0.02, d) for i in range(n)]),
+        "isotropic": r.normal(size=(n, d)),
+        "skewed": r.normal(size=(n, d)) @ (np.diag(np.r_[np.ones(6), np.full(d - 6, 0.05)]) @ np.linalg.qr(r.normal(size=(d, d)))[0]),
+    }
+    share = {}
+    for kind, x in kinds.items():
+        x[5], x[6] = r.normal(size=d), 0.0
+        unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+        i, j = np.nonzero(np.triu(unit @ unit.T >= 0.8, 1))
+        df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id long, v array<double>")
+        assert {(p.src, p.dst) for p in vector.cosine_pairs(df, "id", "v", 0.8, block=30).collect()} == set(zip(i.tolist(), j.tolist(), strict=True)), kind
+        w = vector.cosine_work(df, "id", "v", 0.8, block=30).first()
+        share[kind] = (w.met / (n * n / 2), w.multiplied / max(1, w.met))
+    assert share["clustered"][0] < 0.35
+    assert share["isotropic"][0] > 0.9
+    assert share["skewed"][1] < 0.9
+    got = vector.cosine_pairs(spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0])], "id long, v array<double>"), "id", "v", 0.0)
+    assert {(p.src, p.dst) for p in got.collect()} == {(1, 2), (1, 3), (2, 3)}
+
+
 def test_components_clusters_whispers(spark):
     edges = spark.createDataFrame([(0, 3, 0.95), (1, 2, 0.9), (2, 4, 0.92)], "src long, dst long, cos double")
     named = graph.named_clusters(graph.connected_components(edges)).collect()
