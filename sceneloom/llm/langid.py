@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -263,6 +264,7 @@ class _Words(dict):
 
     def __init__(self, model: Model):
         self.model, self.table = model, model.columns()
+        self.known = memoryview(model.known)
         self.rows = np.zeros((1024, self.table.shape[1] + 2), np.float32)
 
     def __missing__(self, word: str) -> int:
@@ -271,7 +273,9 @@ class _Words(dict):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         ids = pieces(word, self.model.buckets)
         self.rows[i, :-2] = self.table[ids].sum(0)
-        self.rows[i, -2:] = len(ids), self.model.knows(np.array([word_hash(word)]))[0]
+        key = word_hash(word)
+        at = bisect_left(self.known, key)
+        self.rows[i, -2:] = len(ids), at < len(self.known) and self.known[at] == key
         self[word] = i
         return i
 
