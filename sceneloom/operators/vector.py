@@ -259,7 +259,7 @@ def splits(df: DataFrame, key: list[str], order: str, vector: str, threshold: fl
 
 def neighbour_dedup(df: DataFrame, key: list[str], order: str, shot: str, vector: str, black: str, face: str, threshold: float = 0.75, most_rounds: int = 50) -> DataFrame:
     """Rows that survive. Neighbours of a shot with cos >= threshold and the same black flag form runs; of a run one
-    survives (of those with a face, if any, the one nearest the others); rounds go on until nothing goes.
+    survives (of those with a face, if any, the one nearest the others, to nine digits, the first of equal ones); rounds go on until nothing goes.
 
     Each round is a written table.
     """
@@ -273,7 +273,7 @@ def neighbour_dedup(df: DataFrame, key: list[str], order: str, shot: str, vector
         inside = Window.partitionBy(*key, "_run")
         pool = run.withColumn("_any", F.max(F.col(face).cast("int")).over(inside)).withColumn("_in", (F.col("_any") == 0) | F.col(face))
         means = mean_similarity(pool.filter("_in"), [*key, "_run"], order, vector, "_mean")
-        best = means.groupBy(*key, "_run").agg(F.max_by(order, F.struct(F.coalesce("_mean", F.lit(0.0)), -F.col(order))).alias("_best"))
+        best = means.groupBy(*key, "_run").agg(F.max_by(order, F.struct(F.round(F.coalesce("_mean", F.lit(0.0)), 9), -F.col(order))).alias("_best"))
         rows = written(run.join(best, [*key, "_run"]).filter(F.col(order) == F.col("_best")).select(*rows.columns), "dedup")
         left = rows.count()
         if left == n:

@@ -236,12 +236,38 @@ def key_frame_vectors(spark, sf_dir):
     return v.select(F.floor(F.col("vec_id") / 50).cast("int").alias("video"), F.col("vec_id").alias("frame"), F.floor(F.col("vec_id") / 8).cast("int").alias("shot"), "embedding", (F.col("vec_id") % 13 == 0).alias("black"), (F.col("vec_id") % 3 == 0).alias("face"))
 
 
-@query("w20_neighbour_dedup")
+DEDUP_SQL = """kv AS MATERIALIZED (SELECT CAST(vec_id // 50 AS INTEGER) AS video, vec_id AS frame, CAST(vec_id // 8 AS INTEGER) AS shot, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e, vec_id % 13 = 0 AS black, vec_id % 3 = 0 AS face FROM embeddings),
+cs AS MATERIALIZED (SELECT a.frame AS fa, b.frame AS fb, list_cosine_similarity(a.e, b.e) AS cos FROM kv a JOIN kv b USING (video)),
+rd(round, video, frame, shot, black, face) AS (SELECT 0, video, frame, shot, black, face FROM kv UNION ALL
+SELECT round + 1, video, frame, shot, black, face FROM (
+  WITH l AS (SELECT *, lag(frame) OVER w AS bf, lag(shot) OVER w AS bs, lag(black) OVER w AS bb FROM rd WINDOW w AS (PARTITION BY video ORDER BY frame)),
+  t AS (SELECT l.*, CASE WHEN bs = shot AND bb = black AND cos >= 0.16 THEN 0 ELSE 1 END AS new FROM l LEFT JOIN cs ON fa = bf AND fb = frame),
+  u AS (SELECT *, sum(new) OVER (PARTITION BY video ORDER BY frame) AS run FROM t),
+  po AS (SELECT * FROM u QUALIFY NOT bool_or(face) OVER (PARTITION BY video, run) OR face),
+  me AS (SELECT a.video, a.run, a.frame, round(coalesce(avg(cos), 0), 9) AS m FROM po a LEFT JOIN po b ON a.video = b.video AND a.run = b.run AND a.frame <> b.frame LEFT JOIN cs ON fa = a.frame AND fb = b.frame GROUP BY ALL),
+  be AS (SELECT video, run, frame FROM me QUALIFY row_number() OVER (PARTITION BY video, run ORDER BY m DESC, frame) = 1)
+  SELECT u.* FROM u JOIN be USING (video, run, frame)) WHERE round < 14),
+sv AS (SELECT video, frame, shot FROM rd WHERE round = 14)"""
+
+
+@query("w20_neighbour_dedup", f"WITH RECURSIVE {DEDUP_SQL} SELECT video, frame, shot FROM sv")
 def w20_neighbour_dedup(spark, sf_dir):
     return vector.neighbour_dedup(key_frame_vectors(spark, sf_dir), ["video"], "frame", "shot", "embedding", "black", "face", 0.16).select("video", "frame", "shot")
 
 
-@query("w21_scenes")
+@query(
+    "w21_scenes",
+    f"""WITH RECURSIVE {DEDUP_SQL}, bk AS (SELECT video, frame, frame - row_number() OVER (PARTITION BY video ORDER BY frame) AS run FROM kv WHERE black), br AS (SELECT video, min(frame) AS s, max(frame) AS e FROM bk GROUP BY video, run),
+sh AS (SELECT video, shot, min(frame) AS a, max(frame) AS b FROM kv GROUP BY video, shot),
+cl AS (SELECT sv.* FROM sv WHERE NOT EXISTS (SELECT 1 FROM br WHERE br.video = sv.video AND frame BETWEEN s AND e)),
+ps AS (SELECT cl.*, (SELECT count(*) FROM br WHERE br.video = cl.video AND br.s < cl.frame) AS passed FROM cl),
+nw AS (SELECT *, CASE WHEN lag(shot) OVER w = shot AND lag(passed) OVER w = passed THEN 0 ELSE 1 END AS new FROM ps WINDOW w AS (PARTITION BY video ORDER BY frame)),
+gr AS (SELECT *, sum(new) OVER (PARTITION BY video ORDER BY frame) AS g FROM nw),
+no AS (SELECT gr.video, min(frame) AS ft, a AS s, b AS e, 1 AS n_shots, list(frame ORDER BY frame) AS frames, false AS black FROM gr JOIN sh USING (video, shot) GROUP BY gr.video, g, shot, a, b),
+da AS (SELECT br.video, br.s AS ft, br.s, br.e, (SELECT count(*) FROM sh WHERE sh.video = br.video AND a <= br.e AND b >= br.s) AS n_shots,
+  coalesce((SELECT list(frame ORDER BY frame) FROM sv WHERE sv.video = br.video AND frame BETWEEN br.s AND br.e), CAST([] AS BIGINT[])) AS frames, true AS black FROM br)
+SELECT video, CAST(row_number() OVER (PARTITION BY video ORDER BY ft, black) - 1 AS INTEGER) AS scene, s AS "start", e AS "end", CAST(n_shots AS INTEGER) AS n_shots, ft AS key_frame, frames, black FROM (SELECT * FROM no UNION ALL SELECT * FROM da)""",
+)
 def w21_scenes(spark, sf_dir):
     """Survivors of a shot, cut by black frames, as scenes in time order."""
     every = key_frame_vectors(spark, sf_dir)
