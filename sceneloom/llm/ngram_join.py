@@ -321,3 +321,16 @@ def one_of_each_group(documents: DataFrame, n: int = 5, threshold: float = 0.8)
         apart = F.when(F.col("text_key").isNull(), F.monotonically_increasing_id())  # rows with null text don't repeat each other
         kept = kept.withColumn("apart", apart).dropDuplicates(["id", "text_key", "apart"])
     return kept.select("row.*")
+
+
+#: DuckDB SQL of near_duplicates(), without the key: all n-grams of all texts, joined.
+ORACLE = r"""
+WITH RECURSIVE t AS MATERIALIZED (SELECT min(doc_id) AS c, count(*) AS copies, text, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM documents WHERE text IS NOT NULL GROUP BY text),
+g AS MATERIALIZED (SELECT DISTINCT c, hash(unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END)) AS gram FROM t),
+n AS (SELECT c, count(*) AS n FROM g GROUP BY c),
+p AS (SELECT a.c AS x, b.c AS y, count(*) AS m FROM g a JOIN g b ON a.gram = b.gram AND a.c <> b.c GROUP BY a.c, b.c),
+l AS MATERIALIZED (SELECT x, y FROM p JOIN n a ON a.c = x JOIN n b ON b.c = y WHERE 5 * m >= 4 * (a.n + b.n - m)),
+r(c, root) AS (SELECT c, c FROM t UNION SELECT l.y, r.root FROM r JOIN l ON r.c = l.x),
+k AS (SELECT c, min(root) AS group_id FROM r GROUP BY c), d AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT doc_id, t.c AS class_id, copies, coalesce(n_links, 0) AS n_links, group_id FROM documents JOIN t USING (text) JOIN k ON k.c = t.c LEFT JOIN d ON d.x = t.c
+UNION ALL SELECT doc_id, doc_id, 1, 0, doc_id FROM documents WHERE text IS NULL"""

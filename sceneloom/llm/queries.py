@@ -114,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": ORACLE_OP1,
     "op3_warc_normalise": ORACLE_OP3,
+    "op7_ngram_join": ngram_join.ORACLE,
     "op8_shard_tree": sharding.oracle(),
     "op9_mix_sources": mixing.ORACLE,
     "op11_elkan_centroids": centroids.oracle(),
