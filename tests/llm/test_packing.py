@@ -77,6 +77,12 @@ def test_ids_are_the_librarys(monkeypatch):
             assert own.of(text).tolist() == lib.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_long_runs_of_one_kind():
+    lib, own = library(), packing.tokens()
+    for text in (" " * 1_000_000 + "x", "\n" * 300_000 + "x", "a" * 200_000, "日本語" * 50_000, "!?" * 100_000, "0123456789" * 20_000):
+        assert own.of(text).tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
 def test_best_fit_beside_a_plain_search():
     draws = random.Random(2)
     for window in (8, 64, 2048):
