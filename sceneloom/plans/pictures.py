@@ -84,6 +84,22 @@ def f24_resampled(spark, sf_dir):
     return pictures.resampled_columns(lists, ["video"], "importance", "locked", 0.5, 0.25, 16)
 
 
+@query("s1_listing", "SELECT 'label=' || label AS folder, 1 AS n_files, count(*) AS n_rows FROM embeddings GROUP BY label")
+def s1_listing(spark, sf_dir):
+    """Files that Spark wrote, a folder for each label, listed by their endings (another case of them), and read
+    by the names found; the folder above has none."""
+    from ..session import shared_folder
+
+    path = f"{shared_folder(spark)}/listing-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "embeddings").select("label", "vec_id").repartition("label")
+    rows.write.partitionBy("label").parquet(path)
+    listed = files.list_videos(spark, path, deep=True, endings=("PARQUET",))
+    above = files.list_videos(spark, path, endings=("PARQUET",)).agg(F.count(F.lit(1)).alias("above"))
+    counts = spark.read.option("basePath", path).parquet(path).groupBy(F.concat(F.lit("label="), F.col("label").cast("string")).alias("folder")).agg(F.count(F.lit(1)).alias("n_rows"))
+    found = listed.groupBy("folder").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    return found.join(counts, "folder").crossJoin(above).select("folder", (F.col("n") + F.col("above")).cast("int").alias("n_files"), "n_rows")  # one row
+
+
 @query("s7_matrices", "SELECT label, vec_id AS frame, embedding::FLOAT[] AS embedding FROM embeddings")
 def s7_matrices(spark, sf_dir):
     """Matrices of a label's vectors as NPZ bytes, written, read again and validated."""

@@ -27,13 +27,16 @@ def _listed(spark: SparkSession, path: str, glob: str, deep: bool) -> DataFrame:
     return rows.select("path", "length")
 
 
-def list_videos(spark: SparkSession, path: str, deep: bool = False) -> DataFrame:
+def list_videos(spark: SparkSession, path: str, deep: bool = False, endings: tuple[str, ...] = VIDEO_ENDINGS) -> DataFrame:
     """Path, length, folder, name of the videos below a folder, by path; endings in any case.
 
     Contents aren't read: only names and lengths are asked for.
     """
-    glob = "*.{" + ",".join(f"[{e[0]}{e[0].upper()}]" + "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e[1:]) for e in VIDEO_ENDINGS) + "}"
-    return _listed(spark, path, glob, deep).select("path", "length", F.element_at(F.split("path", "/"), -2).alias("folder"), F.element_at(F.split("path", "/"), -1).alias("name")).orderBy("path")
+    glob = "*.{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in endings) + "}"
+    found = _listed(spark, path, glob, deep).select("path", "length", F.element_at(F.split("path", "/"), -2).alias("folder"), F.element_at(F.split("path", "/"), -1).alias("name"))
+    if not deep:  # Spark goes into folders that are named like partitions
+        found = found.filter(F.col("folder") == path.rstrip("/").rsplit("/", 1)[-1])
+    return found.orderBy("path")
 
 
 def first_in_folder(files: DataFrame) -> DataFrame:
