@@ -63,10 +63,19 @@ def f5_entries(spark, sf_dir):
     return rows.select("doc_id", F.transform("e", lambda x: F.concat(x["key"].cast("string"), F.lit("="), x["value"])).alias("entries"))
 
 
-@query("f6_description_lines", "SELECT doc_id, CASE WHEN doc_id % 4 <> 3 THEN CAST(n_chars AS INTEGER) END AS frame, CASE doc_id % 4 WHEN 0 THEN 'a man' WHEN 1 THEN '' WHEN 2 THEN 'b：c' END AS said FROM documents")
+_LINE = r"^[0-9a-f]+_f(\d+)(?:.*?[：:]\s*(.*))?$"
+
+
+@query(
+    "f6_description_lines",
+    f"""WITH l AS (SELECT doc_id, lower(to_hex(n_chars)) || CASE WHEN source LIKE '%1%' THEN '_g' ELSE '_f' END || doc_id || CASE lang WHEN 'en' THEN ': ' WHEN 'de' THEN '：' WHEN 'es' THEN '_c001key： ' ELSE '' END || regexp_replace(text, '\\s+', ' ', 'g') AS line FROM documents)
+SELECT doc_id, CASE WHEN regexp_matches(line, '{_LINE}') THEN CAST(regexp_extract(line, '{_LINE}', 1) AS INTEGER) END AS frame, CASE WHEN regexp_matches(line, '{_LINE}') THEN regexp_extract(line, '{_LINE}', 2) END AS said FROM l""",
+)
 def f6_description_lines(spark, sf_dir):
-    i, n = F.col("doc_id") % 4, F.col("n_chars").cast("string")
-    line = F.when(i == 0, F.concat(F.lit("ab12_f"), n, F.lit("_c001key： a man"))).when(i == 1, F.concat(F.lit("ab12_f"), n)).when(i == 2, F.concat(F.lit("0f_f"), n, F.lit(": b：c"))).otherwise("no line")
+    """lines made of whole texts, marks and colons by what a row holds; the SQL parses them with the pattern itself."""
+    mark = F.when(F.col("source").like("%1%"), "_g").otherwise("_f")
+    colon = F.when(F.col("lang") == "en", ": ").when(F.col("lang") == "de", "：").when(F.col("lang") == "es", "_c001key： ").otherwise("")
+    line = F.concat(F.lower(F.hex("n_chars")), mark, F.col("doc_id").cast("string"), colon, F.regexp_replace("text", r"\s+", " "))
     rows = table(spark, sf_dir, "documents").select("doc_id", X.description_line(line).alias("p"))
     return rows.select("doc_id", "p.frame", F.col("p.text").alias("said"))
 
@@ -142,14 +151,25 @@ def f16_arrays(spark, sf_dir):
     return rows.select("o_custkey", F.slice("x", 1, 3).alias("head"), F.size("x").cast("long").alias("n"), F.array_contains("x", 3).alias("has3"), F.array_sort(F.array_distinct("x")).alias("uniq"))
 
 
-@query("f18_boundaries", """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN [3, 7, 9, 12] WHEN 1 THEN [CAST(doc_id AS INTEGER)] WHEN 2 THEN CAST([] AS INTEGER[]) WHEN 3 THEN CAST([] AS INTEGER[]) ELSE [5, 11] END AS boundaries FROM documents""")
+@query(
+    "f18_boundaries",
+    r"""WITH w AS (SELECT conv_id, turn, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS ws, length(text) % 2 = 0 AS closed FROM conversations),
+a AS (SELECT conv_id, turn, closed, '{"boundaries": [' || array_to_string(list_transform(ws, lambda x: CASE WHEN x LIKE '%s' THEN '"Scene' || len(x) || '"' WHEN x LIKE '%e%' THEN '"' || len(x) || ',' || (2 * len(x)) || '"' WHEN x LIKE '%.' THEN '"no"' ELSE CAST(3 * len(x) AS VARCHAR) END), ', ') || CASE WHEN closed THEN ']}' ELSE '}' END AS answer FROM w),
+n AS (SELECT conv_id, turn, CASE WHEN closed THEN list_transform(regexp_extract_all(answer, '"Scene[0-9]+"|"[0-9]+,[0-9]+"|[0-9]+'), lambda x: CAST(regexp_extract(x, '([0-9]+)"?$', 1) AS INTEGER))
+  ELSE list_transform(regexp_extract_all(answer, '"[0-9]+,[0-9]+"'), lambda x: CAST(regexp_extract(x, ',([0-9]+)', 1) AS INTEGER)) END AS found FROM a)
+SELECT conv_id, turn, list_sort(list_distinct(found)) AS boundaries FROM n""",
+)
 def f18_boundaries(spark, sf_dir):
-    i, n = F.col("doc_id") % 5, F.col("doc_id").cast("string")
-    answer = (
-        F.when(i == 0, 'x {"boundaries":[3,"Scene7","8,9","12"]} y').when(i == 1, F.concat(F.lit('{"a":1, "boundaries": ["Scene'), n, F.lit('", "nope", "1,2,3"]}')))
-        .when(i == 2, "nothing here").when(i == 3, F.concat(F.lit('{"boundaries":['), n, F.lit(", 2, }"))).otherwise('{"boundaries": ["4,5" "9,11" ]}')
+    """answers made of whole texts, a number in one of its forms for each word, every second array left open."""
+    words = F.filter(F.split("text", r"\s+"), lambda x: x != "")
+    n = lambda x: F.char_length(x).cast("string")
+    item = lambda x: (
+        F.when(x.endswith("s"), F.concat(F.lit('"Scene'), n(x), F.lit('"'))).when(x.contains("e"), F.concat(F.lit('"'), n(x), F.lit(","), (2 * F.char_length(x)).cast("string"), F.lit('"')))
+        .when(x.endswith("."), F.lit('"no"')).otherwise((3 * F.char_length(x)).cast("string"))
     )
-    return table(spark, sf_dir, "documents").select("doc_id", X.parse_boundaries(answer).alias("boundaries"))
+    end = F.when(F.char_length("text") % 2 == 0, "]}").otherwise("}")
+    answer = F.concat(F.lit('{"boundaries": ['), F.array_join(F.transform(words, item), ", "), end)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.parse_boundaries(answer).alias("boundaries"))
 
 
 @query("f19_json_object", "SELECT doc_id, CAST(n_chars AS BIGINT) AS n, lang AS emotion FROM documents")
@@ -248,10 +268,16 @@ def p21_boundary_edits(spark, sf_dir):
     return rows.select("o_custkey", relational.valid_boundaries(F.col("b"), F.lit(30)).alias("boundaries"))
 
 
-@query("p25_conformance", "SELECT doc_id, doc_id % 3 = 0 AS ok FROM documents")
+@query(
+    "p25_conformance",
+    r"""WITH m AS (SELECT page_id, list_transform(regexp_split_to_array(regexp_extract(url, '//(.*)$', 1), '[/.?&=#]'), lambda x: x || '_f' || len(x)) AS marks FROM pages)
+SELECT page_id, len(marks) > 0 AND len(list_filter(marks, lambda x: NOT regexp_matches(x, '^[0-9A-Za-z_]+_f[0-9]+'))) = 0 AS ok FROM m""",
+)
 def p25_conformance(spark, sf_dir):
-    marks = F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("ab_f1"), F.lit("ab_f2_key：x"))).when(F.col("doc_id") % 3 == 1, F.array().cast("array<string>")).otherwise(F.array(F.lit("ab_f1"), F.lit("nomark")))
-    return table(spark, sf_dir, "documents").select("doc_id", relational.conforms(marks).alias("ok"))
+    """P25: the parts of an address as marks; empty ones and those with other characters don't conform."""
+    parts = F.split(F.regexp_extract("url", r"//(.*)$", 1), r"[/.?&=#]")
+    marks = F.transform(parts, lambda x: F.concat(x, F.lit("_f"), F.char_length(x).cast("string")))
+    return table(spark, sf_dir, "pages").select("page_id", relational.conforms(marks).alias("ok"))
 
 
 @query("p15_header", "SELECT doc_id, lang, source FROM documents")
