@@ -24,9 +24,10 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -49,17 +50,17 @@ def word_hash(word: str) -> int:
     return zlib.crc32(word.encode())
 
 
-def counted(words: list[str], buckets: int, cache: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def counted(words: list[str], buckets: int, cache: dict[str, array]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pieces of some words, and how often each occurs."""
-    ids: list[int] = []
+    ids = array("i")
     for w in words:
         p = cache.get(w)
         if p is None:
-            if len(cache) > 200_000:
+            if len(cache) > 100_000:
                 cache.clear()
-            p = cache[w] = pieces(w, buckets)
+            p = cache[w] = array("i", pieces(w, buckets))
         ids += p
-    return np.unique(np.array(ids, np.int32), return_counts=True)
+    return np.unique(np.frombuffer(ids, np.int32), return_counts=True)
 
 
 #: Languages that are learnt at most (those with the most texts), and texts that a label needs to be one of them.
@@ -80,9 +81,10 @@ MOST_KNOWN = 0.9
 class Model:
     langs: list[str]
     buckets: int
-    #: The embedding of each piece, and the softmax's weights: a model's size hardly grows with its languages.
+    #: The embedding of each piece, and the softmax's weights: a model's size hardly grows with its languages. Without
+    #: weights the embeddings are logits.
     embedding: np.ndarray
-    weights: np.ndarray
+    weights: np.ndarray | None
     #: Hashes of the whole words that training saw, ascending.
     known: np.ndarray
     temperature: float = 1.0
@@ -97,12 +99,14 @@ class Model:
             return np.zeros(len(hashes), bool)
         return self.known[np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)] == hashes
 
-    def columns(self) -> np.ndarray:
-        """What is summed up for a text: logits of pieces, or their embeddings where there are more languages than dimensions."""
-        return self.embedding @ self.weights if len(self.langs) <= self.weights.shape[0] else self.embedding
+    def sent(self) -> Model:
+        """The model as tasks need it: logits of pieces in place of embeddings where there are fewer languages than dimensions."""
+        if self.weights is None or len(self.langs) > self.weights.shape[0]:
+            return self
+        return replace(self, embedding=self.embedding @ self.weights, weights=None)
 
     def logits(self, sums: np.ndarray) -> np.ndarray:
-        return sums if len(self.langs) <= self.weights.shape[0] else sums @ self.weights
+        return sums if self.weights is None else sums @ self.weights
 
     def evidence(self, known: np.ndarray | float, words: np.ndarray | float) -> np.ndarray | float:
         return (known * self.odds[0] + (words - known) * self.odds[1]) * np.minimum(1.0, EVIDENCE_WORDS / np.maximum(words, 1))
@@ -233,7 +237,7 @@ def fit(documents: DataFrame, usable: Column, per_lang: int = 700, buckets: int
     sample = rows.join(F.broadcast(ranked.filter(F.col("_rn") <= 2 * per_lang).drop("_rn")), ["lang", "h"]).select("lang", "text", "h")
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, list[int]] = {}
+        cache: dict[str, array] = {}
         seen: set[tuple[str, int]] = set()  # of the sample: bounded
         for b in sliced(batches):
             out = []
@@ -263,7 +267,7 @@ class _Words(dict):
     """Words to rows of their summed columns, their numbers of pieces, and whether they are known."""
 
     def __init__(self, model: Model):
-        self.model, self.table = model, model.columns()
+        self.model, self.table = model, model.embedding
         self.known = memoryview(model.known)
         self.rows = np.zeros((1024, self.table.shape[1] + 2), np.float32)
 
@@ -319,7 +323,7 @@ def _predictor(model: Model | None):
 
 def predict(documents: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score, known (share of known words), accepted of every whole text."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by its buckets and SAMPLE_WORDS
+    shared = documents.sparkSession.sparkContext.broadcast(model and model.sent())  # bounded by its buckets and SAMPLE_WORDS
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,7 +337,7 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
 
 def accepted_documents(documents: DataFrame, model: Model | None) -> DataFrame:
     """The documents whose prediction isn't rejected, with all their columns."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = documents.sparkSession.sparkContext.broadcast(model and model.sent())
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -49,7 +49,7 @@ class WordHash(dict):
     """64-bit hashes of words, remembered."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -137,8 +137,11 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
 def _linked(sets: list[np.ndarray], pairs: np.ndarray, threshold: float) -> np.ndarray:
     """Which of the pairs (a matrix of those to look at) have a Jaccard measure of the threshold or more."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    least, most = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-    pairs = pairs & (least >= threshold * most - 1e-9)
+    pairs = pairs.copy()
+    strips = [slice(a, a + 128) for a in range(0, len(sets), 128)]  # of rows, as a matrix of numbers is large
+    for some in strips:
+        mine = sizes[some, None]
+        pairs[some] &= np.minimum(mine, sizes) >= threshold * np.maximum(mine, sizes) - 1e-9
     out = np.zeros_like(pairs)
     todo = int(pairs.sum())
     if not todo:
@@ -167,7 +170,10 @@ def _linked(sets: list[np.ndarray], pairs: np.ndarray, threshold: float) -> np.n
         x = np.zeros((len(sets), min(width, last - a)), np.float32)
         x[rows[lo:hi], cols[lo:hi] - a] = 1
         common += x @ x.T
-    return pairs & (common >= threshold * (np.add.outer(sizes, sizes) - common) - 1e-6)
+        del x
+    for some in strips:
+        pairs[some] &= common[some] >= threshold * (sizes[some, None] + sizes - common[some]) - 1e-6
+    return pairs
 
 
 def _compare(rows: DataFrame, threshold: float) -> DataFrame:

@@ -151,5 +151,6 @@ def test_equal_with_fewer_or_more_languages_than_dimensions(monkeypatch):
     few = langid.Model(["a", "b"], 64, r.randn(64, 4).astype(np.float32), r.randn(4, 2).astype(np.float32), np.empty(0, np.int64))
     many = langid.Model([f"l{i}" for i in range(9)], 64, few.embedding, r.randn(4, 9).astype(np.float32), np.empty(0, np.int64))
     for m in (few, many):
-        sums = m.columns()[[3, 5, 5]].sum(0)
-        assert np.allclose(m.logits(sums), m.embedding[[3, 5, 5]].sum(0) @ m.weights, atol=1e-4)
+        sent = m.sent()
+        assert (sent.weights is None) == (m is few)
+        assert np.allclose(sent.logits(sent.embedding[[3, 5, 5]].sum(0)), m.embedding[[3, 5, 5]].sum(0) @ m.weights, atol=1e-4)
