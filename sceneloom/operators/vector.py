@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from ..functions.numeric import cosine, dot, norm
 from ..session import written
@@ -21,6 +22,10 @@ MOST_CELLS, SPREAD = 1 << 16, 1024
 STRAY = 2.0
 #: Dimensions from which a product first looks at a part of them.
 WIDE = 32
+#: Where a vector would meet more blocks than SIDES, cells are packed into about so many blocks, of MOST_COMPONENTS numbers at most.
+SIDES, MOST_COMPONENTS = 24, 1 << 21
+#: Pairs from which a task's pairs shrink to their forest.
+MOST_PAIRS = 1 << 20
 
 
 def _drawn(rows: DataFrame, cells: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,7 +57,7 @@ def _in_cells(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
             some_rows = max(1, (1 << 22) // len(shared.value))
             for lo in range(0, b.num_rows, some_rows):
                 part = b.column(at).slice(lo, some_rows)
-                x = part.flatten().to_numpy().reshape(len(part), -1)
+                x = part.flatten().to_numpy().reshape(len(part), -1).astype(np.float64)
                 norms = np.linalg.norm(x, axis=1)
                 cos = (x @ shared.value.T) / np.maximum(norms, 1e-300)[:, None]
                 cell[lo : lo + len(x)] = cos.argmax(1)
@@ -71,7 +76,11 @@ def near_cells(pivots: np.ndarray, radii: np.ndarray, threshold: float, some: sl
 
 
 def _dealt(rows: DataFrame, n: int, threshold: float, block: int) -> tuple[DataFrame, np.ndarray]:
-    """A row (_lo, _hi, _own) for each block that a vector meets, and the rotation for bounds."""
+    """A row (_lo, _hi, _own) for each block that a vector meets, and the rotation for bounds.
+
+    Where the cells part little, vectors would be copied to as many blocks as there are cells, which grow with the root of the
+    rows. There cells are packed into few large blocks, so that the copies of a vector don't grow with the rows.
+    """
     spark = rows.sparkSession
     cells = min(MOST_CELLS, max(math.ceil(n / block) if n < block * block else 0, math.ceil(math.sqrt(n))))
     pivots, rotation = _drawn(rows, cells)
@@ -87,7 +96,8 @@ def _dealt(rows: DataFrame, n: int, threshold: float, block: int) -> tuple[DataF
     firsts = np.concatenate(([0], np.cumsum(parts)[:-1]))
     bound = {r._cell: r._radius for r in radii.collect()} | {strays: math.pi}
     centres = np.concatenate([pivots, np.zeros((1, pivots.shape[1]))])[used]
-    shared = spark.sparkContext.broadcast((centres, np.array([bound[c] for c in used]), np.array(used), firsts, parts))
+    limits = np.array([bound[c] for c in used])
+    shared = spark.sparkContext.broadcast((centres, limits, np.array(used), firsts, parts))
 
     def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, radii, used, firsts, parts = shared.value
@@ -95,9 +105,13 @@ def _dealt(rows: DataFrame, n: int, threshold: float, block: int) -> tuple[DataF
             for i in b.column(0).to_pylist():
                 near = np.flatnonzero(near_cells(centres, radii, threshold, slice(i, i + 1))[0])
                 others = pa.array([[{"f": int(firsts[j]), "n": int(parts[j])} for j in near]], pa.list_(pa.struct([("f", pa.int64()), ("n", pa.int64())])))
-                yield pa.RecordBatch.from_arrays([pa.array([int(used[i])], pa.int32()), pa.array([int(firsts[i])]), pa.array([int(parts[i])]), others], names=["_cell", "_first", "_parts", "_near"])
+                yield pa.RecordBatch.from_arrays([pa.array([int(used[i])], pa.int32()), pa.array([int(firsts[i])]), pa.array([int(parts[i])]), others, pa.array([int(parts[near].sum())])], names=["_cell", "_first", "_parts", "_near", "_blocks"])
 
-    table = written(spark.range(len(used)).mapInArrow(meetings, "_cell int, _first long, _parts long, _near array<struct<f:long,n:long>>"), "cell-meetings")
+    table = written(spark.range(len(used)).mapInArrow(meetings, "_cell int, _first long, _parts long, _near array<struct<f:long,n:long>>, _blocks long"), "cell-meetings")
+    copies = sum(counts[r._cell] * r._blocks for r in table.select("_cell", "_blocks").collect())
+    if copies > SIDES * n:
+        rows_in = np.array([counts[c] for c in used])
+        return _packed(placed, rows, n, block, threshold, centres, limits, used, rows_in, parts, rotation), rotation
     if len(used) <= BLOCK:  # a million meetings at most
         table = F.broadcast(table)
     own = F.col("_first") + F.pmod(F.xxhash64("_id"), F.col("_parts"))
@@ -106,6 +120,65 @@ def _dealt(rows: DataFrame, n: int, threshold: float, block: int) -> tuple[DataF
     return met.select(F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", *rows.columns), rotation
 
 
+def _packed(placed: DataFrame, rows: DataFrame, n: int, block: int, threshold: float, centres: np.ndarray, limits: np.ndarray, used: list[int], rows_in: np.ndarray, parts: np.ndarray, rotation: np.ndarray) -> DataFrame:
+    """What _dealt() returns, with cells (or parts of large ones) packed into about SIDES blocks, those along the direction
+    in which the pivots vary most side by side."""
+    spark = placed.sparkSession
+    size = max(block, min(math.ceil(n / SIDES), MOST_COMPONENTS // centres.shape[1]))
+    along = np.argsort(centres @ rotation[:, 0], kind="stable")
+    unit_cell = np.repeat(along, parts[along])
+    before = np.cumsum(rows_in[unit_cell] / parts[unit_cell]) - 1
+    unit_block = np.unique((before // size).astype(np.int64), return_inverse=True)[1]
+    blocks = int(unit_block[-1]) + 1
+    of_cell = np.split(unit_block[np.argsort(unit_cell, kind="stable")], np.cumsum(parts)[:-1])
+    shared = spark.sparkContext.broadcast((centres, limits, unit_cell, unit_block))
+
+    def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, limits, unit_cell, unit_block = shared.value
+        for b in batches:
+            for i in b.column(0).to_pylist():
+                near = np.zeros(len(centres), bool)
+                for cell in np.unique(unit_cell[unit_block == i]).tolist():
+                    near |= near_cells(centres, limits, threshold, slice(cell, cell + 1))[0]
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([np.unique(unit_block[near[unit_cell]]).tolist()])], names=["_own", "_near"])
+
+    table = written(spark.range(blocks).mapInArrow(meetings, "_own long, _near array<long>"), "block-meetings")
+    homes = spark.createDataFrame([(int(c), at.tolist()) for c, at in zip(used, of_cell, strict=True)], "_cell int, _blocks array<long>")  # a row for each cell
+    own = F.element_at("_blocks", (F.pmod(F.xxhash64("_id"), F.size("_blocks").cast("long")) + 1).cast("int"))
+    met = placed.join(F.broadcast(homes), "_cell").withColumn("_own", own).join(F.broadcast(table), "_own").withColumn("_other", F.explode("_near"))
+    return met.select(F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", *rows.columns)
+
+
+def forest(a: np.ndarray, b: np.ndarray, cos: np.ndarray) -> np.ndarray:
+    """Places of the edges of a maximum spanning forest; of equal weights the edge with the lesser ends comes first."""
+    order = np.lexsort((b, a, -cos))
+    ids, ends = np.unique(np.concatenate([a[order], b[order]]), return_inverse=True)
+    u, v, m = ends[: len(a)], ends[len(a) :], len(a)
+    kept, root, left = np.zeros(m, bool), np.arange(len(ids)), np.arange(m)
+    while True:
+        ru, rv = root[u[left]], root[v[left]]
+        apart = ru != rv
+        left, ru, rv = left[apart], ru[apart], rv[apart]
+        if not len(left):
+            return order[kept]
+        best = np.full(len(ids), m)
+        best[rv[::-1]] = left[::-1]  # of equal places the last counts, which is the first edge
+        other = np.full(len(ids), m)
+        other[ru[::-1]] = left[::-1]
+        best = np.minimum(best, other)
+        tops = np.flatnonzero(best < m)
+        edge = best[tops]
+        kept[edge] = True
+        to = root[u[edge]] + root[v[edge]] - tops
+        parent = np.arange(len(ids))
+        parent[tops] = to
+        both = parent[to] == tops  # two components that chose the same edge
+        parent[tops[both & (tops < to)]] = tops[both & (tops < to)]
+        while not np.array_equal(parent, parent[parent]):
+            parent = parent[parent]
+        root = parent[root]
+
+
 class _Block:
     """Vectors of two blocks that meet: ids, unit vectors, and the columns in which pairs must differ, as numbers."""
 
@@ -113,8 +186,9 @@ class _Block:
         t = pa.Table.from_batches(batches).combine_chunks()
         self.lo, self.hi = t["_lo"][0].as_py(), t["_hi"][0].as_py()
         self.ids = t["_id"].to_numpy()
-        x = t["_v"].chunk(0).flatten().to_numpy().reshape(len(self.ids), -1)
+        x = t["_v"].chunk(0).flatten().to_numpy().reshape(len(self.ids), -1).astype(np.float64)
         self.x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+        self.short = self.x.astype(np.float32)
         self.apart = [t[c].chunk(0).dictionary_encode().indices.fill_null(-1).to_numpy() for c in t.column_names if c.startswith("_a")]
         own = t["_own"].to_numpy()
         self.left = np.flatnonzero(own == self.lo)
@@ -123,8 +197,9 @@ class _Block:
     def pairs(self, threshold: float, rotation: np.ndarray | None, tally: list[int]) -> Iterator[pa.RecordBatch]:
         """src, dst and cos over the threshold. With a rotation, a quarter of the dimensions is multiplied first, and the rest,
         by Cauchy and Schwarz, adds the product of what is left of both lengths at most; rows and columns in which no pair can
-        reach the threshold go no further. tally: gets the pairs that met and those multiplied in full."""
-        few = self.x.shape[1] // 4
+        reach the threshold go no further. Products are 32 bits wide; what comes within their error of the threshold or above is
+        multiplied in 64. tally: gets the pairs that met and those multiplied in full."""
+        few, error = self.x.shape[1] // 4, (self.x.shape[1] + 8) * 2.0**-23
         if rotation is not None:
             turned = self.x @ rotation[:, :few]
             rest = np.sqrt(np.maximum(0.0, 1.0 - (turned * turned).sum(1)))
@@ -137,15 +212,37 @@ class _Block:
             tally[1] += len(some) * len(against)
             if not len(some):
                 continue
-            sims = self.x[some] @ self.x[against].T
-            hit = sims >= threshold
+            hit = self.short[some] @ self.short[against].T >= np.float32(threshold - error)
             if self.lo == self.hi:
                 hit &= self.ids[some][:, None] < self.ids[against][None, :]
             for v in self.apart:
                 hit &= v[some][:, None] != v[against][None, :]
-            i, j = np.nonzero(hit)
-            a, b = self.ids[some[i]], self.ids[against[j]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sims[i, j])], names=["src", "dst", "cos"])
+            found = np.nonzero(hit)
+            for lo in range(0, len(found[0]), 1 << 16):
+                i, j = some[found[0][lo : lo + (1 << 16)]], against[found[1][lo : lo + (1 << 16)]]
+                cos = np.einsum("ij,ij->i", self.x[i], self.x[j])
+                over = cos >= threshold
+                a, b = self.ids[i[over]], self.ids[j[over]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(cos[over])], names=["src", "dst", "cos"])
+
+    def forest(self, threshold: float, rotation: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+        """Of the pairs those of a maximum spanning forest, so fewer than there are vectors."""
+        held: list[np.ndarray] = []
+
+        def shrunk() -> list[np.ndarray]:
+            all_ = [np.concatenate(c) for c in zip(*held, strict=True)]
+            keep = forest(*all_)
+            return [c[keep] for c in all_]
+
+        rows = 0
+        for b in self.pairs(threshold, rotation, [0, 0]):
+            held.append([c.to_numpy() for c in b.columns])
+            rows += b.num_rows
+            if rows > MOST_PAIRS:
+                held = [shrunk()]
+                rows = min(len(held[0][0]), MOST_PAIRS // 2)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in shrunk()], names=["src", "dst", "cos"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
@@ -170,7 +267,9 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
 
 
 def _meeting(df: DataFrame, key: str, vector: str, threshold: float, apart: list[str], block: int) -> tuple[DataFrame, np.ndarray | None]:
-    rows = df.select(F.col(key).cast("long").alias("_id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("_v"), *[F.col(c).cast("string").alias(f"_a{i}") for i, c in enumerate(apart)])
+    kind = df.select(vector).schema[0].dataType
+    numbers = F.col(vector) if kind == ArrayType(FloatType(), kind.containsNull) else F.transform(F.col(vector), lambda x: x.cast("double"))
+    rows = df.select(F.col(key).cast("long").alias("_id"), numbers.alias("_v"), *[F.col(c).cast("string").alias(f"_a{i}") for i, c in enumerate(apart)])
     rows = rows.filter("_v IS NOT NULL")
     if threshold > 0:  # vectors of length 0 have a cosine of 0 to all
         rows = rows.filter(F.exists("_v", lambda x: x != 0))
@@ -201,6 +300,21 @@ def cosine_pairs(df: DataFrame, key: str, vector: str, threshold: float, apart:
     return met.mapInArrow(multiply, "src long, dst long, cos double")
 
 
+def cosine_forest(df: DataFrame, key: str, vector: str, threshold: float, apart: list[str] | None = None, block: int = BLOCK) -> DataFrame:
+    """Pairs of cosine_pairs() that hold the same components together at its threshold and every higher one.
+
+    Each task hands on a maximum spanning forest of its pairs only; the forests of all tasks' pairs hold that of all pairs.
+    So there are at most about SIDES edges for each vector, however many pairs there are.
+    """
+    met, rotation = _meeting(df, key, vector, threshold, apart or [], block)
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _groups(batches):
+            yield from g.forest(threshold, rotation)
+
+    return met.mapInArrow(multiply, "src long, dst long, cos double")
+
+
 def cosine_work(df: DataFrame, key: str, vector: str, threshold: float, block: int = BLOCK) -> DataFrame:
     """What cosine_pairs() does for its pairs: met, the pairs of vectors whose blocks meet, and multiplied, those of them
     that are multiplied in full; one row."""

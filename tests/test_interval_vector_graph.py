@@ -130,6 +130,39 @@ def test_work_on_clustered_and_isotropic_vectors(spark):
     assert {(p.src, p.dst) for p in got.collect()} == {(1, 2), (1, 3), (2, 3)}
 
 
+def isotropic(spark, n, width, seed):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, width))
+    x[n // 2 : n // 2 + 40] = x[0] + rng.normal(size=(40, width)) * 0.01
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    return x, spark.createDataFrame([(i, i % 3, v.tolist()) for i, v in enumerate(x)], "id long, l int, v array<float>")
+
+
+def test_cosine_pairs_copy_vectors_to_few_blocks(spark):
+    """Vectors without clusters meet all others, but in blocks that grow with them; no pair is lost."""
+    x, df = isotropic(spark, 3000, 8, 3)
+    met, _ = vector._meeting(df, "id", "v", 0.8, [], 30)
+    assert met.count() <= 1.5 * vector.SIDES * len(x)
+    x = x.astype(np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    cos = x @ x.T
+    for apart in ([], ["l"]):
+        got = {(r.src, r.dst): r.cos for r in vector.cosine_pairs(df, "id", "v", 0.8, apart, 30).collect()}
+        want = {(i, j) for i, j in zip(*np.nonzero(np.triu(cos >= 0.8, 1)), strict=True) if not apart or i % 3 != j % 3}
+        assert set(got) == want and all(abs(got[i, j] - cos[i, j]) < 1e-12 for i, j in want)
+
+
+def test_cosine_forest(spark, monkeypatch):
+    """Its edges are fewer than the pairs, yet have their spanning forest."""
+    x, df = isotropic(spark, 1500, 8, 4)
+    monkeypatch.setattr(vector, "MOST_PAIRS", 500)
+    some = vector.cosine_forest(df, "id", "v", 0.6, ["l"], 30)
+    pairs = vector.cosine_pairs(df, "id", "v", 0.6, ["l"], 30)
+    assert some.count() < min(pairs.count(), 1.5 * vector.SIDES * len(x))
+    assert sorted(graph.spanning_forest(some).collect()) == sorted(graph.spanning_forest(pairs).collect())
+    assert sorted(graph.connected_components(some).collect()) == sorted(graph.connected_components(pairs).collect())
+
+
 def test_components_clusters_whispers(spark):
     edges = spark.createDataFrame([(0, 3, 0.95), (1, 2, 0.9), (2, 4, 0.92)], "src long, dst long, cos double")
     named = graph.named_clusters(graph.connected_components(edges)).collect()
