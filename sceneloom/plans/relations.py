@@ -131,6 +131,11 @@ def pairs(spark, sf_dir, threshold=0.40, apart=None):
     return vector.cosine_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", threshold, apart)
 
 
+def linked(spark, sf_dir):
+    """Pairs enough for the components of all."""
+    return vector.cosine_forest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.40)
+
+
 @query("j12_cos_pairs", f"WITH {PAIRS_SQL} SELECT src, dst, round(cos, 6) AS cos FROM pr WHERE cos >= 0.40")
 def j12_cos_pairs(spark, sf_dir):
     return pairs(spark, sf_dir).withColumn("cos", F.round("cos", 6))
@@ -146,10 +151,13 @@ def j13_person_pairs(spark, sf_dir):
 THRESHOLDS = [0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65]
 
 
-def face_pairs(spark, sf_dir):
+def faces(spark, sf_dir):
     """Three vectors are the faces of a frame; those of one frame are never linked."""
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.floor(F.col("vec_id") / 3).alias("frame"))
-    return vector.cosine_pairs(rows, "vec_id", "embedding", THRESHOLDS[0], ["frame"])
+    return table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.floor(F.col("vec_id") / 3).alias("frame"))
+
+
+def face_pairs(spark, sf_dir):
+    return vector.cosine_pairs(faces(spark, sf_dir), "vec_id", "embedding", THRESHOLDS[0], ["frame"])
 
 
 @query(
@@ -161,7 +169,7 @@ SELECT thr, count(*) AS persons, list(n ORDER BY n DESC)[1:6] AS sizes FROM sz G
 def a18_threshold_sweep(spark, sf_dir):
     """Persons at each threshold, by components."""
     ids = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"))
-    return graph.threshold_sweep(ids, face_pairs(spark, sf_dir), THRESHOLDS)
+    return graph.threshold_sweep(ids, vector.cosine_forest(faces(spark, sf_dir), "vec_id", "embedding", THRESHOLDS[0], ["frame"]), THRESHOLDS)
 
 
 @query("a18_whispers_sweep")
@@ -177,7 +185,7 @@ co AS (SELECT id, min(r) AS component FROM re GROUP BY id)"""
 
 @query("g1_components", f"WITH RECURSIVE {COMPONENTS_SQL} SELECT * FROM co")
 def g1_components(spark, sf_dir):
-    return graph.connected_components(pairs(spark, sf_dir))
+    return graph.connected_components(linked(spark, sf_dir))
 
 
 @query("t2_named_clusters", f"WITH RECURSIVE {COMPONENTS_SQL}, sz AS (SELECT component, count(*) AS n FROM co GROUP BY 1), rk AS (SELECT *, row_number() OVER (ORDER BY n DESC, component) AS k FROM sz) SELECT id, co.component, 'c' || lpad(CAST(k AS VARCHAR), 3, '0') AS cluster, CAST(n AS INTEGER) AS size FROM co JOIN rk USING (component)")
@@ -188,7 +196,7 @@ def t2_named_clusters(spark, sf_dir):
 @query("g2_persons", f"WITH RECURSIVE {COMPONENTS_SQL} SELECT vec_id AS id, coalesce(component, vec_id) AS person FROM embeddings LEFT JOIN co ON vec_id = id")
 def g2_persons(spark, sf_dir):
     """Singles are persons too."""
-    return graph.persons(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), pairs(spark, sf_dir))
+    return graph.persons(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), linked(spark, sf_dir))
 
 
 @query("g3_whispers")
