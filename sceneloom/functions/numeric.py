@@ -45,9 +45,11 @@ def candidate_rank(motion: Column, tout: Column, bright: Column) -> Column:
     return motion + F.greatest(F.lit(0.0), tout - 0.05) * 8 + (1 - bright) * 0.5
 
 
-def key_frame_score(stability: Column, sharpness: Column, entropy: Column, bright: Column, tout: Column) -> Column:
-    """Weighted parts, lowered by overexposed pixels over 5 %."""
-    s = 0.4 * stability + 0.25 * sharpness + 0.2 * entropy + 0.15 * bright
+def key_frame_score(stability: Column, sharpness: Column, entropy: Column, bright: Column, tout: Column, most_sharp: Column | None = None, most_entropy: Column | None = None) -> Column:
+    """Weighted parts, lowered by overexposed pixels over 5 %. Sharpness and entropy are parts of the largest ones; where
+    these are given, values are weighted first and then divided, as near ties hang on the last digit."""
+    sharp, ent = 0.25 * sharpness, 0.2 * entropy
+    s = 0.4 * stability + (sharp if most_sharp is None else sharp / most_sharp) + (ent if most_entropy is None else ent / most_entropy) + 0.15 * bright
     return F.when(tout > 0.05, s * (1 - (tout - 0.05) / 0.95)).otherwise(s)
 
 

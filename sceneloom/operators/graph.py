@@ -12,19 +12,28 @@ from .relational import ranked
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", most_rounds: int = 60) -> DataFrame:
     """Id, component (its least id) of all ends of edges.
 
-    Each round takes the least label of neighbours, then that label's own label.
+    In each round every end hooks to the least of itself and its neighbours, hooks are followed to their ends, and the edges
+    shrink to those between different ends. Only the least ends of their neighbourhoods stay, half of them at most, so the
+    rounds grow with the logarithm of the longest way.
     """
     one = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
-    both = written(one.union(one.select("b", "a")).distinct(), "edges")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("label")), "labels")
+    left = written(one.union(one.select("b", "a")).distinct(), "edges")
+    found = None
     for _ in range(most_rounds):
-        offers = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("offer"))
-        step = labels.join(offers, labels["id"] == offers["a"]).select("id", F.col("label").alias("was"), F.least("label", "offer").alias("label"))
-        up = labels.select(F.col("id").alias("_i"), F.col("label").alias("_l"))
-        now = written(step.join(up, step["label"] == up["_i"], "left").select("id", "was", F.least(F.col("label"), F.coalesce("_l", "label")).alias("label")), "labels")
-        labels = now.select("id", "label")
-        if now.filter("was <> label").isEmpty():
-            return labels.withColumnRenamed("label", "component")
+        to = written(left.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("to")), "hooks")
+        while True:
+            up = to.select(F.col("id").alias("_i"), F.col("to").alias("_t"))
+            on = to.join(up, to["to"] == up["_i"]).select("id", F.col("to").alias("was"), F.col("_t").alias("to"))
+            on = written(on, "hooks")
+            to = on.select("id", "to")
+            if on.filter("was <> to").isEmpty():
+                break
+        ends = to.select(F.col("id").alias("_i"), F.col("to").alias("_t"))
+        found = to if found is None else written(found.join(ends, found["to"] == ends["_i"], "left").select("id", F.coalesce("_t", "to").alias("to")), "labels")
+        near = left.join(ends, left["a"] == ends["_i"]).select(F.col("_t").alias("a"), "b")
+        left = written(near.join(ends, near["b"] == ends["_i"]).select("a", F.col("_t").alias("b")).filter("a <> b").distinct(), "edges")
+        if left.isEmpty():
+            return found.select("id", F.col("to").alias("component"))
     raise RuntimeError(f"components didn't settle in {most_rounds} rounds")
 
 
@@ -116,12 +125,12 @@ def _at_thresholds(edges: DataFrame, thresholds: list[float]) -> DataFrame:
 def threshold_sweep(ids: DataFrame, edges: DataFrame, thresholds: list[float], method: str = "union", largest: int = 6) -> DataFrame:
     """Thr, persons, sizes (of the `largest` groups, falling) for each threshold.
 
-    method `union`: components, all found at once on a maximum spanning forest; `whispers`: G3 on the edges of all
+    method `union`: components of all thresholds side by side, for which edges of vector.cosine_forest() do; `whispers`: G3 on the edges of all
     thresholds side by side. Ids without an edge are persons, too. Sizes are counted before they are sorted, so that no task
     gets a row for each group.
     """
     if method == "union":
-        groups = connected_components(_at_thresholds(written(spanning_forest(edges), "forest"), thresholds)).select("id", F.col("component").alias("label"))
+        groups = connected_components(_at_thresholds(edges, thresholds)).select("id", F.col("component").alias("label"))
     elif method == "whispers":
         groups = whispers(_at_thresholds(edges, thresholds))
     else:

@@ -220,7 +220,7 @@ def key_frames(regions: DataFrame, values: DataFrame, key: list[str], order: str
     zone = zone.withColumns({"_least": F.min_by("_i", F.struct(value, "_i")).over(region), "_most": F.greatest(F.max(value).over(region), F.lit(1e-9))})
     near = zone.filter(F.abs(F.col("_i") - F.col("_least")) <= centre)
     top = lambda c: F.when(F.max(c).over(region) < 1e-9, 1.0).otherwise(F.max(c).over(region))
-    scored = near.withColumn("kf_score", key_frame_score(1 - F.least(value, "_most") / F.col("_most"), F.col("sharpness") / top("sharpness"), F.col("entropy") / top("entropy"), F.col("bright"), F.col("tout")))
+    scored = near.withColumn("kf_score", key_frame_score(1 - F.least(value, "_most") / F.col("_most"), F.col("sharpness"), F.col("entropy"), F.col("bright"), F.col("tout"), top("sharpness"), top("entropy")))
     best = scored.withColumn("_rn", F.row_number().over(Window.partitionBy(*key, "_from").orderBy(F.col("kf_score").desc(), "_i"))).filter("_rn = 1")
     rep = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("kf_score").desc(), order)) == 1
     return best.select(*key, F.col(order).alias("key_frame"), "kf_score", rep.alias("representative"))
