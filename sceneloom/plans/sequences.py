@@ -234,7 +234,7 @@ def w16_key_frames(spark, sf_dir):
     """W16, W19, X10."""
     ft = shot_features(spark, sf_dir)
     regions = sequence.kept_regions(sequence.stable_regions(ft, ["video"], "frame", "value", 4), ft, ["video"], "frame", "value", 2.0, 30.0)
-    return sequence.key_frames(regions, ft, ["video"], "frame", "value").withColumn("kf_score", F.round("kf_score", 6))
+    return sequence.key_frames(regions, ft, ["video"], "frame", "value").withColumn("kf_score", F.round(F.col("kf_score") * 1e6) / 1e6)
 
 
 DAYS_SQL = "dy AS (SELECT DISTINCT user_id AS video, event_type AS person, CAST(epoch_us(ts) // 86400000000 AS BIGINT) - (SELECT min(epoch_us(ts) // 86400000000) FROM events) AS scene FROM events)"

@@ -155,3 +155,15 @@ def test_chains_with_few_embeddings(spark):
     rows = [(1, 0, True), (1, 1, None), (1, 2, None), (2, 0, True), (2, 1, True), (3, 0, None), (3, 1, True), (3, 2, True), (3, 3, False), (4, 0, True)]
     got = {r.c: (r.raw, r.uniq, r.kind) for r in sequence.unique_shots(frame(spark, rows, "c int, i int, close boolean"), ["c"], "i", "close").collect()}
     assert got == {1: (3, 3, "valid"), 2: (2, 1, "merged"), 3: (4, 3, "valid"), 4: (1, 1, "short")}
+
+
+def test_key_frame_scores_to_the_last_digit(spark):
+    """Values are weighted, then divided, as the SQL does: ties of nearly equal frames hang on it."""
+    from sceneloom.functions import numeric
+
+    rows = [(k % 97 + 0.17, k % 7 + 0.31, 96.0 - k % 5, 6.0 + k % 3 / 7) for k in range(1, 300)]
+    df = spark.createDataFrame(rows, "s double, e double, ms double, me double")
+    zero = F.lit(0.0)
+    got = df.select("*", numeric.key_frame_score(zero, F.col("s"), F.col("e"), zero, zero, F.col("ms"), F.col("me")).alias("x")).collect()
+    assert all(r.x == 0.25 * r.s / r.ms + 0.2 * r.e / r.me for r in got)
+    assert any(r.x != 0.25 * (r.s / r.ms) + 0.2 * (r.e / r.me) for r in got)
