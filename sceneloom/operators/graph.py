@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..session import written
 from .relational import ranked
 
+#: Turns of whispers() in which linked ids never move at once, and ids up to which its labels are broadcast.
+ALONE, FEW = 16, 1_000_000
+
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", most_rounds: int = 60) -> DataFrame:
     """Id, component (its least id) of all ends of edges.
@@ -61,21 +64,36 @@ def whispers(edges: DataFrame, most_turns: int = 1000) -> DataFrame:
     a turn is a part of some sequential order. Weights are whole numbers of 1e-9, so that sums are exact: a move makes the
     weight of edges inside labels larger, or leaves it and makes a label smaller. So it ends, with no id that would change.
     Ids may be of any type that has an order.
+
+    In a clique so one id moves a turn. From turn ALONE on, neighbours that would take the same label don't wait for each
+    other: whichever goes first only adds to the other's votes for it, so this, too, is a part of some sequential order.
+    After each turn only the neighbours of moved ids vote anew. Labels are broadcast while there are at most FEW.
     """
     one = edges.select("src", "dst", F.round(F.col("cos") * 1e9).cast("long").alias("w"))
     both = written(one.union(one.select("dst", "src", "w")).filter("src <> dst").groupBy("src", "dst").agg(F.max("w").alias("w")), "whisper-edges")
     labels = written(both.select(F.col("src").alias("id")).distinct().withColumn("label", F.col("id")), "whisper-labels")
+    near = F.broadcast if labels.count() <= FEW else lambda df: df
+    voters, waiting = both, None
     for turn in range(most_turns):
-        votes = both.join(labels, both["dst"] == labels["id"]).groupBy("src", "label").agg(F.sum("w").alias("w"))
+        votes = voters.join(near(labels), F.col("dst") == F.col("id")).groupBy("src", "label").agg(F.sum("w").alias("w"))
         best = votes.groupBy(F.col("src").alias("_i")).agg(F.min(F.struct((-F.col("w")).alias("w"), "label"))["label"].alias("would"))
-        changed = labels.join(best, labels["id"] == best["_i"]).filter("would <> label").select("id", "would", F.struct(F.xxhash64("id", F.lit(turn).cast("long")).alias("h"), "id").alias("drew"))
+        changed = near(labels).join(best, F.col("id") == F.col("_i")).filter("would <> label").select("id", "would")
+        if waiting is not None:  # nothing around them has moved
+            changed = changed.unionByName(waiting)
         changed = written(changed, "whisper-moves")
         if changed.isEmpty():
             break
-        theirs = both.join(changed.select(F.col("id").alias("_d"), "drew"), F.col("dst") == F.col("_d"))
+        drew = changed.withColumn("drew", F.struct(F.xxhash64("id", F.lit(turn).cast("long")).alias("h"), "id"))
+        theirs = both.join(near(drew.select(F.col("id").alias("_d"), "drew", F.col("would").alias("_theirs"))), F.col("dst") == F.col("_d")).join(near(changed.select(F.col("id").alias("_s"), F.col("would").alias("_own"))), F.col("src") == F.col("_s"))
+        if turn >= ALONE:
+            theirs = theirs.filter("_own <> _theirs")
         rivals = theirs.groupBy(F.col("src").alias("_i")).agg(F.max("drew").alias("most"))
-        moves = changed.join(rivals, changed["id"] == rivals["_i"], "left").filter(F.col("most").isNull() | (F.col("drew") > F.col("most"))).select(F.col("id").alias("_m"), "would")
-        labels = written(labels.join(moves, labels["id"] == moves["_m"], "left").select("id", F.coalesce("would", "label").alias("label")), "whisper-labels")
+        moves = drew.join(rivals, drew["id"] == rivals["_i"], "left").filter(F.col("most").isNull() | (F.col("drew") > F.col("most"))).select(F.col("id").alias("_m"), "would")
+        moves = written(moves, "whisper-moves")
+        labels = written(labels.join(near(moves), labels["id"] == moves["_m"], "left").select("id", F.coalesce("would", "label").alias("label")), "whisper-labels")
+        again = written(both.join(near(moves.select("_m")), F.col("dst") == F.col("_m"), "left_semi").select(F.col("src").alias("_v")).distinct(), "whisper-voters")
+        voters = both.join(near(again), F.col("src") == F.col("_v"), "left_semi")
+        waiting = changed.join(near(moves.select("_m")), F.col("id") == F.col("_m"), "left_anti").join(near(again), F.col("id") == F.col("_v"), "left_anti")
     else:
         raise RuntimeError(f"labels didn't settle in {most_turns} turns")
     least = labels.groupBy(F.col("label").alias("_l")).agg(F.min("id").alias("least"))

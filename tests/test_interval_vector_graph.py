@@ -280,6 +280,12 @@ def test_whispers_settle(spark):
     assert {r.id: r.person for r in persons} == {7: 0, 8: 1, 9: 1}
 
 
+def test_whispers_of_a_large_clique(spark):
+    """A clique of 80 would take 80 turns, were only one of its ids to move at once; labels joined by a shuffle end the same."""
+    edges = spark.createDataFrame([(a, b, 0.97 + (a * b % 17) / 1000) for a in range(80) for b in range(a + 1, 80)], "src long, dst long, cos double")
+    assert {x.label for x in graph.whispers(edges, most_turns=40).collect()} == {0}
+
+
 def test_spanning_forest_and_sweep(spark):
     """The forest's weight is that of Kruskal's, and its components are those of all edges at every threshold."""
     r = random.Random(5)
