@@ -108,6 +108,12 @@ def test_matrices_round_trip_and_errors(spark):
             files.matrices(stored).collect()
 
 
+def test_locked_columns_shuffle_once(spark):
+    df = spark.createDataFrame([(f, x, x + 70, 540) for f in range(20) for x in (3, 200)], "f int, a int, b int, w int")
+    plan = pictures.locked_columns(df, ["f"], "a", "b", "w")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
 def test_reports(spark, tmp_path):
     df = spark.createDataFrame([(1, 2, "<b> & \"q\""), (1, 1, None), (2, 1, "x")], "v int, k int, t string")
     sinks.write_reports(df, "v", ["k"], ["k", "t"], str(tmp_path / "r"), F.concat(F.lit("No. <"), F.col("v").cast("string")))
