@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +49,12 @@ def named_clusters(components: DataFrame) -> DataFrame:
     return components.join(order.withColumn("cluster", F.format_string("c%03d", "rank")).drop("rank"), "component").select("id", "component", "cluster", "size")
 
 
-def persons(ids: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
-    """Every id gets its component, singles too; a lone id in all gets none."""
+def persons(ids: DataFrame, edges: DataFrame | None, id_col: str = "id", components: Callable[[], DataFrame] | None = None) -> DataFrame:
+    """Every id gets its component, singles too; a lone id in all gets none. components: gives those of the edges, instead of
+    edges."""
     if ids.limit(2).count() < 2:
         return ids.select(F.col(id_col).alias("id"), F.lit(None).cast("long").alias("person"))
-    comp = connected_components(edges)
+    comp = components() if components else connected_components(edges)
     return ids.select(F.col(id_col).alias("id")).join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("person"))
 
 

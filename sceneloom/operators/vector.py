@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, FloatType
 
 from ..functions.numeric import cosine, dot, norm
 from ..session import written
+from .graph import connected_components
 
 #: Vectors of a block; a task multiplies two blocks.
 BLOCK = 1024
@@ -20,10 +21,13 @@ BLOCK = 1024
 MOST_CELLS, SPREAD = 1 << 16, 1024
 #: Vectors farther from their pivot than so many times the angle of nine in ten of the cell stand in cells of their own.
 STRAY = 2.0
-#: Dimensions from which a product first looks at a part of them.
-WIDE = 32
+#: Dimensions from which a product first looks at a part of them, and the share of a strip's pairs left by that from which it isn't
+#: worth its while.
+WIDE, IDLE = 32, 0.7
 #: Where a vector would meet more blocks than SIDES, cells are packed into about so many blocks, of MOST_COMPONENTS numbers at most.
 SIDES, MOST_COMPONENTS = 24, 1 << 21
+#: Numbers of a home block at most, and tasks at least that home blocks are meant to keep busy; at most so many tasks.
+HOME, HOMES, MOST_TASKS = 1 << 20, 12, 4096
 #: Pairs from which a task's pairs shrink to their forest.
 MOST_PAIRS = 1 << 20
 
@@ -75,78 +79,90 @@ def near_cells(pivots: np.ndarray, radii: np.ndarray, threshold: float, some: sl
     return apart <= np.arccos(np.clip(threshold, -1, 1)) + 1e-6
 
 
-def _dealt(rows: DataFrame, n: int, threshold: float, block: int) -> tuple[DataFrame, np.ndarray]:
-    """A row (_lo, _hi, _own) for each block that a vector meets, and the rotation for bounds.
-
-    Where the cells part little, vectors would be copied to as many blocks as there are cells, which grow with the root of the
-    rows. There cells are packed into few large blocks, so that the copies of a vector don't grow with the rows.
-    """
-    spark = rows.sparkSession
-    cells = min(MOST_CELLS, max(math.ceil(n / block) if n < block * block else 0, math.ceil(math.sqrt(n))))
-    pivots, rotation = _drawn(rows, cells)
-    found = _in_cells(rows, pivots)
-    angles = found.groupBy("_cell").agg(F.percentile_approx("_angle", 0.9).alias("most"), F.max("_angle").alias("max"))
-    radius = F.when(F.col("max") <= STRAY * F.col("most"), F.col("max")).otherwise(STRAY * F.col("most")).alias("_radius")
-    radii = written(angles.select("_cell", radius), "cell-radii")  # a row for each cell
-    strays = len(pivots)
-    placed = found.join(F.broadcast(radii), "_cell").withColumn("_cell", F.when(F.col("_angle") <= F.col("_radius"), F.col("_cell")).otherwise(strays))
-    counts = {r._cell: r.n for r in placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    used = sorted(counts)
-    parts = np.array([max(1, math.ceil(counts[c] / block)) for c in used])
-    firsts = np.concatenate(([0], np.cumsum(parts)[:-1]))
-    bound = {r._cell: r._radius for r in radii.collect()} | {strays: math.pi}
-    centres = np.concatenate([pivots, np.zeros((1, pivots.shape[1]))])[used]
-    limits = np.array([bound[c] for c in used])
-    shared = spark.sparkContext.broadcast((centres, limits, np.array(used), firsts, parts))
-
-    def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, radii, used, firsts, parts = shared.value
-        for b in batches:
-            for i in b.column(0).to_pylist():
-                near = np.flatnonzero(near_cells(centres, radii, threshold, slice(i, i + 1))[0])
-                others = pa.array([[{"f": int(firsts[j]), "n": int(parts[j])} for j in near]], pa.list_(pa.struct([("f", pa.int64()), ("n", pa.int64())])))
-                yield pa.RecordBatch.from_arrays([pa.array([int(used[i])], pa.int32()), pa.array([int(firsts[i])]), pa.array([int(parts[i])]), others, pa.array([int(parts[near].sum())])], names=["_cell", "_first", "_parts", "_near", "_blocks"])
-
-    table = written(spark.range(len(used)).mapInArrow(meetings, "_cell int, _first long, _parts long, _near array<struct<f:long,n:long>>, _blocks long"), "cell-meetings")
-    copies = sum(counts[r._cell] * r._blocks for r in table.select("_cell", "_blocks").collect())
-    if copies > SIDES * n:
-        rows_in = np.array([counts[c] for c in used])
-        return _packed(placed, rows, n, block, threshold, centres, limits, used, rows_in, parts, rotation), rotation
-    if len(used) <= BLOCK:  # a million meetings at most
-        table = F.broadcast(table)
-    own = F.col("_first") + F.pmod(F.xxhash64("_id"), F.col("_parts"))
-    others = F.flatten(F.transform("_near", lambda x: F.sequence(x["f"], x["f"] + x["n"] - 1)))
-    met = placed.join(table, "_cell").withColumn("_own", own).withColumn("_other", F.explode(others))
-    return met.select(F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", *rows.columns), rotation
-
-
-def _packed(placed: DataFrame, rows: DataFrame, n: int, block: int, threshold: float, centres: np.ndarray, limits: np.ndarray, used: list[int], rows_in: np.ndarray, parts: np.ndarray, rotation: np.ndarray) -> DataFrame:
-    """What _dealt() returns, with cells (or parts of large ones) packed into about SIDES blocks, those along the direction
-    in which the pivots vary most side by side."""
-    spark = placed.sparkSession
-    size = max(block, min(math.ceil(n / SIDES), MOST_COMPONENTS // centres.shape[1]))
-    along = np.argsort(centres @ rotation[:, 0], kind="stable")
-    unit_cell = np.repeat(along, parts[along])
-    before = np.cumsum(rows_in[unit_cell] / parts[unit_cell]) - 1
-    unit_block = np.unique((before // size).astype(np.int64), return_inverse=True)[1]
-    blocks = int(unit_block[-1]) + 1
-    of_cell = np.split(unit_block[np.argsort(unit_cell, kind="stable")], np.cumsum(parts)[:-1])
-    shared = spark.sparkContext.broadcast((centres, limits, unit_cell, unit_block))
-
-    def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, limits, unit_cell, unit_block = shared.value
-        for b in batches:
-            for i in b.column(0).to_pylist():
-                near = np.zeros(len(centres), bool)
-                for cell in np.unique(unit_cell[unit_block == i]).tolist():
-                    near |= near_cells(centres, limits, threshold, slice(cell, cell + 1))[0]
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([np.unique(unit_block[near[unit_cell]]).tolist()])], names=["_own", "_near"])
-
-    table = written(spark.range(blocks).mapInArrow(meetings, "_own long, _near array<long>"), "block-meetings")
-    homes = spark.createDataFrame([(int(c), at.tolist()) for c, at in zip(used, of_cell, strict=True)], "_cell int, _blocks array<long>")  # a row for each cell
-    own = F.element_at("_blocks", (F.pmod(F.xxhash64("_id"), F.size("_blocks").cast("long")) + 1).cast("int"))
-    met = placed.join(F.broadcast(homes), "_cell").withColumn("_own", own).join(F.broadcast(table), "_own").withColumn("_other", F.explode("_near"))
-    return met.select(F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", *rows.columns)
+class _Cells:
+    """Vectors in cells around pivots: which cells meet, how many copies of vectors that takes, and a rotation for bounds."""
+
+    def __init__(self, rows: DataFrame, n: int, threshold: float, block: int):
+        spark = rows.sparkSession
+        self.rows, self.n, self.threshold, self.block = rows, n, threshold, block
+        cells = min(MOST_CELLS, max(math.ceil(n / block) if n < block * block else 0, math.ceil(math.sqrt(n))))
+        pivots, self.rotation = _drawn(rows, cells)
+        found = _in_cells(rows, pivots)
+        angles = found.groupBy("_cell").agg(F.percentile_approx("_angle", 0.9).alias("most"), F.max("_angle").alias("max"))
+        radius = F.when(F.col("max") <= STRAY * F.col("most"), F.col("max")).otherwise(STRAY * F.col("most")).alias("_radius")
+        radii = written(angles.select("_cell", radius), "cell-radii")  # a row for each cell
+        strays = len(pivots)
+        self.placed = found.join(F.broadcast(radii), "_cell").withColumn("_cell", F.when(F.col("_angle") <= F.col("_radius"), F.col("_cell")).otherwise(strays))
+        counts = {r._cell: r.n for r in self.placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+        self.used = used = sorted(counts)
+        self.rows_in = np.array([counts[c] for c in used])
+        self.parts = np.array([max(1, math.ceil(counts[c] / block)) for c in used])
+        firsts = np.concatenate(([0], np.cumsum(self.parts)[:-1]))
+        bound = {r._cell: r._radius for r in radii.collect()} | {strays: math.pi}
+        self.centres = np.concatenate([pivots, np.zeros((1, pivots.shape[1]))])[used]
+        self.limits = np.array([bound[c] for c in used])
+        shared = spark.sparkContext.broadcast((self.centres, self.limits, np.array(used), firsts, self.parts))
+
+        def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            centres, radii, used, firsts, parts = shared.value
+            for b in batches:
+                for i in b.column(0).to_pylist():
+                    near = np.flatnonzero(near_cells(centres, radii, threshold, slice(i, i + 1))[0])
+                    others = pa.array([[{"f": int(firsts[j]), "n": int(parts[j])} for j in near]], pa.list_(pa.struct([("f", pa.int64()), ("n", pa.int64())])))
+                    yield pa.RecordBatch.from_arrays([pa.array([int(used[i])], pa.int32()), pa.array([int(firsts[i])]), pa.array([int(parts[i])]), others, pa.array([int(parts[near].sum())])], names=["_cell", "_first", "_parts", "_near", "_blocks"])
+
+        self.table = written(spark.range(len(used)).mapInArrow(meetings, "_cell int, _first long, _parts long, _near array<struct<f:long,n:long>>, _blocks long"), "cell-meetings")
+        self.copies = sum(counts[r._cell] * r._blocks for r in self.table.select("_cell", "_blocks").collect())
+
+    def part_little(self) -> bool:
+        """Whether vectors meet more blocks than they may be copied to."""
+        return self.copies > SIDES * self.n
+
+    def dealt(self) -> DataFrame:
+        """A row (_lo, _hi, _own) for each block that a vector meets.
+
+        Where the cells part little, vectors would be copied to as many blocks as there are cells, which grow with the root of
+        the rows. There cells are packed into few large blocks, so that the copies of a vector don't grow with the rows.
+        """
+        if self.part_little():
+            return self._packed()
+        table = F.broadcast(self.table) if len(self.used) <= BLOCK else self.table  # a million meetings at most
+        own = F.col("_first") + F.pmod(F.xxhash64("_id"), F.col("_parts"))
+        others = F.flatten(F.transform("_near", lambda x: F.sequence(x["f"], x["f"] + x["n"] - 1)))
+        met = self.placed.join(table, "_cell").withColumn("_own", own).withColumn("_other", F.explode(others))
+        return met.select(F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", *self.rows.columns)
+
+    def packed(self, size: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+        """The vectors with `_own`, a block of about `size`: cells (or parts of large ones), those along the direction in which
+        the pivots vary most side by side; and the cell and the block of each such part."""
+        along = np.argsort(self.centres @ self.rotation[:, 0], kind="stable")
+        unit_cell = np.repeat(along, self.parts[along])
+        before = np.cumsum(self.rows_in[unit_cell] / self.parts[unit_cell]) - 1
+        unit_block = np.unique((before // size).astype(np.int64), return_inverse=True)[1]
+        of_cell = np.split(unit_block[np.argsort(unit_cell, kind="stable")], np.cumsum(self.parts)[:-1])
+        homes = self.rows.sparkSession.createDataFrame([(int(c), at.tolist()) for c, at in zip(self.used, of_cell, strict=True)], "_cell int, _blocks array<long>")  # a row for each cell
+        own = F.element_at("_blocks", (F.pmod(F.xxhash64("_id"), F.size("_blocks").cast("long")) + 1).cast("int"))
+        return self.placed.join(F.broadcast(homes), "_cell").select("_cell", own.alias("_own"), *self.rows.columns), unit_cell, unit_block
+
+    def _packed(self) -> DataFrame:
+        """dealt() with about SIDES blocks."""
+        spark, threshold = self.rows.sparkSession, self.threshold
+        size = max(self.block, min(math.ceil(self.n / SIDES), MOST_COMPONENTS // self.centres.shape[1]))
+        owned, unit_cell, unit_block = self.packed(size)
+        shared = spark.sparkContext.broadcast((self.centres, self.limits, unit_cell, unit_block))
+
+        def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            centres, limits, unit_cell, unit_block = shared.value
+            for b in batches:
+                for i in b.column(0).to_pylist():
+                    near = np.zeros(len(centres), bool)
+                    for cell in np.unique(unit_cell[unit_block == i]).tolist():
+                        near |= near_cells(centres, limits, threshold, slice(cell, cell + 1))[0]
+                    yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([np.unique(unit_block[near[unit_cell]]).tolist()])], names=["_own", "_near"])
+
+        table = written(spark.range(int(unit_block[-1]) + 1).mapInArrow(meetings, "_own long, _near array<long>"), "block-meetings")
+        met = owned.join(F.broadcast(table), "_own").withColumn("_other", F.explode("_near"))
+        return met.select(F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", *self.rows.columns)
 
 
 def forest(a: np.ndarray, b: np.ndarray, cos: np.ndarray) -> np.ndarray:
@@ -179,6 +195,21 @@ def forest(a: np.ndarray, b: np.ndarray, cos: np.ndarray) -> np.ndarray:
         root = parent[root]
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For all ends of edges but the least of each component: that least end, and the end."""
+    ids, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v, root = ends[: len(a)], ends[len(a) :], np.arange(len(ids))
+    while len(u):
+        ru, rv = root[u], root[v]
+        apart = ru != rv
+        u, v = u[apart], v[apart]
+        np.minimum.at(root, np.maximum(ru, rv)[apart], np.minimum(ru, rv)[apart])
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+    rays = root != np.arange(len(ids))
+    return ids[root[rays]], ids[rays]
+
+
 class _Block:
     """Vectors of two blocks that meet: ids, unit vectors, and the columns in which pairs must differ, as numbers."""
 
@@ -198,32 +229,39 @@ class _Block:
         """src, dst and cos over the threshold. With a rotation, a quarter of the dimensions is multiplied first, and the rest,
         by Cauchy and Schwarz, adds the product of what is left of both lengths at most; rows and columns in which no pair can
         reach the threshold go no further. Products are 32 bits wide; what comes within their error of the threshold or above is
-        multiplied in 64. tally: gets the pairs that met and those multiplied in full."""
+        multiplied in 64; the bounds are left off once they spare a strip little. tally: gets the pairs that met and those
+        multiplied in full."""
         few, error = self.x.shape[1] // 4, (self.x.shape[1] + 8) * 2.0**-23
         if rotation is not None:
             turned = self.x @ rotation[:, :few]
             rest = np.sqrt(np.maximum(0.0, 1.0 - (turned * turned).sum(1)))
+        alone, bounded = self.lo == self.hi, rotation is not None
         for at in range(0, len(self.left), 256):
-            some, against = self.left[at : at + 256], self.right
-            tally[0] += len(some) * len(against)
-            if rotation is not None:
+            some, against = self.left[at : at + 256], self.right[at:] if alone else self.right
+            met = len(some) * len(against)
+            tally[0] += met
+            if bounded:
                 may = turned[some] @ turned[against].T + rest[some][:, None] * rest[against][None, :] >= threshold - 1e-9
                 some, against = some[may.any(1)], against[may.any(0)]
+                bounded = len(some) * len(against) < IDLE * met
             tally[1] += len(some) * len(against)
             if not len(some):
                 continue
-            hit = self.short[some] @ self.short[against].T >= np.float32(threshold - error)
-            if self.lo == self.hi:
-                hit &= self.ids[some][:, None] < self.ids[against][None, :]
-            for v in self.apart:
-                hit &= v[some][:, None] != v[against][None, :]
-            found = np.nonzero(hit)
-            for lo in range(0, len(found[0]), 1 << 16):
-                i, j = some[found[0][lo : lo + (1 << 16)]], against[found[1][lo : lo + (1 << 16)]]
-                cos = np.einsum("ij,ij->i", self.x[i], self.x[j])
-                over = cos >= threshold
-                a, b = self.ids[i[over]], self.ids[j[over]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(cos[over])], names=["src", "dst", "cos"])
+            few_rows, wide = self.short[some], max(256, (1 << 20) // len(some))
+            for lo in range(0, len(against), wide):
+                others = against[lo : lo + wide]
+                i, j = np.divmod(np.flatnonzero(few_rows @ self.short[others].T >= np.float32(threshold - error)), len(others))
+                i, j = some[i], others[j]
+                may = (i < j) & (self.ids[i] != self.ids[j]) if alone else np.ones(len(i), bool)
+                for v in self.apart:
+                    may &= v[i] != v[j]
+                i, j = i[may], j[may]
+                for k in range(0, len(i), 1 << 16):
+                    a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+                    cos = np.einsum("ij,ij->i", self.x[a], self.x[b])
+                    over = cos >= threshold
+                    a, b = self.ids[a[over]], self.ids[b[over]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(cos[over])], names=["src", "dst", "cos"])
 
     def forest(self, threshold: float, rotation: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         """Of the pairs those of a maximum spanning forest, so fewer than there are vectors."""
@@ -244,6 +282,18 @@ class _Block:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in shrunk()], names=["src", "dst", "cos"])
 
+    def stars(self, threshold: float, rotation: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+        """The components of the pairs as edges from their least ends, so fewer than there are vectors."""
+        src = dst = np.zeros(0, np.int64)
+        held, rows = [(src, dst)], 0
+        for b in self.pairs(threshold, rotation, [0, 0]):
+            held.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
+            rows += b.num_rows
+            if rows > MOST_PAIRS:
+                held, rows = [stars(*[np.concatenate(c) for c in zip(*held, strict=True)])], 0
+        src, dst = stars(*[np.concatenate(c) for c in zip(*held, strict=True)])
+        yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], names=["src", "dst"])
+
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
     """The blocks of sorted batches, one at a time."""
@@ -266,19 +316,47 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
         yield _Block(held)
 
 
-def _meeting(df: DataFrame, key: str, vector: str, threshold: float, apart: list[str], block: int) -> tuple[DataFrame, np.ndarray | None]:
+def _vectors(df: DataFrame, key: str, vector: str, threshold: float, apart: list[str]) -> DataFrame:
+    """_id, _v and the columns in which pairs must differ, of vectors that may have a pair."""
     kind = df.select(vector).schema[0].dataType
     numbers = F.col(vector) if kind == ArrayType(FloatType(), kind.containsNull) else F.transform(F.col(vector), lambda x: x.cast("double"))
     rows = df.select(F.col(key).cast("long").alias("_id"), numbers.alias("_v"), *[F.col(c).cast("string").alias(f"_a{i}") for i, c in enumerate(apart)])
     rows = rows.filter("_v IS NOT NULL")
     if threshold > 0:  # vectors of length 0 have a cosine of 0 to all
         rows = rows.filter(F.exists("_v", lambda x: x != 0))
-    n = rows.count()
+    return rows
+
+
+def _at_once(rows: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
+    return rows.select(zero.alias("_lo"), zero.alias("_hi"), zero.alias("_own"), *rows.columns).repartition(1)
+
+
+def _met(dealt: DataFrame) -> DataFrame:
+    return dealt.repartition("_lo", "_hi").sortWithinPartitions("_lo", "_hi")
+
+
+def _usable(rotation: np.ndarray) -> np.ndarray | None:
+    return rotation if len(rotation) >= WIDE else None
+
+
+def _meeting(df: DataFrame, key: str, vector: str, threshold: float, apart: list[str], block: int) -> tuple[DataFrame, np.ndarray | None]:
+    rows = _vectors(df, key, vector, threshold, apart)
+    n = rows.count()
     if n <= block:
-        return rows.select(zero.alias("_lo"), zero.alias("_hi"), zero.alias("_own"), *rows.columns).repartition(1), None
-    spread, rotation = _dealt(rows, n, threshold, block)
-    return spread.repartition("_lo", "_hi").sortWithinPartitions("_lo", "_hi"), rotation if len(rotation) >= WIDE else None
+        return _at_once(rows), None
+    cells = _Cells(rows, n, threshold, block)
+    return _met(cells.dealt()), _usable(cells.rotation)
+
+
+def _joined(met: DataFrame, threshold: float, rotation: np.ndarray | None) -> DataFrame:
+    """The components of all pairs of the blocks that meet."""
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _groups(batches):
+            yield from g.stars(threshold, rotation)
+
+    return connected_components(met.mapInArrow(multiply, "src long, dst long"))
 
 
 def cosine_pairs(df: DataFrame, key: str, vector: str, threshold: float, apart: list[str] | None = None, block: int = BLOCK) -> DataFrame:
@@ -315,6 +393,57 @@ def cosine_forest(df: DataFrame, key: str, vector: str, threshold: float, apart:
     return met.mapInArrow(multiply, "src long, dst long, cos double")
 
 
+def cosine_components(df: DataFrame, key: str, vector: str, threshold: float, block: int = BLOCK) -> DataFrame:
+    """Id, component (its least id) of all ends of cosine_pairs().
+
+    Where cells part little, all vectors would meet. Two that are known to be linked, though, by whatever way, needn't: first
+    vectors meet only within two blocks of bounded size, one of near cells and one drawn by hash. Then those that
+    aren't in the largest component so far meet all others, and only pairs of different components count. So no
+    component is missed, and the work grows with the vectors times those that the first blocks left out. If these are more
+    than a quarter, all meet, as in cosine_forest().
+    """
+    rows = _vectors(df, key, vector, threshold, [])
+    n, width = rows.agg(F.count(F.lit(1)), F.max(F.size("_v"))).first()
+    if n * (width or 0) <= HOME:
+        return _joined(_at_once(rows), threshold, None)
+    cells = _Cells(rows, n, threshold, block)
+    rotation = _usable(cells.rotation)
+    if not cells.part_little():
+        return _joined(_met(cells.dealt()), threshold, rotation)
+    size = min(math.ceil(n / HOMES), max(1, HOME // width))
+    owned, _, unit_block = cells.packed(size)
+    blocks = int(unit_block[-1]) + 1
+
+    def met(dealt: DataFrame, meetings: int, number: Column) -> DataFrame:
+        """Each meeting in a task, or a task's share of them."""
+        tasks = min(meetings, MOST_TASKS)
+        return dealt.repartitionById(tasks, F.pmod(number, F.lit(tasks)).cast("int")).sortWithinPartitions("_lo", "_hi")
+
+    drawn = blocks + F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(blocks))
+    twice = owned.select(F.explode(F.array("_own", drawn)).alias("_lo"), "_id", "_v").select("_lo", F.col("_lo").alias("_hi"), F.col("_lo").alias("_own"), "_id", "_v")
+    part = _joined(met(twice, 2 * blocks, F.col("_lo")), threshold, rotation)
+    largest = part.groupBy("component").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "component").first()
+    known = part.select(F.col("id").alias("_i"), "component")
+    labels = written(owned.join(known, F.col("_id") == F.col("_i"), "left").select("_own", "_id", "_v", F.coalesce("component", "_id").alias("_c"), F.col("_i").isNotNull().alias("_linked")), "labelled")
+    outside = labels.filter(F.col("_c") != largest.component) if largest else labels
+    left = outside.count()
+    if 4 * left > n:
+        return _joined(_met(cells.dealt()), threshold, rotation)
+    if not left:
+        return part
+    sides = math.ceil(left / max(size, min(math.ceil(left / SIDES), MOST_COMPONENTS // width)))
+    theirs = (-1 - F.pmod(F.xxhash64("_id"), F.lit(sides))).alias("_lo")
+    every = lambda lo, hi, name: F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi).cast("long"))).alias(name)
+    one = outside.select(theirs, every(0, blocks - 1, "_hi"), "_v", "_c").withColumn("_own", F.col("_lo"))
+    other = labels.select(every(-sides, -1, "_lo"), F.col("_own").alias("_hi"), "_v", "_c", "_own")
+    both = one.unionByName(other).select("_lo", "_hi", "_own", F.col("_c").alias("_id"), "_v", F.col("_c").alias("_a0"))
+    joined = _joined(met(both, sides * blocks, (-1 - F.col("_lo")) * blocks + F.col("_hi")), threshold, rotation).select(F.col("id").alias("_i"), "component")
+    root = joined.filter(F.col("_i") == largest.component).first()
+    inside = labels.filter(F.col("_c") == largest.component).select(F.col("_id").alias("id"), F.lit(root.component if root else largest.component).alias("component"))
+    others = outside.join(joined, F.col("_c") == F.col("_i"), "left").filter("_linked OR component IS NOT NULL").select(F.col("_id").alias("id"), F.coalesce("component", "_c").alias("component"))
+    return written(inside.unionByName(others).distinct(), "components")
+
+
 def cosine_work(df: DataFrame, key: str, vector: str, threshold: float, block: int = BLOCK) -> DataFrame:
     """What cosine_pairs() does for its pairs: met, the pairs of vectors whose blocks meet, and multiplied, those of them
     that are multiplied in full; one row."""

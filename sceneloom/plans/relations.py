@@ -131,9 +131,8 @@ def pairs(spark, sf_dir, threshold=0.40, apart=None):
     return vector.cosine_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", threshold, apart)
 
 
-def linked(spark, sf_dir):
-    """Pairs enough for the components of all."""
-    return vector.cosine_forest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.40)
+def components(spark, sf_dir):
+    return vector.cosine_components(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.40)
 
 
 @query("j12_cos_pairs", f"WITH {PAIRS_SQL} SELECT src, dst, round(cos, 6) AS cos FROM pr WHERE cos >= 0.40")
@@ -185,7 +184,7 @@ co AS (SELECT id, min(r) AS component FROM re GROUP BY id)"""
 
 @query("g1_components", f"WITH RECURSIVE {COMPONENTS_SQL} SELECT * FROM co")
 def g1_components(spark, sf_dir):
-    return graph.connected_components(linked(spark, sf_dir))
+    return components(spark, sf_dir)
 
 
 @query("t2_named_clusters", f"WITH RECURSIVE {COMPONENTS_SQL}, sz AS (SELECT component, count(*) AS n FROM co GROUP BY 1), rk AS (SELECT *, row_number() OVER (ORDER BY n DESC, component) AS k FROM sz) SELECT id, co.component, 'c' || lpad(CAST(k AS VARCHAR), 3, '0') AS cluster, CAST(n AS INTEGER) AS size FROM co JOIN rk USING (component)")
@@ -196,7 +195,7 @@ def t2_named_clusters(spark, sf_dir):
 @query("g2_persons", f"WITH RECURSIVE {COMPONENTS_SQL} SELECT vec_id AS id, coalesce(component, vec_id) AS person FROM embeddings LEFT JOIN co ON vec_id = id")
 def g2_persons(spark, sf_dir):
     """Singles are persons too."""
-    return graph.persons(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), linked(spark, sf_dir))
+    return graph.persons(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), None, components=lambda: components(spark, sf_dir))
 
 
 @query("g3_whispers")

@@ -163,6 +163,25 @@ def test_cosine_forest(spark, monkeypatch):
     assert sorted(graph.connected_components(some).collect()) == sorted(graph.connected_components(pairs).collect())
 
 
+def test_cosine_components_of_vectors_without_clusters(spark, monkeypatch):
+    """Those that the first blocks link needn't meet again; what they leave out meets all, and no component is missed."""
+    x, df = isotropic(spark, 3000, 8, 5)
+    pairs = vector.cosine_pairs(df, "id", "v", 0.8, block=30).cache()
+    monkeypatch.setattr(vector, "HOME", 8 * 300)
+    met, kept = [], vector._joined
+    monkeypatch.setattr(vector, "_joined", lambda df, *rest: met.append(df.count()) or kept(df, *rest))
+    for threshold, few in ((0.8, True), (0.97, False)):
+        met.clear()
+        got = sorted(vector.cosine_components(df, "id", "v", threshold, 30).collect())
+        assert got == sorted(graph.connected_components(pairs.filter(f"cos >= {threshold}")).collect())
+        assert not few or (len(met) == 2 and sum(met) < 6 * len(x))
+    assert 10 < len({r.component for r in got})
+    pairs.unpersist()
+    near = spark.createDataFrame([(i, [1.0, i / 100]) for i in range(5)] + [(9, [-1.0, 0.0])], "id long, v array<double>")
+    assert sorted(vector.cosine_components(near, "id", "v", 0.8).collect()) == [(i, 0) for i in range(5)]
+    assert vector.cosine_components(near.limit(0), "id", "v", 0.8).count() == 0
+
+
 def test_components_clusters_whispers(spark):
     edges = spark.createDataFrame([(0, 3, 0.95), (1, 2, 0.9), (2, 4, 0.92)], "src long, dst long, cos double")
     named = graph.named_clusters(graph.connected_components(edges)).collect()
