@@ -470,11 +470,15 @@ def centroid(df: DataFrame, key: list[str], vector: str, name: str = "centroid",
 
 def representatives(df: DataFrame, cluster: str, item: str, vector: str, bad: Column, face: Column) -> DataFrame:
     """Of each cluster the member nearest the pool's centroid: usable frames if any, of these those with a
-    face if any. cluster, representative, centrality (6 digits)."""
-    rows = df.withColumns({"_bad": F.coalesce(bad, F.lit(True)), "_face": F.coalesce(face, F.lit(False))})
-    w = Window.partitionBy(cluster)
-    usable = rows.withColumn("_all_bad", F.min(F.col("_bad").cast("int")).over(w)).filter((F.col("_all_bad") == 1) | ~F.col("_bad"))
-    pool = usable.withColumn("_any_face", F.max(F.col("_face").cast("int")).over(w)).filter((F.col("_any_face") == 0) | F.col("_face"))
+    face if any. cluster, representative, centrality (6 digits). Null clusters have none.
+
+    What a pool takes is known from flags with a row for each cluster, so no cluster's vectors meet in one task."""
+    rows = df.select(cluster, item, vector, F.coalesce(bad, F.lit(True)).alias("_bad"), F.coalesce(face, F.lit(False)).alias("_face"))
+    flags = rows.groupBy(cluster).agg(F.min("_bad").alias("_all_bad"), F.max("_face").alias("_any_face"), F.max(F.col("_face") & ~F.col("_bad")).alias("_good_face"))
+    known = rows.join(written(flags, "pool-flags"), cluster)
+    usable = F.col("_all_bad") | ~F.col("_bad")
+    among = F.when(F.col("_all_bad"), F.col("_any_face")).otherwise(F.col("_good_face"))
+    pool = written(known.filter(usable & (F.col("_face") | ~among)).select(cluster, item, vector), "pool")
     near = pool.join(centroid(pool, [cluster], vector), cluster).withColumn("_c", dot(F.transform(F.col(vector), lambda x: x.cast("double")), F.col("centroid")))
     return near.groupBy(cluster).agg(F.max_by(item, F.struct("_c", -F.col(item))).alias("representative"), F.round(F.max("_c"), 6).alias("centrality"))
 

@@ -182,6 +182,16 @@ def test_cosine_components_of_vectors_without_clusters(spark, monkeypatch):
     assert vector.cosine_components(near.limit(0), "id", "v", 0.8).count() == 0
 
 
+def test_representatives_gather_no_cluster(spark):
+    """Pools of good faces, of good frames without faces, of bad faces and of bad frames; unknown flags are bad and no face."""
+    rows = [(1, 1, [1.0, 0.0], True, True), (1, 2, [0.0, 1.0], False, True), (1, 3, [1.0, 0.1], False, False), (2, 4, [1.0, 0.0], None, True), (2, 5, [0.0, 1.0], False, None)]
+    rows += [(3, 6, [1.0, 0.0], True, False), (3, 7, [0.0, 1.0], True, True), (4, 8, [1.0, 0.0], True, False), (4, 9, [1.0, 0.0], None, None), (None, 10, [1.0, 0.0], False, True)]
+    df = spark.createDataFrame(rows, "c long, i long, v array<double>, bad boolean, face boolean")
+    got = vector.representatives(df, "c", "i", "v", F.col("bad"), F.col("face"))
+    assert {(r.c, r.representative) for r in got.collect()} == {(1, 2), (2, 5), (3, 7), (4, 8)}
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_components_clusters_whispers(spark):
     edges = spark.createDataFrame([(0, 3, 0.95), (1, 2, 0.9), (2, 4, 0.92)], "src long, dst long, cos double")
     named = graph.named_clusters(graph.connected_components(edges)).collect()
