@@ -38,23 +38,41 @@ def write_transcript(df: DataFrame, key: list[str], order: list[str], line: str,
     df.repartition(*key).sortWithinPartitions(*key, *order).select(*key, F.col(line).alias("value")).write.mode("overwrite").partitionBy(*key).text(path)
 
 
-def write_reports(df: DataFrame, key: str, order: list[str], columns: list[str], path: str, title: Column) -> None:
+def write_reports(df: DataFrame, key: str, order: list[str], columns: list[str], path: str, title: Column, apart: bool = True) -> None:
     """K9: an HTML page for each key, its rows by `order` as a table of `columns`, all texts escaped.
 
     Rows are streamed by Spark's text writer from sorted partitions: no page has to fit into memory. Null values are empty.
+    apart: each page is a file in a folder of its own, which takes some 20 ms of a task to write and to find again; else
+    a task's pages stand in one file, one behind another, each after a line with its key in hexadecimal digits (- for null).
     """
     cells = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), escape_html(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit("</td>")) for c in columns], F.lit("</tr>"))
     w = Window.partitionBy(key).orderBy(*order)
-    named = escape_html(title)
+    named = escape_html(F.coalesce(title, F.lit("")))
     head = F.concat(F.lit('<!DOCTYPE html><html><head><meta charset="utf-8"><title>'), named, F.lit("</title></head><body><h1>"), named, F.lit("</h1><table>\n"))
+    if not apart:
+        head = F.concat(F.coalesce(F.hex(F.col(key).cast("string").cast("binary")), F.lit("-")), F.lit("\n"), head)
     lines = df.withColumns({"_line": cells, "_head": F.when(F.row_number().over(w) == 1, head).otherwise(F.lit("")), "_last": F.lead(F.lit(1)).over(w).isNull()})
     whole = F.concat("_head", "_line", F.when(F.col("_last"), F.lit("\n</table></body></html>")).otherwise(F.lit("")))
-    pages = lines.select(key, *order, whole.alias("value")).repartition(key).sortWithinPartitions(key, *order)
+    pages = lines.select(key, *order, whole.alias("value"))
+    if not apart:  # the window has put each key into one task
+        return pages.sortWithinPartitions(key, *order).select("value").write.mode("overwrite").text(path)
+    pages = pages.repartition(key).sortWithinPartitions(key, *order)
     pages.select(key, "value").write.mode("overwrite").partitionBy(key).text(path)
 
 
-def read_reports(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """K9: key and html of pages that write_reports() wrote; a key with more than one file is an error."""
+def read_reports(spark: SparkSession, path: str, key: str, apart: bool = True) -> DataFrame:
+    """K9: key and html of pages that write_reports() wrote; a key with more than one file is an error.
+
+    Those of a task's file (not apart) have their keys as texts. `<` is escaped in texts, so a page ends where `</html>` stands;
+    one that doesn't begin with its key is an error.
+    """
+    if not apart:
+        pages = spark.read.option("lineSep", "</html>\n").text(path)
+        first = F.substring_index("value", "\n", 1)
+        whole = F.col("value").rlike("^(-|([0-9A-F]{2})*)\n<!DOCTYPE html>")
+        html = F.concat(F.expr("substring(value, instr(value, '\n') + 1)"), F.lit("</html>\n"))
+        named = F.when(first != "-", F.decode(F.unhex(F.when(first != "-", first)), "UTF-8")).alias(key)
+        return pages.select(named, F.when(whole, html).otherwise(F.raise_error(F.lit("a page without its beginning")).cast("string")).alias("html"))
     pages = spark.read.text(path, wholetext=True)
     one = F.when(F.count(F.lit(1)) == 1, F.first("value")).otherwise(F.raise_error(F.lit("a page in several files")).cast("string"))
     return pages.groupBy(key).agg(one.alias("html"))

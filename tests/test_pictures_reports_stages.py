@@ -123,6 +123,26 @@ def test_reports(spark, tmp_path):
     assert got[1].endswith("</table></body></html>\n") and got[1].count("<table>") == 1
 
 
+def test_reports_of_many_keys_are_few_files(spark, tmp_path):
+    """The same pages as apart, whatever keys and texts hold."""
+    texts = [None, "", "</html>\n", "\r\n</body></html>\n", "é \u2028 <!DOCTYPE html>"]
+    df = spark.createDataFrame([(f"{v}\n</html>" if v % 2 else str(v), k, t) for v in range(60) for k, t in enumerate(texts)] + [(None, 0, "x")], "v string, k int, t string")
+    sinks.write_reports(df, "v", ["k"], ["k", "t"], str(tmp_path / "few"), F.col("v"), apart=False)
+    assert len(list((tmp_path / "few").glob("**/part-*"))) <= 4
+    sinks.write_reports(df.filter("v IS NOT NULL").withColumn("n", F.substring_index("v", "\n", 1).cast("int")), "n", ["k"], ["k", "t"], str(tmp_path / "apart"), F.col("v"))
+    got = {x.v: x.html for x in sinks.read_reports(spark, str(tmp_path / "few"), "v", apart=False).collect()}
+    want = {x.n: x.html for x in sinks.read_reports(spark, str(tmp_path / "apart"), "n").collect()}
+    assert len(got) == 61 and None in got
+    assert {int(v.split("\n")[0]): html for v, html in got.items() if v is not None} == want
+
+
+def test_report_query_writes_few_files(spark):
+    from sceneloom.plans.queries import QUERIES
+
+    pages = QUERIES["k9_reports"](spark, "/root/testdata/sf0.01")
+    assert len(pages.inputFiles()) <= 4 < pages.count()
+
+
 def test_only_stale_stages_run(spark, tmp_path):
     """A chain a -> b -> d and c -> d: one changed input runs its own stages alone; equal bytes end the chain."""
     p = lambda name: str(tmp_path / name)
