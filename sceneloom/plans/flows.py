@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..operators import interval, relational
-from ..session import shared_folder
+from ..session import shared_folder, written
 from ..sources import files, providers, sinks
 from ..streaming import online
 from .base import ORACLE_SQL, frames, query, table
@@ -24,8 +24,9 @@ def st2_stream_cuts(spark, sf_dir):
 
 
 def with_totals(events, spark, sf_dir):
-    """A stream of events as frames, with the number of frames that each video's header names."""
-    headers = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("video")).agg(F.count(F.lit(1)).cast("int").alias("total"))
+    """A stream of events as frames, with the number of frames that each video's header names. Headers are a written table, which
+    the batches of a stream read anew."""
+    headers = written(table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("video")).agg(F.count(F.lit(1)).cast("int").alias("total")), "headers")
     return events.select(F.col("user_id").alias("video"), "event_id", "value").join(headers, "video")
 
 
@@ -70,11 +71,11 @@ sh AS (SELECT video, row_number() OVER w - 1 AS shot, b AS s, lead(b, 1, total)
 SELECT video, CAST(shot AS INTEGER) AS shot, CAST(s AS INTEGER) AS "start", CAST(sh.e AS INTEGER) AS "end", p.a AS frame, p.r AS rank FROM e JOIN sh USING (video, shot)""".replace("{{", "{").replace("}}", "}"),
 )
 def st2_stream_pool(spark, sf_dir):
-    """ST2, T4: the candidates of each shot from a stream, beside the streamed shots."""
+    """ST2, T4: the candidates of each shot from a stream, with the shot."""
     events = with_totals(online.event_stream(spark, f"{sf_dir}/events.parquet"), spark, sf_dir)
     penalty = N.candidate_rank(F.lit(0.0), (F.col("value") % 10) / 100, N.brightness_score(F.col("value") / 500))
-    pool = online.run_to_end(online.stream_pool(events.withColumn("penalty", penalty), "video", "event_id", "value", "penalty", 40.0, "total", 2, 3), "st2-pool", listed=True)
-    return st3_stream_shots(spark, sf_dir).join(pool, ["video", "shot"])
+    pool = online.run_to_end(online.stream_pool(events.withColumn("penalty", penalty), "video", "event_id", "value", "penalty", 40.0, "total", 2, 3), "st2-pool")
+    return pool.select("video", "shot", "start", "end", "frame", "rank")
 
 
 @query("k1_artifacts", f'WITH {{fr}}, {SHOTS_SQL} SELECT CAST(video AS BIGINT) AS video, CAST(shot AS INTEGER) AS shot, "start", CAST("end" AS INTEGER) AS "end" FROM shots')

@@ -12,7 +12,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.folds import consider
 from ..session import shared_folder
@@ -98,55 +97,40 @@ def stream_dark_runs(frames: DataFrame, key: str, order: str, value: str, dark_b
     return frames.groupBy(key).applyInPandasWithState(step, DARK_RUNS, "frame int, began int", "append", GroupStateTimeout.NoTimeout)
 
 
-POOL = "video long, shot int, frame int, rank double"
+POOL = "video long, shot int, frame int, rank double, start int, end int"
 
 
-class _PoolOfShot(StatefulProcessor):
-    """The open shot of a video: how far it has come, and a list of its best frames that never grows beyond `most`."""
-
-    def __init__(self, order: str, value: str, penalty: str, total: str, threshold: float, near: int, most: int):
-        self.columns, self.threshold, self.near, self.most = (order, value, penalty, total), threshold, near, most
+def stream_pool(frames: DataFrame, key: str, order: str, value: str, penalty: str, threshold: float, total: str, near: int = 15, most: int = 32) -> DataFrame:
+    """ST2, T4: the candidates of each shot, sent when the shot is over: when the cut behind it is seen, or the last frame;
+    with the shot's start and end, as stream_shots() has them.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.place = handle.getValueState("place", "frame int, before double, mafd double, shot int")
-        self.pool = handle.getListState("pool", "frame int, rank double")
+    A frame's rank is its change plus `penalty`, the lesser the better. It is a candidate of the shot that is open once its
+    own change is known, so the frame at which a cut lies is the last candidate of the shot before. The state of a video is how
+    far it has come, and a list of its best frames that never grows beyond `most`.
+    """
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        order, value, penalty, total = self.columns
-        frame, before, mafd_before, shot = self.place.get() if self.place.exists() else (0, None, 0.0, 0)
-        pool = [list(p) for p in self.pool.get()] if self.pool.exists() else []
-        some = pd.concat(list(rows)).sort_values(order)
+    def step(k, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        frame, before, mafd_before, shot, start, held, ranks = state.get if state.exists else (0, None, 0.0, 0, 0, [], [])
+        pool = [list(p) for p in zip(held, ranks, strict=True)]
+        rows = pd.concat(list(batches)).sort_values(order)
         out: list[tuple] = []
-        for x, extra, n in zip(some[value], some[penalty], some[total], strict=True):
+        for x, extra, n in zip(rows[value].tolist(), rows[penalty].tolist(), rows[total].tolist(), strict=True):
             mafd = 0.0 if before is None else abs(x - before)
             score = 0.0 if before is None else min(max(min(mafd, abs(mafd - mafd_before)), 0.0), 100.0)
-            if score >= self.threshold and frame > 1:  # the shot before is over
-                out += [(key[0], shot, *p) for p in sorted(pool)]
-                shot, pool = shot + 1, []
-            consider(pool, frame, round(mafd + extra, 6), self.near, self.most)
+            if score >= threshold and frame > 1:  # the shot before is over
+                out += [(k[0], shot, *p, start, frame - 2) for p in sorted(pool)]
+                shot, start, pool = shot + 1, frame - 1, []
+            consider(pool, frame, round(mafd + extra, 6), near, most)
             if not pd.isna(n) and frame == n - 1:
-                out += [(key[0], shot, *p) for p in sorted(pool)]
-                shot, pool = shot + 1, []
+                out += [(k[0], shot, *p, start, frame) for p in sorted(pool)]
+                shot, start, pool = shot + 1, frame + 1, []
             frame, before, mafd_before = frame + 1, x, mafd
-        self.place.update((frame, before, mafd_before, shot))
-        if pool:
-            self.pool.put([tuple(p) for p in pool])
-        else:
-            self.pool.clear()
-        yield pd.DataFrame(out, columns=["video", "shot", "frame", "rank"]).astype({"video": "int64", "shot": "int32", "frame": "int32", "rank": "float64"})
+        state.update((frame, before, mafd_before, shot, start, [p[0] for p in pool], [p[1] for p in pool]))
+        if out:
+            yield pd.DataFrame(out, columns=["video", "shot", "frame", "rank", "start", "end"])
 
-    def close(self) -> None:
-        pass
-
-
-def stream_pool(frames: DataFrame, key: str, order: str, value: str, penalty: str, threshold: float, total: str, near: int = 15, most: int = 32) -> DataFrame:
-    """ST2, T4: the candidates of each shot, sent when the shot is over: when the cut behind it is seen, or the last frame.
-
-    A frame's rank is its change plus `penalty`, the lesser the better. It is a candidate of the shot that is open once its
-    own change is known, so the frame at which a cut lies is the last candidate of the shot before. Needs run_to_end(...,
-    listed=True), as lists in the state do.
-    """
-    return frames.groupBy(key).transformWithStateInPandas(_PoolOfShot(order, value, penalty, total, threshold, near, most), POOL, "append", "none")
+    held = "frame int, before double, mafd double, shot int, start int, frames array<int>, ranks array<double>"
+    return frames.groupBy(key).applyInPandasWithState(step, POOL, held, "append", GroupStateTimeout.NoTimeout)
 
 
 def run_to_end(stream: DataFrame, name: str, base: str | None = None, listed: bool = False) -> DataFrame:
@@ -154,7 +138,7 @@ def run_to_end(stream: DataFrame, name: str, base: str | None = None, listed: bo
 
     base: a folder for the table and the checkpoint. A second run with the same one takes what is new only, and adds to
     the table. Without it the run stands alone, in a new folder of the shared ones. listed: keeps the state in RocksDB, as
-    lists in the state need it; the session's own setting is put back once the stream has begun with its copy of it.
+    list states of transformWithState need it; the session's own setting is put back once the stream has begun with its copy of it.
     """
     import uuid
 

@@ -262,3 +262,24 @@ def test_streamed_pool_equals_batch_over_several_batches(spark, tmp_path):
     mine, batch = ({(x[0], x[1], x[2], round(x[3], 6)) for x in df.collect()} for df in (got, want))
     last = max(x[1] for x in batch if x[0] == 3)
     assert mine == {x for x in batch if x[:2] != (3, last)} and len(mine) > 100
+
+
+def test_streamed_pool_has_its_shots_from_one_stream(spark, tmp_path, monkeypatch):
+    """Starts and ends as the stream of shots has them, over several batches; the query runs one stream, and counts frames of
+    the whole table once for all batches."""
+    from sceneloom.plans import flows
+
+    rows = [(v, i, float((i * 7 + v) % 5 * 60), 0.25, 60 if v else None) for v in range(3) for i in range(60)]
+    schema = "video long, event_id long, value double, penalty double, total int"
+    for part in range(3):
+        spark.createDataFrame([x for x in rows if part * 20 <= x[1] < part * 20 + 20], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    pool = online.run_to_end(online.stream_pool(stream, "video", "event_id", "value", "penalty", 40.0, "total", 2, 3), "pool")
+    shots = online.run_to_end(online.stream_shots(stream, "video", "event_id", "value", 40.0, "total"), "shots")
+    found = {(x.video, x.shot, x.start, x.end) for x in pool.collect()}
+    assert found == {(x.video, x.shot, x.start, x.end) for x in shots.collect()} and len(found) > 10
+    runs, run_to_end, seen = [], online.run_to_end, []
+    monkeypatch.setattr(online, "run_to_end", lambda s, *a, **k: runs.append(s) or run_to_end(s, *a, **k))
+    monkeypatch.setattr(flows, "written", lambda df, name, w=flows.written: seen.append(name) or w(df, name))
+    flows.st2_stream_pool(spark, "/root/testdata/sf0.001")
+    assert len(runs) == 1 and seen == ["headers"]
