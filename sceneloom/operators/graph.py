@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
 from .relational import ranked
 
-#: Turns of whispers() in which linked ids never move at once, and ids up to which its labels are broadcast.
-ALONE, FEW = 16, 1_000_000
+#: whispers(): turns in which linked ids never move at once, where an id has as many neighbours at most, on average; ids up to
+#: which labels are broadcast; and edges of a part.
+ALONE, FEW, PART = 16, 1_000_000, 1 << 19
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", most_rounds: int = 60) -> DataFrame:
@@ -58,48 +61,69 @@ def persons(ids: DataFrame, edges: DataFrame | None, id_col: str = "id", compone
     return ids.select(F.col(id_col).alias("id")).join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("person"))
 
 
+def _numbered_edges(edges: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Both directions of edges src, dst, w as s, d, w, with numbers in place of ids, once each, with the largest w; parted by
+    s and held, so that sums by s take no shuffle. And n, id, the numbers in the ids' order; and how many there are."""
+    one = written(edges.filter("src <> dst"), "whisper-edges")
+    ids = written(ranked(one.select(F.col("src").alias("id")).union(one.select("dst")).distinct(), [F.col("id")], "n").select(F.col("n").cast("long").alias("n"), "id"), "whisper-ids")
+    count = ids.count()
+    near = F.broadcast if count <= FEW else lambda df: df
+    a, b = ids.select(F.col("n").alias("s"), F.col("id").alias("_a")), ids.select(F.col("n").alias("d"), F.col("id").alias("_b"))
+    known = one.join(near(a), F.col("src") == F.col("_a")).join(near(b), F.col("dst") == F.col("_b")).select("s", "d", "w")
+    parts = min(4096, max(edges.sparkSession.sparkContext.defaultParallelism, math.ceil(2 * one.count() / PART)))
+    both = known.union(known.select("d", "s", "w")).repartition(parts, "s").groupBy("s", "d").agg(F.max("w").alias("w"))
+    return both.persist(StorageLevel.MEMORY_AND_DISK), ids, count
+
+
 def whispers(edges: DataFrame, most_turns: int = 1000) -> DataFrame:
     """Id, label (the least id of its group) of all ends of edges src, dst, cos.
 
     An id takes the label with the most weight among its neighbours, of equal ones the least. The original goes through
     the ids in a random order, each seeing what the ones before it did. Here all ids that would change draw a hash of id and
-    turn, and those move that drew more than every neighbour that would change, too. So no two linked ids move at once, and
-    a turn is a part of some sequential order. Weights are whole numbers of 1e-9, so that sums are exact: a move makes the
-    weight of edges inside labels larger, or leaves it and makes a label smaller. So it ends, with no id that would change.
-    Ids may be of any type that has an order.
-
-    In a clique so one id moves a turn. From turn ALONE on, neighbours that would take the same label don't wait for each
-    other: whichever goes first only adds to the other's votes for it, so this, too, is a part of some sequential order.
-    After each turn only the neighbours of moved ids vote anew. Labels are broadcast while there are at most FEW.
+    turn, and those move whose choice stands whatever those of their neighbours do that would change, too, and drew more. So
+    the moves of a turn, by falling draws, are a part of some sequential order. Weights are whole numbers of 1e-9, so that
+    sums are exact: a move makes the weight of edges inside labels larger, or leaves it and makes a label smaller. So it
+    ends, with no id that would change. Ids may be of any type that has an order.
+
+    A choice stands if the votes for it, less those that may leave, outdo those for every other label with those that may
+    come. Most neighbours come from and go to labels that don't matter to an id, so most ids move in a turn, however many
+    neighbours they have. Where ids have at most ALONE neighbours on average, only those that drew more than all such
+    neighbours move in the first ALONE turns. Labels are broadcast while there are at most FEW.
     """
-    one = edges.select("src", "dst", F.round(F.col("cos") * 1e9).cast("long").alias("w"))
-    both = written(one.union(one.select("dst", "src", "w")).filter("src <> dst").groupBy("src", "dst").agg(F.max("w").alias("w")), "whisper-edges")
-    labels = written(both.select(F.col("src").alias("id")).distinct().withColumn("label", F.col("id")), "whisper-labels")
-    near = F.broadcast if labels.count() <= FEW else lambda df: df
-    voters, waiting = both, None
-    for turn in range(most_turns):
-        votes = voters.join(near(labels), F.col("dst") == F.col("id")).groupBy("src", "label").agg(F.sum("w").alias("w"))
-        best = votes.groupBy(F.col("src").alias("_i")).agg(F.min(F.struct((-F.col("w")).alias("w"), "label"))["label"].alias("would"))
-        changed = near(labels).join(best, F.col("id") == F.col("_i")).filter("would <> label").select("id", "would")
-        if waiting is not None:  # nothing around them has moved
-            changed = changed.unionByName(waiting)
-        changed = written(changed, "whisper-moves")
-        if changed.isEmpty():
-            break
-        drew = changed.withColumn("drew", F.struct(F.xxhash64("id", F.lit(turn).cast("long")).alias("h"), "id"))
-        theirs = both.join(near(drew.select(F.col("id").alias("_d"), "drew", F.col("would").alias("_theirs"))), F.col("dst") == F.col("_d")).join(near(changed.select(F.col("id").alias("_s"), F.col("would").alias("_own"))), F.col("src") == F.col("_s"))
-        if turn >= ALONE:
-            theirs = theirs.filter("_own <> _theirs")
-        rivals = theirs.groupBy(F.col("src").alias("_i")).agg(F.max("drew").alias("most"))
-        moves = drew.join(rivals, drew["id"] == rivals["_i"], "left").filter(F.col("most").isNull() | (F.col("drew") > F.col("most"))).select(F.col("id").alias("_m"), "would")
-        moves = written(moves, "whisper-moves")
-        labels = written(labels.join(near(moves), labels["id"] == moves["_m"], "left").select("id", F.coalesce("would", "label").alias("label")), "whisper-labels")
-        again = written(both.join(near(moves.select("_m")), F.col("dst") == F.col("_m"), "left_semi").select(F.col("src").alias("_v")).distinct(), "whisper-voters")
-        voters = both.join(near(again), F.col("src") == F.col("_v"), "left_semi")
-        waiting = changed.join(near(moves.select("_m")), F.col("id") == F.col("_m"), "left_anti").join(near(again), F.col("id") == F.col("_v"), "left_anti")
-    else:
-        raise RuntimeError(f"labels didn't settle in {most_turns} turns")
-    least = labels.groupBy(F.col("label").alias("_l")).agg(F.min("id").alias("least"))
+    both, ids, count = _numbered_edges(edges.select("src", "dst", F.round(F.col("cos") * 1e9).cast("long").alias("w")))
+    near = F.broadcast if count <= FEW else lambda df: df
+    try:
+        alone = ALONE if both.count() <= ALONE * count else 0
+        labels = written(ids.select("n", "id", F.col("n").alias("label")), "whisper-labels")
+        for turn in range(most_turns):
+            seen = both.join(near(labels.select(F.col("n").alias("_n"), "label")), F.col("d") == F.col("_n"))
+            votes = seen.groupBy("s", "label").agg(F.sum("w").alias("w"))
+            best = votes.groupBy("s").agg(F.min(F.struct((-F.col("w")).alias("w"), "label"))["label"].alias("would"))
+            drew = F.struct(F.xxhash64("id", F.lit(turn).cast("long")).alias("h"), "n").alias("drew")
+            changed = written(best.join(near(labels), F.col("s") == F.col("n")).filter("would <> label").select("n", "would", drew), "whisper-moves")
+            if changed.isEmpty():
+                break
+            own = changed.select(F.col("n").alias("_s"), "would", F.col("drew").alias("_own"))
+            others = changed.select(F.col("n").alias("_d"), F.col("would").alias("_to"), F.col("drew").alias("_drew"))
+            met = seen.join(near(own), F.col("s") == F.col("_s")).join(near(others), F.col("d") == F.col("_d"), "left").withColumn("_first", F.coalesce(F.col("_drew") > F.col("_own"), F.lit(False)))
+            if turn < alone:
+                stay = met.filter("_first").select("s").distinct()
+            else:
+                zero = F.lit(0).cast("long")
+                stays = F.struct("label", F.col("w").alias("most"), F.col("w").alias("least"))
+                may = lambda c: F.struct(F.col(c).alias("label"), (F.greatest("w", zero) + 1).alias("most"), F.least("w", zero).alias("least"))
+                ways = met.select("s", "would", F.explode(F.when(F.col("_first"), F.array(may("label"), may("_to"))).otherwise(F.array(stays))).alias("x")).select("s", "would", "x.*")
+                bounds = ways.groupBy("s", "would", "label").agg(F.sum("most").alias("most"), F.sum("least").alias("least"))
+                sure = F.max(F.when(F.col("label") == F.col("would"), F.struct("least", (-F.col("label")).alias("l"))))
+                rival = F.max(F.when(F.col("label") != F.col("would"), F.struct(F.col("most").alias("least"), (-F.col("label")).alias("l"))))
+                stay = bounds.groupBy("s").agg(sure.alias("sure"), rival.alias("rival")).filter("rival > sure").select("s")
+            moves = changed.join(stay, F.col("n") == F.col("s"), "left_anti").select(F.col("n").alias("_m"), "would")
+            labels = written(labels.join(near(moves), F.col("n") == F.col("_m"), "left").select("n", "id", F.coalesce("would", "label").alias("label")), "whisper-labels")
+        else:
+            raise RuntimeError(f"labels didn't settle in {most_turns} turns")
+    finally:
+        both.unpersist()
+    least = labels.groupBy(F.col("label").alias("_l")).agg(F.min(F.struct("n", "id"))["id"].alias("least"))
     return labels.join(least, labels["label"] == least["_l"]).select("id", F.col("least").alias("label"))
 
 

@@ -315,6 +315,75 @@ def test_whispers_of_a_large_clique(spark):
     assert {x.label for x in graph.whispers(edges, most_turns=40).collect()} == {0}
 
 
+def whisper_jointly(edges):
+    """Each turn's moves that no neighbour ahead can turn, one after the other; and the turns."""
+    import struct
+
+    import xxhash
+
+    near = {}
+    for a, b, w in edges:
+        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = round(w * 1e9)
+    labels = {i: i for i in near}
+
+    def best(i):
+        votes = {}
+        for j, w in near[i].items():
+            votes[labels[j]] = votes.get(labels[j], 0) + w
+        return min(votes, key=lambda x: (-votes[x], x))
+
+    def drew(i, turn):  # Spark's xxhash64 of two longs
+        h = xxhash.xxh64_intdigest(struct.pack("<q", i), 42)
+        h = xxhash.xxh64_intdigest(struct.pack("<q", turn), h)
+        return (h - (1 << 64) if h >> 63 else h), i
+
+    for turn in range(1000):
+        would = {i: best(i) for i in near}
+        changed = {i: drew(i, turn) for i in near if would[i] != labels[i]}
+        if not changed:
+            break
+        moves = []
+        for i in changed:
+            most, least = {}, {}
+            for j, w in near[i].items():
+                ahead = j in changed and changed[j] > changed[i]
+                for x in (labels[j], would[j]) if ahead else (labels[j],):
+                    most[x] = most.get(x, 0) + (w + 1 if ahead else w)
+                    least[x] = least.get(x, 0) + (0 if ahead else w)
+            if all((most[x], -x) < (least[would[i]], -would[i]) for x in most if x != would[i]):
+                moves.append(i)
+        for i in sorted(moves, key=changed.get, reverse=True):
+            assert best(i) == would[i]
+            labels[i] = would[i]
+    least = {}
+    for i, x in labels.items():
+        least[x] = min(i, least.get(x, i))
+    return {i: least[x] for i, x in labels.items()}, turn
+
+
+def test_whispers_with_many_neighbours(spark, monkeypatch):
+    """Where ids have many neighbours, most move in each turn, each as if one after the other; broadcast or not, as longs or as
+    structs."""
+    r = random.Random(11)
+    edges = [(a * 3, b * 3, 0.9 + r.random() / 10 if a // 10 == b // 10 else 0.35 + r.random() / 10) for a in range(600) for b in range(a + 1, 600) if a // 10 == b // 10 or r.random() < 0.1]
+    expected, turns = whisper_jointly(edges)
+    assert turns < 20 and 1 < len(set(expected.values())) < 600
+    df = spark.createDataFrame(edges, "src long, dst long, cos double")
+    assert {x.id: x.label for x in graph.whispers(df, most_turns=20).collect()} == expected
+    monkeypatch.setattr(graph, "FEW", 10)
+    assert {x.id: x.label for x in graph.whispers(df, most_turns=20).collect()} == expected
+    apart = df.select(F.struct(F.lit(0.5).alias("t"), "src").alias("src"), F.struct(F.lit(0.5).alias("t"), F.col("dst").alias("src")).alias("dst"), "cos")
+    got = {x.id.src: x.label.src for x in graph.whispers(apart, most_turns=30).collect()}
+    near = {}
+    for a, b, w in edges:
+        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = round(w * 1e9)
+    for i, others in near.items():  # no id would change
+        votes = {}
+        for j, w in others.items():
+            votes[got[j]] = votes.get(got[j], 0) + w
+        assert votes[got[i]] == max(votes.values())
+
+
 def test_spanning_forest_and_sweep(spark):
     """The forest's weight is that of Kruskal's, and its components are those of all edges at every threshold."""
     r = random.Random(5)
